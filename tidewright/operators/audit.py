@@ -14,15 +14,15 @@ from tidewright.operators.reshape import filtered_columns
 
 _ALL = Window.partitionBy()
 
-# Match classes in their order.
+# Match classes in their order; two of them hold a zero-width joiner (U+200D).
 MATCH_CLASSES = [
-    "perfect match",
-    "both are null",
-    "missing from a",
-    "missing from b",
-    "value is null in a only",
-    "value is null in b only",
-    "values do not match",
+    "\u2705: perfect match",
+    "\u2705: both are null",
+    "\U0001f937: \u200dmissing from a",
+    "\U0001f937: missing from b",
+    "\U0001f937: value is null in a only",
+    "\U0001f937: value is null in b only",
+    "\U0001f645: \u200dvalues do not match",
 ]
 
 
