@@ -144,8 +144,8 @@ def _plain(df: DataFrame, keys: list[str], order: list[str], columns: dict[str,
     w = Window.partitionBy(*keys).orderBy(*order)
     upto = w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     made = {
-        "row_number": lambda c: F.row_number().over(w),
-        "rank": lambda c: F.rank().over(w),
+        "row_number": lambda c: F.row_number().over(w).cast("bigint"),
+        "rank": lambda c: F.rank().over(w).cast("bigint"),
         "running_sum": lambda c: F.sum(c).over(upto),
         "first_value": lambda c: F.first(c).over(upto),
         "lag": lambda c: F.lag(c).over(w),

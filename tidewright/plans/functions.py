@@ -254,11 +254,11 @@ def _(t):
 
 @query(
     "f25_parse_timestamp",
-    """select o_orderkey, try_cast(case when o_orderkey % 5 = 0 then 'soon' else strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
+    """select o_orderkey, try_cast(case when o_orderstatus = 'P' then 'soon' else strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
        end as timestamp) as parsed from orders""",
 )
 def _(t):
-    raw = F.when(c("o_orderkey") % 5 == 0, "soon").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+    raw = F.when(c("o_orderstatus") == "P", "soon").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
     return t.orders.select("o_orderkey", dates.parse_timestamp(raw).alias("parsed"))
 
 
@@ -361,14 +361,14 @@ def _(t):
 @query(
     "f34_check_name_parts",
     """select event_id, event_type as model, 'not_null' as check_kind,
-       case when event_id % 2 = 0 then 'user_id' else '_loaded' end as column_name from events""",
+       case when value > 30 then 'user_id' else '_loaded' end as column_name from events""",
 )
 def _(t):
     node = F.concat(F.lit("model.shop."), c("event_type"))
     name = F.concat(
         F.lit("not_null_"),
         c("event_type"),
-        F.when(c("event_id") % 2 == 0, "_user_id").otherwise("__loaded"),
+        F.when(c("value") > 30, "_user_id").otherwise("__loaded"),
         F.lit("__"),
         F.substring(F.md5(c("event_id").cast("string")), 1, 8),
     )
