@@ -232,8 +232,8 @@ def insert_by_period(
 def backfill_windows(bounds: DataFrame, start: str, end: str, days: int = 7) -> DataFrame:
     """Windows from ``end`` backwards, each ending one second before the later one starts."""
     step = days * 86400 + 1
-    span = datediff(F.col(start), F.col(end), "second")
-    last = F.floor((span - 1) / step)
+    span = datediff(F.col(start), F.col(end), "microsecond")
+    last = F.floor((span - 1) / (step * 1_000_000))
     number = F.explode(F.sequence(F.lit(0).cast("bigint"), last))
     made = bounds.where(F.col(start) < F.col(end)).select(start, end, number.alias("chunk_number"))
     upper = F.timestamp_add("SECOND", -F.col("chunk_number") * step, F.col(end))
@@ -243,6 +243,12 @@ def backfill_windows(bounds: DataFrame, start: str, end: str, days: int = 7) ->
     )
 
 
+def chunk_of(ts: Column, end: Column, days: int = 7) -> Column:
+    """Number of the backfill window a time belongs to, without joining the windows."""
+    step = (days * 86400 + 1) * 1_000_000
+    return F.floor(datediff(ts, end, "microsecond") / step)
+
+
 def lookback(rows: DataFrame, column: str, now: Column, days: int | None) -> DataFrame:
     """Rows changed within the last days; None keeps all."""
     return rows if days is None else rows.where(F.col(column) >= dateadd("day", -days, now))
