@@ -1 +1,292 @@
+"""Load-mode queries: tables are written to the shared scratch folder, loaded again, and read back."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidewright.operators import checks as ck
+from tidewright.plans.models import CATALOG_SQL, catalog_summary
+from tidewright.plans.registry import query
+from tidewright.session import scratch_path
+from tidewright.sources import load
+from tidewright.sources.load import VersionedTable
+
+c = F.col
+one = F.lit(1)
+CUT = "1999-06-01"
+
+
+def at(text: str):
+    return F.lit(text).cast("timestamp_ntz")
+
+
+def table(t, name: str) -> VersionedTable:
+    return VersionedTable(t.spark, scratch_path(t.spark, name))
+
+
+def early(t) -> DataFrame:
+    """First load: orders up to the cut, all still open."""
+    return t.orders.where(c("o_orderdate") <= at(CUT)).select(
+        "o_orderkey", "o_custkey", F.lit("new").alias("status"), "o_orderdate"
+    )
+
+
+def late(t) -> DataFrame:
+    """Second load: orders from a year before the cut on, some twice with an older status."""
+    rows = t.orders.where(c("o_orderdate") > at("1998-06-01"))
+    final = rows.select("o_orderkey", "o_custkey", c("o_orderstatus").alias("status"), "o_orderdate", F.lit(2).alias("seq"))
+    older = rows.where("o_orderstatus = 'F'").select(
+        "o_orderkey", "o_custkey", F.lit("P").alias("status"), "o_orderdate", F.lit(1).alias("seq")
+    )
+    return final.unionByName(older)
+
+
+_EARLY = f"early as (select o_orderkey, o_custkey, 'new' as status, o_orderdate from orders where o_orderdate <= timestamp '{CUT}')"
+_MERGED = f"""select o_orderkey, o_custkey, case when o_orderdate > timestamp '1998-06-01' then o_orderstatus else 'new' end as status, o_orderdate from orders"""
+
+
+@query("l1_replace", "select o_orderkey, o_custkey, o_orderstatus as status, o_orderdate from orders where o_orderdate > timestamp '1998-06-01'")
+def _(t):
+    orders = table(t, "replace")
+    orders.replace(early(t))
+    return orders.replace(late(t).where("seq = 2").drop("seq"))
+
+
+@query("l2_incremental_append", "select o_orderkey, o_orderdate from orders")
+def _(t):
+    orders, source = table(t, "append"), t.orders.select("o_orderkey", "o_orderdate")
+    load.incremental_append(orders, source, "o_orderdate", upto=at(CUT))
+    return load.incremental_append(orders, source, "o_orderdate")
+
+
+@query("l3_merge_by_key", _MERGED)
+def _(t):
+    orders = table(t, "merge")
+    orders.merge(early(t).withColumn("seq", F.lit(0)), ["o_orderkey"], ["seq"])
+    return orders.merge(late(t), ["o_orderkey"], ["seq"]).drop("seq")
+
+
+@query(
+    "l3_merge_touched_partitions",
+    f"select o_orderkey, o_custkey, status, cast(year(o_orderdate) as integer) as year from ({_MERGED})",
+)
+def _(t):
+    path = scratch_path(t.spark, "merge-parts")
+    year = F.year("o_orderdate").alias("year")
+    cols = ["o_orderkey", "o_custkey", "status"]
+    early(t).select(*cols, F.lit(0).alias("seq"), year).write.partitionBy("year").parquet(path)
+    batch = late(t).select(*cols, "seq", year)
+    load.merge_partitions(t.spark, path, batch, ["o_orderkey"], ["seq"], "year")
+    return t.spark.read.parquet(path).drop("seq")
+
+
+@query(
+    "l4_delete_insert",
+    f"""with {_EARLY}, batch as (select o_orderkey, o_custkey, o_orderstatus as status, o_orderdate from orders where o_totalprice > 480000)
+    select * from early where o_custkey not in (select o_custkey from batch) union all select * from batch""",
+)
+def _(t):
+    orders = table(t, "delete-insert")
+    orders.replace(early(t))
+    batch = t.orders.where("o_totalprice > 480000").select("o_orderkey", "o_custkey", c("o_orderstatus").alias("status"), "o_orderdate")
+    return orders.delete_insert(batch, ["o_custkey"])
+
+
+@query(
+    "l5_incremental_model",
+    f"""with {CATALOG_SQL} select first_name, last_name, bill_customer_sk_id, ship_customer_sk_id, ship_date,
+        case when ship_date >= date '2000-01-01' then orders * 10 else orders end as orders, quantity, cost, _pk from summary""",
+)
+def _(t):
+    prod, rows = table(t, "incremental"), catalog_summary(t)
+    recent = c("ship_date") >= F.lit("2000-01-01").cast("date")
+    load.incremental_by_key(prod, rows, ["_pk"], recent)
+    return load.incremental_by_key(prod, rows.withColumn("orders", c("orders") * 10), ["_pk"], recent)
+
+
+def _places(t) -> tuple[DataFrame, DataFrame]:
+    """Customers' segments before and after: some move, some become unknown, some are new, some are gone."""
+    first = t.customer.where("c_acctbal < 9000").select(c("c_custkey").alias("id"), c("c_mktsegment").alias("location"))
+    moved = F.when(c("c_nationkey") < 5, "MOVED").when(c("c_nationkey") >= 8, c("c_mktsegment"))
+    then = t.customer.where("c_acctbal >= 1000").select(c("c_custkey").alias("id"), moved.alias("location"))
+    return first, then
+
+
+_PLACES = """a as (select c_custkey as id, c_mktsegment as location from customer where c_acctbal < 9000),
+  b as (select c_custkey as id, case when c_nationkey < 5 then 'MOVED' when c_nationkey >= 8 then c_mktsegment end as location from customer where c_acctbal >= 1000)"""
+_SCD = """select a.id, a.location, timestamp '2024-01-01' as valid_from, case when b.id is not null and a.location is distinct from b.location
+    then timestamp '2024-02-01' end as valid_to from a left join b on a.id = b.id
+  union all select b.id, b.location, timestamp '2024-02-01', null from b left join a on a.id = b.id
+    where a.id is null or a.location is distinct from b.location"""
+
+
+def snapshot(t) -> DataFrame:
+    """Two snapshots, the second one taken twice: the repeat changes nothing."""
+    history, (first, then) = table(t, "snapshot"), _places(t)
+    history.replace(load.first_snapshot(first, at("2024-01-01")))
+    history.replace(load.scd2(history.read(), then, "id", at("2024-02-01"), check_cols=["location"]))
+    return history.replace(load.scd2(history.read(), then, "id", at("2024-03-01"), check_cols=["location"]))
+
+
+@query("l6_scd2_check", f"with {_PLACES} {_SCD}")
+def _(t):
+    return snapshot(t)
+
+
+@query(
+    "l7_scd2_timestamp",
+    """with a as (select o_orderkey as id, 'new' as status, o_orderdate as updated_at from orders),
+    b as (select o_orderkey as id, o_orderstatus as status, case when o_orderstatus = 'F' then o_orderdate + interval 2 day else o_orderdate end as updated_at from orders)
+    select a.*, timestamp '1994-01-01' as valid_from, case when b.updated_at > a.updated_at then b.updated_at end as valid_to from a join b on a.id = b.id
+    union all select b.*, b.updated_at, null from a join b on a.id = b.id where b.updated_at > a.updated_at""",
+)
+def _(t):
+    first = t.orders.select(c("o_orderkey").alias("id"), F.lit("new").alias("status"), c("o_orderdate").alias("updated_at"))
+    later = F.when(c("o_orderstatus") == "F", F.timestamp_add("DAY", F.lit(2), c("o_orderdate"))).otherwise(c("o_orderdate"))
+    then = t.orders.select(c("o_orderkey").alias("id"), c("o_orderstatus").alias("status"), later.alias("updated_at"))
+    history = table(t, "snapshot-ts")
+    history.replace(load.first_snapshot(first, at("1994-01-01")))
+    return history.replace(load.scd2(history.read(), then, "id", at("2024-02-01"), updated_at="updated_at"))
+
+
+@query(
+    "l8_insert_by_period",
+    """select o_orderkey, o_orderdate, cast(date_sub('month', timestamp '1994-12-15', o_orderdate - interval 1 microsecond) as integer)
+       as period_number from orders where o_orderdate > timestamp '1994-12-15' and o_orderdate < timestamp '2003-01-01'""",
+)
+def _(t):
+    path = scratch_path(t.spark, "by-period")
+    rows = t.orders.select("o_orderkey", "o_orderdate")
+    bounds = at("1994-12-15"), at("2003-01-01")
+    return load.insert_by_period(t.spark, path, rows, "o_orderdate", "month", *bounds)
+
+
+@query(
+    "l9_backfill_windows",
+    """with b as (select min(ts) as lo, max(ts) as hi from events),
+    w as (select i as chunk_number, greatest(lo, hi - to_seconds(i * 604801) - interval 7 day) as window_from, hi - to_seconds(i * 604801) as window_to
+      from b, (select unnest(generate_series(0, 20)) as i) where hi - to_seconds(i * 604801) > lo)
+    select w.*, count(event_id) as events from w left join events on ts between window_from and window_to group by all""",
+)
+def _(t):
+    lo, hi = t.events.agg(F.min("ts"), F.max("ts")).first()
+    bounds = t.spark.range(1).select(F.lit(lo).cast("timestamp_ntz").alias("lo"), F.lit(hi).cast("timestamp_ntz").alias("hi"))
+    windows = load.backfill_windows(bounds, "lo", "hi")
+    numbered = t.events.select("ts", load.chunk_of(c("ts"), F.lit(hi).cast("timestamp_ntz")).alias("chunk_number"))
+    found = windows.join(numbered, "chunk_number", "left").groupBy("chunk_number", "window_from", "window_to")
+    return found.agg(F.count_if(c("ts") >= c("window_from")).alias("events"))
+
+
+@query(
+    "l10_write_audit_publish",
+    """select o_orderkey, o_custkey, o_orderstatus, 'rejected' as second_load from orders""",
+)
+def _(t):
+    orders = table(t, "audited")
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus")
+    checks = {
+        "o_custkey is filled": lambda df: ck.not_null(df, "o_custkey"),
+        "o_orderkey is unique": lambda df: ck.unique(df, "o_orderkey"),
+    }
+    orders.audited(rows, checks)
+    try:
+        orders.audited(rows.withColumn("o_custkey", F.nullif("o_custkey", F.lit(7))), checks)
+        second = "published"
+    except load.AuditFailed:
+        second = "rejected"
+    return orders.read().withColumn("second_load", F.lit(second))
+
+
+@query(
+    "l11_promote_set",
+    """select 'customer' as table_name, count(*) as n from customer union all select 'supplier', count(*) from supplier""",
+)
+def _(t):
+    targets = {"customer": table(t, "prod-customer"), "supplier": table(t, "prod-supplier")}
+    live = load.promote({"customer": t.customer, "supplier": t.supplier}, targets)
+    parts = [live[n].agg(F.count(one).alias("n")).select(F.lit(n).alias("table_name"), "n") for n in live]
+    return parts[0].unionByName(parts[1])
+
+
+@query("l12_clone", "select c_custkey, c_name from customer")
+def _(t):
+    first = table(t, "clone-source")
+    first.replace(t.customer.select("c_custkey", "c_name"))
+    copy = first.clone_to(scratch_path(t.spark, "clone-copy"))
+    first.replace(t.customer.limit(0).select("c_custkey", "c_name"))
+    return copy.read()
+
+
+_CHANGES = """ch as (select o_custkey as id, o_orderpriority as segment, case o_orderstatus when 'F' then 'D' when 'P' then 'U' else 'I' end as op,
+    o_orderkey as seq from orders), last as (select * from (select *, row_number() over (partition by id order by seq desc) as n from ch) where n = 1)"""
+_CDC = f"""with {_CHANGES} select c_custkey as id, c_mktsegment as segment from customer where c_custkey not in (select id from last)
+    union all select id, segment from last where op <> 'D'"""
+
+
+def changes(t) -> DataFrame:
+    op = F.when(c("o_orderstatus") == "F", "D").when(c("o_orderstatus") == "P", "U").otherwise("I")
+    return t.orders.select(c("o_custkey").alias("id"), c("o_orderpriority").alias("segment"), op.alias("op"), c("o_orderkey").alias("seq"))
+
+
+@query("l13_change_data", _CDC)
+def _(t):
+    target = t.customer.select(c("c_custkey").alias("id"), c("c_mktsegment").alias("segment"))
+    customers = table(t, "cdc")
+    customers.replace(target)
+    return customers.replace(load.apply_changes(customers.read(), changes(t), ["id"], "seq", "op"))
+
+
+@query("l14_lookback", "select event_id, ts from events where ts >= timestamp '2024-01-31' - interval 7 day")
+def _(t):
+    return load.lookback(t.events.select("event_id", "ts"), "ts", at("2024-01-31"), 7)
+
+
+@query("l15_route_by_type", "select event_id, user_id, event_type from events")
+def _(t):
+    path = scratch_path(t.spark, "routed")
+    load.route(t.events.select("event_id", "user_id", "event_type"), path, "event_type")
+    return t.spark.read.parquet(path)
+
+
+@query(
+    "l16_materializations",
+    """select 'table' as kind, count(*) as n from orders union all select 'view', count(*) from orders union all select 'ephemeral', count(*) from orders""",
+)
+def _(t):
+    root = scratch_path(t.spark, "materialized")
+    parts = [
+        load.materialize(t.orders.select("o_orderkey"), kind, f"orders_as_{kind}", root)
+        .agg(F.count(one).alias("n"))
+        .select(F.lit(kind).alias("kind"), "n")
+        for kind in ("table", "view", "ephemeral")
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("j15_upsert_join", _MERGED)
+def _(t):
+    return load.merge_by_key(early(t), late(t).where("seq = 2").drop("seq"), ["o_orderkey"], ["o_orderdate"])
+
+
+@query(
+    "m13_orders_with_snapshot",
+    f"""with {_PLACES}, s as ({_SCD}) select o_orderkey as order_id, c_custkey as customer_id, c_name as customer_name, o_orderdate as order_date, location, valid_from, valid_to
+    from orders join customer on c_custkey = o_custkey join s on s.id = c_custkey""",
+)
+def _(t):
+    customers = t.customer.select(c("c_custkey").alias("customer_id"), c("c_name").alias("customer_name"))
+    orders = t.orders.select(c("o_orderkey").alias("order_id"), c("o_custkey").alias("customer_id"), c("o_orderdate").alias("order_date"))
+    dim_orders = customers.join(orders, "customer_id")
+    return dim_orders.join(snapshot(t).withColumnRenamed("id", "customer_id"), "customer_id")
+
+
+@query(
+    "m8_catalog_incremental_clone",
+    f"with {CATALOG_SQL} select ship_date, count(*) as rows, cast(sum(cost) as bigint) as cost from summary group by 1",
+)
+def _(t):
+    prod = table(t, "catalog-prod")
+    load.incremental_by_key(prod, catalog_summary(t), ["_pk"], F.lit(True))
+    copy = prod.clone_to(scratch_path(t.spark, "catalog-clone")).read()
+    return copy.groupBy("ship_date").agg(F.count(one).alias("rows"), F.sum("cost").alias("cost"))

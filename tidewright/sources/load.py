@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidewright.functions.dates import dateadd, datediff
 from tidewright.operators.reshape import newest
 
-_LOG = "version bigint, path string, mode string"
+_LOG = "version bigint, paths array<string>, mode string"
 
 
 class AuditFailed(Exception):
@@ -24,6 +24,8 @@ class AuditFailed(Exception):
 
 
 class VersionedTable:
+    """A version is a list of immutable parquet folders, so appends and clones copy nothing."""
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
@@ -36,39 +38,57 @@ class VersionedTable:
                 return None
             raise
 
+    def _read_or_none(self) -> DataFrame | None:
+        last = self._last()
+        return self.spark.read.parquet(*last["paths"]) if last else None
+
     def exists(self) -> bool:
         return self._last() is not None
 
     def read(self) -> DataFrame:
-        last = self._last()
-        if last is None:
+        df = self._read_or_none()
+        if df is None:
             raise FileNotFoundError(self.root)
-        return self.spark.read.parquet(last["path"])
+        return df
 
     def stage(self, df: DataFrame, partition_by: Sequence[str] = ()) -> str:
-        """Write a candidate version; nobody reads it until it is published."""
+        """Write a candidate folder; nobody reads it until it is published."""
         path = f"{self.root}/data/{uuid.uuid4().hex}"
         df.write.partitionBy(*partition_by).parquet(path)
         return path
 
-    def publish(self, path: str, mode: str = "replace") -> None:
-        last = self._last()
-        row = [((last["version"] if last else 0) + 1, path, mode)]
+    def publish(self, paths: Sequence[str], mode: str = "replace", after: int | None = None) -> DataFrame:
+        """Make the folders the current version, and return it."""
+        if after is None:
+            last = self._last()
+            after = last["version"] if last else 0
+        row = [(after + 1, list(paths), mode)]
         self.spark.createDataFrame(row, _LOG).coalesce(1).write.mode("append").json(f"{self.root}/log")
+        return self.spark.read.parquet(*paths)
 
     def replace(self, df: DataFrame, mode: str = "replace", partition_by: Sequence[str] = ()) -> DataFrame:
-        self.publish(self.stage(df, partition_by), mode)
-        return self.read()
+        return self.publish([self.stage(df, partition_by)], mode)
 
     def append(self, df: DataFrame) -> DataFrame:
-        return self.replace(self.read().unionByName(df), "append") if self.exists() else self.replace(df, "append")
+        """Add a folder; what is there is neither read nor written again."""
+        path, last = self.stage(df), self._last()
+        before = list(last["paths"]) if last else []
+        return self.publish([*before, path], "append", last["version"] if last else 0)
 
     def merge(self, batch: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-        made = merge_by_key(self.read(), batch, keys, order_by) if self.exists() else newest(batch, keys, order_by)
+        now = self._read_or_none()
+        made = merge_by_key(now, batch, keys, order_by) if now is not None else newest(batch, keys, order_by)
         return self.replace(made, "merge")
 
+    def upsert_latest(self, batch: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+        """Keep the newest row per key among the table and the batch; repeating a batch changes nothing."""
+        now = self._read_or_none()
+        rows = batch if now is None else now.unionByName(batch)
+        return self.replace(newest(rows, keys, order_by), "upsert")
+
     def delete_insert(self, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-        return self.replace(delete_insert(self.read(), batch, keys) if self.exists() else batch, "delete_insert")
+        now = self._read_or_none()
+        return self.replace(delete_insert(now, batch, keys) if now is not None else batch, "delete_insert")
 
     def audited(self, df: DataFrame, checks: dict[str, Callable[[DataFrame], DataFrame]]) -> DataFrame:
         """Write, audit, publish: the staged files are checked, and only a clean version becomes current."""
@@ -77,21 +97,22 @@ class VersionedTable:
         failed = [name for name, check in checks.items() if not check(staged).isEmpty()]
         if failed:
             raise AuditFailed(f"{self.root}: {', '.join(failed)}")
-        self.publish(path, "audited")
-        return self.read()
+        return self.publish([path], "audited")
 
     def clone_to(self, root: str) -> VersionedTable:
+        """A table of its own that starts from the same folders."""
+        last = self._last()
+        if last is None:
+            raise FileNotFoundError(self.root)
         copy = VersionedTable(self.spark, root)
-        copy.replace(self.read(), "clone")
+        copy.publish(last["paths"], "clone")
         return copy
 
 
 def promote(tables: dict[str, DataFrame], targets: dict[str, VersionedTable]) -> dict[str, DataFrame]:
     """Stage all tables first, then publish all of them."""
     paths = {name: targets[name].stage(df) for name, df in tables.items()}
-    for name, path in paths.items():
-        targets[name].publish(path, "promote")
-    return {name: targets[name].read() for name in tables}
+    return {name: targets[name].publish([path], "promote") for name, path in paths.items()}
 
 
 def merge_by_key(target: DataFrame, batch: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
@@ -136,8 +157,9 @@ def incremental_append(table: VersionedTable, source: DataFrame, cursor: str, in
     """Append the source rows behind the newest cursor value the table holds."""
     last = initial
     if table.exists():
+        kind = source.schema[cursor].dataType
         top = table.read().agg(F.max(cursor)).first()[0]
-        last = F.lit(top) if top is not None else initial
+        last = F.lit(top).cast(kind) if top is not None else initial
     return table.append(incremental_rows(source, cursor, last, upto))
 
 
