@@ -1 +1,164 @@
+"""Streaming queries: files derived from the given tables are streamed, and the result is read back."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidewright.operators.reshape import newest
+from tidewright.plans.loads import _CDC, changes
+from tidewright.plans.registry import query
+from tidewright.session import scratch_path
+from tidewright.sources.load import VersionedTable
+from tidewright.streaming import jobs
+
+c = F.col
+DELAY = "2 days"
+
+
+class Landing:
+    """A folder where files land, with the places a stream over it needs."""
+
+    def __init__(self, t, name: str):
+        self.spark = jobs.prepare_streams(t.spark)
+        self.root = scratch_path(t.spark, f"stream-{name}")
+        self.files, self.out, self.checkpoint = (f"{self.root}/{x}" for x in ("in", "out", "checkpoint"))
+
+    def land(self, df: DataFrame, fmt: str = "parquet") -> None:
+        df.write.mode("append").format(fmt).save(self.files)
+
+    def table(self) -> VersionedTable:
+        return VersionedTable(self.spark, self.out)
+
+
+def log_lines(t) -> DataFrame:
+    """An event as a log line: errors are failed checks, clicks warnings; some lines are broken or other records."""
+    meta = F.struct(
+        F.when(c("user_id") > 5, "data-alerts").otherwise("").alias("channel"),
+        F.when(c("value") > 20, F.concat(F.lit("user-"), c("user_id").cast("string"))).alias("owner"),
+        F.array(F.lit("a"), F.lit("b")).alias("subscribers"),
+        F.array().cast("array<string>").alias("tags"),
+    )
+    status = F.when(c("event_type") == "error", "fail").when(c("event_type") == "click", "Warn").otherwise("pass")
+    data = F.struct(
+        status.alias("status"),
+        F.concat(F.lit("not_null_"), "event_type", F.lit("_user_id__"), F.substring(F.md5("props"), 1, 6)).alias("name"),
+        F.concat(F.lit("model.shop."), "event_type").alias("attached_node"),
+        F.when(c("value") > 10, c("event_id")).alias("num_failures"),
+        F.struct(F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("node_finished_at"), meta.alias("meta")).alias("node_info"),
+    )
+    name = F.when(c("event_type") == "view", "Stats").otherwise("LogTestResult")
+    whole = F.to_json(F.struct(F.struct(name.alias("name")).alias("info"), data.alias("data")))
+    return t.events.select(F.when(c("value") > 95, F.left(whole, F.lit(40))).otherwise(whole).alias("value"))
+
+
+@query(
+    "t1_log_alerts",
+    """with a as (select event_type as model, case when value > 20 then 'user-' || user_id else 'Unknown' end as owner, 'data-alerts' as channel, 'a, b' as subscribers,
+      'None' as tags, case event_type when 'error' then 'FAIL' else 'WARN' end as status, case when value > 10 then cast(event_id as varchar) else 'unknown' end as failures,
+      strftime(ts, '%Y-%m-%d %H:%M:%S') as failed_at, 'not_null' as test_name, 'user_id' as column_name from events
+      where event_type in ('error', 'click') and user_id > 5 and value <= 95)
+    select *, 'test failure: ' || test_name || ' on ' || model || '.' || column_name || ' (' || failures || ' failures)' as alert_text from a""",
+)
+def _(t):
+    files = Landing(t, "log")
+    files.land(log_lines(t), "text")
+    lines = jobs.read_files(t.spark, files.files, "value string", "text")
+    jobs.to_files(jobs.check_alerts(lines), files.out, files.checkpoint)
+    return t.spark.read.parquet(files.out)
+
+
+_LOG = "topic string, partition int, offset bigint, message_key bigint, event_time timestamp, event_type string"
+
+
+def event_log(t) -> DataFrame:
+    return t.events.select(
+        F.concat(F.lit("orders."), F.left("event_type", F.lit(1))).alias("topic"),
+        F.pmod("user_id", F.lit(4)).cast("int").alias("partition"),
+        c("event_id").alias("offset"),
+        c("user_id").alias("message_key"),
+        c("ts").cast("timestamp").alias("event_time"),
+        "event_type",
+    )
+
+
+def land_twice(t, files: Landing) -> None:
+    """The log, with purchases and errors delivered a second time in files of their own."""
+    rows = event_log(t)
+    files.land(rows.unionAll(rows.where("event_type in ('purchase', 'error')")))
+
+
+@query(
+    "t2_deduplicated_log",
+    """select 'orders.' || left(event_type, 1) as topic, cast(user_id % 4 as integer) as partition, event_id as "offset", user_id as message_key, event_type from events""",
+)
+def _(t):
+    files = Landing(t, "offsets")
+    land_twice(t, files)
+    log = jobs.read_files(t.spark, files.files, _LOG)
+    jobs.to_files(jobs.distinct_offsets(log, "event_time", DELAY), files.out, files.checkpoint)
+    return t.spark.read.parquet(files.out).drop("event_time")
+
+
+@query("t2_latest_state", "select user_id as message_key, arg_max(event_type, event_id) as state, max(event_id) as \"offset\" from events group by 1")
+def _(t):
+    files, keys, order = Landing(t, "state"), ["message_key"], ["offset"]
+    land_twice(t, files)
+    log = jobs.read_files(t.spark, files.files, _LOG, maxFilesPerTrigger=1)
+    table = files.table()
+    jobs.to_batches(log.select("message_key", c("event_type").alias("state"), "offset"), jobs.keep_latest(table, keys, order), files.checkpoint)
+    return jobs.compact(table, keys, order)
+
+
+_EVENT = "event_ts timestamp, user_name string, event_value bigint"
+
+
+def day_events(t) -> DataFrame:
+    return t.events.select(
+        c("ts").cast("timestamp").alias("event_ts"), c("user_id").cast("string").alias("user_name"), c("event_id").alias("event_value")
+    )
+
+
+@query("t3_daily_counts", "select cast(ts as date) as event_date, count(*) as total_events, cast(sum(event_id) as bigint) as total_value, true as users_near from events group by 1")
+def _(t):
+    files = Landing(t, "daily")
+    files.land(day_events(t))
+    stream = jobs.daily_counts(jobs.read_files(t.spark, files.files, _EVENT), "event_ts", DELAY)
+    table = files.table()
+    jobs.to_batches(stream, jobs.keep_updates(table), files.checkpoint, "update")
+    days = newest(table.read(), ["event_date"], ["batch_id"])
+    return days.select("event_date", "total_events", "total_value", (c("unique_users_approx") > 0).alias("users_near"))
+
+
+@query("t3_daily_users", "select cast(ts as date) as event_date, count(distinct user_id) as unique_users from events group by 1")
+def _(t):
+    files = Landing(t, "users")
+    files.land(day_events(t))
+    events = jobs.read_files(t.spark, files.files, _EVENT)
+    seen = events.select("event_ts", "user_name", F.to_date("event_ts").alias("event_date"))
+    once = seen.withWatermark("event_ts", DELAY).dropDuplicatesWithinWatermark(["event_date", "user_name"])
+    jobs.to_files(once, files.out, files.checkpoint)
+    # A late repeat may come through once its state is gone, so the day's users are still counted distinctly.
+    return t.spark.read.parquet(files.out).groupBy("event_date").agg(F.count_distinct("user_name").alias("unique_users"))
+
+
+@query("t4_incremental_append", "select event_id, user_id, event_type from events")
+def _(t):
+    files = Landing(t, "cursor")
+    rows = t.events.select("event_id", "user_id", "event_type")
+    for part in (c("event_type") != "view", c("event_type") == "view"):
+        files.land(rows.where(part))
+        stream = jobs.read_files(t.spark, files.files, "event_id bigint, user_id bigint, event_type string")
+        jobs.to_files(stream, files.out, files.checkpoint)
+    return t.spark.read.parquet(files.out)
+
+
+@query("t4_change_merge", _CDC)
+def _(t):
+    files = Landing(t, "cdc")
+    files.land(changes(t))
+    stream = jobs.read_files(t.spark, files.files, "id bigint, segment string, op string, seq bigint")
+    table = files.table()
+    jobs.to_batches(stream, jobs.keep_latest(table, ["id"], ["seq"]), files.checkpoint)
+    base = t.customer.select(c("c_custkey").alias("id"), c("c_mktsegment").alias("segment"))
+    return jobs.changed_state(base, table, ["id"], "seq", "op")
