@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -130,25 +130,24 @@ def unpivot(
     return cast.unpivot(keep, melted, field_name, value_name)
 
 
-def deduplicate(df: DataFrame, group_by: Sequence[str], order_by: Sequence[Column]) -> DataFrame:
-    """First row of each group in the given order, by an aggregate that combines on the map side.
+def first_rows(df: DataFrame, group_by: Sequence[str], order_by: Sequence[Column], n: int = 1) -> DataFrame:
+    """First ``n`` rows of each group in the given order.
 
-    ``order_by`` takes ascending columns; wrap numbers in a minus sign, or use ``newest``, for the other way.
+    Spark cuts each group down to ``n`` rows in every map task before the shuffle, so a group of any size is
+    never gathered. The order should be total.
     """
-    row = F.struct(*[F.col(c) for c in df.columns])
-    picked = df.groupBy(*[F.col(c).alias(f"__g_{c}") for c in group_by]).agg(
-        F.min_by(row, F.struct(*order_by)).alias("__row")
-    )
-    return picked.select("__row.*")
+    place = F.row_number().over(Window.partitionBy(*group_by).orderBy(*order_by))
+    return df.withColumn("__place", place).where(F.col("__place") <= n).drop("__place")
+
+
+def deduplicate(df: DataFrame, group_by: Sequence[str], order_by: Sequence[Column]) -> DataFrame:
+    """First row of each group in the given order."""
+    return first_rows(df, group_by, order_by)
 
 
 def newest(df: DataFrame, group_by: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """Last row of each group in ascending ``order_by``."""
-    row = F.struct(*[F.col(c) for c in df.columns])
-    picked = df.groupBy(*[F.col(c).alias(f"__g_{c}") for c in group_by]).agg(
-        F.max_by(row, F.struct(*order_by)).alias("__row")
-    )
-    return picked.select("__row.*")
+    return first_rows(df, group_by, [F.col(c).desc_nulls_last() for c in order_by])
 
 
 def generate_series(spark: SparkSession, upper_bound: int) -> DataFrame:
@@ -215,17 +214,14 @@ def listagg(
     """Text of each group put together in order.
 
     With ``distinct`` the doubles go before the texts meet. With ``limit`` only the first texts of each group
-    are kept while aggregating, by rank, so a hot group never meets in full.
+    are kept, from the map side on, so a hot group never meets in full.
     """
-    from tidewright.operators.windows import row_number, with_window
-
     keys = list(group_by)
     if distinct:
         df, order_by = df.select(*keys, text).distinct(), text
     order_by = order_by or text
     rows = df.where(F.col(text).isNotNull()).select(*keys, F.col(order_by).alias("__at"), F.col(text).alias("__text"))
     if limit is not None:
-        ranked = with_window(rows, ["__at", "__text"], keys, __rank=row_number())
-        rows = ranked.where(F.col("__rank") <= limit).drop("__rank")
+        rows = first_rows(rows, keys, [F.col("__at"), F.col("__text")], limit)
     parts = F.sort_array(F.collect_list(F.struct("__at", "__text")))
     return rows.groupBy(*keys).agg(F.array_join(parts["__text"], delimiter).alias(name))

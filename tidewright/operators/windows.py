@@ -112,9 +112,9 @@ def _bucket(df: DataFrame, probe: DataFrame, order: str, slices: int, out: str)
     if len(edges) < 3:
         return df.withColumn(out, F.lit(0)), []
     cut = Bucketizer(splits=edges, inputCol="__v", outputCol="__b", handleInvalid="keep")
-    marked = cut.transform(df.withColumn("__v", number))
+    placed = cut.transform(df.withColumn("__v", number))
     heavy = [i for i, edge in enumerate(edges[:-1]) if edge in heavy_values]
-    return marked.withColumn(out, F.col("__b").cast("int")).drop("__v", "__b"), heavy
+    return placed.withColumn(out, F.col("__b").cast("int")).drop("__v", "__b"), heavy
 
 
 def with_window(
@@ -129,15 +129,17 @@ def with_window(
 ) -> DataFrame:
     """Add window columns over ``partition_by`` in ascending ``order_by``.
 
-    ``key_source`` is a cheaper frame with the same key spread, used to look for hot keys. Without
-    ``partition_by`` the whole table is one group and is always cut. Order columns must not be null, and
-    row numbers need a total order, as in any engine.
+    ``key_source`` is a cheaper frame with the key and order columns of about the same rows. It is only looked at
+    to find hot keys and good places to cut, so results do not depend on it. Without ``partition_by`` the whole
+    table is one group and is always cut. Order columns must not be null, and row numbers need a total order, as
+    in any engine.
     """
     keys, order = list(partition_by), list(order_by)
-    hot = hot_keys(key_source if key_source is not None else df, keys, hot_rows) if keys else None
+    source = key_source if key_source is not None else df
+    hot = hot_keys(source.select(*keys), keys, hot_rows) if keys else None
     if keys and hot is None:
         return _plain(df, keys, order, columns)
-    return _sliced(df, keys, order, columns, hot, hot_rows, slices)
+    return _sliced(df, keys, order, columns, hot, hot_rows, slices, source)
 
 
 def _plain(df: DataFrame, keys: list[str], order: list[str], columns: dict[str, Spec]) -> DataFrame:
@@ -162,16 +164,18 @@ def _sliced(
     hot: DataFrame | None,
     hot_rows: int,
     slices: int | None,
+    source: DataFrame,
 ) -> DataFrame:
-    base = df
-    if hot is not None:
+    def marked(rows: DataFrame) -> DataFrame:
+        if hot is None:
+            return rows.withColumn(_HOT, F.lit(True))
         marks = hot.select(*[F.col(k).alias(f"__m_{k}") for k in keys], F.lit(True).alias(_HOT))
         same = [F.col(k).eqNullSafe(F.col(f"__m_{k}")) for k in keys]
-        base = df.join(marks, same, "left").drop(*[f"__m_{k}" for k in keys])
-        base = base.withColumn(_HOT, F.coalesce(_HOT, F.lit(False)))
-    else:
-        base = df.withColumn(_HOT, F.lit(True))
-    probe = base.where(_HOT)
+        found = rows.join(marks, same, "left").drop(*[f"__m_{k}" for k in keys])
+        return found.withColumn(_HOT, F.coalesce(_HOT, F.lit(False)))
+
+    base = marked(df)
+    probe = marked(source.select(*dict.fromkeys([*keys, *order]))).where(_HOT)
     if slices is None:
         slices = max(8, min(MAX_SLICES, -(-4 * probe.count() // max(hot_rows, 1))))
 

@@ -350,7 +350,7 @@ def _(t):
 def _(t):
     rows = t.orders.select("o_orderkey", "o_custkey", cents(c("o_totalprice")).alias("cents"))
     made = windows.with_window(
-        rows, ["o_orderkey"], ["o_custkey"], key_source=t.orders.select("o_custkey"), running_cents=windows.running_sum("cents")
+        rows, ["o_orderkey"], ["o_custkey"], key_source=t.orders, running_cents=windows.running_sum("cents")
     )
     return made.select("o_orderkey", "running_cents")
 
@@ -621,7 +621,7 @@ def _(t):
        from orders""",
 )
 def _(t):
-    keys_ = t.orders.select("o_custkey")
+    keys_ = t.orders
     made = windows.with_window(
         _paid(t), ["o_orderkey"], ["o_custkey"], key_source=keys_, customer_sales_seq=windows.row_number()
     )
@@ -632,7 +632,7 @@ def _(t):
 @query("w3_running_sum", f"select o_orderkey, cast(sum({OT}) over (partition by o_custkey order by o_orderdate) as bigint) as running from orders")
 def _(t):
     made = windows.with_window(
-        _paid(t), ["o_orderdate"], ["o_custkey"], key_source=t.orders.select("o_custkey"), running=windows.running_sum("cents")
+        _paid(t), ["o_orderdate"], ["o_custkey"], key_source=t.orders, running=windows.running_sum("cents")
     )
     return made.select("o_orderkey", "running")
 
@@ -640,7 +640,7 @@ def _(t):
 @query("w4_first_value", "select o_orderkey, first_value(o_orderdate) over (partition by o_custkey order by o_orderdate) as first_day from orders")
 def _(t):
     made = windows.with_window(
-        _paid(t), ["o_orderdate"], ["o_custkey"], key_source=t.orders.select("o_custkey"), first_day=windows.first_value("o_orderdate")
+        _paid(t), ["o_orderdate"], ["o_custkey"], key_source=t.orders, first_day=windows.first_value("o_orderdate")
     )
     return made.select("o_orderkey", "first_day")
 
@@ -655,7 +655,7 @@ def _(t):
         _paid(t).withColumn("one", one),
         ["o_orderdate", "o_orderkey"],
         ["o_custkey"],
-        key_source=t.orders.select("o_custkey"),
+        key_source=t.orders,
         next_date=windows.lead("o_orderdate"),
         next_one=windows.lead("one"),
     )
