@@ -124,19 +124,22 @@ def with_window(
     *,
     hot_rows: int = HOT_ROWS,
     key_source: DataFrame | None = None,
+    hot: DataFrame | None | str = "find",
     slices: int | None = None,
     **columns: Spec,
 ) -> DataFrame:
     """Add window columns over ``partition_by`` in ascending ``order_by``.
 
     ``key_source`` is a cheaper frame with the key and order columns of about the same rows. It is only looked at
-    to find hot keys and good places to cut, so results do not depend on it. Without ``partition_by`` the whole
+    to find hot keys and good places to cut, so results do not depend on it. ``hot`` takes the result of
+    ``hot_keys`` when several calls share it. Without ``partition_by`` the whole
     table is one group and is always cut. Order columns must not be null, and row numbers need a total order, as
     in any engine.
     """
     keys, order = list(partition_by), list(order_by)
     source = key_source if key_source is not None else df
-    hot = hot_keys(source.select(*keys), keys, hot_rows) if keys else None
+    if isinstance(hot, str):
+        hot = hot_keys(source.select(*keys), keys, hot_rows) if keys else None
     if keys and hot is None:
         return _plain(df, keys, order, columns)
     return _sliced(df, keys, order, columns, hot, hot_rows, slices, source)

@@ -143,23 +143,32 @@ def fct_customer_orders(
         "customer_id", c("first_name").alias("customer_first_name"), c("last_name").alias("customer_last_name")
     )
     who = orders.select("customer_id", "order_id", c("order_date").alias("order_placed_at"))
+    hot = windows.hot_keys(who, ["customer_id"], hot_rows)
     made = windows.with_window(paid, ["order_id"], key_source=who, transaction_seq=windows.row_number())
     made = windows.with_window(
         made,
         ["order_id"],
         ["customer_id"],
+        hot=hot,
         hot_rows=hot_rows,
         key_source=who,
         customer_sales_seq=windows.row_number(),
     )
     # The place within the day is needed only to tell the first order, so one ordering serves both columns.
     made = windows.with_window(
-        made, ["order_placed_at", "order_id"], ["customer_id"], hot_rows=hot_rows, key_source=who, place=windows.rank()
+        made,
+        ["order_placed_at", "order_id"],
+        ["customer_id"],
+        hot=hot,
+        hot_rows=hot_rows,
+        key_source=who,
+        place=windows.rank(),
     )
     made = windows.with_window(
         made,
         ["order_placed_at"],
         ["customer_id"],
+        hot=hot,
         hot_rows=hot_rows,
         key_source=who,
         running_cents=windows.running_sum("paid_cents"),
@@ -190,12 +199,14 @@ def legacy_customer_orders(
         "customer_id", c("first_name").alias("customer_first_name"), c("last_name").alias("customer_last_name")
     )
     who = orders.select("customer_id", "order_id", c("order_date").alias("order_placed_at"))
+    hot = windows.hot_keys(who, ["customer_id"], hot_rows)
     first = who.groupBy("customer_id").agg(F.min("order_placed_at").alias("fdos"))
     made = windows.with_window(paid, ["order_id"], key_source=who, transaction_seq=windows.row_number())
     made = windows.with_window(
         made,
         ["order_id"],
         ["customer_id"],
+        hot=hot,
         hot_rows=hot_rows,
         key_source=who,
         customer_sales_seq=windows.row_number(),

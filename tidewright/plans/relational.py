@@ -622,10 +622,10 @@ def _(t):
 )
 def _(t):
     keys_ = t.orders
-    made = windows.with_window(
-        _paid(t), ["o_orderkey"], ["o_custkey"], key_source=keys_, customer_sales_seq=windows.row_number()
-    )
-    made = windows.with_window(made, ["o_orderdate", "o_orderkey"], ["o_custkey"], key_source=keys_, place=windows.rank())
+    hot = windows.hot_keys(keys_.select("o_custkey"), ["o_custkey"])
+    shared = {"partition_by": ["o_custkey"], "key_source": keys_, "hot": hot}
+    made = windows.with_window(_paid(t), ["o_orderkey"], **shared, customer_sales_seq=windows.row_number())
+    made = windows.with_window(made, ["o_orderdate", "o_orderkey"], **shared, place=windows.rank())
     return made.select("o_orderkey", "customer_sales_seq", F.when(c("place") == 1, "new").otherwise("return").alias("nvsr"))
 
 

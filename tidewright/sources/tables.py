@@ -19,12 +19,15 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = prepare(spark)
         self.folder = folder.rstrip("/")
+        self._read: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
 
     def __call__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(self.path(name))
+        return self._read[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
