@@ -55,7 +55,7 @@ def rows_of(table) -> list[tuple]:
 
 def differences(spark_df, sql: str, con) -> list[str]:
     """What differs, in words; empty when names, kinds and rows agree."""
-    ours, theirs = spark_df.toArrow(), con.execute(sql).to_arrow_table()
+    ours, theirs = spark_df.toArrow(), con.sql(sql).to_arrow_table()
     if sorted(ours.column_names) != sorted(theirs.column_names):
         return [f"columns {sorted(ours.column_names)} != {sorted(theirs.column_names)}"]
     out = []

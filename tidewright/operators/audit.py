@@ -12,8 +12,6 @@ from tidewright.functions.numbers import percent_of
 from tidewright.operators.joins import count_pair
 from tidewright.operators.reshape import filtered_columns
 
-_ALL = Window.partitionBy()
-
 # Match classes in their order; two of them hold a zero-width joiner (U+200D).
 MATCH_CLASSES = [
     "\u2705: perfect match",
@@ -36,7 +34,7 @@ def compare_queries(a: DataFrame, b: DataFrame) -> DataFrame:
     )
     # Rows of one class share one key, so they are counted on the map side.
     counts = sides.groupBy("in_a", "in_b").agg(F.count(F.lit(1)).alias("count"))
-    total = F.sum("count").over(_ALL)
+    total = F.sum("count").over(Window.partitionBy())
     return counts.select("*", percent_of(F.col("count"), total).alias("percent_of_total"))
 
 
@@ -97,7 +95,7 @@ def compare_column_values(a: DataFrame, b: DataFrame, primary_key: str, column:
         ]
     )
     classes = sums.select(F.inline(rows)).where("count_records > 0")
-    total = F.sum("count_records").over(_ALL)
+    total = F.sum("count_records").over(Window.partitionBy())
     share = percent_of(F.col("count_records"), total).alias("percent_of_total")
     return classes.select("match_order", "match_status", "count_records", share)
 

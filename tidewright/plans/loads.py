@@ -13,7 +13,6 @@ from tidewright.sources import load
 from tidewright.sources.load import VersionedTable
 
 c = F.col
-one = F.lit(1)
 CUT = "1999-06-01"
 
 
@@ -205,7 +204,7 @@ def _(t):
 def _(t):
     targets = {"customer": table(t, "prod-customer"), "supplier": table(t, "prod-supplier")}
     live = load.promote({"customer": t.customer, "supplier": t.supplier}, targets)
-    parts = [live[n].agg(F.count(one).alias("n")).select(F.lit(n).alias("table_name"), "n") for n in live]
+    parts = [live[n].agg(F.count("*").alias("n")).select(F.lit(n).alias("table_name"), "n") for n in live]
     return parts[0].unionByName(parts[1])
 
 
@@ -257,7 +256,7 @@ def _(t):
     root = scratch_path(t.spark, "materialized")
     parts = [
         load.materialize(t.orders.select("o_orderkey"), kind, f"orders_as_{kind}", root)
-        .agg(F.count(one).alias("n"))
+        .agg(F.count("*").alias("n"))
         .select(F.lit(kind).alias("kind"), "n")
         for kind in ("table", "view", "ephemeral")
     ]
@@ -289,4 +288,4 @@ def _(t):
     prod = table(t, "catalog-prod")
     load.incremental_by_key(prod, catalog_summary(t), ["_pk"], F.lit(True))
     copy = prod.clone_to(scratch_path(t.spark, "catalog-clone")).read()
-    return copy.groupBy("ship_date").agg(F.count(one).alias("rows"), F.sum("cost").alias("cost"))
+    return copy.groupBy("ship_date").agg(F.count("*").alias("rows"), F.sum("cost").alias("cost"))

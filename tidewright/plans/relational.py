@@ -10,7 +10,6 @@ from tidewright.operators import joins, reshape, windows
 from tidewright.plans.registry import query
 
 c = F.col
-one = F.lit(1)
 cents = numbers.to_cents
 
 _CENTS = "cast(round({0} * 100) as bigint)"
@@ -312,8 +311,8 @@ def _(t):
     select coalesce(a.day, b.day) as day, orders, lines from a full outer join b on a.day = b.day""",
 )
 def _(t):
-    a = t.orders.groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count(one).alias("orders"))
-    b = t.lineitem.groupBy(F.to_date("l_shipdate").alias("day")).agg(F.count(one).alias("lines"))
+    a = t.orders.groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count("*").alias("orders"))
+    b = t.lineitem.groupBy(F.to_date("l_shipdate").alias("day")).agg(F.count("*").alias("lines"))
     return a.join(b, "day", "full")
 
 
@@ -373,7 +372,7 @@ def _(t):
     )
     calendar = reshape.date_spine(bounds, "day", "a", "b").withColumnRenamed("date_day", "day")
     facts = t.orders.where("o_totalprice > 490000").groupBy(F.to_date("o_orderdate").alias("order_day")).agg(
-        F.count(one).alias("orders")
+        F.count("*").alias("orders")
     )
     return joins.calendar_left(calendar, facts, "day", "order_day")
 
@@ -386,8 +385,8 @@ def _(t):
     from a left join b on a.day = b.day group by 1, 2""",
 )
 def _(t):
-    a = t.events.groupBy(F.to_date("ts").alias("day")).agg(F.count(one).alias("events"))
-    b = t.events.groupBy(F.to_date("ts").alias("day"), "event_type").agg(F.count(one).alias("n"))
+    a = t.events.groupBy(F.to_date("ts").alias("day")).agg(F.count("*").alias("events"))
+    b = t.events.groupBy(F.to_date("ts").alias("day"), "event_type").agg(F.count("*").alias("n"))
     per_day = b.groupBy("day").agg(
         F.sum("n").alias("by_type"), F.max(F.when(c("event_type") == "click", c("n"))).alias("clicks")
     )
@@ -428,7 +427,7 @@ def _(t):
 @query("a1_count_distinct_sum", f"select l_returnflag, count(*) as n, count(distinct l_orderkey) as orders, cast(sum({LX}) as bigint) as cents from lineitem group by 1")
 def _(t):
     return t.lineitem.groupBy("l_returnflag").agg(
-        F.count(one).alias("n"), F.count_distinct("l_orderkey").alias("orders"), F.sum(cents(c("l_extendedprice"))).alias("cents")
+        F.count("*").alias("n"), F.count_distinct("l_orderkey").alias("orders"), F.sum(cents(c("l_extendedprice"))).alias("cents")
     )
 
 
@@ -466,7 +465,7 @@ def _(t):
     return t.events.groupBy(F.to_date("ts").alias("day")).agg(
         F.sum(F.when(kind.isin("purchase", "signup"), 1).otherwise(0)).alias("good"),
         F.sum(F.when(kind.isin("error"), 1).otherwise(0)).alias("bad"),
-        F.count(one).alias("total"),
+        F.count("*").alias("total"),
     )
 
 
@@ -490,7 +489,7 @@ def _(t):
 def _(t):
     v = cents(c("value"))
     made = t.events.groupBy(F.to_date("ts").alias("day")).agg(
-        (F.sum(v).cast("double") / F.count(one)).alias("avg_cents"),
+        (F.sum(v).cast("double") / F.count("*")).alias("avg_cents"),
         F.min(v).alias("min_cents"),
         F.max(v).alias("max_cents"),
         F.percentile_approx(v, [0.5, 0.9], 10_000).alias("p"),
@@ -511,7 +510,7 @@ def _(t):
 
 @query("a8_any_value", "select p_brand, min(p_type) as p_type, count(*) as num_rows from part group by 1")
 def _(t):
-    return t.part.groupBy("p_brand").agg(F.min("p_type").alias("p_type"), F.count(one).alias("num_rows"))
+    return t.part.groupBy("p_brand").agg(F.min("p_type").alias("p_type"), F.count("*").alias("num_rows"))
 
 
 @query("a9_bool_or", "select user_id, bool_or(case when event_type <> 'view' then value > 99 end) as any_high from events group by 1")
@@ -535,7 +534,7 @@ def _(t):
 
 @query("a11_having_duplicates", "select l_orderkey, l_linenumber, count(*) as n from lineitem group by 1, 2 having count(*) > 1")
 def _(t):
-    return t.lineitem.groupBy("l_orderkey", "l_linenumber").agg(F.count(one).alias("n")).where("n > 1")
+    return t.lineitem.groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("n")).where("n > 1")
 
 
 @query(
@@ -553,7 +552,7 @@ def _(t):
 
 @query("a13_share_of_total", "select event_type, count(*) as n, round(100.0::double * count(*) / sum(count(*)) over (), 2) as percent_of_total from events group by 1")
 def _(t):
-    counts = t.events.groupBy("event_type").agg(F.count(one).alias("n"))
+    counts = t.events.groupBy("event_type").agg(F.count("*").alias("n"))
     total = F.sum("n").over(Window.partitionBy())
     return counts.select("event_type", "n", numbers.percent_of(c("n"), total).alias("percent_of_total"))
 
@@ -593,7 +592,7 @@ def _(t):
 
     return metrics(
         t.events,
-        row_count=F.count(one),
+        row_count=F.count("*"),
         kinds=F.count_distinct("event_type"),
         users=F.count_distinct("user_id"),
         cents=F.sum(cents(c("value"))),
@@ -652,7 +651,7 @@ def _(t):
 )
 def _(t):
     made = windows.with_window(
-        _paid(t).withColumn("one", one),
+        _paid(t).withColumn("one", F.lit(1)),
         ["o_orderdate", "o_orderkey"],
         ["o_custkey"],
         key_source=t.orders,
@@ -673,13 +672,13 @@ def _(t):
     select hour_, n, lag(hour_) over (order by hour_ desc) as prev_hour from h""",
 )
 def _(t):
-    hours = t.events.where("event_type = 'signup'").groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour_")).agg(F.count(one).alias("n"))
+    hours = t.events.where("event_type = 'signup'").groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour_")).agg(F.count("*").alias("n"))
     return windows.with_window(hours, ["hour_"], prev_hour=windows.lead("hour_"))
 
 
 @query("w8_total_over_all", "select o_orderpriority, count(*) as n, cast(sum(count(*)) over () as bigint) as total from orders group by 1")
 def _(t):
-    counts = t.orders.groupBy("o_orderpriority").agg(F.count(one).alias("n"))
+    counts = t.orders.groupBy("o_orderpriority").agg(F.count("*").alias("n"))
     return counts.select("*", F.sum("n").over(Window.partitionBy()).alias("total"))
 
 
@@ -698,7 +697,7 @@ def _(t):
 
 @query("o1_order_by", "select cast(ts as date) as event_date, count(*) as total_events from events group by 1 order by 1")
 def _(t):
-    return t.events.groupBy(F.to_date("ts").alias("event_date")).agg(F.count(one).alias("total_events")).orderBy("event_date")
+    return t.events.groupBy(F.to_date("ts").alias("event_date")).agg(F.count("*").alias("total_events")).orderBy("event_date")
 
 
 @query("o2_limit", "select c_custkey, c_name from customer order by c_custkey limit 10")
@@ -718,4 +717,4 @@ def _(t):
 
 @query("o4_top_values", "select l_partkey, count(*) as n from lineitem group by 1 order by 2 desc, 1 limit 20")
 def _(t):
-    return t.lineitem.groupBy("l_partkey").agg(F.count(one).alias("n")).orderBy(F.desc("n"), "l_partkey").limit(20)
+    return t.lineitem.groupBy("l_partkey").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "l_partkey").limit(20)
