@@ -39,12 +39,12 @@ def test_unpivot(spark):
 
 
 def test_union_relations(spark):
-    a = spark.createDataFrame([(1, "drew", "pi"), (2, "bob", "e"), (3, "alice", "4")], "id int, name string, favorite_number string")
+    a = spark.createDataFrame([(1, "dana", "pi"), (2, "bob", "e"), (3, "alice", "4")], "id int, name string, favorite_number string")
     b = spark.createDataFrame([(1, "green", 7), (2, "pink", 13)], "id int, favorite_color string, favorite_number int")
     made = reshape.union_relations({"a": a, "b": b})
     assert made.columns == ["_source_relation", "id", "name", "favorite_number", "favorite_color"]
     assert rows(made) == [
-        ("a", 1, "drew", "pi", None), ("a", 2, "bob", "e", None), ("a", 3, "alice", "4", None),
+        ("a", 1, "dana", "pi", None), ("a", 2, "bob", "e", None), ("a", 3, "alice", "4", None),
         ("b", 1, None, "7", "green"), ("b", 2, None, "13", "pink"),
     ]
     with pytest.raises(ValueError):

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewright.functions.dates import micros
-from tidewright.operators.joins import semi_by_set
+from tidewright.operators.windows import row_number, running_sum, with_window
 
 # Fixed values of the run checks.
 SLOW_FACTOR = 2.0
@@ -76,7 +76,9 @@ def run_anomalies(runs: DataFrame, now: Column, threshold: float = SLOW_FACTOR,
 def impact(operations: DataFrame, task_runs: DataFrame) -> DataFrame:
     """Mean operation time per run before and after a task's first use of a flag, with the change in percent.
 
-    ``operations`` has task_run_id and seconds; ``task_runs`` has task_run_id, task_name, created_at, flag.
+    ``operations`` has task_run_id and seconds; ``task_runs`` has task_run_id, task_name, created_at, flag. Tasks
+    that never used the flag are left out. A run lies before the first use when no flagged run is at or before it,
+    which a running count tells in one pass.
     """
     totals = (
         operations.where(F.col("task_run_id").isNotNull() & (F.col("seconds") > 0))
@@ -84,22 +86,20 @@ def impact(operations: DataFrame, task_runs: DataFrame) -> DataFrame:
         .agg(F.sum("seconds").alias("total_seconds"))
     )
     runs = task_runs.withColumn("task_run_id", F.col("task_run_id").cast("string"))
-    flagged = runs.where("flag").select("task_name").distinct()
-    merged = semi_by_set(runs, flagged, "task_name").join(totals, "task_run_id", "inner")
-    first = (
-        merged.where("flag").groupBy("task_name").agg(F.min("created_at").alias("first_use"))
-    )
-    timed = merged.join(first, "task_name", "inner")
-    early = F.col("created_at") < F.col("first_use")
-    total = F.col("total_seconds")
+    merged = runs.join(totals, "task_run_id", "inner").withColumn("__flag", F.col("flag").cast("int"))
+    timed = with_window(merged, ["created_at"], ["task_name"], key_source=task_runs, __uses=running_sum("__flag"))
+    early, total = F.coalesce("__uses", F.lit(0)) == 0, F.col("total_seconds")
 
     def mean(test: Column) -> Column:
         kept = F.when(test, total)
         return F.sum(kept).cast("double") / F.nullif(F.count(kept), F.lit(0))
 
-    stats = timed.groupBy("task_name").agg(mean(early).alias("avg_before"), mean(~early).alias("avg_after"))
+    stats = timed.groupBy("task_name").agg(
+        mean(early).alias("avg_before"), mean(~early).alias("avg_after"), F.max("__flag").alias("__used")
+    )
     before, after = F.col("avg_before"), F.col("avg_after")
-    return stats.select("*", F.when(before > 0, (after - before) / before * 100).alias("pct_change"))
+    change = F.when(before > 0, (after - before) / before * 100).alias("pct_change")
+    return stats.where(F.col("__used") == 1).select("task_name", "avg_before", "avg_after", change)
 
 
 def duration_above_baseline(
@@ -110,8 +110,6 @@ def duration_above_baseline(
     A bounded frame needs only the rows just before; jobs with very many runs are cut into time slices that
     overlap by ``history`` runs.
     """
-    from tidewright.operators.windows import row_number, with_window
-
     numbered = with_window(runs, [at, run_id], [job], __n=row_number())
     # Slices of a job: each run also goes to the next slice when that one needs it as history.
     width = 100_000

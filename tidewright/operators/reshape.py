@@ -173,6 +173,19 @@ def date_spine(bounds: DataFrame, datepart: str, start: str, end: str) -> DataFr
     ).drop("__end")
 
 
+def calendar(df: DataFrame, column: str, before: int = 0, after: int = 0, name: str = "day") -> DataFrame:
+    """All days from the first to the last one in a column, and some around them.
+
+    The two bounds are read once; the days that follow from them are few whatever the size of ``df``.
+    """
+    lo, hi = df.agg(F.to_date(F.min(column)), F.to_date(F.max(column))).first()
+    if lo is None:
+        return df.sparkSession.createDataFrame([], f"{name} date")
+    first = F.date_sub(F.lit(lo), before)
+    days = F.explode(F.sequence(first, F.date_add(F.lit(hi), after)))
+    return df.sparkSession.range(1).select(days.alias(name))
+
+
 def group_by(df: DataFrame, n: int):
     """Group by the first ``n`` columns."""
     return df.groupBy(*df.columns[:n])

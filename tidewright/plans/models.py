@@ -696,8 +696,7 @@ def _(t):
         dates.day_of(c("o_orderdate")).alias("order_date"),
         numbers.to_cents(c("o_totalprice")).alias("cents"),
     )
-    bounds = orders.agg(F.date_sub(F.min("order_date"), 3).alias("a"), F.date_add(F.max("order_date"), 4).alias("b"))
-    calendar = reshape.date_spine(bounds, "day", "a", "b").withColumnRenamed("date_day", "day")
+    calendar = reshape.calendar(t.orders, "o_orderdate", before=3, after=3)
     return customers_orders_daily(orders, stg_customers(raw_customers(t)), calendar)
 
 

@@ -367,10 +367,7 @@ def _(t):
     select day, order_day, orders from cal left join f on day = order_day""",
 )
 def _(t):
-    bounds = t.orders.agg(
-        F.to_date(F.min("o_orderdate")).alias("a"), F.date_add(F.to_date(F.max("o_orderdate")), 1).alias("b")
-    )
-    calendar = reshape.date_spine(bounds, "day", "a", "b").withColumnRenamed("date_day", "day")
+    calendar = reshape.calendar(t.orders, "o_orderdate")
     facts = t.orders.where("o_totalprice > 490000").groupBy(F.to_date("o_orderdate").alias("order_day")).agg(
         F.count("*").alias("orders")
     )

@@ -62,8 +62,10 @@ class VersionedTable:
         if after is None:
             last = self._last()
             after = last["version"] if last else 0
-        row = [(after + 1, list(paths), mode)]
-        self.spark.createDataFrame(row, _LOG).coalesce(1).write.mode("append").json(f"{self.root}/log")
+        entry = self.spark.range(0, 1, 1, 1).select(
+            F.lit(after + 1).alias("version"), F.array(*[F.lit(p) for p in paths]).alias("paths"), F.lit(mode).alias("mode")
+        )
+        entry.write.mode("append").json(f"{self.root}/log")
         return self.spark.read.parquet(*paths)
 
     def replace(self, df: DataFrame, mode: str = "replace", partition_by: Sequence[str] = ()) -> DataFrame:
