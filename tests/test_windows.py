@@ -41,10 +41,20 @@ def test_slices_match_plain_windows(skewed, keys, order, specs):
 
 def test_cut_groups_are_small(skewed):
     hot = w.hot_keys(skewed, ["k"], 100)
-    assert {r[0] for r in hot.collect()} >= {"hot"}
+    assert {r[0] for r in hot.keys.collect()} >= {"hot"} and hot.largest == 1000
     assert w.hot_keys(skewed, ["k"], 10_000) is None
 
 
+def test_hot_keys_from_a_sample(skewed, monkeypatch):
+    monkeypatch.setattr(w, "SAMPLE_ROWS", 600)
+    hot = w.hot_keys(skewed, ["k"], 700)
+    assert [r[0] for r in hot.keys.collect()] == ["hot"] and 600 < hot.largest < 1400
+    specs = {"rn": w.row_number(), "total": w.running_sum("v")}
+    cut = w.with_window(skewed, ["o", "id"], ["k"], hot_rows=700, **specs)
+    plain = w._plain(skewed, ["k"], ["o", "id"], specs)
+    assert cut.exceptAll(plain).isEmpty() and plain.exceptAll(cut).isEmpty()
+
+
 def test_key_source_changes_nothing(skewed, spark):
     other = spark.range(5000).select((c("id") * 3).alias("id"), F.lit("hot").alias("k"))
     cut = w.with_window(skewed, ["id"], ["k"], hot_rows=100, key_source=other, rn=w.row_number())

@@ -18,9 +18,12 @@ from pyspark.sql import types as T
 
 # Rows one window group may hold before it is cut.
 HOT_ROWS = 2_000_000
-# Candidates kept when looking for hot keys; a key with a larger share than 1 / MAX_HOT is always found.
-MAX_HOT = 10_000
-MAX_SLICES = 1_000
+# Rows looked at to find hot keys and good places to cut.
+SAMPLE_ROWS = 1_000_000
+MAX_HOT = 256
+MAX_SLICES = 1_024
+# Slice totals up to this many rows are sent to every executor.
+MAX_BROADCAST_ROWS = 500_000
 
 _HOT, _BUCKET, _SUB = "__hot", "__bucket", "__sub"
 
@@ -56,28 +59,37 @@ def lead(column: str) -> Spec:
     return Spec("lead", column)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """Keys with more than ``hot_rows`` rows (at most MAX_HOT of them), or None if there are none.
+@dataclass(frozen=True)
+class HotKeys:
+    """Keys to be cut, at most MAX_HOT, and how many rows the largest one has or is thought to have."""
+
+    keys: DataFrame
+    count: int
+    largest: int
+
+
+def _sample(df: DataFrame, total: int) -> tuple[DataFrame, float]:
+    share = min(1.0, SAMPLE_ROWS / max(total, 1))
+    return (df, 1.0) if share == 1.0 else (df.sample(share, seed=7), share)
 
-    Small tables are settled by their row count. Otherwise a frequent-item sketch names the candidates and only
-    those are counted, so no full shuffle by key is needed.
+
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> HotKeys | None:
+    """The largest keys with more than ``hot_rows`` rows, or None if there are none.
+
+    Small tables are settled by their row count; of large ones a sample of about SAMPLE_ROWS rows is counted.
+    Which keys are cut has no bearing on results, so an estimate is good enough.
     """
-    if df.count() <= hot_rows:
+    total = df.count()
+    if total <= hot_rows:
         return None
-    tagged = df.select(*keys, F.to_json(F.struct(*keys)).alias("__key"))
-    items = tagged.freqItems(["__key"], 1.0 / MAX_HOT).first()[0]
-    if not items:
+    rows, share = _sample(df.select(*keys), total)
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    found = counts.where(F.col("__n") > max(2.0, hot_rows * share)).orderBy(F.desc("__n")).limit(MAX_HOT).collect()
+    if not found:
         return None
-    candidates = df.sparkSession.createDataFrame([(i,) for i in items], "__key string")
-    rows = (
-        tagged.join(candidates, "__key", "left_semi")
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .where(F.col("__n") > hot_rows)
-        .drop("__n")
-        .collect()
-    )
-    return df.sparkSession.createDataFrame(rows, df.select(*keys).schema) if rows else None
+    schema = T.StructType([df.schema[k] for k in keys])
+    listed = df.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in found], schema)
+    return HotKeys(listed, len(found), int(found[0]["__n"] / share))
 
 
 def _order_number(df: DataFrame, name: str) -> Column:
@@ -98,23 +110,38 @@ def _order_number(df: DataFrame, name: str) -> Column:
     return F.coalesce(num, F.lit(-math.inf))
 
 
-def _bucket(df: DataFrame, probe: DataFrame, order: str, slices: int, out: str) -> tuple[DataFrame, list[int]]:
-    """Add a bucket number that never falls along ``order``; also the buckets made of one heavy value."""
-    number = _order_number(df, order)
-    quantiles = (
-        probe.select(number.alias("v"))
-        .where(F.col("v") > -math.inf)
-        .approxQuantile("v", [i / slices for i in range(1, slices)], 1.0 / (4 * slices))
-    )
-    heavy_values = {q for i, q in enumerate(quantiles) if i and quantiles[i - 1] == q}
-    splits = set(quantiles) | {math.nextafter(v, math.inf) for v in heavy_values}
-    edges = [-math.inf, *sorted(splits), math.inf]
-    if len(edges) < 3:
-        return df.withColumn(out, F.lit(0)), []
-    cut = Bucketizer(splits=edges, inputCol="__v", outputCol="__b", handleInvalid="keep")
-    placed = cut.transform(df.withColumn("__v", number))
-    heavy = [i for i, edge in enumerate(edges[:-1]) if edge in heavy_values]
-    return placed.withColumn(out, F.col("__b").cast("int")).drop("__v", "__b"), heavy
+@dataclass(frozen=True)
+class Cuts:
+    """Where to cut along one order column: edges, and the buckets that hold one heavy value."""
+
+    column: str
+    edges: list[float]
+    heavy: list[int]
+    longest_run: int
+
+    @staticmethod
+    def of(probe: DataFrame, column: str, slices: int) -> Cuts:
+        quantiles = (
+            probe.select(_order_number(probe, column).alias("v"))
+            .where(F.col("v") > -math.inf)
+            .approxQuantile("v", [i / slices for i in range(1, slices)], 1.0 / (4 * slices))
+        )
+        runs: dict[float, int] = {}
+        for q in quantiles:
+            runs[q] = runs.get(q, 0) + 1
+        heavy_values = {q for q, n in runs.items() if n > 1}
+        splits = set(quantiles) | {math.nextafter(v, math.inf) for v in heavy_values}
+        edges = [-math.inf, *sorted(splits), math.inf]
+        heavy = [i for i, edge in enumerate(edges) if edge in heavy_values]
+        return Cuts(column, edges, heavy, max(runs.values(), default=0))
+
+    def number(self, df: DataFrame, out: str) -> DataFrame:
+        """Add a bucket number that never falls along the column."""
+        if len(self.edges) < 3:
+            return df.withColumn(out, F.lit(0))
+        cut = Bucketizer(splits=self.edges, inputCol="__v", outputCol="__b", handleInvalid="keep")
+        placed = cut.transform(df.withColumn("__v", _order_number(df, self.column)))
+        return placed.withColumn(out, F.col("__b").cast("int")).drop("__v", "__b")
 
 
 def with_window(
@@ -124,7 +151,7 @@ def with_window(
     *,
     hot_rows: int = HOT_ROWS,
     key_source: DataFrame | None = None,
-    hot: DataFrame | None | str = "find",
+    hot: HotKeys | None | str = "find",
     slices: int | None = None,
     **columns: Spec,
 ) -> DataFrame:
@@ -164,7 +191,7 @@ def _sliced(
     keys: list[str],
     order: list[str],
     columns: dict[str, Spec],
-    hot: DataFrame | None,
+    hot: HotKeys | None,
     hot_rows: int,
     slices: int | None,
     source: DataFrame,
@@ -172,24 +199,29 @@ def _sliced(
     def marked(rows: DataFrame) -> DataFrame:
         if hot is None:
             return rows.withColumn(_HOT, F.lit(True))
-        marks = hot.select(*[F.col(k).alias(f"__m_{k}") for k in keys], F.lit(True).alias(_HOT))
+        marks = hot.keys.select(*[F.col(k).alias(f"__m_{k}") for k in keys], F.lit(True).alias(_HOT))
         same = [F.col(k).eqNullSafe(F.col(f"__m_{k}")) for k in keys]
-        found = rows.join(marks, same, "left").drop(*[f"__m_{k}" for k in keys])
+        # At most MAX_HOT rows.
+        found = rows.join(F.broadcast(marks), same, "left").drop(*[f"__m_{k}" for k in keys])
         return found.withColumn(_HOT, F.coalesce(_HOT, F.lit(False)))
 
-    base = marked(df)
-    probe = marked(source.select(*dict.fromkeys([*keys, *order]))).where(_HOT)
+    total = source.count()
+    largest = hot.largest if hot else total
     if slices is None:
-        slices = max(8, min(MAX_SLICES, -(-4 * probe.count() // max(hot_rows, 1))))
+        slices = max(8, min(MAX_SLICES, -(-4 * largest // max(hot_rows, 1))))
+    sample, _ = _sample(source.select(*dict.fromkeys([*keys, *order])), total)
+    probe = marked(sample).where(_HOT)
 
-    base, heavy = _bucket(base, probe, order[0], slices, _BUCKET)
+    first = Cuts.of(probe, order[0], slices)
+    base, heavy = first.number(marked(df), _BUCKET), first.heavy
     peers = len(order) == 1  # rows of one heavy value are all peers
+    subs = min(slices, 2 * first.longest_run)
     if not heavy:
         base = base.withColumn(_SUB, F.lit(0))
     elif peers:
-        base = base.withColumn(_SUB, F.pmod(F.xxhash64(*df.columns), F.lit(slices)).cast("int"))
+        base = base.withColumn(_SUB, F.pmod(F.xxhash64(*df.columns), F.lit(subs)).cast("int"))
     else:
-        base, _ = _bucket(base, probe, order[1], slices, _SUB)
+        base = Cuts.of(probe, order[1], subs).number(base, _SUB)
     is_heavy = F.col(_BUCKET).isin(heavy) if heavy else F.lit(False)
     base = base.withColumn(_SUB, F.when(is_heavy & F.col(_HOT), F.col(_SUB)).otherwise(0))
     base = base.withColumn(_BUCKET, F.when(F.col(_HOT), F.col(_BUCKET)).otherwise(-1))
@@ -231,7 +263,9 @@ def _sliced(
     offsets = totals.select(*[F.col(k).alias(f"__o_{k}") for k in join_keys], *carried)
     same = [F.col(k).eqNullSafe(F.col(f"__o_{k}")) for k in keys]
     same += [F.col(k) == F.col(f"__o_{k}") for k in (_BUCKET, _SUB)]
-    joined = base.join(offsets, same, "left")
+    # The number of slices is known here, so the size of their table is too.
+    slice_rows = (hot.count if hot else 1) * (2 * slices + len(heavy) * 2 * subs)
+    joined = base.join(F.broadcast(offsets) if slice_rows <= MAX_BROADCAST_ROWS else offsets, same, "left")
 
     w = Window.partitionBy(*join_keys).orderBy(*order)
     upto = w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
