@@ -128,6 +128,17 @@ def test_insert_by_period(spark, tmp_path):
         assert rows(made.select("id", "period_number")) == [(2, 0), (3, 1), (4, 2), (5, 3), (6, 4)]
 
 
+def test_insert_by_period_resumes(spark, tmp_path):
+    path, bounds = str(tmp_path / "p"), (at("2018-01-01"), at("2019-01-01"))
+    ddl = "id int, t timestamp_ntz"
+    first = [(1, datetime(2018, 1, 10)), (2, datetime(2018, 2, 10))]
+    load.insert_by_period(spark, path, spark.createDataFrame(first, ddl), "t", "month", *bounds, resume=True)
+    # Rows of the last period that came late are taken in; earlier periods are left alone.
+    more = [(9, datetime(2018, 1, 11)), *first[1:], (3, datetime(2018, 2, 20)), (4, datetime(2018, 3, 1, 12))]
+    made = load.insert_by_period(spark, path, spark.createDataFrame(more, ddl), "t", "month", *bounds, resume=True)
+    assert rows(made.select("id", "period_number")) == [(1, 0), (2, 1), (3, 1), (4, 2)]
+
+
 def test_period_edges(spark):
     times = ["2018-01-15 00:00:00", "2018-01-15 00:00:01", "2018-02-15 00:00:00", "2018-02-15 00:00:01", "2018-03-01 00:00:00"]
     df = spark.createDataFrame([(datetime.fromisoformat(x),) for x in times], "t timestamp_ntz")

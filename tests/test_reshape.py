@@ -96,6 +96,14 @@ def test_column_values(spark):
         reshape.column_values(None, "field")
 
 
+def test_too_many_column_values_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(reshape, "MAX_VALUES", 5)
+    df = spark.range(6).withColumnRenamed("id", "v")
+    with pytest.raises(ValueError, match="more than 5"):
+        reshape.column_values(df, "v")
+    assert reshape.column_values(df, "v", max_records=2) == [0, 1]
+
+
 def test_blanks(spark):
     df = spark.createDataFrame([("a", "", 1), ("", "b", 2)], "x string, y string, z int")
     assert rows(reshape.blanks_to_null(df)) == [(None, "b", 2), ("a", None, 1)]

@@ -194,6 +194,11 @@ def not_null(df: DataFrame, column: str, where: str = "1=1") -> DataFrame:
     return df.where(where).where(F.col(column).isNull())
 
 
+def empty_column(df: DataFrame, column: str) -> DataFrame:
+    """Rows that hold a value in a column meant to stay empty."""
+    return df.where(F.col(column).isNotNull())
+
+
 def accepted_values(df: DataFrame, column: str, values: Sequence) -> DataFrame:
     """Values outside the list with their row counts; null passes."""
     rows = df.where(_fails(F.col(column).isin(*values)))

@@ -198,15 +198,25 @@ def value_counts(df: DataFrame, column: str, limit: int | None = None) -> DataFr
     return ordered.limit(limit) if limit is not None else ordered
 
 
+# Most values a column list may hold on the driver.
+MAX_VALUES = 10_000
+
+
 def column_values(
-    df: DataFrame | None, column: str, max_records: int = 1000, default: Sequence[str] | None = None
+    df: DataFrame | None, column: str, max_records: int | None = None, default: Sequence[str] | None = None
 ) -> list:
-    """The most frequent values as a list, at most ``max_records``; ``default`` when there is no table."""
+    """Distinct values as a list, most frequent first; ``default`` when there is no table.
+
+    ``max_records`` asks for the top values only. Without it all values are wanted, and more than MAX_VALUES of
+    them are an error rather than a list cut short.
+    """
     if df is None:
         if default is None:
             raise ValueError("the table does not exist and no default was given")
         return list(default)
-    found = [r["value"] for r in value_counts(df, column, max_records).collect()]
+    found = [r["value"] for r in value_counts(df, column, max_records or MAX_VALUES + 1).collect()]
+    if max_records is None and len(found) > MAX_VALUES:
+        raise ValueError(f"{column} has more than {MAX_VALUES} distinct values; give max_records")
     return found or list(default or [])
 
 

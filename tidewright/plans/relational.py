@@ -176,7 +176,7 @@ _FLAGS = "cast(sum(case when l_returnflag = '{0}' then 1 else 0 end) as bigint)
     + " from lineitem group by l_orderkey",
 )
 def _(t):
-    flags = reshape.column_values(t.lineitem, "l_returnflag", max_records=100)
+    flags = reshape.column_values(t.lineitem, "l_returnflag")
     lines = t.lineitem.withColumn("amount", cents(c("l_extendedprice")))
     return reshape.group_by(lines.select("l_orderkey", "l_returnflag", "amount"), 1).agg(
         *reshape.pivot_columns("l_returnflag", flags, prefix="n_", suffix="_lines"),

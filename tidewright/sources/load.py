@@ -244,12 +244,33 @@ def by_period(rows: DataFrame, ts: str, period: str, start: Column, stop: Column
 
 
 def insert_by_period(
-    spark: SparkSession, path: str, rows: DataFrame, ts: str, period: str, start: Column, stop: Column
+    spark: SparkSession,
+    path: str,
+    rows: DataFrame,
+    ts: str,
+    period: str,
+    start: Column,
+    stop: Column,
+    resume: bool = False,
 ) -> DataFrame:
-    """Backfill by period in one job: each period is a partition of its own, and a repeat replaces only those."""
-    by_period(rows, ts, period, start, stop).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy("period_number").parquet(path)
+    """Backfill by period in one job: each period is a partition of its own, and a repeat replaces only those.
+
+    ``resume`` takes up at the last period already there, which is filled anew as it may be incomplete. Periods are
+    always counted from ``start``, so that must stay the same.
+    """
+    numbered = by_period(rows, ts, period, start, stop)
+    if resume:
+        try:
+            last = spark.read.parquet(path).agg(F.max("period_number")).first()[0]
+        except AnalysisException as err:
+            if "PATH_NOT_FOUND" not in str(err) and "UNABLE_TO_INFER_SCHEMA" not in str(err):
+                raise
+            last = None
+        if last is not None:
+            numbered = numbered.where(F.col("period_number") >= last)
+    numbered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("period_number").parquet(
+        path
+    )
     return spark.read.parquet(path)
 
 
