@@ -12,15 +12,15 @@ from tidewright.functions.numbers import percent_of
 from tidewright.operators.joins import count_pair
 from tidewright.operators.reshape import filtered_columns
 
-# Match classes in their order; two of them hold a zero-width joiner (U+200D).
+# Match classes in their order. The third and the last hold a zero-width joiner before the words.
 MATCH_CLASSES = [
-    "\u2705: perfect match",
-    "\u2705: both are null",
-    "\U0001f937: \u200dmissing from a",
-    "\U0001f937: missing from b",
-    "\U0001f937: value is null in a only",
-    "\U0001f937: value is null in b only",
-    "\U0001f645: \u200dvalues do not match",
+    "✅: perfect match",
+    "✅: both are null",
+    "🤷: ‍missing from a",
+    "🤷: missing from b",
+    "🤷: value is null in a only",
+    "🤷: value is null in b only",
+    "🙅: ‍values do not match",
 ]
 
 

@@ -15,7 +15,6 @@ RUNTIME = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A split skewed join may cost one more shuffle; one overfull task costs more.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 

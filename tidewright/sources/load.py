@@ -300,8 +300,8 @@ def lookback(rows: DataFrame, column: str, now: Column, days: int | None) -> Dat
 
 
 def route(rows: DataFrame, path: str, column: str) -> None:
-    """One folder per value, in one job."""
-    rows.write.mode("overwrite").partitionBy(column).parquet(path)
+    """One folder per value, in one job; folders of values no longer met go."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(column).parquet(path)
 
 
 def materialize(df: DataFrame, kind: str, name: str, root: str) -> DataFrame:

@@ -156,7 +156,8 @@ def export_csv(df: DataFrame, path: str, single: bool = False, quote_all: bool =
 
 def export_per_value(df: DataFrame, path: str, column: str) -> None:
     """One CSV folder per value of ``column`` in a single job."""
-    df.write.mode("overwrite").partitionBy(column).option("header", True).csv(path)
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy(column).option("header", True).csv(path)
 
 
 def sheet_rows(df: DataFrame) -> DataFrame:
