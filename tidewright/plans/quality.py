@@ -269,14 +269,15 @@ def _(t):
     "c22_source_freshness",
     f"""select event_type, max(ts) as max_loaded_at, case when max(ts) < timestamp '{NOW}' - interval 47 hour then 'error'
         when max(ts) < timestamp '{NOW}' - interval 26 hour then 'warn' else 'pass' end as status from events
-        where event_type in ('signup', 'view') group by 1""",
+        group by 1""",
 )
 def _(t):
-    parts = [
-        ck.freshness(t.events.where(c("event_type") == k), "ts", now(), (26, "hour"), (47, "hour")).withColumn("event_type", F.lit(k))
-        for k in ("signup", "view")
+    sources = {k: t.events.where(c("event_type") == k) for k in ("click", "error", "purchase", "signup", "view")}
+    ages = [
+        ck.freshness(df, "ts", now(), (26, "hour"), (47, "hour")).withColumn("event_type", F.lit(k))
+        for k, df in sources.items()
     ]
-    return parts[0].unionByName(parts[1])
+    return reduce(DataFrame.unionByName, ages)
 
 
 @query(

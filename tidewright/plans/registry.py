@@ -34,8 +34,19 @@ def query(name: str, sql: str | None = None) -> Callable[[Build], Build]:
     return add
 
 
+_OPEN: dict[tuple[str, str], Tables] = {}
+
+
+def tables(spark: SparkSession, folder: str) -> Tables:
+    """The tables of a folder, opened once per session, so that their footers are not read for every query."""
+    key = (spark.sparkContext.applicationId, folder.rstrip("/"))
+    if key not in _OPEN:
+        _OPEN[key] = Tables(spark, folder)
+    return _OPEN[key]
+
+
 def runner(q: Query) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, folder: q.build(Tables(spark, folder))
+    return lambda spark, folder: q.build(tables(spark, folder))
 
 
 def load_all() -> dict[str, Query]:
