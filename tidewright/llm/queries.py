@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import bpe, chat, decontaminate, html, line_dedup, quality_rules, substring
+from tidewright.llm import bpe, chat, decontaminate, html, jaccard, line_dedup, quality_rules, substring
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -189,3 +189,22 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     text = html.extract(read(spark, folder, "pages").select("page_id", "url", "html"))
     return text.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query(
+    "op3_ngram_jaccard_join",
+    rf"""
+    with recursive w as (select doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') w from documents),
+    g as (select distinct doc_id, array_to_string(w[i:i + 2], ' ') g
+          from w, unnest(range(1, greatest(len(w) - 1, least(len(w) + 1, 2)))) t(i)),
+    n as (select doc_id, count(*) n from g group by 1),
+    c as (select a.doc_id a, b.doc_id b, count(*) i from g a join g b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2),
+    l as (select a, b from c join n x on x.doc_id = a join n y on y.doc_id = b where 100 * i >= 90 * (x.n + y.n - i)),
+    r as (select doc_id, doc_id seen from documents union select r.doc_id, l.b from r join l on l.a = r.seen)
+    select d.doc_id, coalesce(n.n, 0)::bigint n_shingles, m.least::bigint component_id
+    from documents d left join n using (doc_id) join (select doc_id, min(seen) least from r group by 1) m using (doc_id)
+    """,
+)
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    linked = jaccard.link_documents(read(spark, folder, "documents").select("doc_id", "text"), k=3, percent=90)
+    return linked.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
