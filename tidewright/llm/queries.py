@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import bpe, chat, decontaminate, html, jaccard, line_dedup, quality_rules, substring
+from tidewright.llm import bpe, chat, decontaminate, html, jaccard, line_dedup, quality_classifier, quality_rules, substring
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -208,3 +208,10 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     linked = jaccard.link_documents(read(spark, folder, "documents").select("doc_id", "text"), k=3, percent=90)
     return linked.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+@query("op2_quality_classifier")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    judged = quality_classifier.resample(docs, read(spark, folder, "labels"))
+    return judged.select("doc_id", "log_weight", "kept")
