@@ -74,7 +74,6 @@ def _describe(k: int) -> Callable:
                     "fp": batch.column("fp"),
                     "n": pa.array([len(s) for s in sets], pa.int64()),
                     "node": pa.array([_name(s) for s in sets], pa.int64()),
-                    "check": pa.array([xxhash.xxh64_intdigest(s.tobytes()) - 2**63 for s in sets], pa.int64()),
                     "heavy": pa.nulls(len(sets), pa.int64()),
                 }
             )
@@ -84,7 +83,7 @@ def _describe(k: int) -> Callable:
             if len(often):
                 none = pa.nulls(len(often), pa.int64())
                 yield pa.RecordBatch.from_pydict(
-                    {"id": none, "fp": none, "n": pa.array(count[often].astype(np.int64)), "node": none, "check": none, "heavy": pa.array(_signed(shingle[often]))}
+                    {"id": none, "fp": none, "n": pa.array(count[often].astype(np.int64)), "node": none, "heavy": pa.array(_signed(shingle[often]))}
                 )
 
     return run
@@ -251,7 +250,7 @@ def classes(docs: DataFrame, k: int = 3, percent: int = 90, id_col: str = "doc_i
     """The documents as ``id, fp, n, node`` (``node`` names the shingle set), and ``node, label`` for sets linked with others."""
     spark = docs.sparkSession
     keyed = docs.select(c.ordered_id(id_col).alias("id"), c.fingerprint(text_col).alias("fp"), F.col(text_col).cast("string").alias("text"))
-    described = landed(keyed.mapInArrow(_describe(k), "id long, fp long, n long, node long, check long, heavy long"), "described")
+    described = landed(keyed.mapInArrow(_describe(k), "id long, fp long, n long, node long, heavy long"), "described")
     rows = described.where("heavy is null")
     top = described.where("heavy is not null").groupBy("heavy").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "heavy").limit(HEAVY).toArrow()
     token, count = top.column("heavy").to_numpy().view(np.uint64), top.column("n").to_numpy()

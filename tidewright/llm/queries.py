@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import bpe, chat, decontaminate, html, jaccard, line_dedup, quality_classifier, quality_rules, substring
+from tidewright.llm import bpe, chat, decontaminate, html, jaccard, line_dedup, lm, quality_classifier, quality_rules, substring
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -215,3 +215,11 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").select("doc_id", "text")
     judged = quality_classifier.resample(docs, read(spark, folder, "labels"))
     return judged.select("doc_id", "log_weight", "kept")
+
+
+@query("op7_lm_scoring")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 10
+    scored = lm.score(docs.withColumn("trained", fold != 0), "trained")
+    return scored.select("doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
