@@ -133,6 +133,8 @@ def lines(html: str) -> Lines:
     parser = Lines()
     for at in range(0, len(html), PIECE):
         parser.feed(html[at : at + PIECE])
+    if re.match("<[a-zA-Z/]", parser.rawdata):  # a tag that the page's end cuts off is no text
+        parser.rawdata = ""
     parser.close()
     parser.flush()
     return parser
