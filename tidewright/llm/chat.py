@@ -1,7 +1,7 @@
 """Chat formatting: reply trees to conversations with a loss mask.
 
-Self-joins by pointer doubling give every message its depth and the score of its path after log2(depth) rounds; the best
-leaves of each conversation are then followed up to the root through the same jump tables and formatted.
+Self-joins by pointer doubling make jump tables in log2(depth) rounds. Every leaf climbs them to its root, which gives the
+length and the score of its path; the best leaves of each conversation are followed once more, message by message.
 """
 
 from __future__ import annotations
@@ -46,25 +46,22 @@ def thread(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", r
     return numbered.select("conv", "id", F.when(F.col("id") > 1, F.col("id") - 1).alias("parent"), "role", "text", F.lit(0.0).alias("score"))
 
 
-def _climbs(nodes: DataFrame) -> list[DataFrame]:
-    """Jump tables: the first to the parent, each next twice as far; the last has no one left to climb to.
+def _on(conv: str, node: str) -> Column:
+    """Join with a jump table whose columns are ``conv2, id2``."""
+    return F.col(conv).eqNullSafe(F.col("conv2")) & (F.col(node) == F.col("id2"))
 
-    ``depth`` and ``total`` count the messages, and add the scores, from the message up to just below ``up``. Replies in a
-    circle never reach a root and stay out.
+
+def _jumps(nodes: DataFrame) -> list[DataFrame]:
+    """Jump tables ``conv2, id2, up, gain``: table ``k`` leads ``2**k`` answers up, for messages with so many above them.
+
+    ``gain`` is the score of the messages left behind. Only messages that can still climb take part in the next round.
     """
-    tables = [landed(nodes.select("conv", "id", F.col("parent").alias("up"), F.lit(1).cast("long").alias("depth"), F.col("score").alias("total")), "jumps")]
-    most = 1
-    while not tables[-1].where("up is not null").isEmpty():
-        if most > max(1, tables[0].count()):  # farther than any path: what is left goes round in circles
-            tables.append(landed(tables[-1].where("up is null"), "jumps"))
-            break
-        far = tables[-1].toDF("conv2", "id2", "up2", "depth2", "total2")
-        joined = tables[-1].join(far, F.col("conv").eqNullSafe(F.col("conv2")) & (F.col("up") == F.col("id2")), "left")
-        step = joined.select(
-            "conv", "id", F.col("up2").alias("up"), (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth"), (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total")
-        )
+    first = nodes.where("parent is not null").select(F.col("conv").alias("conv2"), F.col("id").alias("id2"), F.col("parent").alias("up"), F.col("score").alias("gain"))
+    tables, most = [landed(first, "jumps")], nodes.count()
+    while 2 ** len(tables) <= most and not tables[-1].isEmpty():
+        low = tables[-1].toDF("conv", "id", "mid", "low")
+        step = low.join(tables[-1], _on("conv", "mid")).select(F.col("conv").alias("conv2"), F.col("id").alias("id2"), "up", (F.col("low") + F.col("gain")).alias("gain"))
         tables.append(landed(step, "jumps"))
-        most *= 2
     return tables
 
 
@@ -75,17 +72,22 @@ def paths(messages: DataFrame, best: int = 1) -> DataFrame:
     """
     nodes = messages.select("conv", "id", "parent", F.coalesce("score", F.lit(0.0)).alias("score"))
     known = nodes.select(F.col("conv").alias("conv2"), F.col("id").alias("id2"))
-    real = F.col("conv").eqNullSafe(F.col("conv2")) & (F.col("parent") == F.col("id2"))
-    nodes = nodes.join(known, real, "left").select("conv", "id", F.col("id2").alias("parent"), "score")  # an answer to no known message starts a tree
-    jumps = _climbs(nodes)
-    answered = jumps[0].where("up is not null").select(F.col("conv").alias("conv2"), F.col("up").alias("id2")).distinct()
-    leaves = jumps[-1].join(answered, F.col("conv").eqNullSafe(F.col("conv2")) & (F.col("id") == F.col("id2")), "left_anti")
-    order = Window.partitionBy("conv").orderBy(F.desc("total"), F.desc("depth"), "id")
-    path = leaves.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= best)
-    path = path.select("conv", F.col("id").alias("leaf"), "rank", F.col("depth").alias("at"), "id")
-    for k in reversed(range(len(jumps) - 1)):  # distances whose bit k is set
-        up = jumps[k].where("up is not null").select(F.col("conv").alias("conv2"), F.col("id").alias("id2"), "up")
-        joined = path.join(up, F.col("conv").eqNullSafe(F.col("conv2")) & (F.col("id") == F.col("id2")), "left")
+    nodes = nodes.join(known, _on("conv", "parent"), "left").select("conv", "id", F.col("id2").alias("parent"), "score")  # an answer to no known message starts a tree
+    nodes = landed(nodes, "nodes")
+    jumps = _jumps(nodes)
+    answered = nodes.where("parent is not null").select(F.col("conv").alias("conv2"), F.col("parent").alias("id2")).distinct()
+    ends = nodes.join(answered, _on("conv", "id"), "left_anti")
+    ends = ends.select("conv", F.col("id").alias("leaf"), F.col("id").alias("top"), F.lit(0).alias("below"), F.lit(0.0).alias("total"))
+    for k in reversed(range(len(jumps))):  # climb to the root, farthest jumps first
+        up = F.coalesce("up", "top").alias("top"), (F.col("below") + F.when(F.col("up").isNotNull(), 2**k).otherwise(0)).alias("below")
+        ends = ends.join(jumps[k], _on("conv", "top"), "left").select("conv", "leaf", *up, (F.col("total") + F.coalesce("gain", F.lit(0.0))).alias("total"))
+    roots = nodes.where("parent is null").select(F.col("conv").alias("conv2"), F.col("id").alias("id2"), F.col("score").alias("gain"))
+    ends = ends.join(roots, _on("conv", "top")).withColumn("total", F.col("total") + F.col("gain"))
+    order = Window.partitionBy("conv").orderBy(F.desc("total"), F.desc("below"), "leaf")
+    path = ends.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= best)
+    path = path.select("conv", "leaf", "rank", (F.col("below") + 1).alias("at"), F.col("leaf").alias("id"))
+    for k in reversed(range(len(jumps))):  # distances whose bit k is set
+        joined = path.join(jumps[k], _on("conv", "id"), "left")
         here = F.struct(F.col("at"), F.col("id"))
         there = F.when(F.col("up").isNotNull(), F.struct((F.col("at") - 2**k).alias("at"), F.col("up").alias("id")))
         both = joined.select("conv", "leaf", "rank", F.explode(F.filter(F.array(here, there), lambda x: x.isNotNull())).alias("x"))
@@ -115,7 +117,7 @@ def format_trees(messages: DataFrame, best: int = 1, loss_role: str = "assistant
     texts = landed(texts, "messages")
     chosen = paths(texts, best).toDF("conv", "leaf", "rank", "at", "id")
     said = texts.select(F.col("conv").alias("conv2"), F.col("id").alias("id2"), F.concat(F.lit(OPEN), escape_role(F.col("role")), F.lit("\n")).alias("head"), escape(F.col("text")).alias("body"), (F.col("role") == loss_role).alias("loss"))
-    turns = chosen.join(said, F.col("conv").eqNullSafe(F.col("conv2")) & (F.col("id") == F.col("id2")))
+    turns = chosen.join(said, _on("conv", "id"))
     sizes = F.length("head") + F.length("body") + len(_TAIL)
     before = Window.partitionBy("conv", "leaf").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     turns = turns.withColumn("start", (F.coalesce(F.sum(sizes).over(before), F.lit(0)) + F.length("head")).cast("int"))
