@@ -103,16 +103,22 @@ def impact(operations: DataFrame, task_runs: DataFrame) -> DataFrame:
 
 
 def duration_above_baseline(
-    runs: DataFrame, job: str, at: str, run_id: str, duration: str, percent: float = 30.0, history: int = 10
+    runs: DataFrame,
+    job: str,
+    at: str,
+    run_id: str,
+    duration: str,
+    percent: float = 30.0,
+    history: int = 10,
+    width: int = 100_000,
 ) -> DataFrame:
     """Runs longer than the mean of the job's earlier ``history`` runs by more than ``percent``.
 
     A bounded frame needs only the rows just before; jobs with very many runs are cut into time slices that
-    overlap by ``history`` runs.
+    overlap by ``history`` runs. A slice holds ``width`` runs; its size does not touch the result.
     """
     numbered = with_window(runs, [at, run_id], [job], __n=row_number())
     # Slices of a job: each run also goes to the next slice when that one needs it as history.
-    width = 100_000
     slot = F.floor((F.col("__n") - 1) / width)
     ahead = F.floor((F.col("__n") - 1 + history) / width)
     copies = numbered.withColumn("__slot", F.explode(F.sequence(slot, ahead)))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidewright.functions.dates import dateadd, datediff, julian_to_date, year_out_of
 from tidewright.functions.text import slugify_name
 from tidewright.operators.joins import count_pair, missing_in
-from tidewright.operators.windows import lag, lead, with_window
+from tidewright.operators.windows import lag, landed, lead, with_window
 
 
 
@@ -233,23 +233,31 @@ def completeness_hourly(df: DataFrame, column: str, num_days: int, now: Column)
         .groupBy(F.date_trunc("hour", F.col(column)).cast("timestamp_ntz").alias("hour_"))
         .agg(F.count(F.lit(1)).alias("rows_"))
     )
-    seen = with_window(hours, ["hour_"], next_hour=lead("hour_"))
+    seen = with_window(landed(hours, "hours"), ["hour_"], next_hour=lead("hour_"))
     gap = datediff(F.col("hour_"), F.col("next_hour"), "hour")
     return seen.withColumn("hourly_diff", gap).where("hourly_diff != 1")
 
 
 def freshness(
-    df: DataFrame, column: str, now: Column, warn_after: tuple[int, str] | None, error_after: tuple[int, str] | None
+    df: DataFrame,
+    column: str,
+    now: Column,
+    warn_after: tuple[int, str] | None,
+    error_after: tuple[int, str] | None,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """Age of the newest row against warn and error ages: pass, warn or error."""
-    newest = df.agg(F.max(column).alias("max_loaded_at"))
+    """Age of the newest row, for each group of ``by``, against warn and error ages: pass, warn or error.
+
+    A table or group with no time at all is an error.
+    """
+    newest = df.groupBy(*by).agg(F.max(column).alias("max_loaded_at"))
     at = F.col("max_loaded_at")
 
     def late(age: tuple[int, str] | None) -> Column:
         return (at < dateadd(age[1], -age[0], now)) if age else F.lit(False)
 
-    status = F.when(late(error_after), "error").when(late(warn_after), "warn").otherwise("pass")
-    return newest.select("max_loaded_at", status.alias("status"))
+    status = F.when(at.isNull() | late(error_after), "error").when(late(warn_after), "warn").otherwise("pass")
+    return newest.select(*by, "max_loaded_at", status.alias("status"))
 
 
 def missing_when(df: DataFrame, column: str, value: str, required: str) -> DataFrame:

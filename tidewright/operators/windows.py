@@ -1,31 +1,28 @@
 """Window columns that stay spread out when one key, or the whole table, is a single group.
 
-A plain window puts all rows of a partition key into one task. Here the rows of hot keys are cut into slices
-along the order, each slice is a window group of its own, and a small table of slice totals carries counts,
-sums and edge values over from the slices before. Keys that are not hot take the plain window.
+A plain window puts all rows of a partition key into one task. Where a key is hot, or there is no key, the rows are range
+partitioned by key and order columns instead, so slices end at real values of whatever type the columns have. Each slice
+is a window group of its own, and a small table of slice totals carries counts, sums and edge values over from the slices
+before. Rows of equal order may spread over several slices; ranks and sums count them as the peers they are.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewright.session import scratch_path
+
 # Rows one window group may hold before it is cut.
 HOT_ROWS = 2_000_000
-# Rows looked at to find hot keys and good places to cut.
+# Rows looked at to find out whether a key is hot. What is found touches the cost only.
 SAMPLE_ROWS = 1_000_000
-MAX_HOT = 256
-MAX_SLICES = 1_024
-# Slice totals up to this many rows are sent to every executor.
-MAX_BROADCAST_ROWS = 500_000
 
-_HOT, _BUCKET, _SUB = "__hot", "__bucket", "__sub"
+_SLICE, _AT = "__slice", "__at"
 
 
 @dataclass(frozen=True)
@@ -61,87 +58,33 @@ def lead(column: str) -> Spec:
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Keys to be cut, at most MAX_HOT, and how many rows the largest one has or is thought to have."""
+    """Keys that seem to have more rows than one task should read, and how many the largest one has."""
 
     keys: DataFrame
-    count: int
     largest: int
 
 
-def _sample(df: DataFrame, total: int) -> tuple[DataFrame, float]:
-    share = min(1.0, SAMPLE_ROWS / max(total, 1))
-    return (df, 1.0) if share == 1.0 else (df.sample(share, seed=7), share)
-
-
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> HotKeys | None:
-    """The largest keys with more than ``hot_rows`` rows, or None if there are none.
+    """The keys with more than ``hot_rows`` rows, or None if there are none.
 
     Small tables are settled by their row count; of large ones a sample of about SAMPLE_ROWS rows is counted.
-    Which keys are cut has no bearing on results, so an estimate is good enough.
+    Plain and cut windows give the same rows, so an estimate is good enough.
     """
     total = df.count()
     if total <= hot_rows:
         return None
-    rows, share = _sample(df.select(*keys), total)
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    found = counts.where(F.col("__n") > max(2.0, hot_rows * share)).orderBy(F.desc("__n")).limit(MAX_HOT).collect()
-    if not found:
-        return None
-    schema = T.StructType([df.schema[k] for k in keys])
-    listed = df.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in found], schema)
-    return HotKeys(listed, len(found), int(found[0]["__n"] / share))
-
-
-def _order_number(df: DataFrame, name: str) -> Column:
-    """A double that never falls along the order of the column."""
-    kind = df.schema[name].dataType
-    col = F.col(name)
-    if isinstance(kind, T.NumericType):
-        num = col.cast("double")
-    elif isinstance(kind, T.DateType):
-        num = F.unix_date(col).cast("double")
-    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        num = F.unix_micros(col.cast("timestamp")).cast("double")
-    elif isinstance(kind, T.StringType):
-        head = F.rpad(F.hex(F.substring(F.encode(col, "UTF-8"), 1, 6)), 12, "0")
-        num = F.conv(head, 16, 10).cast("double")
-    else:
-        raise TypeError(f"cannot order slices by {name}: {kind.simpleString()}")
-    return F.coalesce(num, F.lit(-math.inf))
+    share = min(1.0, SAMPLE_ROWS / max(total, 1))
+    rows = df.select(*keys) if share == 1.0 else df.select(*keys).sample(share, seed=7)
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > max(2.0, hot_rows * share))
+    top = counts.agg(F.max("__n")).first()[0]
+    return None if top is None else HotKeys(counts.select(*keys), int(top / share))
 
 
-@dataclass(frozen=True)
-class Cuts:
-    """Where to cut along one order column: edges, and the buckets that hold one heavy value."""
-
-    column: str
-    edges: list[float]
-    heavy: list[int]
-    longest_run: int
-
-    @staticmethod
-    def of(probe: DataFrame, column: str, slices: int) -> Cuts:
-        quantiles = (
-            probe.select(_order_number(probe, column).alias("v"))
-            .where(F.col("v") > -math.inf)
-            .approxQuantile("v", [i / slices for i in range(1, slices)], 1.0 / (4 * slices))
-        )
-        runs: dict[float, int] = {}
-        for q in quantiles:
-            runs[q] = runs.get(q, 0) + 1
-        heavy_values = {q for q, n in runs.items() if n > 1}
-        splits = set(quantiles) | {math.nextafter(v, math.inf) for v in heavy_values}
-        edges = [-math.inf, *sorted(splits), math.inf]
-        heavy = [i for i, edge in enumerate(edges) if edge in heavy_values]
-        return Cuts(column, edges, heavy, max(runs.values(), default=0))
-
-    def number(self, df: DataFrame, out: str) -> DataFrame:
-        """Add a bucket number that never falls along the column."""
-        if len(self.edges) < 3:
-            return df.withColumn(out, F.lit(0))
-        cut = Bucketizer(splits=self.edges, inputCol="__v", outputCol="__b", handleInvalid="keep")
-        placed = cut.transform(df.withColumn("__v", _order_number(df, self.column)))
-        return placed.withColumn(out, F.col("__b").cast("int")).drop("__v", "__b")
+def landed(df: DataFrame, name: str) -> DataFrame:
+    """The rows written once to the shared scratch folder."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def with_window(
@@ -155,13 +98,12 @@ def with_window(
     slices: int | None = None,
     **columns: Spec,
 ) -> DataFrame:
-    """Add window columns over ``partition_by`` in ascending ``order_by``.
+    """Add window columns over ``partition_by`` in ascending ``order_by``, nulls first.
 
-    ``key_source`` is a cheaper frame with the key and order columns of about the same rows. It is only looked at
-    to find hot keys and good places to cut, so results do not depend on it. ``hot`` takes the result of
-    ``hot_keys`` when several calls share it. Without ``partition_by`` the whole
-    table is one group and is always cut. Order columns must not be null, and row numbers need a total order, as
-    in any engine.
+    ``key_source`` is a cheaper frame with the key columns and about the same rows, for counting; where it is given,
+    the rows of ``df`` are costly and are worked out once. ``hot`` takes the result of ``hot_keys`` when several calls
+    share it. Without ``partition_by`` the whole table is one group and is always cut. Row numbers, lags and leads need a
+    total order, as in any engine. The session needs a scratch folder when rows are cut.
     """
     keys, order = list(partition_by), list(order_by)
     source = key_source if key_source is not None else df
@@ -169,7 +111,9 @@ def with_window(
         hot = hot_keys(source.select(*keys), keys, hot_rows) if keys else None
     if keys and hot is None:
         return _plain(df, keys, order, columns)
-    return _sliced(df, keys, order, columns, hot, hot_rows, slices, source)
+    if slices is None:
+        slices = max(8, -(-2 * source.count() // max(hot_rows, 1)))
+    return _sliced(landed(df, "rows") if key_source is not None else df, keys, order, columns, slices)
 
 
 def _plain(df: DataFrame, keys: list[str], order: list[str], columns: dict[str, Spec]) -> DataFrame:
@@ -186,72 +130,71 @@ def _plain(df: DataFrame, keys: list[str], order: list[str], columns: dict[str,
     return df.select("*", *[made[s.kind](s.column).alias(name) for name, s in columns.items()])
 
 
-def _sliced(
-    df: DataFrame,
-    keys: list[str],
-    order: list[str],
-    columns: dict[str, Spec],
-    hot: HotKeys | None,
-    hot_rows: int,
-    slices: int | None,
-    source: DataFrame,
-) -> DataFrame:
-    def marked(rows: DataFrame) -> DataFrame:
-        if hot is None:
-            return rows.withColumn(_HOT, F.lit(True))
-        marks = hot.keys.select(*[F.col(k).alias(f"__m_{k}") for k in keys], F.lit(True).alias(_HOT))
-        same = [F.col(k).eqNullSafe(F.col(f"__m_{k}")) for k in keys]
-        # At most MAX_HOT rows.
-        found = rows.join(F.broadcast(marks), same, "left").drop(*[f"__m_{k}" for k in keys])
-        return found.withColumn(_HOT, F.coalesce(_HOT, F.lit(False)))
-
-    total = source.count()
-    largest = hot.largest if hot else total
-    if slices is None:
-        slices = max(8, min(MAX_SLICES, -(-4 * largest // max(hot_rows, 1))))
-    sample, _ = _sample(source.select(*dict.fromkeys([*keys, *order])), total)
-    probe = marked(sample).where(_HOT)
-
-    first = Cuts.of(probe, order[0], slices)
-    base, heavy = first.number(marked(df), _BUCKET), first.heavy
-    peers = len(order) == 1  # rows of one heavy value are all peers
-    subs = min(slices, 2 * first.longest_run)
-    if not heavy:
-        base = base.withColumn(_SUB, F.lit(0))
-    elif peers:
-        base = base.withColumn(_SUB, F.pmod(F.xxhash64(*df.columns), F.lit(subs)).cast("int"))
-    else:
-        base = Cuts.of(probe, order[1], subs).number(base, _SUB)
-    is_heavy = F.col(_BUCKET).isin(heavy) if heavy else F.lit(False)
-    base = base.withColumn(_SUB, F.when(is_heavy & F.col(_HOT), F.col(_SUB)).otherwise(0))
-    base = base.withColumn(_BUCKET, F.when(F.col(_HOT), F.col(_BUCKET)).otherwise(-1))
-
-    place = F.struct(*order)
-    aggs: list[Column] = [F.count(F.lit(1)).alias("__n")]
+def _same(columns: Sequence[str], prefix: str) -> Column:
+    """Equality of columns and their copies, null with null."""
+    test = F.lit(True)
+    for k in columns:
+        test = test & F.col(k).eqNullSafe(F.col(f"{prefix}{k}"))
+    return test
+
+
+def _sliced(df: DataFrame, keys: list[str], order: list[str], columns: dict[str, Spec], slices: int) -> DataFrame:
+    hashed = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    # The hash spreads rows of equal order; where such a value is cut does not matter.
+    ranged = df.withColumn("__h", F.xxhash64(*hashed)).repartitionByRange(slices, *keys, *order, "__h").drop("__h")
+    base = landed(ranged.withColumn(_SLICE, F.spark_partition_id()), "slices")
+    key, at = F.struct(*keys) if keys else F.lit(0), F.struct(*order)
+
+    # A key that goes on in the next slice is the last of one slice and the first of another.
+    ends = base.groupBy(_SLICE).agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
+    ends = ends.select(_SLICE, F.explode(F.array_distinct(F.array("lo", "hi"))).alias("k"))
+    wide = ends.groupBy("k").agg(F.count("*").alias("n")).where("n > 1")
+    marks = wide.select(F.lit(True).alias("__wide"), *[F.col("k")[k].alias(f"__w_{k}") for k in keys])
+    rows = base.join(marks, _same(keys, "__w_")).select(*base.columns)
+
+    aggs: list[Column] = [F.count(F.lit(1)).alias("__n"), F.min(at).alias("__first"), F.max(at).alias("__last")]
     for name, s in columns.items():
         if s.kind == "running_sum":
             aggs.append(F.sum(s.column).alias(f"__a_{name}"))
         elif s.kind in ("first_value", "lead"):
-            aggs.append(F.min_by(F.struct(s.column), place).alias(f"__a_{name}"))
+            aggs.append(F.min_by(F.struct(s.column), at).alias(f"__a_{name}"))
         elif s.kind == "lag":
-            aggs.append(F.max_by(F.struct(s.column), place).alias(f"__a_{name}"))
-    totals = base.where(_HOT).groupBy(*keys, _BUCKET, _SUB).agg(*aggs)
+            aggs.append(F.max_by(F.struct(s.column), at).alias(f"__a_{name}"))
+    totals = landed(rows.groupBy(*keys, _SLICE).agg(*aggs), "totals")
+    sums = [name for name, s in columns.items() if s.kind == "running_sum"]
+    if sums or any(s.kind == "rank" for s in columns.values()):
+        edge = totals.select(*[F.col(k).alias(f"__w_{k}") for k in [*keys, _SLICE]], "__first", "__last")
+        counted = rows.join(edge, _same([*keys, _SLICE], "__w_")).groupBy(*keys, _SLICE).agg(
+            F.count_if(at.eqNullSafe(F.col("__last"))).alias("__n_last"),
+            *[F.sum(F.when(at.eqNullSafe(F.col("__first")), F.col(columns[x].column))).alias(f"__f_{x}") for x in sums],
+        )
+        copy = counted.select(*[F.col(k).alias(f"__w_{k}") for k in [*keys, _SLICE]], "__n_last", *[f"__f_{x}" for x in sums])
+        totals = totals.join(copy, _same([*keys, _SLICE], "__w_")).drop(*[f"__w_{k}" for k in [*keys, _SLICE]])
 
-    by_slice = Window.partitionBy(*keys).orderBy(_BUCKET, _SUB)
+    by_slice = Window.partitionBy(*keys).orderBy(_SLICE)
     before = by_slice.rowsBetween(Window.unboundedPreceding, -1)
-    by_bucket = Window.partitionBy(*keys).orderBy(_BUCKET)
-    carried: list[Column] = [
-        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__n_before"),
-        F.coalesce(
-            F.sum("__n").over(by_bucket.rangeBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("__n_bucket"),
-    ]
+    with_last = Window.partitionBy(*keys, "__last")
+    with_first = Window.partitionBy(*keys, "__first").orderBy(_SLICE).rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing
+    )
+    offsets = totals.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    offsets = offsets.withColumn("__goes_on", F.lead("__first").over(by_slice).eqNullSafe(F.col("__last")))
+    offsets = offsets.withColumn("__came_on", F.lag("__last").over(by_slice).eqNullSafe(F.col("__first")))
+    carried: list[Column] = []
     for name, s in columns.items():
-        edge = f"__a_{name}"
-        if s.kind == "running_sum":
-            carried.append(F.sum(edge).over(before).alias(f"__c_{name}"))
-            through = by_bucket.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-            carried.append(F.sum(edge).over(through).alias(f"__t_{name}"))
+        edge = F.col(f"__a_{name}")
+        if s.kind == "rank":
+            # Rows before the value that a slice ends with: those before its first slice and before it in there.
+            offsets = offsets.withColumn("__less", F.min(F.col("__before") + F.col("__n") - F.col("__n_last")).over(with_last))
+            carried.append(F.lag("__less").over(by_slice).alias("__less_before"))
+        elif s.kind == "running_sum":
+            # Through the value that a slice starts with: what comes before the last such slice, and its part in there.
+            so_far, here = F.sum(edge).over(before), F.col(f"__f_{name}")
+            offsets = offsets.withColumn(f"__c_{name}", so_far)
+            through = F.coalesce(F.col(f"__c_{name}") + here, F.col(f"__c_{name}"), here)
+            offsets = offsets.withColumn(f"__t_{name}", F.last(through).over(with_first))
+            carried.append(F.col(f"__c_{name}"))
+            carried.append(F.lead(f"__t_{name}").over(by_slice).alias(f"__u_{name}"))
         elif s.kind == "first_value":
             start = by_slice.rowsBetween(Window.unboundedPreceding, Window.currentRow)
             carried.append(F.first(edge).over(start).alias(f"__c_{name}"))
@@ -259,30 +202,28 @@ def _sliced(
             carried.append(F.lag(edge).over(by_slice).alias(f"__c_{name}"))
         elif s.kind == "lead":
             carried.append(F.lead(edge).over(by_slice).alias(f"__c_{name}"))
-    join_keys = [*keys, _BUCKET, _SUB]
-    offsets = totals.select(*[F.col(k).alias(f"__o_{k}") for k in join_keys], *carried)
-    same = [F.col(k).eqNullSafe(F.col(f"__o_{k}")) for k in keys]
-    same += [F.col(k) == F.col(f"__o_{k}") for k in (_BUCKET, _SUB)]
-    # The number of slices is known here, so the size of their table is too.
-    slice_rows = (hot.count if hot else 1) * (2 * slices + len(heavy) * 2 * subs)
-    joined = base.join(F.broadcast(offsets) if slice_rows <= MAX_BROADCAST_ROWS else offsets, same, "left")
-
-    w = Window.partitionBy(*join_keys).orderBy(*order)
+    copies = [F.col(k).alias(f"__o_{k}") for k in [*keys, _SLICE]]
+    offsets = landed(offsets.select(*copies, "__before", "__first", "__last", "__goes_on", "__came_on", *carried), "offsets")
+    # At most two rows for each slice; Spark's own size check decides whether they are broadcast.
+    joined = base.join(offsets, _same([*keys, _SLICE], "__o_"), "left").withColumn(_AT, at)
+
+    w = Window.partitionBy(*keys, _SLICE).orderBy(*order)
     upto = w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    n_before = F.coalesce("__n_before", F.lit(0))
-    peer_slice = is_heavy & F.col(_HOT) if peers else F.lit(False)
+    n_before, cut = F.coalesce("__before", F.lit(0)), F.col("__before").isNotNull()
+    at_first = F.col("__came_on") & F.col(_AT).eqNullSafe(F.col("__first"))
+    at_last = F.col("__goes_on") & F.col(_AT).eqNullSafe(F.col("__last"))
     out: list[Column] = [F.col(c) for c in df.columns]
     for name, s in columns.items():
         carry = F.col(f"__c_{name}") if s.column else None
         if s.kind == "row_number":
             made = n_before + F.row_number().over(w)
         elif s.kind == "rank":
-            made = F.when(peer_slice, F.col("__n_bucket") + 1).otherwise(n_before + F.rank().over(w))
+            made = F.when(at_first, F.col("__less_before") + 1).otherwise(n_before + F.rank().over(w))
         elif s.kind == "running_sum":
             local = F.sum(s.column).over(upto)
-            made = F.when(peer_slice, F.col(f"__t_{name}")).otherwise(F.coalesce(carry + local, local, carry))
+            made = F.when(at_last, F.col(f"__u_{name}")).otherwise(F.coalesce(carry + local, local, carry))
         elif s.kind == "first_value":
-            made = F.when(F.col(_HOT), carry[s.column]).otherwise(F.first(s.column).over(upto))
+            made = F.when(cut, carry[s.column]).otherwise(F.first(s.column).over(upto))
         elif s.kind == "lag":
             made = F.when(F.row_number().over(w) == 1, carry[s.column]).otherwise(F.lag(s.column).over(w))
         else:

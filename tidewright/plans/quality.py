@@ -256,13 +256,13 @@ def _(t):
 
 @query(
     "c21_hourly_completeness",
-    f"""with h as (select date_trunc('hour', ts) as hour_, count(*) as rows_ from events where event_type = 'error'
-       and ts >= timestamp '{NOW}' - interval 20 day group by 1),
+    """with h as (select date_trunc('hour', o_orderdate) as hour_, count(*) as rows_ from orders
+       where o_orderdate >= timestamp '2002-01-01' - interval 1000 day group by 1),
     w as (select *, lead(hour_) over (order by hour_) as next_hour from h)
     select *, date_diff('hour', hour_, next_hour) as hourly_diff from w where date_diff('hour', hour_, next_hour) <> 1""",
 )
 def _(t):
-    return ck.completeness_hourly(t.events.where("event_type = 'error'"), "ts", 20, now())
+    return ck.completeness_hourly(t.orders, "o_orderdate", 1000, F.lit("2002-01-01").cast("timestamp_ntz"))
 
 
 @query(
@@ -272,12 +272,7 @@ def _(t):
         group by 1""",
 )
 def _(t):
-    sources = {k: t.events.where(c("event_type") == k) for k in ("click", "error", "purchase", "signup", "view")}
-    ages = [
-        ck.freshness(df, "ts", now(), (26, "hour"), (47, "hour")).withColumn("event_type", F.lit(k))
-        for k, df in sources.items()
-    ]
-    return reduce(DataFrame.unionByName, ages)
+    return ck.freshness(t.events, "ts", now(), (26, "hour"), (47, "hour"), by=["event_type"])
 
 
 @query(
