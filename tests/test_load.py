@@ -185,3 +185,71 @@ def test_lookback(spark):
     df = spark.createDataFrame([(datetime(2024, 1, 1),), (datetime(2024, 1, 9),)], "t timestamp_ntz")
     assert load.lookback(df, "t", at("2024-01-10"), 3).count() == 1
     assert load.lookback(df, "t", at("2024-01-10"), None).count() == 2
+
+
+def files_of(path):
+    from pathlib import Path
+
+    return {str(p) for p in Path(path).rglob("*.parquet")}
+
+
+def test_merge_partitions_loses_nothing(spark, tmp_path):
+    ddl, path = "k int, v string, seq int, p string", str(tmp_path / "parts")
+    first = [(1, "a", 1, None), (2, "b", 1, None), (3, "c", 1, "007"), (4, "d", 1, "7"), (5, "e", 1, "x")]
+    spark.createDataFrame(first, ddl).write.partitionBy("p").parquet(path)
+    untouched = {f for f in files_of(path) if "p=7/" in f or "p=x" in f}
+    batch = spark.createDataFrame([(9, "n", 1, None), (2, "B", 2, None), (3, "C", 2, "007")], ddl)
+    for _ in range(2):
+        load.merge_partitions(spark, path, batch, ["k"], ["seq"], "p")
+        got = rows(spark.read.schema(ddl).parquet(path))
+        assert got == rows(spark.createDataFrame([(1, "a", 1, None), (2, "B", 2, None), (9, "n", 1, None), (3, "C", 2, "007"), (4, "d", 1, "7"), (5, "e", 1, "x")], ddl))
+        assert untouched and untouched <= files_of(path)
+
+
+def test_incremental_append_takes_late_rows_at_the_edge(spark, table):
+    source = kv(spark, (1, "a", 1), (2, "b", 2), (4, "null", None))
+    load.incremental_append(table, source, "seq", keys=["k"])
+    more = source.unionAll(kv(spark, (3, "late", 2), (5, "new", 3), (6, "null too", None)))
+    for _ in range(2):
+        got = load.incremental_append(table, more, "seq", keys=["k"])
+        assert sorted(r.k for r in got.collect()) == [1, 2, 3, 4, 5, 6]
+
+
+def test_history_with_null_keys_and_repeats(spark, table, tmp_path):
+    base = spark.createDataFrame([(None, "x"), (2, "y")], "id int, loc string")
+    then = spark.createDataFrame([(None, "x"), (2, "z")], "id int, loc string")
+    for n in range(3):
+        table.track(base, "id", at(f"2024-01-0{n + 1}"), check_cols=["loc"])
+    assert table.read().count() == 2
+    for n in range(2):
+        table.track(then, "id", at(f"2024-02-0{n + 1}"), check_cols=["loc"])
+    day, later = datetime(2024, 1, 1), datetime(2024, 2, 1)
+    assert sorted(rows(table.read()), key=str) == sorted([(None, "x", day, None), (2, "y", day, later), (2, "z", later, None)], key=str)
+    closed = table._last()["paths"][0]
+    before = files_of(closed)
+    table.track(base, "id", at("2024-03-01"), check_cols=["loc"])
+    assert before and files_of(closed) == before and closed in table._last()["paths"]
+    with pytest.raises(ValueError, match="occurs 2 times"):
+        table.track(base.unionAll(base), "id", at("2024-04-01"), check_cols=["loc"])
+
+
+def test_vacuum_removes_what_no_version_names(spark, table):
+    for n in range(3):
+        table.replace(kv(spark, (n, "a", n)))
+    assert len(table.vacuum(keep_versions=1)) == 2
+    assert rows(table.read()) == [(2, "a", 2)]
+
+
+def test_promoted_sets_change_together(spark, tmp_path):
+    live = load.PromotedSet(spark, str(tmp_path / "set"))
+    live.promote({"a": kv(spark, (1, "x", 1)), "b": kv(spark, (2, "y", 1))})
+    broken = kv(spark, (3, "z", 1)).withColumn("v", F.raise_error(F.lit("no")).cast("string"))
+    with pytest.raises(Exception, match="no"):
+        live.promote({"a": kv(spark, (9, "new", 1)), "b": broken})
+    assert rows(live.read()["a"]) == [(1, "x", 1)] and rows(live.read()["b"]) == [(2, "y", 1)]
+
+
+def test_partitioned_writes_make_few_files(spark, tmp_path):
+    data = spark.range(0, 4000, 1, 16).select("id", (c("id") % 5).cast("string").alias("kind"))
+    load.route(data, str(tmp_path / "routed"), "kind")
+    assert len(files_of(tmp_path / "routed")) <= 10

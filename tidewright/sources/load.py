@@ -101,6 +101,42 @@ class VersionedTable:
             raise AuditFailed(f"{self.root}: {', '.join(failed)}")
         return self.publish([path], "audited")
 
+    def track(
+        self, new: DataFrame, key: str, now: Column, check_cols: Sequence[str] | None = None, updated_at: str | None = None
+    ) -> DataFrame:
+        """Next snapshot of a slowly changing history (see ``scd2``), started at ``now`` by the first one.
+
+        The last folder holds the open versions, the others closed ones, which are never read or written again.
+        """
+        last = self._last()
+        if last is None:
+            one_per_key(new, key)
+            return self.publish([self.stage(first_snapshot(new, now.cast("timestamp_ntz")))], "track")
+        *closed, current = last["paths"]
+        made = self.spark.read.parquet(self.stage(scd2(self.spark.read.parquet(current), new, key, now, check_cols, updated_at)))
+        done, still = made.where(F.col("valid_to").isNotNull()), made.where(F.col("valid_to").isNull())
+        more = [] if done.isEmpty() else [self.stage(done)]
+        return self.publish([*closed, *more, self.stage(still)], "track", last["version"])
+
+    def vacuum(self, keep_versions: int = 1) -> list[str]:
+        """Remove folders that none of the last ``keep_versions`` versions name, and return them.
+
+        Not for tables that others are cloned from, nor while a load runs.
+        """
+        log = self.spark.read.schema(_LOG).json(f"{self.root}/log")
+        kept = log.orderBy(F.desc("version")).limit(keep_versions).select(F.explode("paths").alias("path")).distinct()
+        named = {r["path"].rstrip("/") for r in kept.toLocalIterator()}
+        jvm = self.spark.sparkContext._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(f"{self.root}/data")
+        files = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        gone = []
+        for status in files.listStatus(folder):
+            name = status.getPath().getName()
+            if f"{self.root}/data/{name}" not in named:
+                files.delete(status.getPath(), True)
+                gone.append(name)
+        return gone
+
     def clone_to(self, root: str) -> VersionedTable:
         """A table of its own that starts from the same folders."""
         last = self._last()
@@ -111,10 +147,38 @@ class VersionedTable:
         return copy
 
 
-def promote(tables: dict[str, DataFrame], targets: dict[str, VersionedTable]) -> dict[str, DataFrame]:
-    """Stage all tables first, then publish all of them."""
-    paths = {name: targets[name].stage(df) for name, df in tables.items()}
-    return {name: targets[name].publish([path], "promote") for name, path in paths.items()}
+class PromotedSet:
+    """A set of tables whose current versions change together: one log entry names the folders of all of them."""
+
+    _ENTRY = "version bigint, paths map<string,string>"
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def _last(self):
+        try:
+            return self.spark.read.schema(self._ENTRY).json(f"{self.root}/log").orderBy(F.desc("version")).first()
+        except AnalysisException as err:
+            if "PATH_NOT_FOUND" in str(err):
+                return None
+            raise
+
+    def read(self) -> dict[str, DataFrame]:
+        last = self._last()
+        if last is None:
+            raise FileNotFoundError(self.root)
+        return {name: self.spark.read.parquet(path) for name, path in last["paths"].items()}
+
+    def promote(self, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        """Stage all tables, then publish them by one entry; a run that fails before leaves the old set."""
+        made = {name: f"{self.root}/data/{uuid.uuid4().hex}" for name in tables}
+        for name, df in tables.items():
+            df.write.parquet(made[name])
+        last = self._last()
+        paths = F.create_map(*[F.lit(x) for pair in made.items() for x in pair])
+        entry = self.spark.range(0, 1, 1, 1).select(F.lit((last["version"] if last else 0) + 1).alias("version"), paths.alias("paths"))
+        entry.write.mode("append").json(f"{self.root}/log")
+        return self.read()
 
 
 def merge_by_key(target: DataFrame, batch: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
@@ -133,36 +197,73 @@ def delete_insert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> D
 def merge_partitions(
     spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], order_by: Sequence[str], partition: str
 ) -> None:
-    """Merge into a partitioned folder, rewriting only the partitions the batch touches.
+    """Merge into a partitioned folder, rewriting only the partitions the batch touches, that of null included.
 
-    The partition value must follow from the key. New partition contents are written to a scratch folder first,
-    so a run that stops half way can be repeated from there.
+    The partition value must follow from the key, and the folder has the batch's columns and types. New partition
+    contents are written to a scratch folder first, so a run that stops half way can be repeated from there.
     """
     from tidewright.session import scratch_path
 
-    touched = [r[0] for r in batch.select(partition).distinct().collect()]
-    current = spark.read.parquet(path).where(F.col(partition).isin(*touched))
+    touched = batch.select(F.col(partition).alias("__p")).distinct()
+    target = spark.read.schema(batch.schema).parquet(path)  # else partition values would be read as what they look like
+    named = target.join(touched.where("__p is not null"), F.col(partition) == F.col("__p"), "left_semi")
+    unnamed = target.where(F.col(partition).isNull()).join(
+        touched.where("__p is null"), F.col(partition).eqNullSafe(F.col("__p")), "left_semi"
+    )
     made = scratch_path(spark, "merge")
-    merge_by_key(current, batch, keys, order_by).write.partitionBy(partition).parquet(made)
-    spark.read.parquet(made).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        partition
-    ).parquet(path)
+    _clustered(merge_by_key(named.unionByName(unnamed), batch, keys, order_by), partition).write.partitionBy(partition).parquet(made)
+    _clustered(spark.read.schema(batch.schema).parquet(made), partition).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy(partition).parquet(path)
+
 
+def _clustered(rows: DataFrame, column: str) -> DataFrame:
+    """Rows of one value in few tasks, so that a partitioned write makes few files; AQE splits large values."""
+    return rows.hint("rebalance", column)
 
-def incremental_rows(source: DataFrame, cursor: str, last: Column | None, upto: Column | None = None) -> DataFrame:
-    """Source rows after the last cursor value, up to a bound fixed at the start of the run."""
-    rows = source.where(F.col(cursor) > last) if last is not None else source
-    return rows.where(F.col(cursor) <= upto) if upto is not None else rows
 
+def incremental_rows(
+    source: DataFrame, cursor: str, last: Column | None, upto: Column | None = None, from_last: bool = False
+) -> DataFrame:
+    """Source rows after the last cursor value, up to a bound fixed at the start of the run.
+
+    ``from_last`` also takes the rows at the last value, and those without a cursor value.
+    """
+    at, rows = F.col(cursor), source
+    if from_last:
+        rows = rows.where(at.isNull() | (at >= last)) if last is not None else rows
+        return rows.where(at.isNull() | (at <= upto)) if upto is not None else rows
+    rows = rows.where(at > last) if last is not None else rows
+    return rows.where(at <= upto) if upto is not None else rows
+
+
+def incremental_append(
+    table: VersionedTable,
+    source: DataFrame,
+    cursor: str,
+    initial: Column | None = None,
+    upto: Column | None = None,
+    keys: Sequence[str] = (),
+) -> DataFrame:
+    """Append the source rows behind the newest cursor value the table holds.
 
-def incremental_append(table: VersionedTable, source: DataFrame, cursor: str, initial: Column | None = None, upto: Column | None = None) -> DataFrame:
-    """Append the source rows behind the newest cursor value the table holds."""
-    last = initial
+    With ``keys``, rows that arrived late with that very value, or without a value, come in as well, unless the table
+    has their key; without keys they cannot be told from those already there and are left out.
+    """
+    last, seen = initial, None
     if table.exists():
-        kind = source.schema[cursor].dataType
-        top = table.read().agg(F.max(cursor)).first()[0]
+        now, kind = table.read(), source.schema[cursor].dataType
+        top = now.agg(F.max(cursor)).first()[0]
         last = F.lit(top).cast(kind) if top is not None else initial
-    return table.append(incremental_rows(source, cursor, last, upto))
+        edge = F.col(cursor).isNull() if top is None else F.col(cursor).isNull() | (F.col(cursor) == last)
+        seen = now.where(edge).select(*[F.col(k).alias(f"__k_{k}") for k in keys])
+    rows = incremental_rows(source, cursor, last, upto, from_last=bool(keys))
+    if keys and seen is not None:
+        same = F.lit(True)
+        for k in keys:
+            same = same & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
+        rows = rows.join(seen, same, "left_anti")
+    return table.append(rows)
 
 
 def incremental_by_key(
@@ -183,6 +284,13 @@ def apply_changes(
     return kept.unionByName(last.where(F.col(op) != delete).select(*target.columns))
 
 
+def one_per_key(new: DataFrame, key: str) -> None:
+    """Raise if a key, null included, has more than one row."""
+    twice = new.groupBy(key).count().where("count > 1").first()
+    if twice is not None:
+        raise ValueError(f"{key} {twice[0]!r} occurs {twice['count']} times")
+
+
 def first_snapshot(new: DataFrame, valid_from: Column) -> DataFrame:
     return new.select("*", valid_from.alias("valid_from"), F.lit(None).cast("timestamp_ntz").alias("valid_to"))
 
@@ -199,18 +307,20 @@ def scd2(
 
     A key changes when one of ``check_cols`` differs (null counts as a value) or when its ``updated_at`` is later.
     The open version is closed and the new one opened at ``now``, or at ``updated_at``. Keys missing from ``new``
-    stay open, so a second run on the same input changes nothing.
+    stay open, so a second run on the same input changes nothing. A null key is a key like any other; a key that
+    occurs twice in ``new`` is an error.
     """
     if (check_cols is None) == (updated_at is None):
         raise ValueError("give either check_cols or updated_at")
+    one_per_key(new, key)
     at = F.col(f"n.{updated_at}").cast("timestamp_ntz") if updated_at else now.cast("timestamp_ntz")
     columns = new.columns
     both = (
         history.where(F.col("valid_to").isNull())
         .alias("o")
-        .join(new.alias("n"), F.col(f"o.{key}") == F.col(f"n.{key}"), "full_outer")
+        .join(new.withColumn("__new", F.lit(True)).alias("n"), F.col(f"o.{key}").eqNullSafe(F.col(f"n.{key}")), "full_outer")
     )
-    known, found = F.col("o.valid_from").isNotNull(), F.col(f"n.{key}").isNotNull()
+    known, found = F.col("o.valid_from").isNotNull(), F.col("n.__new").isNotNull()
     if updated_at:
         differs = F.coalesce(F.col(f"n.{updated_at}") > F.col(f"o.{updated_at}"), F.lit(False))
     else:
@@ -268,9 +378,9 @@ def insert_by_period(
             last = None
         if last is not None:
             numbered = numbered.where(F.col("period_number") >= last)
-    numbered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("period_number").parquet(
-        path
-    )
+    _clustered(numbered, "period_number").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "period_number"
+    ).parquet(path)
     return spark.read.parquet(path)
 
 
@@ -294,6 +404,12 @@ def chunk_of(ts: Column, end: Column, days: int = 7) -> Column:
     return F.floor(datediff(ts, end, "microsecond") / step)
 
 
+def chunk_start(number: Column, start: Column, end: Column, days: int = 7) -> Column:
+    """First moment of a backfill window."""
+    upper = F.timestamp_add("SECOND", -number * (days * 86400 + 1), end)
+    return F.greatest(start, F.timestamp_add("DAY", F.lit(-days), upper))
+
+
 def lookback(rows: DataFrame, column: str, now: Column, days: int | None) -> DataFrame:
     """Rows changed within the last days; None keeps all."""
     return rows if days is None else rows.where(F.col(column) >= dateadd("day", -days, now))
@@ -301,7 +417,7 @@ def lookback(rows: DataFrame, column: str, now: Column, days: int | None) -> Dat
 
 def route(rows: DataFrame, path: str, column: str) -> None:
     """One folder per value, in one job; folders of values no longer met go."""
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(column).parquet(path)
+    _clustered(rows, column).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(column).parquet(path)
 
 
 def materialize(df: DataFrame, kind: str, name: str, root: str) -> DataFrame:
