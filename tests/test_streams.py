@@ -8,7 +8,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from tidewright.sources.load import VersionedTable
 from tidewright.streaming import jobs
 
 c = F.col
@@ -46,36 +45,49 @@ def test_offsets_once_across_restarts(spark, place):
         F.lit("t").alias("topic"), (c("id") % 3).cast("int").alias("partition"), c("id").alias("offset"),
         F.timestamp_seconds(c("id") * 60 + 1_700_000_000).alias("event_time"),
     )
-    for part in (data.where("offset < 30"), data.where("offset >= 20")):
+    keys, table = ["topic", "partition", "offset"], jobs.BatchTable(spark, place("out"))
+    for part in (data.where("offset >= 20"), data.where("offset < 30")):  # the older half comes last
         part.write.mode("append").parquet(place("in"))
-        stream = jobs.distinct_offsets(jobs.read_files(spark, place("in"), ddl), "event_time", "1 day")
-        jobs.to_files(stream, place("out"), place("cp"))
-    assert rows(spark.read.parquet(place("out"))) == rows(data)
+        stream = jobs.read_files(spark, place("in"), ddl, maxFilesPerTrigger=1)
+        jobs.to_batches(stream, jobs.keep_latest(table, keys, ["event_time"]), place("cp"))
+    assert rows(jobs.latest(table, keys, ["event_time"])) == rows(data)
 
 
 def test_latest_state_takes_late_and_repeated_batches(spark, place):
-    table = VersionedTable(spark, place("state"))
+    table = jobs.BatchTable(spark, place("state"))
     write = jobs.keep_latest(table, ["k"], ["seq"])
     frames = [spark.createDataFrame(x, "k int, v string, seq int") for x in ([(1, "b", 2), (2, "x", 1)], [(1, "a", 1)], [(2, "y", 3)])]
     for i, df in enumerate(frames):
         write(df, i)
         write(df, i)
     assert rows(jobs.latest(table, ["k"], ["seq"])) == [(1, "b", 2), (2, "y", 3)]
-    assert rows(jobs.compact(table, ["k"], ["seq"])) == [(1, "b", 2), (2, "y", 3)]
+    assert rows(jobs.compact(table, ["k"], ["seq"], place("compact"))) == [(1, "b", 2), (2, "y", 3)]
 
 
 def test_daily_counts_over_two_runs(spark, place):
-    from tidewright.operators.reshape import newest
-
     ddl = "event_ts timestamp, user_name string, event_value bigint"
     data = spark.range(100).select(
         F.timestamp_seconds(c("id") * 3600 + 1_700_000_000).alias("event_ts"), (c("id") % 5).cast("string").alias("user_name"), c("id").alias("event_value")
     )
-    table = VersionedTable(spark, place("days"))
-    for part in (data.where("event_value < 40"), data.where("event_value >= 40")):
+    table = jobs.BatchTable(spark, place("days"))
+    for part in (data.where("event_value >= 40"), data.where("event_value < 40")):
         part.write.mode("append").parquet(place("in"))
-        stream = jobs.daily_counts(jobs.read_files(spark, place("in"), ddl), "event_ts", "2 days")
-        jobs.to_batches(stream, jobs.keep_updates(table), place("cp"), "update")
-    got = newest(table.read(), ["event_date"], ["batch_id"]).select("event_date", "total_events", "total_value")
-    batch = data.groupBy(F.to_date("event_ts").alias("event_date")).agg(F.count(F.lit(1)).alias("n"), F.sum("event_value").alias("s"))
+        stream = jobs.read_files(spark, place("in"), ddl, maxFilesPerTrigger=2)
+        jobs.to_batches(stream, jobs.keep_daily_parts(table, "event_ts"), place("cp"))
+    got = jobs.daily_counts(table).select("event_date", "total_events", "total_value", "unique_users_approx")
+    batch = data.groupBy(F.to_date("event_ts").alias("event_date")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("event_value").alias("s"), F.count_distinct("user_name").alias("u")
+    )
     assert rows(got) == rows(batch)
+
+
+@pytest.mark.parametrize("name", ["t2_deduplicated_log", "t2_latest_state", "t3_daily_counts", "t3_daily_users"])
+def test_one_file_per_batch_gives_the_same(spark, folder, monkeypatch, name):
+    from tests.oracle import connect, differences
+    from tidewright.plans.registry import load_all, runner
+    from tidewright.streaming import queries
+
+    monkeypatch.setattr(queries, "STREAM", {"maxFilesPerTrigger": "1"})
+    monkeypatch.setattr(queries, "FILES", 4)
+    q = load_all()[name]
+    assert differences(runner(q)(spark, folder), q.sql, connect(folder)) == []

@@ -1,7 +1,8 @@
 """Streaming jobs over files: alerts from log lines, deduplicated event logs, daily counts and change data.
 
 Each transformation takes and gives frames, so it runs on a stream and on a batch alike. The checkpoint is the
-cursor: a run with ``available_now`` takes what has landed since the last one and stops.
+cursor: a run with ``available_now`` takes what has landed since the last one and stops. How rows are dealt to
+micro-batches, and how late they come, does not touch what is read in the end.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidewright.functions.text import check_column, check_kind, check_target
 from tidewright.operators.reshape import newest
-from tidewright.sources.load import VersionedTable, apply_changes
+from tidewright.sources.load import apply_changes
 
 c = F.col
 
@@ -32,10 +33,29 @@ def prepare_streams(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def read_files(spark: SparkSession, path: str, schema: str, fmt: str = "parquet", **options) -> DataFrame:
+# Most bytes of files that one micro-batch takes.
+BATCH_BYTES = 64 << 30
+
+
+def read_files(spark: SparkSession, path: str, schema: str, fmt: str = "parquet", batch_bytes: int = BATCH_BYTES, **options) -> DataFrame:
+    if "maxFilesPerTrigger" not in options:
+        options["maxBytesPerTrigger"] = str(batch_bytes)
     return spark.readStream.schema(schema).format(fmt).options(**options).load(path)
 
 
+class BatchTable:
+    """A folder with one subfolder for each micro-batch; a batch that is written again replaces its own."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def write(self, batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{self.root}/batch_id={batch_id}")
+
+    def read(self) -> DataFrame:
+        return self.spark.read.parquet(self.root)
+
+
 def to_files(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Append what is new to parquet files, exactly once."""
     run = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).option("path", path)
@@ -82,52 +102,64 @@ def check_alerts(lines: DataFrame, value: str = "value") -> DataFrame:
     return rows.withColumn("alert_text", text)
 
 
-def distinct_offsets(log: DataFrame, ts: str, delay: str, keys: Sequence[str] = ("topic", "partition", "offset")) -> DataFrame:
-    """Each log record once, however often it is delivered within the delay."""
-    return log.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
-
-
-def keep_latest(table: VersionedTable, keys: Sequence[str], order_by: Sequence[str]) -> Callable[[DataFrame, int], None]:
+def keep_latest(table: BatchTable, keys: Sequence[str], order_by: Sequence[str]) -> Callable[[DataFrame, int], None]:
     """Batch writer for a latest-state table: each batch adds only its own newest row per key.
 
     Reading with ``latest`` picks the newest of all batches, so a batch costs its own size, may come late, and may
-    come twice. ``compact`` folds the batches together now and then.
+    come twice. ``compact`` folds the batches together now and then. With a log record's topic, partition and offset
+    as keys this keeps each record once, however often and however late it is delivered.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        table.append(newest(batch, keys, order_by))
+        table.write(newest(batch, keys, order_by), batch_id)
 
     return write
 
 
-def latest(table: VersionedTable, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    return newest(table.read(), keys, order_by)
+def latest(table: BatchTable, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    return newest(table.read().drop("batch_id"), keys, order_by)
+
+
+def compact(table: BatchTable, keys: Sequence[str], order_by: Sequence[str], path: str) -> DataFrame:
+    """The newest rows of all batches, in a folder of their own."""
+    latest(table, keys, order_by).write.mode("overwrite").parquet(path)
+    return table.spark.read.parquet(path)
+
+
+def keep_daily_parts(table: BatchTable, ts: str) -> Callable[[DataFrame, int], None]:
+    """Batch writer for daily figures: counts, sums and a sketch of the users of each day that the batch touches."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        days = batch.groupBy(F.to_date(ts).alias("event_date"))
+        parts = days.agg(
+            F.count(F.lit(1)).alias("events"), F.sum("event_value").alias("value"), F.hll_sketch_agg("user_name", USER_SKETCH).alias("users")
+        )
+        table.write(parts, batch_id)
+
+    return write
 
 
-def compact(table: VersionedTable, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    return table.replace(latest(table, keys, order_by), "compact")
+# Size of the user sketches as a power of two; their standard error is about 1.04 / sqrt(2**14), under 1 %.
+USER_SKETCH = 14
 
 
-def daily_counts(events: DataFrame, ts: str, delay: str) -> DataFrame:
-    """Events, summed values and roughly counted users per day; days close once the watermark has passed."""
-    windowed = events.withWatermark(ts, delay).groupBy(F.window(ts, "1 day").alias("w"))
-    made = windowed.agg(
-        F.count(F.lit(1)).alias("total_events"),
-        F.sum("event_value").alias("total_value"),
-        F.approx_count_distinct("user_name").alias("unique_users_approx"),
+def daily_counts(table: BatchTable) -> DataFrame:
+    """Events, summed values and roughly counted users per day, over all batches so far."""
+    days = table.read().groupBy("event_date").agg(
+        F.sum("events").alias("total_events"), F.sum("value").alias("total_value"), F.hll_union_agg("users").alias("users")
     )
-    return made.select(F.to_date("w.start").alias("event_date"), "total_events", "total_value", "unique_users_approx")
+    return days.withColumn("unique_users_approx", F.hll_sketch_estimate("users")).drop("users")
 
 
-def keep_updates(table: VersionedTable) -> Callable[[DataFrame, int], None]:
-    """Batch writer for changed aggregates, marked with their batch number; a repeated batch writes equal rows."""
+def keep_distinct(table: BatchTable, columns: Sequence[str]) -> Callable[[DataFrame, int], None]:
+    """Batch writer for distinct rows; a row that several batches have is still to be counted once on reading."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        table.append(batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")))
+        table.write(batch.select(*columns).distinct(), batch_id)
 
     return write
 
 
-def changed_state(base: DataFrame, changes: VersionedTable, keys: Sequence[str], sequence: str, op: str) -> DataFrame:
+def changed_state(base: DataFrame, changes: BatchTable, keys: Sequence[str], sequence: str, op: str) -> DataFrame:
     """Base table with all change batches applied."""
-    return apply_changes(base, changes.read(), keys, sequence, op)
+    return apply_changes(base, changes.read().drop("batch_id"), keys, sequence, op)

@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.operators.reshape import newest
 from tidewright.plans.loads import _CDC, changes
 from tidewright.plans.registry import query
 from tidewright.session import scratch_path
-from tidewright.sources.load import VersionedTable
 from tidewright.streaming import jobs
 
 c = F.col
-DELAY = "2 days"
+# Options of every file stream below, and how many files land; tests set others.
+STREAM: dict[str, str] = {}
+FILES: int | None = None
 
 
 class Landing:
@@ -25,10 +25,14 @@ class Landing:
         self.files, self.out, self.checkpoint = (f"{self.root}/{x}" for x in ("in", "out", "checkpoint"))
 
     def land(self, df: DataFrame, fmt: str = "parquet") -> None:
-        df.write.mode("append").format(fmt).save(self.files)
+        rows = df if FILES is None else df.repartition(FILES)
+        rows.write.mode("append").format(fmt).save(self.files)
 
-    def table(self) -> VersionedTable:
-        return VersionedTable(self.spark, self.out)
+    def stream(self, schema: str, fmt: str = "parquet") -> DataFrame:
+        return jobs.read_files(self.spark, self.files, schema, fmt, **STREAM)
+
+    def table(self) -> jobs.BatchTable:
+        return jobs.BatchTable(self.spark, self.out)
 
 
 def log_lines(t) -> DataFrame:
@@ -63,7 +67,7 @@ def log_lines(t) -> DataFrame:
 def _(t):
     files = Landing(t, "log")
     files.land(log_lines(t), "text")
-    lines = jobs.read_files(t.spark, files.files, "value string", "text")
+    lines = files.stream("value string", "text")
     jobs.to_files(jobs.check_alerts(lines), files.out, files.checkpoint)
     return t.spark.read.parquet(files.out)
 
@@ -93,21 +97,21 @@ def land_twice(t, files: Landing) -> None:
     """select 'orders.' || left(event_type, 1) as topic, cast(user_id % 4 as integer) as partition, event_id as "offset", user_id as message_key, event_type from events""",
 )
 def _(t):
-    files = Landing(t, "offsets")
+    files, keys = Landing(t, "offsets"), ["topic", "partition", "offset"]
     land_twice(t, files)
-    log = jobs.read_files(t.spark, files.files, _LOG)
-    jobs.to_files(jobs.distinct_offsets(log, "event_time", DELAY), files.out, files.checkpoint)
-    return t.spark.read.parquet(files.out).drop("event_time")
+    table = files.table()
+    jobs.to_batches(files.stream(_LOG), jobs.keep_latest(table, keys, ["event_time"]), files.checkpoint)
+    return jobs.latest(table, keys, ["event_time"]).drop("event_time")
 
 
 @query("t2_latest_state", "select user_id as message_key, arg_max(event_type, event_id) as state, max(event_id) as \"offset\" from events group by 1")
 def _(t):
     files, keys, order = Landing(t, "state"), ["message_key"], ["offset"]
     land_twice(t, files)
-    log = jobs.read_files(t.spark, files.files, _LOG, maxFilesPerTrigger=1)
+    log = files.stream(_LOG)
     table = files.table()
     jobs.to_batches(log.select("message_key", c("event_type").alias("state"), "offset"), jobs.keep_latest(table, keys, order), files.checkpoint)
-    return jobs.compact(table, keys, order)
+    return jobs.compact(table, keys, order, f"{files.root}/compact")
 
 
 _EVENT = "event_ts timestamp, user_name string, event_value bigint"
@@ -123,23 +127,22 @@ def day_events(t) -> DataFrame:
 def _(t):
     files = Landing(t, "daily")
     files.land(day_events(t))
-    stream = jobs.daily_counts(jobs.read_files(t.spark, files.files, _EVENT), "event_ts", DELAY)
     table = files.table()
-    jobs.to_batches(stream, jobs.keep_updates(table), files.checkpoint, "update")
-    days = newest(table.read(), ["event_date"], ["batch_id"])
-    return days.select("event_date", "total_events", "total_value", (c("unique_users_approx") > 0).alias("users_near"))
+    jobs.to_batches(files.stream(_EVENT), jobs.keep_daily_parts(table, "event_ts"), files.checkpoint)
+    exact = t.events.groupBy(F.to_date("ts").alias("event_date")).agg(F.count_distinct("user_id").alias("users"))
+    days = jobs.daily_counts(table).join(exact, "event_date")
+    near = F.abs(c("unique_users_approx") - c("users")) <= F.greatest(F.lit(1.0), c("users") * 0.03)
+    return days.select("event_date", "total_events", "total_value", near.alias("users_near"))
 
 
 @query("t3_daily_users", "select cast(ts as date) as event_date, count(distinct user_id) as unique_users from events group by 1")
 def _(t):
     files = Landing(t, "users")
     files.land(day_events(t))
-    events = jobs.read_files(t.spark, files.files, _EVENT)
-    seen = events.select("event_ts", "user_name", F.to_date("event_ts").alias("event_date"))
-    once = seen.withWatermark("event_ts", DELAY).dropDuplicatesWithinWatermark(["event_date", "user_name"])
-    jobs.to_files(once, files.out, files.checkpoint)
-    # A late repeat may come through once its state is gone, so the day's users are still counted distinctly.
-    return t.spark.read.parquet(files.out).groupBy("event_date").agg(F.count_distinct("user_name").alias("unique_users"))
+    table, columns = files.table(), ["event_date", "user_name"]
+    events = files.stream(_EVENT).select("user_name", F.to_date("event_ts").alias("event_date"))
+    jobs.to_batches(events, jobs.keep_distinct(table, columns), files.checkpoint)
+    return table.read().groupBy("event_date").agg(F.count_distinct("user_name").alias("unique_users"))
 
 
 @query("t4_incremental_append", "select event_id, user_id, event_type from events")
@@ -148,7 +151,7 @@ def _(t):
     rows = t.events.select("event_id", "user_id", "event_type")
     for part in (c("event_type") != "view", c("event_type") == "view"):
         files.land(rows.where(part))
-        stream = jobs.read_files(t.spark, files.files, "event_id bigint, user_id bigint, event_type string")
+        stream = files.stream("event_id bigint, user_id bigint, event_type string")
         jobs.to_files(stream, files.out, files.checkpoint)
     return t.spark.read.parquet(files.out)
 
@@ -157,7 +160,7 @@ def _(t):
 def _(t):
     files = Landing(t, "cdc")
     files.land(changes(t))
-    stream = jobs.read_files(t.spark, files.files, "id bigint, segment string, op string, seq bigint")
+    stream = files.stream("id bigint, segment string, op string, seq bigint")
     table = files.table()
     jobs.to_batches(stream, jobs.keep_latest(table, ["id"], ["seq"]), files.checkpoint)
     base = t.customer.select(c("c_custkey").alias("id"), c("c_mktsegment").alias("segment"))
