@@ -67,8 +67,11 @@ def test_series_and_spine(spark):
     bounds = spark.createDataFrame([(date(2018, 1, 1), date(2018, 1, 10))], "a date, b date")
     days = [r[0] for r in reshape.date_spine(bounds, "day", "a", "b").collect()]
     assert days == [date(2018, 1, d) for d in range(1, 10)]
-    months = reshape.date_spine(bounds, "month", "a", "b")
-    assert [r[0] for r in months.collect()] == [date(2018, 1, 1)]
+    # As many rows as boundaries: none within January, one up to the middle of February.
+    assert reshape.date_spine(bounds, "month", "a", "b").columns == ["date_month"]
+    assert reshape.date_spine(bounds, "month", "a", "b").count() == 0
+    longer = spark.createDataFrame([(date(2018, 1, 1), date(2018, 2, 15))], "a date, b date")
+    assert [r[0] for r in reshape.date_spine(longer, "month", "a", "b").collect()] == [date(2018, 1, 1)]
 
 
 def test_star_and_columns(spark):
@@ -137,3 +140,16 @@ def test_calendar_left_equals_left_join(spark):
     facts = spark.createDataFrame([(date(2024, 1, 2), 1), (date(2024, 1, 2), 2), (date(2024, 1, 4), 3), (date(2025, 1, 1), 9)], "d date, n int")
     plain = spine.join(facts, c("day") == c("d"), "left")
     assert rows(joins.calendar_left(spine, facts, "day", "d")) == rows(plain)
+
+
+def test_column_values_in_an_order_of_ones_own(spark):
+    df = spark.createDataFrame([("a", 3), ("b", 1), ("b", 9), ("c", 2)], "k string, v int")
+    assert reshape.column_values(df, "k", order_by=F.min("v")) == ["b", "c", "a"]
+    with pytest.raises(ValueError):
+        reshape.column_values(df, "k", max_values=2)
+
+
+def test_relations_of_other_schemas(spark):
+    names = ["sales.orders_1", "SALES_eu.orders_2", "hr.orders_3", "sales.staff"]
+    assert relations_by_pattern(names, "ORDERS%", schema_pattern="sales%") == ["SALES_eu.orders_2", "sales.orders_1"]
+    assert relations_by_prefix(names, "orders_", exclude="%2", schema_pattern="sales%") == ["sales.orders_1"]

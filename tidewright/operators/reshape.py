@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewright.functions.dates import dateadd, datediff
 from tidewright.functions.text import blank_to_null, slugify_name
 
 
@@ -157,20 +158,18 @@ def generate_series(spark: SparkSession, upper_bound: int) -> DataFrame:
     return spark.range(1, upper_bound + 1).withColumnRenamed("id", "generated_number")
 
 
-_UNIT = {
-    "year": "1 year", "quarter": "3 months", "month": "1 month", "week": "7 days", "day": "1 day",
-    "hour": "1 hour", "minute": "1 minute", "second": "1 second",
-}
-
-
 def date_spine(bounds: DataFrame, datepart: str, start: str, end: str) -> DataFrame:
-    """One row per ``datepart`` from ``start`` up to but without ``end``; both are columns of a one-row frame."""
-    step = F.expr(f"interval {_UNIT[datepart]}")
-    days = F.explode(F.sequence(F.col(start), F.col(end), step))
-    name = f"date_{datepart}"
-    return bounds.where(F.col(start) < F.col(end)).select(days.alias(name), F.col(end).alias("__end")).where(
-        F.col(name) < F.col("__end")
-    ).drop("__end")
+    """One row per ``datepart`` from ``start``: as many as part boundaries lie between ``start`` and ``end``.
+
+    Both are columns of a one-row frame, which is read once. So ``end`` itself is left out where it starts a part, and a
+    part that ``end`` only reaches into counts by its boundary: months from 1 January to 15 February give January alone.
+    """
+    lo, hi, n = bounds.select(start, end, datediff(F.col(start), F.col(end), datepart).alias("n")).first()
+    name, kind = f"date_{datepart}", bounds.schema[start].dataType
+    if lo is None or hi is None or n < 1:
+        return bounds.select(F.col(start).alias(name)).limit(0)
+    number = bounds.sparkSession.range(n)
+    return number.select(dateadd(datepart, F.col("id").cast("int"), F.lit(lo).cast(kind)).cast(kind).alias(name))
 
 
 def calendar(df: DataFrame, column: str, before: int = 0, after: int = 0, name: str = "day") -> DataFrame:
@@ -203,20 +202,31 @@ MAX_VALUES = 10_000
 
 
 def column_values(
-    df: DataFrame | None, column: str, max_records: int | None = None, default: Sequence[str] | None = None
+    df: DataFrame | None,
+    column: str,
+    max_records: int | None = None,
+    default: Sequence[str] | None = None,
+    order_by: Column | None = None,
+    max_values: int | None = None,
 ) -> list:
-    """Distinct values as a list, most frequent first; ``default`` when there is no table.
+    """Distinct values as a list, most frequent first or by ``order_by``; ``default`` when there is no table.
 
-    ``max_records`` asks for the top values only. Without it all values are wanted, and more than MAX_VALUES of
-    them are an error rather than a list cut short.
+    ``order_by`` is an aggregate over the rows of a value. ``max_records`` asks for the first values only. Without it all
+    values are wanted, and more than ``max_values`` (MAX_VALUES) of them are an error rather than a list cut short.
     """
     if df is None:
         if default is None:
             raise ValueError("the table does not exist and no default was given")
         return list(default)
-    found = [r["value"] for r in value_counts(df, column, max_records or MAX_VALUES + 1).collect()]
-    if max_records is None and len(found) > MAX_VALUES:
-        raise ValueError(f"{column} has more than {MAX_VALUES} distinct values; give max_records")
+    max_values = MAX_VALUES if max_values is None else max_values
+    most = max_records or max_values + 1
+    if order_by is None:
+        ordered = value_counts(df, column, most)
+    else:
+        ordered = df.groupBy(F.col(column).alias("value")).agg(order_by.alias("__at")).orderBy("__at", "value").limit(most)
+    found = [r["value"] for r in ordered.collect()]
+    if max_records is None and len(found) > max_values:
+        raise ValueError(f"{column} has more than {max_values} distinct values; give max_records")
     return found or list(default or [])
 
 

@@ -248,6 +248,17 @@ def _(t):
     return reshape.date_spine(bounds, "day", "a", "b")
 
 
+@query(
+    "r22_month_spine",
+    """select cast(date_trunc('month', lo) + to_months(cast(i as integer)) + to_days(cast(day(lo) - 1 as integer)) as date) as date_month
+       from (select min(o_orderdate) as lo, max(o_orderdate) as hi from orders), unnest(range(0, 200)) r(i)
+       where i < date_diff('month', lo, hi)""",
+)
+def _(t):
+    bounds = t.orders.agg(F.to_date(F.min("o_orderdate")).alias("a"), F.to_date(F.max("o_orderdate")).alias("b"))
+    return reshape.date_spine(bounds, "month", "a", "b")
+
+
 @query("r23_group_by_first_columns", f"select o_orderstatus, o_orderpriority, cast(sum({OT}) as bigint) as cents from orders group by 1, 2")
 def _(t):
     rows = t.orders.select("o_orderstatus", "o_orderpriority", cents(c("o_totalprice")).alias("cents"))
@@ -259,6 +270,16 @@ def _(t):
     return reshape.value_counts(t.part, "p_name", 15)
 
 
+@query(
+    "r24_column_values_custom_order",
+    """select event_type as value, row_number() over (order by max(event_id), event_type) as place from events group by 1""",
+)
+def _(t):
+    found = reshape.column_values(t.events, "event_type", order_by=F.max("event_id"))
+    listed = t.spark.range(1).select(F.posexplode(F.array(*[F.lit(x) for x in found])).alias("n", "value"))
+    return listed.select("value", (c("n") + 1).cast("bigint").alias("place"))
+
+
 # --- joins -----------------------------------------------------------------------------------------------
 
 _LINES = f"select l_orderkey, cast(sum({LX}) as bigint) as cents, max(l_shipdate) as last_ship from lineitem group by 1"
@@ -361,14 +382,14 @@ def _(t):
 
 @query(
     "j10_calendar_left_join",
-    """with cal as (select cast(d as date) as day from (select unnest(generate_series(cast(min(o_orderdate) as date),
-       cast(max(o_orderdate) as date), interval 1 day)) as d from orders)),
-    f as (select cast(o_orderdate as date) as order_day, count(*) as orders from orders where o_totalprice > 490000 group by 1)
+    """with cal as (select cast(d as date) as day from (select unnest(generate_series(cast(min(l_shipdate) as date),
+       cast(max(l_shipdate) as date), interval 1 day)) as d from lineitem)),
+    f as (select cast(o_orderdate as date) as order_day, count(*) as orders from orders group by 1)
     select day, order_day, orders from cal left join f on day = order_day""",
 )
 def _(t):
-    calendar = reshape.calendar(t.orders, "o_orderdate")
-    facts = t.orders.where("o_totalprice > 490000").groupBy(F.to_date("o_orderdate").alias("order_day")).agg(
+    calendar = reshape.calendar(t.lineitem, "l_shipdate")
+    facts = t.orders.groupBy(F.to_date("o_orderdate").alias("order_day")).agg(
         F.count("*").alias("orders")
     )
     return joins.calendar_left(calendar, facts, "day", "order_day")
@@ -610,6 +631,22 @@ def _(t):
     return windows.with_window(t.orders.select("o_orderkey"), ["o_orderkey"], transaction_seq=windows.row_number())
 
 
+@query("w1_global_row_number_text", "select c_custkey, c_name, row_number() over (order by c_name) as seq from customer")
+def _(t):
+    return windows.with_window(t.customer.select("c_custkey", "c_name"), ["c_name"], seq=windows.row_number())
+
+
+@query(
+    "w2_partitioned_text_order",
+    """select c_custkey, row_number() over (partition by c_mktsegment order by c_name) as seq,
+       rank() over (partition by c_mktsegment order by c_name) as place from customer""",
+)
+def _(t):
+    rows = t.customer.select("c_custkey", "c_mktsegment", "c_name")
+    made = windows.with_window(rows, ["c_name"], ["c_mktsegment"], hot_rows=20, seq=windows.row_number(), place=windows.rank())
+    return made.select("c_custkey", "seq", "place")
+
+
 @query(
     "w2_partitioned_row_number",
     """select o_orderkey, row_number() over (partition by o_custkey order by o_orderkey) as customer_sales_seq,
@@ -665,12 +702,12 @@ def _(t):
 
 @query(
     "w7_hour_gaps",
-    """with h as (select date_trunc('hour', ts) as hour_, count(*) as n from events where event_type = 'signup' group by 1)
+    """with h as (select date_trunc('hour', ts) as hour_, count(*) as n from events group by 1)
     select hour_, n, lag(hour_) over (order by hour_ desc) as prev_hour from h""",
 )
 def _(t):
-    hours = t.events.where("event_type = 'signup'").groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour_")).agg(F.count("*").alias("n"))
-    return windows.with_window(hours, ["hour_"], prev_hour=windows.lead("hour_"))
+    hours = t.events.groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour_")).agg(F.count("*").alias("n"))
+    return windows.with_window(windows.landed(hours, "hours"), ["hour_"], prev_hour=windows.lead("hour_"))
 
 
 @query("w8_total_over_all", "select o_orderpriority, count(*) as n, cast(sum(count(*)) over () as bigint) as total from orders group by 1")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -34,6 +35,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", f"file://{tempfile.mkdtemp(prefix='tidewright-')}")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -41,9 +43,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a folder of our own only where none is set."""
+    """The shared folder that ``spark.checkpoint.dir`` names.
+
+    Where it is unset, a session whose tasks all run in the driver's process (``local``, as in tests) gets a temporary
+    folder. On a cluster that would be a different folder on each machine, so there it is an error.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="tidewright-")
         spark.sparkContext.setCheckpointDir(named)
         named = spark.sparkContext.getCheckpointDir()

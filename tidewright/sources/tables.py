@@ -108,20 +108,35 @@ def _like(pattern: str) -> re.Pattern[str]:
     return re.compile(f"^{body}$", re.IGNORECASE | re.DOTALL)
 
 
-def relations_by_pattern(names: Iterable[str], pattern: str, exclude: str = "") -> list[str]:
-    """Table names that match a case-insensitive LIKE pattern and not the exclude pattern, without doubles."""
+def relations_by_pattern(names: Iterable[str], pattern: str, exclude: str = "", schema_pattern: str = "") -> list[str]:
+    """Table names that match a case-insensitive LIKE pattern and not the exclude pattern, without doubles.
+
+    With ``schema_pattern`` the names carry their schema (``schema.table``), and that must match as well.
+    """
     keep, drop = _like(pattern), _like(exclude) if exclude else None
-    found = {n for n in names if keep.match(n) and not (drop and drop.match(n))}
-    return sorted(found)
+    schema = _like(schema_pattern) if schema_pattern else None
+
+    def wanted(name: str) -> bool:
+        place, _, table = name.partition(".") if schema else ("", "", name)
+        return bool(keep.match(table)) and not (drop and drop.match(table)) and not (schema and not schema.match(place))
 
+    return sorted({n for n in names if wanted(n)})
 
-def relations_by_prefix(names: Iterable[str], prefix: str, exclude: str = "") -> list[str]:
-    return relations_by_pattern(names, prefix + "%", exclude)
 
+def relations_by_prefix(names: Iterable[str], prefix: str, exclude: str = "", schema_pattern: str = "") -> list[str]:
+    return relations_by_pattern(names, prefix + "%", exclude, schema_pattern)
 
-def catalog_names(spark: SparkSession) -> list[str]:
-    """Names of the tables and views the session knows."""
-    return [t.name for t in spark.catalog.listTables()]
+
+def catalog_names(spark: SparkSession, schema_pattern: str = "") -> list[str]:
+    """Names of the tables and views the session knows.
+
+    With ``schema_pattern`` those of all matching schemas of the current catalog, as ``schema.table``.
+    """
+    if not schema_pattern:
+        return [t.name for t in spark.catalog.listTables()]
+    match = _like(schema_pattern)
+    schemas = [d.name for d in spark.catalog.listDatabases() if match.match(d.name)]
+    return [f"{s}.{t.name}" for s in schemas for t in spark.catalog.listTables(s) if not t.isTemporary]
 
 
 def match_by_name(df: DataFrame, target: T.StructType) -> DataFrame:
