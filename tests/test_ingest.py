@@ -37,7 +37,9 @@ def test_history_goes_on_after_an_object_without_any(spark):
         {"id": "2", "propertiesWithHistory": {"stage": [entry("a"), entry("b")], "owner": []}},
     ]
     raw = spark.createDataFrame([(json.dumps(o),) for o in objects], "raw string")
-    assert rows(ingest.property_history(raw)) == [("2", "stage", "a", "t", "CRM"), ("2", "stage", "b", "t", "CRM")]
+    found = ingest.property_history(raw)
+    assert rows(found.select("object_id", "property_name", "value", "timestamp", "sourceType")) == [("2", "stage", "a", "t", "CRM"), ("2", "stage", "b", "t", "CRM")]
+    assert {r.sourceId for r in found.collect()} == {None}
 
 
 def test_crm_columns():

@@ -78,24 +78,35 @@ def _(t):
 
 @query(
     "i3_property_history",
-    """select cast(o_orderkey as varchar) as object_id, 'status' as property_name, o_orderstatus as value, strftime(o_orderdate, '%Y-%m-%d') as "timestamp",
-       'CRM' as "sourceType" from orders where o_orderpriority <> '5-LOW'
-       union all select cast(o_orderkey as varchar), 'status', 'new', '1990-01-01', 'IMPORT' from orders where o_orderpriority <> '5-LOW'
-       union all select cast(o_orderkey as varchar), 'priority', o_orderpriority, strftime(o_orderdate, '%Y-%m-%d'), 'CRM' from orders where o_orderpriority <> '5-LOW'""",
+    """with o as (select cast(o_orderkey as varchar) as object_id, strftime(o_orderdate, '%Y-%m-%d') as day, * from orders where o_orderpriority <> '5-LOW')
+       select object_id, 'status' as property_name, o_orderstatus as value, day as "timestamp", 'CRM' as "sourceType", 's' || o_custkey as "sourceId",
+         cast(null as varchar) as "sourceLabel", cast(o_custkey as varchar) as "updatedByUserId", 'r1' as request from o
+       union all select object_id, 'status', 'new', '1990-01-01', 'IMPORT', null, 'old system', null, 'r1' from o
+       union all select object_id, 'priority', o_orderpriority, day, 'CRM', 's' || o_custkey, null, cast(o_custkey as varchar), 'r1' from o""",
 )
 def _(t):
-    def entry(value, at, source):
-        return F.struct(value.alias("value"), at.alias("timestamp"), F.lit(source).alias("sourceType"))
+    none = F.lit(None).cast("string")
 
-    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    def entry(value, at, source, source_id, label, user):
+        return F.struct(
+            value.alias("value"), at.alias("timestamp"), F.lit(source).alias("sourceType"), source_id.alias("sourceId"), label.alias("sourceLabel"),
+            user.alias("updatedByUserId"), F.lit("r1").alias("requestId"),
+        )
+
+    day, who = F.date_format("o_orderdate", "yyyy-MM-dd"), text(c("o_custkey"))
+    by_crm = F.concat(F.lit("s"), who), none, c("o_custkey")
     history = F.struct(
-        F.array(entry(c("o_orderstatus"), day, "CRM"), entry(F.lit("new"), F.lit("1990-01-01"), "IMPORT")).alias("status"),
-        F.array(entry(c("o_orderpriority"), day, "CRM")).alias("priority"),
+        F.array(
+            entry(c("o_orderstatus"), day, "CRM", *by_crm),
+            entry(F.lit("new"), F.lit("1990-01-01"), "IMPORT", none, F.lit("old system"), F.lit(None).cast("bigint")),
+        ).alias("status"),
+        F.array(entry(c("o_orderpriority"), day, "CRM", *by_crm)).alias("priority"),
         F.array().cast("array<struct<value:string>>").alias("owner"),
     )
     kept = F.when(c("o_orderpriority") != "5-LOW", history).alias("propertiesWithHistory")
     raw = F.to_json(F.struct(text(c("o_orderkey")).alias("id"), kept))
-    return ingest.property_history(t.orders.select(raw.alias("raw")))
+    found = ingest.property_history(t.orders.select(raw.alias("raw")))
+    return found.select("*", c("more")["requestId"].alias("request")).drop("more")
 
 
 # --- sheets ----------------------------------------------------------------------------------------------
@@ -131,16 +142,16 @@ def header_of(grid: DataFrame) -> tuple[list[str], bool]:
     return ingest.header_names(cells)
 
 
-_SHEET = """select cast(event_id as varchar) as key, case when user_id > 5 then event_type end as col_2, cast(ts as date) as "Ship Day",
+_SHEET = """select event_id as key, case when user_id > 5 then event_type end as col_2, cast(ts as date) as "Ship Day",
     case when event_type <> 'error' then date_trunc('second', ts) end as "Ship Time", case when event_type <> 'error' then
-    case when value > 50 then 'true' else 'false' end end as flag from events where value <= 99"""
+    value > 50 end as flag from events where value <= 99"""
 
 
 @query("i4_sheet_rows", _SHEET)
 def _(t):
     grid = sheet(t)
     names, has_header = header_of(grid)
-    kinds = ingest.column_kinds([None, None, "DATE", "DATE_TIME", None])
+    kinds = ingest.column_kinds([None, None, "DATE", "DATE_TIME", None], [1, "click", 45000, 45000.5, True])
     data = grid.where(c("row_index") > 0) if has_header else grid
     return ingest.typed_rows(data, names, kinds)
 
@@ -152,7 +163,7 @@ def _(t):
     return rows.groupBy("day", "time").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("i6_automatic_header", f"select key as col_1, col_2, flag as col_5 from ({_SHEET}) union all select '1', 'b', 'x'")
+@query("i6_automatic_header", f"select cast(key as varchar) as col_1, col_2, cast(flag as varchar) as col_5 from ({_SHEET}) union all select '1', 'b', 'x'")
 def _(t):
     names, has_header = ingest.header_names([1, "b", "c", "d", "x"])
     first = t.spark.range(1).select(F.lit(0).cast("bigint").alias("row_index"), F.lit('[1, "b", "c", "d", "x"]').alias("row_json"))
@@ -201,7 +212,9 @@ def _(t):
 
 @query("i13_records", f'select key, col_2 as kind, flag as e from ({_SHEET})')
 def _(t):
-    return ingest.records(sheet(t).where("row_index > 0"), ["key", "kind", "c", "d", "e"]).select("key", "kind", "e")
+    made = ingest.records(sheet(t).where("row_index > 0"), ["key", "kind", "c", "d", "e"])
+    typed = {"key": "bigint", "kind": "string", "e": "boolean"}
+    return made.select(*[F.try_variant_get(name, "$", kind).alias(name) for name, kind in typed.items()])
 
 
 # --- issue tracker, cycles, analytics events, run metadata -----------------------------------------------
@@ -212,14 +225,35 @@ def issue_nodes(t) -> DataFrame:
         F.struct(F.concat(F.lit("p"), F.left("o_orderpriority", F.lit(1))).alias("id"), c("o_orderpriority").alias("name"), F.lit("red").alias("color")),
         F.struct(c("o_orderstatus").alias("id"), c("o_orderstatus").alias("name"), F.lit("blue").alias("color")),
     )
+    key, who, at = text(c("o_orderkey")), text(c("o_custkey")), F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
+    done, place = c("o_orderstatus") == "F", F.left("o_orderpriority", F.lit(1)).cast("int")
+    person = F.struct(who.alias("id"), F.concat(F.lit("n"), who).alias("name"), F.concat(who, F.lit("@x.org")).alias("email"))
     node = F.struct(
-        text(c("o_orderkey")).alias("id"),
+        key.alias("id"),
+        F.concat(F.lit("ORD-"), key).alias("identifier"),
         c("o_orderkey").alias("number"),
-        F.concat(F.lit("Order "), text(c("o_orderkey"))).alias("title"),
-        F.left("o_orderpriority", F.lit(1)).cast("int").alias("priority"),
-        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss").alias("updatedAt"),
-        F.struct(c("o_orderstatus").alias("id"), F.lower("o_orderstatus").alias("name"), F.lit("t").alias("type")).alias("state"),
-        F.when(c("o_orderstatus") != "P", F.struct(text(c("o_custkey")).alias("id"), F.lit("x").alias("name"))).alias("assignee"),
+        F.concat(F.lit("Order "), key).alias("title"),
+        F.when(done, F.concat(F.lit("Done: "), key)).alias("description"),
+        place.alias("priority"),
+        c("o_orderpriority").alias("priorityLabel"),
+        (place / 2).alias("estimate"),
+        (-place / 4).alias("sortOrder"),
+        at.alias("startedAt"),
+        F.when(done, at).alias("completedAt"),
+        F.when(c("o_orderstatus") == "P", at).alias("canceledAt"),
+        at.alias("createdAt"),
+        at.alias("updatedAt"),
+        F.when(done, at).alias("archivedAt"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("dueDate"),
+        F.concat(F.lit("https://x.org/"), key).alias("url"),
+        F.concat(F.lit("b/"), key).alias("branchName"),
+        F.struct(c("o_orderstatus").alias("id"), F.lower("o_orderstatus").alias("name"), F.lit("t").alias("type"), F.lit("grey").alias("color")).alias("state"),
+        F.struct(F.lit("1").alias("id"), F.lit("ORD").alias("key"), F.lit("Orders").alias("name")).alias("team"),
+        person.alias("creator"),
+        F.when(c("o_orderstatus") != "P", person).alias("assignee"),
+        F.when(done, F.struct(F.lit("9").alias("id"), F.lit("Ship").alias("name"), F.lit("open").alias("state"))).alias("project"),
+        F.struct(text(place).alias("id"), place.alias("number"), F.lit("week").alias("name")).alias("cycle"),
+        F.struct(who.alias("id"), F.concat(F.lit("C-"), who).alias("identifier")).alias("parent"),
         F.when(c("o_totalprice") > 100000, F.struct(labels.alias("nodes"))).alias("labels"),
     )
     return t.orders.select(F.to_json(node).alias("node"))
@@ -227,14 +261,27 @@ def issue_nodes(t) -> DataFrame:
 
 @query(
     "i9_issue_flatten",
-    """select cast(o_orderkey as varchar) as id, 'Order ' || o_orderkey as title, cast(left(o_orderpriority, 1) as integer) as priority, o_orderdate as updated_at,
-       lower(o_orderstatus) as state, case when o_orderstatus <> 'P' then cast(o_custkey as varchar) end as assignee,
-       case when o_totalprice > 100000 then 2 else 0 end as labels from orders""",
+    """with o as (select *, cast(o_orderkey as varchar) as k, cast(o_custkey as varchar) as w, cast(left(o_orderpriority, 1) as integer) as p from orders)
+    select k as id, 'ORD-' || k as identifier, o_orderkey as number, 'Order ' || k as title, case when o_orderstatus = 'F' then 'Done: ' || k end as description,
+      p as priority, o_orderpriority as priority_label, p / 2 as estimate, -p / 4 as sort_order, o_orderdate as started_at,
+      case when o_orderstatus = 'F' then o_orderdate end as completed_at, case when o_orderstatus = 'P' then o_orderdate end as canceled_at,
+      o_orderdate as created_at, o_orderdate as updated_at, case when o_orderstatus = 'F' then o_orderdate end as archived_at, cast(o_orderdate as date) as due_date,
+      'https://x.org/' || k as url, 'b/' || k as branch_name, lower(o_orderstatus) as state, 'grey' as state_color, 'ORD' as team, w || '@x.org' as creator,
+      case when o_orderstatus <> 'P' then w || '@x.org' end as assignee, case when o_orderstatus = 'F' then 'Ship/open' end as project,
+      cast(p as bigint) as cycle, 'C-' || w as parent, case when o_totalprice > 100000 then 2 else 0 end as labels from o""",
 )
 def _(t):
     rows = ingest.issues(issue_nodes(t))
+    plain = {
+        "id": "id", "identifier": "identifier", "number": "number", "title": "title", "description": "description", "priority": "priority",
+        "priority_label": "priorityLabel", "estimate": "estimate", "sort_order": "sortOrder", "started_at": "startedAt", "completed_at": "completedAt",
+        "canceled_at": "canceledAt", "created_at": "createdAt", "updated_at": "updatedAt", "archived_at": "archivedAt", "due_date": "dueDate", "url": "url",
+        "branch_name": "branchName", "state": "state.name", "state_color": "state.color", "team": "team.key", "creator": "creator.email",
+        "assignee": "assignee.email", "cycle": "cycle.number", "parent": "parent.identifier",
+    }
+    project = F.concat_ws("/", "project.name", "project.state")
     return rows.select(
-        "id", "title", "priority", c("updatedAt").alias("updated_at"), c("state.name").alias("state"), c("assignee.id").alias("assignee"), F.size("labels").alias("labels")
+        *[c(source).alias(name) for name, source in plain.items()], F.when(c("project").isNotNull(), project).alias("project"), F.size("labels").alias("labels")
     )
 
 
@@ -304,3 +351,22 @@ def _(t):
     runs = VersionedTable(t.spark, scratch_path(t.spark, "run-metadata"))
     runs.merge(landed(first, "runs-1"), ["id"], ["seq"])
     return runs.merge(landed(again, "runs-2"), ["id"], ["seq"]).drop("seq")
+
+
+_RESOURCE = "case event_type when 'click' then 'pipeline_runs' when 'view' then 'task_runs' when 'error' then 'operations' else 'assets' end"
+
+
+@query(
+    "i12_all_resources",
+    f"""select {_RESOURCE} as resource, cast(user_id as varchar) as key, max(event_id) as seq, arg_max(event_type, event_id) as status from events group by 1, 2""",
+)
+def _(t):
+    root, made = scratch_path(t.spark, "run-resources"), {}
+    for half in (0, 1):
+        rows = t.events.where(c("event_id") % 2 == half).select(F.expr(_RESOURCE).alias("resource"), text(c("user_id")).alias("key"), c("event_id").alias("seq"), c("event_type").alias("status"))
+        batches = {n: rows.where(c("resource") == n).withColumnRenamed("key", k).drop("resource") for n, k in ingest.RUN_RESOURCES.items()}
+        if half:  # what is there takes part, so that late rows do not replace newer ones
+            batches = {n: df.unionByName(made[n]) for n, df in batches.items()}
+        made = ingest.merge_resources(t.spark, root, batches, ["seq"])
+    parts = [df.select(F.lit(n).alias("resource"), c(ingest.RUN_RESOURCES[n]).alias("key"), "seq", "status") for n, df in made.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewright.functions.dates import serial_to_date, serial_to_timestamp
 from tidewright.functions.text import slugify_name
+from tidewright.sources.load import VersionedTable
 
 _MAP = "map<string,string>"
 
@@ -53,16 +54,23 @@ def association_links(results: DataFrame) -> DataFrame:
     return links.distinct()
 
 
-def property_history(objects: DataFrame, raw: str = "raw") -> DataFrame:
-    """One row per change: object, property, value, time and source. Objects without history give none."""
-    kind = "map<string,array<struct<value:string,timestamp:string,sourceType:string>>>"
+# The fields of a history entry that become columns.
+HISTORY_FIELDS = ("value", "timestamp", "sourceType", "sourceId", "sourceLabel", "updatedByUserId")
+
+
+def property_history(objects: DataFrame, raw: str = "raw", fields: Sequence[str] = HISTORY_FIELDS) -> DataFrame:
+    """One row per change: object, property and the fields of the entry; objects without history give none.
+
+    Fields of an entry that are not listed stay in the map ``more``, as text.
+    """
+    kind = "map<string,array<map<string,string>>>"
     history = objects.select(
         F.get_json_object(raw, "$.id").alias("object_id"),
-        F.explode(F.from_json(F.get_json_object(raw, "$.propertiesWithHistory"), kind)).alias(
-            "property_name", "changes"
-        ),
+        F.explode(F.from_json(F.get_json_object(raw, "$.propertiesWithHistory"), kind)).alias("property_name", "changes"),
     )
-    return history.select("object_id", "property_name", F.inline("changes"))
+    entries = history.select("object_id", "property_name", F.explode("changes").alias("entry"))
+    more = F.map_filter("entry", lambda k, v: ~k.isin(*fields))
+    return entries.select("object_id", "property_name", *[F.col("entry")[f].alias(f) for f in fields], more.alias("more"))
 
 
 # --- Sheets ----------------------------------------------------------------------------------------------
@@ -78,10 +86,14 @@ def cell_text(cell: Column) -> Column:
     return F.nullif(F.try_variant_get(cell, "$", "string"), F.lit(""))
 
 
-def column_kinds(formats: Sequence[str | None]) -> list[str | None]:
-    """Kind of each column from the number formats of the first data row."""
+def column_kinds(formats: Sequence[str | None], first_row: Sequence[object] = ()) -> list[str | None]:
+    """Kind of each column from the number formats and, where these say nothing, the values of the first data row."""
     kinds = {"DATE_TIME": "timestamp", "TIME": "timestamp", "DATE": "date"}
-    return [kinds.get(f) if f else None for f in formats]
+    out = [kinds.get(f) if f else None for f in formats]
+    for i, value in enumerate(first_row):
+        if i < len(out) and out[i] is None and not isinstance(value, str) and value is not None:
+            out[i] = "boolean" if isinstance(value, bool) else "bigint" if isinstance(value, int) else "double"
+    return out
 
 
 def header_names(cells: Sequence[object]) -> tuple[list[str], bool]:
@@ -99,34 +111,36 @@ def header_names(cells: Sequence[object]) -> tuple[list[str], bool]:
     return names, True
 
 
-def typed_rows(grid: DataFrame, headers: Sequence[str], kinds: Sequence[str | None], keep: Sequence[str] = ()) -> DataFrame:
-    """Grid rows as a table: empty rows go, short rows are filled with null, cells past the header are dropped.
+_NO_NUMBER = ("STRING", "BOOLEAN", "VOID")
+
 
-    Numbers in date and timestamp columns are spreadsheet serials; everything else stays text.
+def typed_cell(cell: Column, kind: str | None) -> Column:
+    """A cell as text (no kind), as a date or timestamp, as any other SQL type, or as it is (``variant``); '' is null.
+
+    Numbers in date and timestamp cells are spreadsheet serials.
     """
+    if kind is None:
+        return cell_text(cell)
+    if kind == "variant":
+        return F.when(cell_text(cell).isNotNull(), cell)
+    if kind not in ("date", "timestamp"):
+        return F.try_variant_get(cell, "$", kind)
+    number = F.when(~F.schema_of_variant(cell).isin(*_NO_NUMBER), F.try_variant_get(cell, "$", "double"))
+    if kind == "date":
+        return F.coalesce(serial_to_date(number), cell_text(cell).try_cast("date"))
+    return F.coalesce(serial_to_timestamp(number), cell_text(cell).try_cast("timestamp_ntz"))
+
+
+def typed_rows(grid: DataFrame, headers: Sequence[str], kinds: Sequence[str | None], keep: Sequence[str] = ()) -> DataFrame:
+    """Grid rows as a table: empty rows go, short rows are filled with null, cells past the header are dropped."""
     kinds = list(kinds) + [None] * (len(headers) - len(kinds))
-    out = []
-    for i, (name, kind) in enumerate(zip(headers, kinds)):
-        cell = F.get("cells", F.lit(i))
-        if kind is None:
-            out.append(cell_text(cell).alias(name))
-            continue
-        number = F.when(
-            F.schema_of_variant(cell).rlike("^(BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT|DECIMAL)"),
-            F.try_variant_get(cell, "$", "double"),
-        )
-        if kind == "date":
-            out.append(F.coalesce(serial_to_date(number), cell_text(cell).try_cast("date")).alias(name))
-        else:
-            out.append(
-                F.coalesce(serial_to_timestamp(number), cell_text(cell).try_cast("timestamp_ntz")).alias(name)
-            )
-    return grid.where(F.size("cells") > 0).select(*keep, *out)
+    cells = [typed_cell(F.get("cells", F.lit(i)), kind).alias(name) for i, (name, kind) in enumerate(zip(headers, kinds))]
+    return grid.where(F.size("cells") > 0).select(*keep, *cells)
 
 
 def records(grid: DataFrame, headers: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """Rows as untyped records; fields past the end of a row are absent."""
-    return typed_rows(grid, headers, [], keep)
+    """Rows as records whose fields keep the types of their cells; fields past the end of a row are absent."""
+    return typed_rows(grid, headers, ["variant"] * len(headers), keep)
 
 
 def trim_top_left(grid: DataFrame, sheet: str = "sheet", row: str = "row_index") -> DataFrame:
@@ -154,11 +168,16 @@ def range_metadata(grid: DataFrame, sheet: str = "sheet", row: str = "row_index"
 
 # --- Issue tracker and event logs ------------------------------------------------------------------------
 
-ISSUE = (
-    "id string, number bigint, title string, priority int, updatedAt timestamp_ntz, "
-    "state struct<id:string,name:string,type:string>, team struct<id:string,key:string,name:string>, "
-    "assignee struct<id:string,name:string>, labels struct<nodes:array<struct<id:string,name:string,color:string>>>"
-)
+# The fields of an issue as the tracker gives them.
+ISSUE = """
+    id string, identifier string, number bigint, title string, description string, priority int, priorityLabel string,
+    estimate double, sortOrder double, startedAt timestamp_ntz, completedAt timestamp_ntz, canceledAt timestamp_ntz,
+    createdAt timestamp_ntz, updatedAt timestamp_ntz, archivedAt timestamp_ntz, dueDate date, url string, branchName string,
+    state struct<id:string,name:string,type:string,color:string>, team struct<id:string,key:string,name:string>,
+    creator struct<id:string,name:string,email:string>, assignee struct<id:string,name:string,email:string>,
+    project struct<id:string,name:string,state:string>, cycle struct<id:string,number:bigint,name:string>,
+    parent struct<id:string,identifier:string>, labels struct<nodes:array<struct<id:string,name:string,color:string>>>
+"""
 
 
 def issues(nodes: DataFrame, raw: str = "node") -> DataFrame:
@@ -197,3 +216,17 @@ def event_params(events: DataFrame, key: Sequence[str], params: str = "event_par
 def params_map(events: DataFrame, key: Sequence[str], params: str = "event_params") -> DataFrame:
     """Parameters of each event as one map from key to value struct."""
     return events.select(*key, F.map_from_entries(params).alias("params"))
+
+
+# --- Run metadata ----------------------------------------------------------------------------------------
+
+# The resources of the run log and what their rows are merged by.
+RUN_RESOURCES = {"pipeline_runs": "id", "task_runs": "id", "operations": "id", "assets": "assetId"}
+
+
+def merge_resources(spark: SparkSession, root: str, batches: dict[str, DataFrame], order_by: Sequence[str]) -> dict[str, DataFrame]:
+    """Merge a batch of each resource into its table under ``root``; the newest row per key stays."""
+    unknown = sorted(set(batches) - set(RUN_RESOURCES))
+    if unknown:
+        raise ValueError(f"unknown resources {unknown}")
+    return {name: VersionedTable(spark, f"{root}/{name}").merge(df, [RUN_RESOURCES[name]], order_by) for name, df in batches.items()}
