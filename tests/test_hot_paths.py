@@ -45,3 +45,20 @@ def test_customer_orders_with_hot_customers(spark, folder):
     paid = models.int_orders(orders, models.stg_payments(models.raw_payments(t)))
     made = models.fct_customer_orders(paid, customers, orders, hot_rows=4)
     assert differences(made, load_all()["m3_fct_customer_orders"].sql, connect(folder)) == []
+
+
+def scans(df, folder):
+    """Files of the given tables that the plan reads."""
+    return sum(folder in line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line)
+
+
+def test_hot_customers_read_no_more_files(spark, folder):
+    from tidewright.plans import models
+    from tidewright.plans.registry import tables
+
+    t = tables(spark, folder)
+    orders = models.stg_orders(models.raw_orders(t))
+    customers = models.stg_customers(models.raw_customers(t))
+    paid = models.int_orders(orders, models.stg_payments(models.raw_payments(t)))
+    plain, hot = (models.fct_customer_orders(paid, customers, orders, **o) for o in ({}, {"hot_rows": 4}))
+    assert scans(hot, folder) <= scans(plain, folder) <= 4

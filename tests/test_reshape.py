@@ -153,3 +153,10 @@ def test_relations_of_other_schemas(spark):
     names = ["sales.orders_1", "SALES_eu.orders_2", "hr.orders_3", "sales.staff"]
     assert relations_by_pattern(names, "ORDERS%", schema_pattern="sales%") == ["SALES_eu.orders_2", "sales.orders_1"]
     assert relations_by_prefix(names, "orders_", exclude="%2", schema_pattern="sales%") == ["sales.orders_1"]
+
+
+def test_listagg_rejects_wide_groups(spark):
+    df = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "z")], "k string, v string")
+    assert rows(reshape.listagg(df, ["k"], "v", max_rows=2)) == [("a", "x,y"), ("b", "z")]
+    with pytest.raises(ValueError, match="has 2 texts"):
+        reshape.listagg(df, ["k"], "v", max_rows=1)

@@ -243,11 +243,13 @@ def listagg(
     distinct: bool = False,
     limit: int | None = None,
     name: str = "listagg",
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Text of each group put together in order.
 
     With ``distinct`` the doubles go before the texts meet. With ``limit`` only the first texts of each group
-    are kept, from the map side on, so a hot group never meets in full.
+    are kept, from the map side on, so a hot group never meets in full. A list is one value of one row; ``max_rows``
+    makes a group of more texts an error before any list is made.
     """
     keys = list(group_by)
     if distinct:
@@ -256,5 +258,9 @@ def listagg(
     rows = df.where(F.col(text).isNotNull()).select(*keys, F.col(order_by).alias("__at"), F.col(text).alias("__text"))
     if limit is not None:
         rows = first_rows(rows, keys, [F.col("__at"), F.col("__text")], limit)
+    elif max_rows is not None:
+        wide = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > max_rows).first()
+        if wide is not None:
+            raise ValueError(f"group {tuple(wide)[:-1]} has {wide['__n']} texts, more than {max_rows}")
     parts = F.sort_array(F.collect_list(F.struct("__at", "__text")))
     return rows.groupBy(*keys).agg(F.array_join(parts["__text"], delimiter).alias(name))
