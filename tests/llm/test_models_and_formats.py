@@ -125,6 +125,7 @@ def test_main_text():
     assert html.main_text(PAGE % f"<article>{article}</article>") == want
     assert html.main_text(PAGE % f"<div class=post>{article}</div>") == want
     assert html.main_text(PAGE % f"<main><div class='ad'>Buy now</div>{article}</main>") == want
+    assert html.main_text(PAGE % f"<article class='has-sidebar'>{article}<article class='comment'><p>A reader adds this.</p></article></article>") == want
     assert html.main_text(PAGE % "") == "" == html.main_text("") == html.main_text("<p>  <br>")
     assert html.main_text("plain words") == "plain words"
     assert html.main_text("<article><p>cut off in the <a href='") == "cut off in the"

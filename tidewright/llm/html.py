@@ -53,7 +53,11 @@ def _dropped(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) ->
     for name, value in attrs:
         if name == "hidden" or name == "aria-hidden" and value == "true":
             return True
-        if value and (name in ("class", "id") and tag not in ("html", "body", "article", "main") and NAMES.search(value) or name == "role" and value.lower() in ROLES):
+        if value and name == "role" and value.lower() in ROLES:
+            return True
+        # The page's own article may be named after what stands beside it; one inside it is a comment or a teaser.
+        whole = tag in ("html", "body") or tag in ARTICLES and not in_article
+        if value and name in ("class", "id") and not whole and NAMES.search(value):
             return True
     return False
 
