@@ -166,6 +166,7 @@ def test_classifier_on_held_out_documents(spark):
     frame = spark.createDataFrame(docs, "doc_id long, text string")
     marked = spark.createDataFrame([*labels, (None, 1, 0), (1, None, 0), labels[0]], "doc_id long, quality int, toxic int")
     kept = {r.doc_id: r.kept for r in quality_classifier.resample(frame, marked).collect()}
+    assert {r.doc_id: r.kept for r in quality_classifier.judge(frame, marked).collect()} == kept
     bad = {i: "vil" in t or "nast" in t for i, t in docs}
     held = [i for i, _ in docs if i % 2 == 0]
     assert sum(kept[i] != bad[i] for i in held) >= 0.98 * len(held)
@@ -176,6 +177,7 @@ def test_classifier_on_held_out_documents(spark):
 def test_classifier_on_odd_rows(spark, docs, no_docs):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     judged = quality_classifier.resample(docs, none)
+    assert quality_classifier.judge(docs, none).columns == [*[x for x in docs.columns if x != "text"], "log_weight", "kept"]
     assert judged.columns == [*docs.columns, "log_weight", "kept"] and {r.kept for r in judged.collect()} == {True}
     some = spark.createDataFrame([(0, 1, 0), (1, 0, 1), (2, 1, None), (3, 1, 1), (5, 1, 0)], "doc_id long, quality int, toxic int")
     assert quality_classifier.resample(docs, some).count() == docs.count()

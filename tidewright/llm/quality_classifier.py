@@ -30,48 +30,74 @@ LABELLED = 20_000
 SIGNIFICANT, ADDED = 5.0, 0.5
 #: Scale of the Gumbel noise in units of the log weight.
 TEMPERATURE = 0.05
-#: Bytes of the word beginnings used.
+#: Bytes of the word beginnings used, eight at most.
 BEGINNINGS = (4, 5, 6, 8)
 
 _SHAPE = bytes(65 if 65 <= x <= 90 else 97 if 97 <= x <= 122 or x >= 128 else 48 if 48 <= x <= 57 else x for x in range(256))
 _SAME = np.uint64(0x5851F42D4C957F2D)
 
 
-def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bucket of every n-gram of some texts, the text it is in, and the n-grams per text."""
-    words, counts = c.flat([c.plain_words(t) for t in texts])
-    if not words:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
-    _, at, back = np.unique(c.word_hashes(words), return_index=True, return_inverse=True)
-    kinds = [words[i] for i in at.tolist()]  # each distinct word is looked at once
-    lower = [w.lower() for w in kinds]
-    word = c.word_hashes(lower)[back]
-    shape = c.word_hashes([s[:1] + s[-3:] for s in (w.translate(_SHAPE) for w in kinds)])[back] + np.uint64(1)
-    doc = np.repeat(np.arange(len(texts)), counts)
-    out, of = [word, shape], [doc, doc]
-    if len(word) > 1:
+@dataclass(frozen=True)
+class Grams:
+    """The n-grams of some texts: those of a word are listed once for each distinct word, ``-1`` where it has none."""
+
+    of_word: np.ndarray  # a row of buckets for each distinct word
+    word: np.ndarray  # the distinct word of each place
+    doc: np.ndarray  # the text of each place
+    pair: np.ndarray  # bucket of each pair of neighbours
+    pair_doc: np.ndarray
+    texts: int
+
+    @staticmethod
+    def of(texts: list[bytes]) -> Grams:
+        words, counts = c.flat([c.plain_words(t) for t in texts])
+        doc = np.repeat(np.arange(len(texts)), counts)
+        _, at, back = np.unique(c.word_hashes(words), return_index=True, return_inverse=True)
+        kinds = [words[i] for i in at.tolist()]  # each distinct word is looked at once
+        lower = [w.lower() for w in kinds]
+        whole = c.word_hashes(lower)
+        shape = c.word_hashes([s[:1] + s[-3:] for s in (w.translate(_SHAPE) for w in kinds)]) + np.uint64(1)
+        columns = [_bucket(whole), _bucket(shape)]
+        length = np.fromiter(map(len, lower), np.int64, len(lower))
+        first = np.array(lower, "S8").view("<u8") if lower else np.zeros(0, np.uint64)  # up to eight bytes as a number
+        for n in BEGINNINGS:
+            begins = c.mixed(first & np.uint64((1 << 8 * n) - 1)) + np.uint64(n)
+            columns.append(np.where(length > n, _bucket(begins), -1))
+        word = whole[back]
         inside = doc[1:] == doc[:-1]
-        pair = np.where(word[1:] == word[:-1], _SAME, word[:-1] * np.uint64(3) + word[1:])
-        out.append(pair[inside])
-        of.append(doc[1:][inside])
-    for n in BEGINNINGS:
-        longer = np.fromiter((len(w) > n for w in lower), bool, len(lower))
-        begins = c.word_hashes([w[:n] for w in lower]) + np.uint64(n)
-        out.append(begins[back][longer[back]])
-        of.append(doc[longer[back]])
-    gram, doc = c.mixed(np.concatenate(out)), np.concatenate(of)
-    return (gram >> np.uint64(64 - BUCKET_BITS)).view(np.int64), doc, np.bincount(doc, minlength=len(texts))
+        pair = np.where(word[1:] == word[:-1], _SAME, word[:-1] * np.uint64(3) + word[1:])[inside]
+        return Grams(np.stack(columns, axis=1), back, doc, _bucket(pair), doc[1:][inside], len(texts))
+
+    def counts(self, chosen: np.ndarray | None = None) -> np.ndarray:
+        """How often each bucket occurs, in all texts or in the chosen ones."""
+        word, pair = (self.word, self.pair) if chosen is None else (self.word[chosen[self.doc]], self.pair[chosen[self.pair_doc]])
+        times = np.repeat(np.bincount(word, minlength=len(self.of_word)), self.of_word.shape[1])
+        bucket = self.of_word.ravel()
+        some = bucket >= 0
+        out = np.bincount(bucket[some], times[some], minlength=1 << BUCKET_BITS)
+        return out.astype(np.int32) + np.bincount(pair, minlength=1 << BUCKET_BITS).astype(np.int32)
+
+    def sums(self, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each text: the sum of its n-grams' values, and their number."""
+        some = self.of_word >= 0
+        of_word = np.where(some, value[np.maximum(self.of_word, 0)], 0).sum(axis=1, dtype=np.float64)
+        total = np.bincount(self.doc, of_word[self.word], minlength=self.texts) + np.bincount(self.pair_doc, value[self.pair], minlength=self.texts)
+        return total, np.bincount(self.doc, some.sum(axis=1)[self.word], minlength=self.texts) + np.bincount(self.pair_doc, minlength=self.texts)
+
+
+def _bucket(gram: np.ndarray) -> np.ndarray:
+    return (c.mixed(gram) >> np.uint64(64 - BUCKET_BITS)).view(np.int64)
 
 
 def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of a task's documents, and of the target ones among them, as blobs of ``RANGE`` buckets."""
     raw, target = (np.zeros(1 << BUCKET_BITS, np.int32) for _ in range(2))
     for batch in c.slices(batches, "text"):
-        bucket, doc, _ = features(c.texts(batch.column("text")))
-        raw += np.bincount(bucket, minlength=len(raw)).astype(np.int32)
+        grams = Grams.of(c.texts(batch.column("text")))
+        raw += grams.counts()
         good = batch.column("target").to_numpy(zero_copy_only=False).astype(bool)
         if good.any():
-            target += np.bincount(bucket[good[doc]], minlength=len(raw)).astype(np.int32)
+            target += grams.counts(good)
     some = np.flatnonzero(raw.reshape(-1, RANGE).any(axis=1))
     yield pa.RecordBatch.from_pydict(
         {
@@ -133,8 +159,8 @@ def best_cut(weight: np.ndarray, good: np.ndarray) -> float:
 
 
 def log_weights(texts: list[bytes], ratio: np.ndarray) -> np.ndarray:
-    bucket, doc, counts = features(texts)
-    return np.bincount(doc, ratio[bucket], minlength=len(texts)) / np.sqrt(counts + 1.0)
+    total, n = Grams.of(texts).sums(ratio)
+    return total / np.sqrt(n + 1.0)
 
 
 def _weigh(ratio, text: str, weight: str, kept: list[str]) -> Callable:
@@ -214,18 +240,42 @@ def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     """
     docs = docs.drop(*ADDED_COLUMNS)
     model = fit(docs, labels, id_col, text_col)
-    ratio = docs.sparkSession.sparkContext.broadcast(model.ratio)
-    schema = T.StructType([*docs.schema.fields, T.StructField("log_weight", T.DoubleType())])
-    weighed = docs.mapInArrow(_weigh(ratio, text_col, "log_weight", docs.columns), schema)
-    drawn = F.col("log_weight") / temperature + gumbel([F.col(id_col).cast("long"), c.fingerprint(text_col)], seed)
-    key = F.when(F.col("log_weight").isNotNull(), drawn)
+    weighed = _weighed(docs, model, text_col, docs.columns)
+    key = _drawn(id_col, c.fingerprint(text_col), temperature, seed)
     values = landed(weighed.select(key.alias("key"), (F.col("log_weight") >= F.lit(model.cut)).alias("passes")), "weights")
+    return weighed.withColumn("kept", _kept(key, values))
+
+
+def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", temperature: float = TEMPERATURE, seed: int = 7) -> DataFrame:
+    """What ``resample`` gives, without the text and so with one pass less over it."""
+    docs = docs.drop(*ADDED_COLUMNS)
+    model = fit(docs, labels, id_col, text_col)
+    names, fp, key, passes = [n for n in docs.columns if n != text_col], *(c.fresh(docs, x) for x in ("text_fp", "drawn_key", "passes"))
+    marked = docs.withColumn(fp, c.fingerprint(text_col))
+    weighed = _weighed(marked, model, text_col, [*names, fp])
+    drawn = weighed.withColumns({key: _drawn(id_col, F.col(fp), temperature, seed), passes: F.col("log_weight") >= F.lit(model.cut)})
+    held = landed(drawn.drop(fp), "weights")
+    values = held.select(F.col(key).alias("key"), F.col(passes).alias("passes"))
+    return held.select(*names, "log_weight", _kept(F.col(key), values).alias("kept"))
+
+
+def _weighed(docs: DataFrame, model: Model, text_col: str, kept: list[str]) -> DataFrame:
+    ratio = docs.sparkSession.sparkContext.broadcast(model.ratio)
+    schema = T.StructType([*[docs.schema[n] for n in kept], T.StructField("log_weight", T.DoubleType())])
+    return docs.mapInArrow(_weigh(ratio, text_col, "log_weight", kept), schema)
+
+
+def _drawn(id_col: str, fp: Column, temperature: float, seed: int) -> Column:
+    """Log weight in units of the temperature, with the noise of the row."""
+    return F.col("log_weight") / temperature + gumbel([F.col(id_col).cast("long"), fp], seed)
+
+
+def _kept(key: Column, values: DataFrame) -> Column:
+    """Whether a row is among the ``k`` largest keys, ``k`` being the number of rows that pass."""
     total, k = values.agg(F.count("*"), F.coalesce(F.count_if("passes"), F.lit(0))).first()
-    if k == total:
-        return weighed.withColumn("kept", F.lit(True))
-    if not k:
-        return weighed.withColumn("kept", F.lit(False))
-    return weighed.withColumn("kept", key >= F.lit(kth_largest(values, "key", k)))
+    if k == total or not k:
+        return F.lit(k == total)
+    return key >= F.lit(kth_largest(values, "key", k))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -213,8 +213,7 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_quality_classifier")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").select("doc_id", "text")
-    judged = quality_classifier.resample(docs, read(spark, folder, "labels"))
-    return judged.select("doc_id", "log_weight", "kept")
+    return quality_classifier.judge(docs, read(spark, folder, "labels")).select("doc_id", "log_weight", "kept")
 
 
 @query("op7_lm_scoring")
