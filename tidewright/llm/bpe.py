@@ -22,10 +22,10 @@ from pyspark.sql import types as T
 
 from tidewright.llm import common as c
 
-#: Encodings of words that a worker keeps; when full, it starts over.
-CACHED_WORDS = 300_000
-#: Pairs of tokens whose stability, and short runs whose encoding, a worker keeps.
-CACHED_PAIRS = 400_000
+#: Encodings of words that a task keeps; when full, it starts over.
+CACHED_WORDS = 500_000
+#: Pairs of tokens whose stability, and short runs whose encoding, a task keeps.
+CACHED_PAIRS = 300_000
 CACHED_RUNS = 200_000
 #: Bytes of a run that is not halved any more.
 LEAF = 8
@@ -163,28 +163,10 @@ class Bpe:
         return fold(np.frombuffer(ids, "<u4"))
 
 
-_OPEN: dict[int, Bpe] = {}
-
-
-def _bpe(rank_file, pattern: str) -> Bpe:
-    """One coder per worker process and broadcast file."""
-    if rank_file.id not in _OPEN:
-        _OPEN.clear()
-        _OPEN[rank_file.id] = Bpe(rank_file.value, pattern)
-    return _OPEN[rank_file.id]
-
-
-class _File:
-    """The broadcast rank file (under a megabyte) with an id that worker processes keep their coder by."""
-
-    def __init__(self, docs: DataFrame, path: str):
-        with open(path, "rb") as f:
-            data = f.read()
-        self.id, self.held = hash((path, len(data))), docs.sparkSession.sparkContext.broadcast(data)
-
-    @property
-    def value(self) -> bytes:
-        return self.held.value
+def _broadcast(docs: DataFrame, path: str):
+    """The rank file, under a megabyte, for all tasks."""
+    with open(path, "rb") as f:
+        return docs.sparkSession.sparkContext.broadcast(f.read())
 
 
 def encode(docs: DataFrame, rank_path: str, pattern: str, text_col: str = "text") -> DataFrame:
@@ -195,10 +177,10 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, text_col: str = "text"
     """
     docs = docs.drop("n_tokens", "token_ids")
     schema = T.StructType([*docs.schema.fields, T.StructField("n_tokens", T.LongType()), T.StructField("token_ids", T.BinaryType())])
-    file = _File(docs, rank_path)
+    file = _broadcast(docs, rank_path)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = _bpe(file, pattern)
+        bpe = Bpe(file.value, pattern)  # with its task, its caches go as well
         for batch in c.slices(batches, text_col):
             ids = [bpe.encode(t) if t else b"" for t in batch.column(text_col).to_pylist()]
             columns = {n: batch.column(n) for n in batch.schema.names}
@@ -212,10 +194,10 @@ def decode(docs: DataFrame, rank_path: str, pattern: str, ids_col: str = "token_
     """Adds ``decoded``: the bytes of the tokens, whether or not they are valid UTF-8. Null ids decode to nothing."""
     docs = docs.drop("decoded")
     schema = T.StructType([*docs.schema.fields, T.StructField("decoded", T.BinaryType())])
-    file = _File(docs, rank_path)
+    file = _broadcast(docs, rank_path)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = _bpe(file, pattern)
+        bpe = Bpe(file.value, pattern)  # with its task, its caches go as well
         for batch in c.slices(batches, ids_col):
             columns = {n: batch.column(n) for n in batch.schema.names}
             columns["decoded"] = pa.array([bpe.decode(x) if x else b"" for x in batch.column(ids_col).to_pylist()], pa.binary())
