@@ -24,6 +24,7 @@ NAMES = [
 @pytest.fixture
 def all_hot(monkeypatch):
     monkeypatch.setitem(windows.with_window.__kwdefaults__, "hot_rows", 4)
+    monkeypatch.setitem(windows.with_window.__kwdefaults__, "slices", 8)
     monkeypatch.setattr(windows.hot_keys, "__defaults__", (4,))
 
 
@@ -35,7 +36,7 @@ def test_hot_query(spark, folder, all_hot, name):
     assert differences(df, q.sql, connect(folder)) == []
 
 
-def test_customer_orders_with_hot_customers(spark, folder):
+def test_customer_orders_with_hot_customers(spark, folder, all_hot):
     from tidewright.plans import models
     from tidewright.plans.registry import tables
 
@@ -52,7 +53,7 @@ def scans(df, folder):
     return sum(folder in line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line)
 
 
-def test_hot_customers_read_no_more_files(spark, folder):
+def test_hot_customers_read_no_more_files(spark, folder, all_hot):
     from tidewright.plans import models
     from tidewright.plans.registry import tables
 
@@ -60,5 +61,5 @@ def test_hot_customers_read_no_more_files(spark, folder):
     orders = models.stg_orders(models.raw_orders(t))
     customers = models.stg_customers(models.raw_customers(t))
     paid = models.int_orders(orders, models.stg_payments(models.raw_payments(t)))
-    plain, hot = (models.fct_customer_orders(paid, customers, orders, **o) for o in ({}, {"hot_rows": 4}))
+    plain, hot = (models.fct_customer_orders(paid, customers, orders, **o) for o in ({"hot_rows": 10**6}, {"hot_rows": 4}))
     assert scans(hot, folder) <= scans(plain, folder) <= 4

@@ -34,7 +34,7 @@ PEERS = {"rk": w.rank(), "total": w.running_sum("v")}
 @pytest.mark.parametrize("keys", [[], ["k"]])
 @pytest.mark.parametrize("order, specs", [(["id"], FULL), (["o", "id"], FULL), (["s", "id"], FULL), (["o"], PEERS), (["s"], PEERS), (["one"], PEERS)])
 def test_slices_match_plain_windows(skewed, keys, order, specs):
-    cut = w.with_window(skewed, order, keys, hot_rows=100, **specs)
+    cut = w.with_window(skewed, order, keys, hot_rows=100, slices=9, **specs)
     plain = w._plain(skewed, keys, order, specs)
     assert cut.columns == plain.columns
     assert cut.exceptAll(plain).isEmpty() and plain.exceptAll(cut).isEmpty()
@@ -96,6 +96,6 @@ def test_many_hot_keys(spark):
     rows = spark.range(6000).select("id", (c("id") % 600).alias("k"), (c("id") % 3).alias("v"))
     assert w.hot_keys(rows, ["k"], 4).keys.count() == 600
     specs = {"rn": w.row_number(), "total": w.running_sum("v"), "before": w.lag("v")}
-    cut = w.with_window(rows, ["id"], ["k"], hot_rows=4, **specs)
+    cut = w.with_window(rows, ["id"], ["k"], hot_rows=4, slices=40, **specs)
     plain = w._plain(rows, ["k"], ["id"], specs)
     assert cut.exceptAll(plain).isEmpty() and plain.exceptAll(cut).isEmpty()

@@ -643,7 +643,7 @@ def _(t):
 )
 def _(t):
     rows = t.customer.select("c_custkey", "c_mktsegment", "c_name")
-    made = windows.with_window(rows, ["c_name"], ["c_mktsegment"], hot_rows=20, seq=windows.row_number(), place=windows.rank())
+    made = windows.with_window(rows, ["c_name"], ["c_mktsegment"], hot_rows=20, slices=16, seq=windows.row_number(), place=windows.rank())
     return made.select("c_custkey", "seq", "place")
 
 
