@@ -256,3 +256,18 @@ def test_divide_skip_counts():
         lists = [sorted(set(rng.integers(0, 40, rng.integers(0, 30)).tolist())) for _ in range(12)]
         count = {x: sum(x in one for one in lists) for x in range(40)}
         assert jaccard.divide_skip(lists, least) == {x: n for x, n in count.items() if n >= least}
+
+
+def test_sketches_never_rule_out_a_link():
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        n = int(rng.integers(9, 900))
+        percent = int(rng.choice([50, 80, 90]))
+        one = np.unique(rng.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2))
+        gone = rng.integers(0, len(one) // 5 + 1)
+        other = np.unique(np.concatenate([one[gone:], rng.integers(0, 2**63, rng.integers(0, n // 5 + 1)).astype(np.uint64)]))
+        same = len(np.intersect1d(one, other))
+        apart = jaccard.parts_apart(jaccard.sketch(one, percent), jaccard.sketch(other, percent))
+        assert apart <= len(one) + len(other) - 2 * same
+        if 100 * same >= percent * (len(one) + len(other) - same):
+            assert apart <= jaccard.most_apart(len(one) + len(other), percent)

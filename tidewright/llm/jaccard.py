@@ -6,6 +6,9 @@ ones are left to probing. Which shingles count as rare is an estimate and touche
 
 A list never gives all pairs of its classes. First each class is held against one class of each of its lists, drawn by
 hash; links found join components. Then only classes of different components in one list are held against each other.
+Before whole sets are moved to be probed, pairs are put to a sketch: the sets' hash range is cut into parts and each part
+summed to one byte. A shingle that only one set has changes one part at most, so pairs with more differing parts than a
+link may have differing shingles are out, and no link is lost.
 """
 
 from __future__ import annotations
@@ -40,6 +43,25 @@ def least_overlap(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
+def most_apart(n, percent: int):
+    """Shingles that two linked sets of ``n`` together may not share, counted on both sides; ``n`` may be an array."""
+    return n - 2 * -(-percent * n // (100 + percent))
+
+
+def sketch(one: np.ndarray, percent: int) -> np.ndarray:
+    """Byte sums of the parts of a set's hash range: two to four times as many parts as shingles may differ."""
+    bits = max(3, (2 * most_apart(2 * len(one), percent)).bit_length())
+    part = (one >> np.uint64(64 - bits)).view(np.int64)
+    return (np.bincount(part, (one & np.uint64(255)).astype(np.float64), minlength=1 << bits) % 256).astype(np.uint8)
+
+
+def parts_apart(a: np.ndarray, b: np.ndarray) -> int:
+    """Parts in which two sketches differ; the finer one is summed up to the other's parts."""
+    if len(a) < len(b):
+        a, b = b, a
+    return int((a.reshape(len(b), -1).sum(axis=1, dtype=np.uint8) != b).sum())
+
+
 def _sets(texts: list[bytes], k: int) -> tuple[list[np.ndarray], np.ndarray]:
     """Sorted distinct shingle hashes of each text, and all of them."""
     words, counts = c.flat([c.lower_words(t) for t in texts])
@@ -62,7 +84,7 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x).view(np.int64)
 
 
-def _describe(k: int) -> Callable:
+def _describe(k: int, percent: int) -> Callable:
     """A row per document (``heavy`` null), and rows of shingles that are frequent in a batch with their count in ``n``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,6 +96,7 @@ def _describe(k: int) -> Callable:
                     "fp": batch.column("fp"),
                     "n": pa.array([len(s) for s in sets], pa.int64()),
                     "node": pa.array([_name(s) for s in sets], pa.int64()),
+                    "sketch": pa.array([sketch(s, percent).tobytes() for s in sets], pa.binary()),
                     "heavy": pa.nulls(len(sets), pa.int64()),
                 }
             )
@@ -83,7 +106,7 @@ def _describe(k: int) -> Callable:
             if len(often):
                 none = pa.nulls(len(often), pa.int64())
                 yield pa.RecordBatch.from_pydict(
-                    {"id": none, "fp": none, "n": pa.array(count[often].astype(np.int64)), "node": none, "heavy": pa.array(_signed(shingle[often]))}
+                    {"id": none, "fp": none, "n": pa.array(count[often].astype(np.int64)), "node": none, "sketch": pa.nulls(len(often), pa.binary()), "heavy": pa.array(_signed(shingle[often]))}
                 )
 
     return run
@@ -234,10 +257,84 @@ def _verify(percent: int) -> Callable:
     return run
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _possible(percent: int) -> Callable:
+    """Pairs that their sketches do not rule out."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = batch.column("left").to_pylist(), batch.column("right").to_pylist()
+            size = (batch.column("na").to_numpy() + batch.column("nb").to_numpy()).tolist()
+            near = [parts_apart(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)) <= most_apart(n, percent) for x, y, n in zip(left, right, size, strict=True)]
+            keep = pa.array(near, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(n).filter(keep) for n in ("a", "b")], names=["a", "b"])
+
+    return run
+
+
+def apart_in_list(node: np.ndarray, n: np.ndarray, label: np.ndarray, asks: np.ndarray, sketches: list[np.ndarray], percent: int) -> set[tuple[int, int]]:
+    """Pairs of one list, in different components and one of them asking, that neither sizes nor sketches rule out."""
+    width = np.array([len(x) for x in sketches])
+    blocks = {w: (at := np.flatnonzero(width == w), np.stack([sketches[i] for i in at])) for w in np.unique(width).tolist()}
+    found = set()
+    for i in np.flatnonzero(asks).tolist():
+        mine = sketches[i]
+        for w, (at, block) in blocks.items():
+            other = (label[at] != label[i]) & (np.minimum(n[at], n[i]) * 100 >= np.maximum(n[at], n[i]) * percent)
+            at, block = at[other], block[other]
+            if not len(at):
+                continue
+            one = mine.reshape(w, -1).sum(axis=1, dtype=np.uint8) if w < len(mine) else mine
+            if w > len(mine):
+                block = block.reshape(len(at), len(mine), -1).sum(axis=2, dtype=np.uint8)
+            near = (block != one).sum(axis=1) <= most_apart(n[at] + n[i], percent)
+            found.update((min(node[i], x), max(node[i], x)) for x in node[at[near]].tolist())
+    return found
+
+
+def _apart(percent: int) -> Callable:
+    """Pairs of each list, from rows sorted by token."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def pairs() -> pa.RecordBatch:
+            one = pa.Table.from_batches(held)
+            numbers = [one.column(x).to_numpy() for x in ("node", "n", "label", "asks")]
+            found = sorted(apart_in_list(*numbers, [np.frombuffer(x, np.uint8) for x in one.column("sketch").to_pylist()], percent))
+            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+        for batch in batches:
+            token = batch.column("token").to_numpy()
+            first, length = c.runs(np.append(True, token[1:] != token[:-1])[: len(token)])
+            for f, m in zip(first.tolist(), length.tolist(), strict=True):
+                if held and held[-1].column("token")[-1].as_py() != token[f]:
+                    yield pairs()
+                    held = []
+                held.append(batch.slice(f, m))
+        if held:
+            yield pairs()
+
+    return run
+
+
+def _not_ruled_out(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """The pairs that their sketches leave open."""
+    for side, other in (("a", "left"), ("b", "right")):
+        pairs = pairs.join(known.select(F.col("node").alias(side), F.col("size").alias(f"n{side}"), F.col("sketch").alias(other)), side)
+    return pairs.mapInArrow(_possible(percent), "a long, b long")
+
+
+def _linked(pairs: DataFrame, rows: DataFrame, keyed: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs that link; sets are made again from the texts of one document for each class that is still in question."""
+    pairs = landed(pairs, "pairs")
+    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    chosen = rows.join(asked, "node", "left_semi").groupBy("node").agg(F.min(F.struct("id", "fp")).alias("x")).select("x.id", "x.fp")
+    bits = _bits(keyed.sparkSession, chosen)
+    wanted = keyed.where("text is not null").select("text", _filter_places((F.col("id"), F.col("fp"))).alias("places"))
+    sets = wanted.mapInArrow(_needed_sets(k, bits), "node long, shingles binary").dropDuplicates(["node"])
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
-    return pairs.join(right, "b").join(left, "a").mapInArrow(_verify(percent), "a long, b long").distinct()
+    return landed(pairs.join(right, "b").join(left, "a").mapInArrow(_verify(percent), "a long, b long").distinct(), "links")
 
 
 def _pairs(x: DataFrame, percent: int) -> DataFrame:
@@ -250,7 +347,7 @@ def classes(docs: DataFrame, k: int = 3, percent: int = 90, id_col: str = "doc_i
     """The documents as ``id, fp, n, node`` (``node`` names the shingle set), and ``node, label`` for sets linked with others."""
     spark = docs.sparkSession
     keyed = docs.select(c.ordered_id(id_col).alias("id"), c.fingerprint(text_col).alias("fp"), F.col(text_col).cast("string").alias("text"))
-    described = landed(keyed.mapInArrow(_describe(k), "id long, fp long, n long, node long, heavy long"), "described")
+    described = landed(keyed.mapInArrow(_describe(k, percent), "id long, fp long, n long, node long, sketch binary, heavy long"), "described")
     rows = described.where("heavy is null")
     top = described.where("heavy is not null").groupBy("heavy").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "heavy").limit(HEAVY).toArrow()
     token, count = top.column("heavy").to_numpy().view(np.uint64), top.column("n").to_numpy()
@@ -262,14 +359,10 @@ def classes(docs: DataFrame, k: int = 3, percent: int = 90, id_col: str = "doc_i
     shared = postings.where("not hot").withColumns({"lo": F.min("node").over(of_token), "hi": F.max("node").over(of_token)}).where("lo <> hi")
     lists = landed(shared.select("token", "node", "n").union(postings.where("hot").select("token", "node", "n")), "lists")
 
-    listed = lists.select("node").distinct()
-    chosen = rows.join(listed, "node", "left_semi").groupBy("node").agg(F.min(F.struct("id", "fp")).alias("x")).select("x.id", "x.fp")
-    bits = _bits(spark, chosen)
-    wanted = keyed.where("text is not null").select("text", _filter_places((F.col("id"), F.col("fp"))).alias("places"))
-    sets = landed(wanted.mapInArrow(_needed_sets(k, bits), "node long, shingles binary"), "sets").dropDuplicates(["node"])
-
     drawn = lists.groupBy("token").agg(F.min(F.struct(F.xxhash64("node", "token").alias("h"), F.col("node").alias("node2"), F.col("n").alias("n2"))).alias("d")).select("token", "d.node2", "d.n2")
-    first = landed(_linked(_pairs(lists.join(drawn, "token"), percent), sets, percent), "links")
+    known = rows.groupBy("node").agg(F.first("n").alias("size"), F.first("sketch").alias("sketch"))
+    near = _not_ruled_out(_pairs(lists.join(drawn, "token"), percent), known, percent)
+    first = _linked(near, rows, keyed, k, percent)
     labels = components(first)
 
     marked = lists.join(labels, "node", "left").select("token", "node", "n", F.coalesce("label", "node").alias("label"))
@@ -277,9 +370,10 @@ def classes(docs: DataFrame, k: int = 3, percent: int = 90, id_col: str = "doc_i
     sizes = marked.groupBy("token", "label").agg(F.count("*").alias("m"))
     most = sizes.groupBy("token").agg(F.max(F.struct("m", "label")).alias("x"), F.count("*").alias("labels")).where("labels > 1")
     split = most.select("token", F.col("x.label").alias("main"))
-    fewer = marked.join(split, "token").where("label <> main").select("token", F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("label").alias("label2"))
-    apart = marked.join(fewer, "token").where("label <> label2")
-    second = _linked(_pairs(apart, percent), sets, percent)
+    # Pairs are made inside the lists and leave them only if their sketches do not rule them out.
+    open_lists = marked.join(split, "token").join(known, "node").select("token", "node", F.col("n").cast("long").alias("n"), "label", (F.col("label") != F.col("main")).alias("asks"), "sketch")
+    apart = open_lists.repartition("token").sortWithinPartitions("token").mapInArrow(_apart(percent), "a long, b long").distinct()
+    second = _linked(apart, rows, keyed, k, percent)
     return rows.select("id", "fp", "n", "node"), components(first.union(second))
 
 
