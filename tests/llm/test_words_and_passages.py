@@ -148,6 +148,16 @@ def test_repeated_lines_are_those_of_brute_force(docs, odd_texts, m):
     assert got == sorted(later_lines(odd_texts, m), key=str)
 
 
+def test_repeated_rows_do_not_multiply_places(spark):
+    text = "\n".join(f"line {i}" for i in range(64))
+    data = [(1, text), (1, text), *[(None, "x\ny\n" + text)] * 20, (2, "y\nline 0\nz")]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    places = line_dedup._lines(docs, "doc_id", "text").groupBy("id", "fp", "pos").count()
+    assert places.where("count > 1").count() == 0
+    cut = line_dedup.remove_repeated_lines(docs).select("doc_id", "n_lines", "n_removed", "text")
+    assert sorted(map(tuple, cut.collect()), key=str) == sorted(later_lines(data, 2), key=str)
+
+
 def test_runs_are_maximal(spark):
     docs = spark.createDataFrame([(1, "a\nb\nc\nd\ne\nf"), (2, "x\nb\nc\nd\ne\ny"), (3, "c\nd\nz\nb\nc")], "doc_id int, text string")
     runs = line_dedup.repeated_runs(docs, 2)

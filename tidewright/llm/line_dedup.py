@@ -19,11 +19,11 @@ _PLACE = ("id", "fp", "pos")
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row per line: place and two 64-bit hashes of the line."""
-    keyed = docs.where(F.col(text_col).isNotNull()).select(
-        c.ordered_id(id_col).alias("id"), c.fingerprint(text_col).alias("fp"), F.posexplode(F.split(text_col, "\n")).alias("pos", "line")
-    )
-    return keyed.select(*_PLACE, F.xxhash64("line").alias("r1"), F.xxhash64(F.lit(1), "line").alias("r2"))
+    """One row per line: place and two 64-bit hashes of the line. Rows equal in id and text have their places once, since
+    joins of places would multiply them by themselves at every level."""
+    line_hashes = F.transform(F.split(text_col, "\n"), lambda x: F.struct(F.xxhash64(x).alias("r1"), F.xxhash64(F.lit(1), x).alias("r2")))
+    keyed = docs.where(F.col(text_col).isNotNull()).select(c.ordered_id(id_col).alias("id"), c.fingerprint(text_col).alias("fp"), line_hashes.alias("lines"))
+    return keyed.dropDuplicates(["id", "fp"]).select("id", "fp", F.posexplode("lines").alias("pos", "line")).select(*_PLACE, "line.r1", "line.r2")
 
 
 def _ranked(pairs: DataFrame, name: str) -> DataFrame:
