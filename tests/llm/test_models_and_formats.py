@@ -7,6 +7,7 @@ import math
 import random
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -174,6 +175,27 @@ def test_classifier_on_held_out_documents(spark):
     assert stay.columns == frame.columns and {r.doc_id for r in stay.collect()} == {i for i, k in kept.items() if k}
 
 
+def test_toxic_documents_of_a_small_table_go(spark, folder):
+    small = Path(folder).parent / "sf0.01"
+    if not small.is_dir():
+        pytest.skip(f"no tables at {small}")
+    docs, labels = (spark.read.parquet(f"{small}/{n}.parquet") for n in ("documents", "labels"))
+    kept = {r.doc_id for r in quality_classifier.judge(docs.select("doc_id", "text"), labels).where("kept").collect()}
+    toxic = {r.doc_id for r in labels.where("quality = 1 and toxic = 1").collect()}
+    assert len(toxic) > 20 and len(toxic & kept) < len(toxic) / 2
+
+
+def test_gate_follows_the_labels():
+    good = np.array([True] * 6 + [False] * 2)
+    weights = np.tile(np.where(good, 0.0, 1.0)[:, None], len(quality_classifier.GATES))
+    assert quality_classifier.GATES[quality_classifier.best_gate(weights, good)[0]] == quality_classifier.SIGNIFICANT
+    weights[:, 2] = np.where(good, 0.0, -3.0)
+    gate, cut = quality_classifier.best_gate(weights, good)
+    assert gate == 2 and -3 < cut < 0
+    none = quality_classifier.best_gate(np.zeros((0, len(quality_classifier.GATES))), np.zeros(0, bool))
+    assert quality_classifier.GATES[none[0]] == quality_classifier.SIGNIFICANT and none[1] == float("-inf")
+
+
 def test_classifier_on_odd_rows(spark, docs, no_docs):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     judged = quality_classifier.resample(docs, none)

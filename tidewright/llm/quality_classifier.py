@@ -26,8 +26,11 @@ BUCKET_BITS = 21
 RANGE = 1 << 12
 #: Most labelled documents used: those with the least hash of their id. One in four of them sets the cut.
 LABELLED = 20_000
-#: Standard deviations by which a count must fall short to matter, and the count added to either side.
-SIGNIFICANT, ADDED = 5.0, 0.5
+#: Standard deviations by which a count may have to fall short to matter; the held labels choose among them, as what they
+#: show depends on the size of the tables. Labels that do not tell them apart leave the one closest to ``SIGNIFICANT``.
+GATES, SIGNIFICANT = (1.0, 1.5, 2.0, 2.5, 3.0, 3.5, 4.0, 5.0, 6.0, 7.0, 10.0), 5.0
+#: The count added to either side.
+ADDED = 0.5
 #: Scale of the Gumbel noise in units of the log weight.
 TEMPERATURE = 0.05
 #: Bytes of the word beginnings used, eight at most.
@@ -136,11 +139,16 @@ class Model:
     cut: float
 
 
-def log_ratio(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """What each bucket adds to a log weight: 0 unless the target has it significantly less often than the raw text."""
+def log_ratio(raw: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log ratio of target to raw text for each bucket, and how many of the ``GATES`` its lack in the target reaches."""
     expected = raw * (target.sum() / max(1, raw.sum()))
-    lacking = expected - target >= SIGNIFICANT * np.sqrt(expected + 1)
-    return np.where(lacking, np.log((target + ADDED) / (expected + ADDED)), 0.0).astype(np.float32)
+    lack = (expected - target) / np.sqrt(expected + 1)
+    return np.log((target + ADDED) / (expected + ADDED)).astype(np.float32), np.searchsorted(GATES, lack, side="right").astype(np.uint8)
+
+
+def gated(ratio: np.ndarray, reached: np.ndarray, gate: int) -> np.ndarray:
+    """What each bucket adds to a log weight: 0 unless the target lacks it by as much as the gate says."""
+    return np.where(reached > gate, ratio, np.float32(0))
 
 
 def best_cut(weight: np.ndarray, good: np.ndarray) -> float:
@@ -158,6 +166,14 @@ def best_cut(weight: np.ndarray, good: np.ndarray) -> float:
     return float((edges[at] + edges[at + 1]) / 2)
 
 
+def best_gate(weights: np.ndarray, good: np.ndarray) -> tuple[int, float]:
+    """The gate whose column of weights leaves the fewest labelled documents on the wrong side of its cut, and that cut."""
+    cuts = [best_cut(w, good) for w in weights.T]
+    wrong = [int(((w >= cut) != good).sum()) for w, cut in zip(weights.T, cuts, strict=True)]
+    gate = min(range(len(GATES)), key=lambda i: (wrong[i], abs(GATES[i] - SIGNIFICANT)))
+    return gate, cuts[gate]
+
+
 def log_weights(texts: list[bytes], ratio: np.ndarray) -> np.ndarray:
     total, n = Grams.of(texts).sums(ratio)
     return total / np.sqrt(n + 1.0)
@@ -173,6 +189,20 @@ def _weigh(ratio, text: str, weight: str, kept: list[str]) -> Callable:
     return run
 
 
+def _weigh_gates(model, text: str, kept: str) -> Callable:
+    """The log weights of every text, one for each gate."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ratio, reached = model.value
+        for batch in c.slices(batches, text):
+            grams = Grams.of(c.texts(batch.column(text)))
+            sums = (grams.sums(gated(ratio, reached, i)) for i in range(len(GATES)))
+            weights = np.stack([total / np.sqrt(n + 1.0) for total, n in sums], axis=1)
+            yield pa.RecordBatch.from_pydict({kept: batch.column(kept), "w": pa.array(list(weights), pa.list_(pa.float64()))})
+
+    return run
+
+
 def labelled(labels: DataFrame, id_col: str = "doc_id", most: int = LABELLED) -> DataFrame:
     """``id, good, fits``: at most ``most`` labelled ids, by hash; ``good`` needs quality and no toxicity.
 
@@ -185,7 +215,7 @@ def labelled(labels: DataFrame, id_col: str = "doc_id", most: int = LABELLED) ->
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Models of the target (good labelled documents) and of all documents, and the cut between good and bad ones."""
+    """Models of the target (good labelled documents) and of all documents, and the gate and cut that best part good from bad ones."""
     spark = docs.sparkSession
     known = landed(labelled(labels, id_col), "labelled")  # at most LABELLED rows
     keyed = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -196,10 +226,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     for row in sums.toLocalIterator():
         for to, blob in ((raw, row["raw"]), (target, row["target"])):
             to[row["part"] * RANGE : (row["part"] + 1) * RANGE] = np.frombuffer(bytes(blob), np.int64)
-    ratio = log_ratio(raw, target)
+    ratio, reached = log_ratio(raw, target)
     held = keyed.join(F.broadcast(known.where("not fits").select("id", "good")), "id").select("good", "text")
-    scored = held.mapInArrow(_weigh(spark.sparkContext.broadcast(ratio), "text", "w", ["good"]), "good boolean, w double").toArrow()
-    return Model(ratio, best_cut(scored.column("w").to_numpy(), scored.column("good").to_numpy().astype(bool)))
+    every = spark.sparkContext.broadcast((ratio, reached))
+    scored = held.mapInArrow(_weigh_gates(every, "text", "good"), "good boolean, w array<double>").toArrow()
+    weights = np.array(scored.column("w").to_pylist(), np.float64).reshape(-1, len(GATES))
+    gate, cut = best_gate(weights, scored.column("good").to_numpy().astype(bool))
+    return Model(gated(ratio, reached, gate), cut)
 
 
 def gumbel(key: list[Column], seed: int) -> Column:
