@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tidewright.llm import common as c
@@ -45,6 +46,24 @@ def test_repeats_are_those_of_brute_force(docs, odd_texts, k):
     assert got == sorted(later_words(odd_texts, k), key=str)
 
 
+def test_keys_that_many_windows_share_are_split(spark, monkeypatch):
+    passage = [f"p{i}" for i in range(12)]
+    data = [(i, " ".join([*(f"a{i}x{j}" for j in range(9)), *passage, *(f"b{i // 2}x{j}" for j in range(9))])) for i in range(300)]
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(8)
+    keyed = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("fp"), "text")
+
+    def largest(hot):
+        bits = spark.sparkContext.broadcast(substring._split_bits(keyed, 20, hot))
+        runs = keyed.mapInArrow(substring._window_runs(20, bits), substring._RUN).where("n > 0")
+        return runs.groupBy("key").agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0]
+
+    whole = largest(1 << 20)
+    assert whole > 500 and largest(40) < whole / 4
+    monkeypatch.setattr(substring, "HOT", 40)  # read in the driver
+    cut = substring.remove_repeats(docs, k=20).select("doc_id", "n_words", "n_removed", "text")
+    assert sorted(map(tuple, cut.collect())) == sorted(later_words(data, 20))
+
+
 def test_rolling_hashes_and_least_values():
     h = np.random.default_rng(1).integers(0, 2**63, 200).astype(np.uint64)
     for k in (1, 2, 7, 50, 200):

@@ -3,7 +3,8 @@
 Every window of ``k`` words gets a Rabin-Karp hash. Shipping each as a row of its own would move many times the input,
 so windows travel in runs: neighbours that share the least hash of the ``GRAM``-word pieces inside them form one row,
 keyed by that least hash. Equal windows have equal pieces and so meet under the same key, where they are compared by the
-window hash (112 bits with the key). A batch of documents first settles the windows that repeat within it and ships each
+window hash (112 bits with the key). Windows are counted by a hash of their key beforehand; where many meet, the key is
+split by bits of the window hash, so that no task has to hold what one common piece draws together. A batch of documents first settles the windows that repeat within it and ships each
 window for its earliest document only, so that a passage in a third of all documents gives one entry per batch.
 """
 
@@ -23,6 +24,8 @@ from tidewright.llm import common as c
 GRAM = 8
 #: Bytes kept of a window's hash, next to the eight of its key.
 KEPT = 6
+#: Windows that may meet under one key, and bits of the key hash by which they are counted.
+HOT, COUNTED_BITS = 1 << 20, 20
 _RUN = "key long, id long, fp long, pos int, n int, hashes binary"
 _SPAN = "id long, fp long, start int, stop int"
 
@@ -43,40 +46,73 @@ def _binary(data: np.ndarray, lengths: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())])
 
 
-def _window_runs(k: int) -> Callable:
-    """Rows of ``_RUN``: windows to compare, and with ``n`` below 0 those that the batch itself has settled."""
-
+def _windows(batches: Iterable[pa.RecordBatch], k: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Of each slice: id and text hash of its documents, and of each window its document, its place there, its hash, the
+    least hash of the pieces inside, and whether the slice has it in an earlier document."""
     gram = min(GRAM, k)
+    for batch in c.slices(batches, "text"):
+        words, counts = c.flat([c.plain_words(t) for t in c.texts(batch.column("text"))])
+        if len(words) < k:
+            continue
+        hashes = c.word_hashes(words)
+        del words
+        doc = np.repeat(np.arange(len(counts)), counts)
+        begin = np.cumsum(counts) - counts
+        at = np.flatnonzero(doc[: len(doc) - k + 1] == doc[k - 1 :])  # windows inside one document
+        if not len(at):
+            continue
+        window = c.rolling(hashes, k)[at]
+        least = c.sliding_min(c.rolling(hashes, gram), k - gram + 1)[at]
+        doc = doc[at]
+        id_of, fp_of = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("id", "fp"))
+        yield id_of, fp_of, doc, at - begin[doc], window, least, id_of[doc] > _earliest(window, id_of[doc])
+
+
+def _counted(least: np.ndarray) -> np.ndarray:
+    return (c.mixed(least) >> np.uint64(64 - COUNTED_BITS)).view(np.int64)
+
+
+def _count_keys(k: int) -> Callable:
+    """How many windows a task ships under each hash of their key."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in c.slices(batches, "text"):
-            words, counts = c.flat([c.plain_words(t) for t in c.texts(batch.column("text"))])
-            if len(words) < k:
-                continue
-            hashes = c.word_hashes(words)
-            del words
-            doc = np.repeat(np.arange(len(counts)), counts)
-            begin = np.cumsum(counts) - counts
-            at = np.flatnonzero(doc[: len(doc) - k + 1] == doc[k - 1 :])  # windows inside one document
-            if not len(at):
-                continue
-            window = c.rolling(hashes, k)[at]
-            least = c.sliding_min(c.rolling(hashes, gram), k - gram + 1)[at]
-            doc = doc[at]
-            id_of, fp_of = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("id", "fp"))
-            ids = id_of[doc]
-            settled = ids > _earliest(window, ids)
-            new = np.ones(len(at), bool)
-            new[1:] = (np.diff(at) != 1) | (doc[1:] != doc[:-1]) | (settled[1:] != settled[:-1]) | (~settled[1:] & (least[1:] != least[:-1]))
+        total = np.zeros(1 << COUNTED_BITS, np.int64)
+        for *_, least, settled in _windows(batches, k):
+            total += np.bincount(_counted(least[~settled]), minlength=len(total))
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["counted", "n"])
+
+    return run
+
+
+def _split_bits(keyed: DataFrame, k: int, hot: int) -> np.ndarray:
+    """By how many bits of the window hash the keys of each counted hash are split: none under ``hot`` windows."""
+    counts = keyed.mapInArrow(_count_keys(k), "counted int, n long").groupBy("counted").agg(F.sum("n").alias("n")).where(F.col("n") > hot)
+    found = counts.toArrow()  # as many rows as there are counted hashes at most
+    bits = np.zeros(1 << COUNTED_BITS, np.uint8)
+    bits[found.column("counted").to_numpy()] = np.ceil(np.log2(found.column("n").to_numpy() / hot))
+    return bits
+
+
+def _window_runs(k: int, bits) -> Callable:
+    """Rows of ``_RUN``: windows to compare, and with ``n`` below 0 those that the batch itself has settled."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for id_of, fp_of, doc, place, window, least, settled in _windows(batches, k):
+            split = bits.value[_counted(least)].astype(np.uint64)
+            part = c.mixed(window) & ((np.uint64(1) << split) - np.uint64(1))
+            key = np.where(part > 0, c.mixed(least + part * np.uint64(0x9FB21C651E98DF25)), least)
+            new = np.ones(len(doc), bool)
+            new[1:] = (doc[1:] != doc[:-1]) | (settled[1:] != settled[:-1]) | (~settled[1:] & (key[1:] != key[:-1]))
             first, length = c.runs(new)
             done = settled[first]
             kept = window[~settled].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEPT]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.where(done, fp_of[doc[first]], least[first].view(np.int64))),
+                    pa.array(np.where(done, fp_of[doc[first]], key[first].view(np.int64))),
                     pa.array(id_of[doc[first]]),
                     pa.array(fp_of[doc[first]]),
-                    pa.array((at[first] - begin[doc[first]]).astype(np.int32)),
+                    pa.array(place[first].astype(np.int32)),
                     pa.array(np.where(done, -length, length).astype(np.int32)),
                     _binary(np.ascontiguousarray(kept), np.where(done, 0, length * KEPT)),
                 ],
@@ -150,7 +186,9 @@ def repeated_spans(docs: DataFrame, k: int = 50, id_col: str = "doc_id", text_co
     absent. Rows that share an id are the same age, so neither removes words of the other.
     """
     keyed = docs.select(c.ordered_id(id_col).alias("id"), c.fingerprint(text_col).alias("fp"), F.col(text_col).cast("string").alias("text"))
-    runs = keyed.where(F.col("text").isNotNull()).mapInArrow(_window_runs(k), _RUN)
+    keyed = keyed.where(F.col("text").isNotNull())
+    bits = docs.sparkSession.sparkContext.broadcast(_split_bits(keyed, k, HOT))
+    runs = keyed.mapInArrow(_window_runs(k, bits), _RUN)
     spans = runs.repartition("key").sortWithinPartitions("key").mapInArrow(_later_copies(k), _SPAN)
     return spans.groupBy("id", "fp").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
 
