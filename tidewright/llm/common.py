@@ -150,3 +150,18 @@ def covered(starts: np.ndarray, k: int, n: int) -> np.ndarray:
     np.add.at(edge, starts, 1)
     np.add.at(edge, np.minimum(starts + k, n), -1)
     return np.cumsum(edge[:n]) > 0
+
+
+def named(df: DataFrame, column: str) -> str:
+    """The frame's own spelling of a column, which Python workers need; Spark itself ignores case."""
+    found = [c for c in df.columns if c == column] or [c for c in df.columns if c.lower() == column.lower()]
+    if not found:
+        raise ValueError(f"no column {column!r} among {df.columns}")
+    return found[0]
+
+
+def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """``start, start + 1, ...`` for every pair of a start and a length, one after the other."""
+    ends = np.cumsum(lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.arange(total) + np.repeat(starts - (ends - lengths), lengths)

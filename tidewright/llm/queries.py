@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import bpe, chat, decontaminate, html, jaccard, line_dedup, lm, quality_classifier, quality_rules, substring
+from tidewright.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    divergence,
+    html,
+    jaccard,
+    line_dedup,
+    lm,
+    merge_rounds,
+    quality_classifier,
+    quality_rules,
+    substring,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -222,3 +235,53 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 10
     scored = lm.score(docs.withColumn("trained", fold != 0), "trained")
     return scored.select("doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def word_tokenizer() -> str:
+    """File of the public tokenizer that the query of whole-word merge rounds uses."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op12_bpe_encoding")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    path = word_tokenizer()
+    ids = merge_rounds.encode(read(spark, folder, "documents").select("doc_id", "text"), path).drop("text")
+    both = merge_rounds.decode(ids, path)
+    return both.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+@query(
+    "op13_source_divergence",
+    rf"""
+    with d as (select coalesce(lang, '') lang, coalesce(source, '') source, row_number() over () doc,
+                      regexp_extract_all({LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') w from documents),
+    o as (select lang, source, doc, unnest(w) term from d),
+    k as (select lang, term, count(*) n from o group by 1, 2 having count(distinct doc) >= 3),
+    l as (select lang, count(*) v, sum(n) n from k group by 1),
+    s as (select distinct lang, source from d),
+    c as (select lang, source, term, count(*) n from o semi join k using (lang, term) group by 1, 2, 3),
+    g as (select lang, source, coalesce(sum(c.n), 0) n from s left join c using (lang, source) group by 1, 2),
+    p as (select lang, source, term, coalesce(c.n, 0) n,
+                 1 + (1000000000::hugeint * (coalesce(c.n, 0) + 1)) // (g.n + l.v) p,
+                 1 + (1000000000::hugeint * (k.n + 1)) // (l.n + l.v) q
+          from g join l using (lang) join k using (lang) left join c using (lang, source, term)),
+    f as (select a.lang, a.source, 'pair' part, b.source item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) as value
+          from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by 1, 2, 4
+          union all
+          select a.lang, a.source, 'pair', b.source, 0 from s a join s b on a.lang = b.lang and a.source <> b.source
+          where a.lang not in (select lang from l)
+          union all
+          select lang, source, 'term', term, ((p - q) * (p - q)) // q from p where n > 0 and p > q),
+    r as (select *, row_number() over (partition by lang, source, part order by value desc, item) as "rank" from f)
+    select lang, source, part, item, value::bigint as value, "rank"::int as "rank" from r where part = 'pair' or "rank" <= 200
+    """,
+)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(read(spark, folder, "documents").select("text", "lang", "source"), min_docs=3, top_terms=200)
