@@ -19,6 +19,7 @@ from tidewright.llm import (
     merge_rounds,
     quality_classifier,
     quality_rules,
+    spelling,
     substring,
 )
 
@@ -285,3 +286,36 @@ def op12(spark: SparkSession, folder: str) -> DataFrame:
 )
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit(read(spark, folder, "documents").select("text", "lang", "source"), min_docs=3, top_terms=200)
+
+
+@query(
+    "op11_spelling_variants",
+    rf"""
+    with recursive
+    tab as (select list(list_reduce(list_prepend(i, range(8)),
+                        lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by i) t from range(256) r(i)),
+    runs as (select doc_id, unnest(regexp_extract_all({LOWER}, '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) w from documents),
+    o as (select coalesce(doc_id::varchar, '') || ':' || w k, w, count(*) n from runs where length(w) >= 6 group by 1, 2),
+    h as (select w, n, xor(list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(string_split(k, ''),
+                     lambda ch: case when ord(ch) < 128 then [ord(ch)::bigint] else [195::bigint, ord(ch) - 64] end))),
+                     lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) h
+          from o, tab),
+    e as (select case when h % 199 = 0 then substr(w, 1, (h % length(w))::int) || substr(w, (h % length(w))::int + 2) else w end w, n from h),
+    v as (select w, sum(n)::bigint n from e where length(w) >= 6 group by 1 having sum(n) >= 5),
+    x as (select w, n, i, substr(w, 1, i::int) || substr(w, i::int + 2) d from v, unnest(range(length(w))) t(i)),
+    p as (select x.w a, v.w b from x join v on x.d = v.w
+          union select v.w, x.w from x join v on x.d = v.w
+          union select y.w, z.w from x y join x z on y.d = z.d and y.i = z.i and y.w <> z.w),
+    f as (select a, count(*) n_near, max(n) form_n, arg_min(b, (-n, b)) form from p join v on v.w = p.b group by 1),
+    g as (select v.w word, v.n, coalesce(f.n_near, 0) n_near, case when f.form_n >= 5 * v.n then f.form end form,
+                 case when f.form_n >= 5 * v.n then f.form_n end form_n
+          from v left join f on f.a = v.w),
+    r as (select word, word root, 0 step from g
+          union all select r.word, g.form, step + 1 from r join g on g.word = r.root where g.form is not null),
+    l as (select word, arg_max(root, step) root from r group by 1)
+    select word, form, root, n, n_near, form_n from g join l using (word)
+    """,
+)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    return spelling.spelling_variants(docs, min_length=6, min_count=5, ratio=5, drop_one_in=199)
