@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewright.functions.dates import micros
 from tidewright.operators.windows import row_number, running_sum, with_window
@@ -149,3 +150,77 @@ def volume_anomalies(train: DataFrame, predict: DataFrame, width: float = 3.0) -
     )
     outside = (F.col("target") < F.col("lower_bound")) | (F.col("target") > F.col("upper_bound"))
     return scored.withColumn("is_anomaly", outside)
+
+
+def seasonal_forecast(train: DataFrame, predict: DataFrame, width: float = 3.0) -> DataFrame:
+    """New points outside the band around a trend with weekday effects, fitted per series by least squares.
+
+    Both frames have series, day (date) and target (a number); a series has at most one row per day, or all rows of a day
+    count. The model is ``level of the weekday + slope * day``; the slope comes from each weekday's own sums, so the fit
+    takes two groupings of sums and no series is collected. The band is ``width`` residual standard deviations wide on
+    either side. Days are counted from the series' first one, sums of whole numbers are exact.
+
+    A weekday without history takes the mean level of the others, a series whose weekdays all lie on one day has slope 0,
+    one with no more rows than fitted numbers a band of width 0, and rows of series without history are left out. Null days
+    and targets are left out of the history; a null target is no anomaly.
+    """
+    zero = F.lit(0.0)
+    known = train.where(F.col("day").isNotNull() & F.col("target").isNotNull())
+    origin = known.groupBy("series").agg(F.min("day").alias("__origin"))
+    y = _summable(train, "target")
+    timed = known.join(origin, "series").select(
+        "series", "__origin", F.weekday("day").alias("__w"), F.datediff("day", "__origin").cast("decimal(9,0)").alias("t"), y.alias("y")
+    )
+    t, y, n = F.col("t"), F.col("y"), F.col("n")
+    sums = {"st": t, "sy": y, "stt": t * t, "sty": t * y, "syy": y * y}
+    day = timed.groupBy("series", "__w", "__origin").agg(
+        F.count(F.lit(1)).cast("decimal(18,0)").alias("n"), *[F.sum(e).alias(name) for name, e in sums.items()]
+    )
+
+    def spread_of(product: str, one: str, other: str) -> Column:
+        return (n * F.col(product) - F.col(one) * F.col(other)).cast("double") / n.cast("double")
+
+    part = day.select(
+        "series",
+        "__w",
+        "__origin",
+        "n",
+        (F.col("st").cast("double") / n.cast("double")).alias("mt"),
+        (F.col("sy").cast("double") / n.cast("double")).alias("my"),
+        spread_of("stt", "st", "st").alias("ctt"),
+        spread_of("sty", "st", "sy").alias("cty"),
+        spread_of("syy", "sy", "sy").alias("cyy"),
+    )
+    # At most seven rows per series from here on; they are taken in order, so that sums do not depend on the plan.
+    items = F.array_sort(F.collect_list(F.struct("__w", "n", "mt", "my", "ctt", "cty", "cyy")))
+    whole = part.groupBy("series", "__origin").agg(items.alias("d"))
+
+    def over(value) -> Column:
+        return F.aggregate("d", zero, lambda a, x: a + value(x))
+
+    ctt, cty, cyy = (over(lambda x, k=k: x[k]) for k in ("ctt", "cty", "cyy"))
+    whole = whole.select("*", F.when(ctt > 0, cty / ctt).otherwise(zero).alias("slope"), ctt.alias("ctt"), cty.alias("cty"), cyy.alias("cyy"))
+    rows, fitted = over(lambda x: x["n"].cast("double")), F.size("d") + F.when(F.col("ctt") > 0, 1).otherwise(0)
+    left = F.greatest(F.col("cyy") - F.col("slope") * F.col("cty"), zero)
+    spread = F.when(rows > fitted, F.sqrt(left / (rows - fitted))).otherwise(zero)
+    levels = F.map_from_entries(F.transform("d", lambda x: F.struct(x["__w"], x["my"] - F.col("slope") * x["mt"])))
+    fit = whole.select("series", "__origin", "slope", spread.alias("__sd"), levels.alias("__levels"))
+    shared = F.aggregate(F.map_values("__levels"), zero, lambda a, x: a + x) / F.size("__levels")
+    level = F.coalesce(F.try_element_at("__levels", F.weekday("day")), shared)
+    made = predict.join(fit, "series").withColumn("forecast", level + F.col("slope") * F.datediff("day", "__origin"))
+    banded = made.select(
+        "series",
+        "day",
+        "target",
+        "forecast",
+        (F.col("forecast") - width * F.col("__sd")).alias("lower_bound"),
+        (F.col("forecast") + width * F.col("__sd")).alias("upper_bound"),
+    )
+    outside = (F.col("target") < F.col("lower_bound")) | (F.col("target") > F.col("upper_bound"))
+    return banded.withColumn("is_anomaly", F.coalesce(outside, F.lit(False)))
+
+
+def _summable(df: DataFrame, column: str) -> Column:
+    """Whole numbers as decimals, whose sums of products are exact; others as doubles."""
+    whole = isinstance(df.schema[column].dataType, T.IntegralType)
+    return F.col(column).cast("decimal(18,0)" if whole else "double")

@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidewright.functions.dates import micros
 from tidewright.functions.keys import fingerprint
 from tidewright.functions.numbers import percent_of
 from tidewright.operators.joins import count_pair
 from tidewright.operators.reshape import filtered_columns
+from tidewright.sources.schemas import wider
 
 # Match classes in their order. The third and the last hold a zero-width joiner before the words.
 MATCH_CLASSES = [
@@ -170,56 +174,100 @@ def metrics(df: DataFrame, **columns: Column) -> DataFrame:
     return df.agg(*[c.alias(name) for name, c in columns.items()])
 
 
-def reconcile_metrics(a: DataFrame, b: DataFrame, tolerance: float = 0.01) -> DataFrame:
-    """Metrics of two one-row frames side by side, with a match flag; numbers may differ by the tolerance."""
-    names = a.columns
+def _plain_number(kind: T.DataType) -> bool:
+    return isinstance(kind, T.IntegralType | T.DecimalType)
+
+
+def _difference(a: Column, b: Column, kind: T.DataType) -> Column:
+    """``a - b`` without loss: whole numbers and decimals as decimals, days for dates, microseconds for timestamps."""
+    if isinstance(kind, T.IntegralType):
+        return a.cast("decimal(20,0)") - b.cast("decimal(20,0)")
+    if isinstance(kind, T.NumericType):
+        return a - b
+    if isinstance(kind, T.DateType):
+        return F.datediff(a, b).cast("bigint")
+    if isinstance(kind, T.TimestampType | T.TimestampNTZType):
+        return micros(a) - micros(b)
+    return F.lit(None).cast("bigint")
 
-    def long(df: DataFrame, value: str) -> DataFrame:
-        rows = F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).cast("double").alias(value)) for n in names])
-        return df.select(F.inline(rows))
 
-    both = long(a, "a_value").join(long(b, "b_value"), "metric", "inner")
-    near = F.abs(F.col("a_value") - F.col("b_value")) <= tolerance
-    same = F.col("a_value").eqNullSafe(F.col("b_value"))
-    return both.select("*", F.coalesce(near, same).alias("is_match"))
+def _one_row(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Two one-row frames as the structs ``a`` and ``b`` of one row."""
+    kinds = [df.select(F.struct(*df.columns).alias("s")).schema["s"].dataType for df in (a, b)]
+    left = a.select(F.struct(*a.columns).alias("a"), F.lit(None).cast(kinds[1]).alias("b"))
+    right = b.select(F.lit(None).cast(kinds[0]).alias("a"), F.struct(*b.columns).alias("b"))
+    return left.unionAll(right).agg(F.first("a", ignorenulls=True).alias("a"), F.first("b", ignorenulls=True).alias("b"))
+
+
+def reconcile_metrics(a: DataFrame, b: DataFrame, tolerance: float = 0.01) -> DataFrame:
+    """Metrics of two one-row frames side by side, with a match flag; numbers may differ by the tolerance.
+
+    The values are shown as doubles; whole numbers and decimals are compared exactly.
+    """
+    theirs = {f.name.lower(): f for f in b.schema.fields}
+    shared = [(f, theirs[f.name.lower()]) for f in a.schema.fields if f.name.lower() in theirs]
+    rows = []
+    for f, g in shared:
+        x, y = F.col("a").getField(f.name), F.col("b").getField(g.name)
+        if _plain_number(f.dataType) and _plain_number(g.dataType):
+            kind = wider(f.dataType, g.dataType)
+            gap = F.abs(_difference(x.cast(kind), y.cast(kind), kind)) <= F.lit(Decimal(repr(tolerance)))
+        else:
+            gap = F.abs(x.cast("double") - y.cast("double")) <= tolerance
+        same = x.cast("double").eqNullSafe(y.cast("double"))
+        rows.append(
+            F.struct(
+                F.lit(f.name).alias("metric"),
+                x.cast("double").alias("a_value"),
+                y.cast("double").alias("b_value"),
+                F.coalesce(gap, same).alias("is_match"),
+            )
+        )
+    return _one_row(a, b).select(F.inline(F.array(*rows)))
 
 
 def cursor_reconciliation(
     source: DataFrame, target: DataFrame, column: str, since: Column | None = None
 ) -> DataFrame:
-    """Newest cursor value and row count on both sides since a stored cursor, and their drift."""
+    """Newest cursor value and row count on both sides since a stored cursor, and their drift.
 
-    def side(df: DataFrame, name: str) -> DataFrame:
-        rows = df.where(F.col(column) > since) if since is not None else df
-        return rows.agg(F.max(column).cast("double").alias("top"), F.count(F.lit(1)).alias("n")).select(
-            F.lit(name).alias("side"), "top", "n"
-        )
+    Any ordered type may be a cursor, and ``next_cursor`` keeps it (the wider one if the sides differ). ``max_drift`` is exact:
+    a decimal for numbers (a double for doubles), days for dates, microseconds for timestamps, null for text.
+    """
+    kind = wider(source.schema[column].dataType, target.schema[column].dataType, column)
 
-    def pick(value: str, name: str) -> Column:
-        return F.max(F.when(F.col("side") == name, F.col(value)))
+    def side(df: DataFrame, top: str, n: str) -> DataFrame:
+        rows = df.where(F.col(column) > since) if since is not None else df
+        return rows.agg(F.max(column).cast(kind).alias(top), F.count(F.lit(1)).alias(n))
 
-    both = side(source, "s").unionByName(side(target, "t")).agg(
-        pick("top", "s").alias("source_max"),
-        pick("top", "t").alias("target_max"),
-        pick("n", "s").alias("source_count"),
-        pick("n", "t").alias("target_count"),
-    )
-    return both.select(
+    both = _one_row(side(source, "source_max", "source_count"), side(target, "target_max", "target_count"))
+    flat = both.select("a.source_max", "b.target_max", "a.source_count", "b.target_count")
+    return flat.select(
         "*",
-        (F.col("source_max") - F.col("target_max")).alias("max_drift"),
+        _difference(F.col("source_max"), F.col("target_max"), kind).alias("max_drift"),
         (F.col("source_count") - F.col("target_count")).alias("count_drift"),
         F.greatest("source_max", "target_max").alias("next_cursor"),
     )
 
 
 def scalar_reconciliation(source: DataFrame, target: DataFrame) -> DataFrame:
-    """Result of one query against the result of another, each a single value."""
-    s, t = source.columns[0], target.columns[0]
-    rows = source.select(F.lit("s").alias("side"), F.col(s).cast("string").alias("v")).unionByName(
-        target.select(F.lit("t").alias("side"), F.col(t).cast("string").alias("v"))
-    )
-    both = rows.agg(
-        F.max(F.when(F.col("side") == "s", F.col("v"))).alias("source_value"),
-        F.max(F.when(F.col("side") == "t", F.col("v"))).alias("target_value"),
+    """Result of one query against the result of another, each a single value, compared by value.
+
+    Numbers and times are compared in their common type, so 1.00 is 1; a text is read as the other side's type if that is
+    another one. The values are shown as text.
+    """
+    s, t = source.schema.fields[0], target.schema.fields[0]
+    both = _one_row(source.select(F.col(s.name).alias("v")), target.select(F.col(t.name).alias("v")))
+    x, y = F.col("a.v"), F.col("b.v")
+    if isinstance(s.dataType, T.StringType) != isinstance(t.dataType, T.StringType):
+        kind = t.dataType if isinstance(s.dataType, T.StringType) else s.dataType
+        kind = T.DecimalType(38, 10) if isinstance(kind, T.IntegralType) else kind
+    else:
+        kind = wider(s.dataType, t.dataType, "value")
+    read = [v.try_cast(kind) for v in (x, y)]
+    lost = (x.isNotNull() & read[0].isNull()) | (y.isNotNull() & read[1].isNull())
+    return both.select(
+        x.cast("string").alias("source_value"),
+        y.cast("string").alias("target_value"),
+        (read[0].eqNullSafe(read[1]) & ~lost).alias("is_match"),
     )
-    return both.select("*", F.col("source_value").eqNullSafe(F.col("target_value")).alias("is_match"))

@@ -52,28 +52,27 @@ def union_relations(
     exclude: Sequence[str] = (),
     source_column_name: str = "_source_relation",
 ) -> DataFrame:
-    """UNION ALL by name over all columns met; the first relation to bring a column sets its type.
+    """UNION ALL by name over all columns met; the first relation to bring a column sets its type and spelling.
 
-    Missing columns are typed nulls and the relation's name comes first.
+    Names that differ in case only are one column. Missing columns are typed nulls and the relation's name comes first.
     """
     if include and exclude:
         raise ValueError("give either include or exclude, not both")
-    override = dict(column_override or {})
-    types: dict[str, str] = {}
+    override = {c.lower(): kind for c, kind in (column_override or {}).items()}
+    wanted, unwanted = {c.lower() for c in include}, {c.lower() for c in exclude}
+    columns: dict[str, tuple[str, str]] = {}
     for df in relations.values():
         for field in df.schema.fields:
-            if field.name in exclude or (include and field.name not in include):
-                continue
-            types.setdefault(field.name, override.get(field.name, field.dataType.simpleString()))
-    if not types:
+            low = field.name.lower()
+            if low not in unwanted and (low in wanted or not wanted):
+                columns.setdefault(low, (field.name, override.get(low, field.dataType.simpleString())))
+    if not columns:
         raise ValueError(f"no columns to union for {', '.join(relations)}")
-    parts = [
-        df.select(
-            F.lit(name).alias(source_column_name),
-            *[(F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c) for c, t in types.items()],
-        )
-        for name, df in relations.items()
-    ]
+    parts = []
+    for name, df in relations.items():
+        have = {c.lower() for c in df.columns}
+        cells = [(F.col(c) if low in have else F.lit(None)).cast(kind).alias(c) for low, (c, kind) in columns.items()]
+        parts.append(df.select(F.lit(name).alias(source_column_name), *cells))
     return reduce(DataFrame.unionAll, parts)
 
 

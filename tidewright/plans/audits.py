@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidewright.functions.dates import epoch_seconds
 from tidewright.functions.numbers import to_cents
-from tidewright.operators import audit
+from tidewright.operators import audit, difference
 from tidewright.plans.registry import query
 from tidewright.sources.tables import column_catalog
 
@@ -168,9 +168,9 @@ def _(t):
 
 @query(
     "u9_cursor_reconciliation",
-    """with s as (select max(o_orderkey)::double as m, count(*) as n from orders where o_orderkey > 100),
-    d as (select max(o_orderkey)::double as m, count(*) as n from orders where o_orderkey > 100 and o_orderstatus <> 'P' and o_totalprice < 490000)
-    select s.m as source_max, d.m as target_max, s.n as source_count, d.n as target_count, s.m - d.m as max_drift,
+    """with s as (select max(o_orderkey) as m, count(*) as n from orders where o_orderkey > 100),
+    d as (select max(o_orderkey) as m, count(*) as n from orders where o_orderkey > 100 and o_orderstatus <> 'P' and o_totalprice < 490000)
+    select s.m as source_max, d.m as target_max, s.n as source_count, d.n as target_count, cast(s.m - d.m as decimal(21,0)) as max_drift,
       s.n - d.n as count_drift, greatest(s.m, d.m) as next_cursor from s, d""",
 )
 def _(t):
@@ -178,6 +178,29 @@ def _(t):
     return audit.cursor_reconciliation(t.orders, target, "o_orderkey", F.lit(100))
 
 
+@query(
+    "u9_cursor_timestamp",
+    """with s as (select max(ts) as m, count(*) as n from events where ts > timestamp '2024-01-10'),
+    d as (select max(ts) as m, count(*) as n from events where ts > timestamp '2024-01-10' and event_type <> 'error' and value < 90)
+    select s.m as source_max, d.m as target_max, s.n as source_count, d.n as target_count, epoch_us(s.m) - epoch_us(d.m) as max_drift,
+      s.n - d.n as count_drift, greatest(s.m, d.m) as next_cursor from s, d""",
+)
+def _(t):
+    """The usual cursor, a time: drift in microseconds, the next cursor a time again."""
+    target = t.events.where("event_type <> 'error' and value < 90")
+    return audit.cursor_reconciliation(t.events, target, "ts", F.lit("2024-01-10").cast("timestamp_ntz"))
+
+
+@query(
+    "u10_scalar_by_value",
+    """select cast(cast(sum(l_linenumber) as decimal(20,2)) as varchar) as source_value, cast(sum(l_linenumber) as varchar) as target_value, true as is_match from lineitem""",
+)
+def _(t):
+    """A decimal with two places against a whole number."""
+    exact = t.lineitem.agg(F.sum("l_linenumber").cast("decimal(20,2)"))
+    return audit.scalar_reconciliation(exact, t.lineitem.agg(F.sum("l_linenumber")))
+
+
 @query(
     "u10_scalar_reconciliation",
     """select cast((select count(*) from orders) as varchar) as source_value, cast((select count(distinct o_orderkey) from orders) as varchar)
@@ -201,3 +224,25 @@ def _(t):
     return both.select("column_name", c("a_data_type").alias("a_type"), c("b_data_type").alias("b_type")).join(
         filled, "column_name", "left"
     )
+
+
+# Lines of large orders at full discount and tax: a few of them are changed, lost, doubled.
+_RARE = "l_quantity > 47 and l_discount > 0.085 and l_tax > 0.065"
+_CHANGED = f"""select l_orderkey, l_linenumber, l_partkey, case when {_RARE} and l_linenumber = 1 then l_quantity + 1 else l_quantity end as l_quantity,
+    l_shipdate from lineitem where not ({_RARE} and l_linenumber = 2)
+  union all select l_orderkey, l_linenumber, l_partkey, l_quantity, l_shipdate from lineitem where {_RARE} and l_linenumber = 3"""
+
+
+@query(
+    "u7_differing_rows",
+    f"""with a as (select l_orderkey, l_linenumber, l_partkey, l_quantity, l_shipdate from lineitem), b as ({_CHANGED}),
+    d as (select 'a' as only_in, x.* from (select * from a except all select * from b) x union all select 'b', x.* from (select * from b except all select * from a) x)
+    select *, count(*) as copies from d group by all""",
+)
+def _(t):
+    a = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_shipdate")
+    rare = F.expr(_RARE)
+    quantity = F.when(rare & (c("l_linenumber") == 1), c("l_quantity") + 1).otherwise(c("l_quantity"))
+    b = t.lineitem.where(~(rare & (c("l_linenumber") == 2))).withColumn("l_quantity", quantity).select(*a.columns)
+    b = b.unionAll(t.lineitem.where(rare & (c("l_linenumber") == 3)).select(*a.columns))
+    return difference.differing_rows(a, b, ["l_orderkey"])

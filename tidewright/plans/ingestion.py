@@ -10,6 +10,7 @@ from tidewright.plans.registry import query
 from tidewright.session import scratch_path
 from tidewright.sources import ingest
 from tidewright.sources.load import VersionedTable
+from tidewright.sources.schemas import SchemaConflict
 
 c = F.col
 
@@ -370,3 +371,36 @@ def _(t):
         made = ingest.merge_resources(t.spark, root, batches, ["seq"])
     parts = [df.select(F.lit(n).alias("resource"), c(ingest.RUN_RESOURCES[n]).alias("key"), "seq", "status") for n, df in made.items()]
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+# --- schemas that grow ------------------------------------------------------------------------------------
+
+
+@query(
+    "i1_schema_evolution",
+    """select c_custkey as id, c_name as name, cast(c_nationkey as bigint) as nation, case when c_nationkey < 12 then null when c_nationkey < 18 then c_mktsegment end as segment,
+      case when c_nationkey < 12 then floor(c_acctbal) else round(c_acctbal, 2) end as balance,
+      case when c_nationkey < 12 then cast(c_nationkey as varchar) else 'n' || c_nationkey end as code, true as refused from customer""",
+)
+def _(t):
+    """Landed batches: the second has wider numbers, a text where numbers were, new fields; the third does not fit."""
+    table = VersionedTable(t.spark, scratch_path(t.spark, "grown"))
+    key, nation = c("c_custkey").alias("id"), c("c_nationkey").alias("nation")
+
+    def landed(rows, *fields):
+        path = scratch_path(t.spark, "landed")
+        rows.select(F.to_json(F.struct(*fields)).alias("value")).write.text(path)
+        return t.spark.read.text(path)
+
+    first = t.customer.where("c_nationkey < 12")
+    table.append_json(landed(first, key, c("c_name").alias("name"), F.floor("c_acctbal").alias("balance"), F.struct(nation).alias("place"), c("c_nationkey").alias("code")))
+    rest = t.customer.where("c_nationkey >= 12")
+    place = F.struct(nation, F.when(c("c_nationkey") < 18, c("c_mktsegment")).alias("segment")).alias("place")
+    code = F.concat(F.lit("n"), text(c("c_nationkey"))).alias("code")
+    whole = table.append_json(landed(rest, key, c("c_name").alias("name"), F.round("c_acctbal", 2).alias("balance"), place, code))
+    try:
+        table.append_json(landed(t.customer, key, F.struct(c("c_acctbal").alias("amount")).alias("balance")))
+        refused = False
+    except SchemaConflict:
+        refused = table.read().count() == t.customer.count()
+    return whole.select("id", "name", "place.nation", "place.segment", c("balance").cast("double").alias("balance"), "code", F.lit(refused).alias("refused"))

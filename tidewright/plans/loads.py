@@ -9,8 +9,9 @@ from tidewright.operators import checks as ck
 from tidewright.plans.models import CATALOG_SQL, catalog_summary
 from tidewright.plans.registry import query
 from tidewright.session import scratch_path
-from tidewright.sources import load
-from tidewright.sources.load import VersionedTable
+from tidewright.sources import layout, load, upkeep
+from tidewright.sources.ledger import PeriodLedger
+from tidewright.sources.load import KeyedTable, VersionedTable
 
 c = F.col
 CUT = "1999-06-01"
@@ -24,6 +25,10 @@ def table(t, name: str) -> VersionedTable:
     return VersionedTable(t.spark, scratch_path(t.spark, name))
 
 
+def keyed(t, name: str, *keys: str, buckets: int = 16) -> KeyedTable:
+    return KeyedTable(t.spark, scratch_path(t.spark, name), keys, buckets)
+
+
 def early(t) -> DataFrame:
     """First load: orders up to the cut, all still open."""
     return t.orders.where(c("o_orderdate") <= at(CUT)).select(
@@ -63,7 +68,7 @@ def _(t):
 
 @query("l3_merge_by_key", _MERGED)
 def _(t):
-    orders = table(t, "merge")
+    orders = keyed(t, "merge", "o_orderkey")
     orders.merge(early(t).withColumn("seq", F.lit(0)), ["o_orderkey"], ["seq"])
     return orders.merge(late(t), ["o_orderkey"], ["seq"]).drop("seq")
 
@@ -88,7 +93,7 @@ def _(t):
     select * from early where o_custkey not in (select o_custkey from batch) union all select * from batch""",
 )
 def _(t):
-    orders = table(t, "delete-insert")
+    orders = keyed(t, "delete-insert", "o_custkey")
     orders.replace(early(t))
     batch = t.orders.where("o_totalprice > 480000").select("o_orderkey", "o_custkey", c("o_orderstatus").alias("status"), "o_orderdate")
     return orders.delete_insert(batch, ["o_custkey"])
@@ -100,7 +105,7 @@ def _(t):
         case when ship_date >= date '2000-01-01' then orders * 10 else orders end as orders, quantity, cost, _pk from summary""",
 )
 def _(t):
-    prod, rows = table(t, "incremental"), catalog_summary(t)
+    prod, rows = keyed(t, "incremental", "_pk"), catalog_summary(t)
     recent = c("ship_date") >= F.lit("2000-01-01").cast("date")
     load.incremental_by_key(prod, rows, ["_pk"], recent)
     return load.incremental_by_key(prod, rows.withColumn("orders", c("orders") * 10), ["_pk"], recent)
@@ -236,9 +241,9 @@ def changes(t) -> DataFrame:
 @query("l13_change_data", _CDC)
 def _(t):
     target = t.customer.select(c("c_custkey").alias("id"), c("c_mktsegment").alias("segment"))
-    customers = table(t, "cdc")
+    customers = keyed(t, "cdc", "id")
     customers.replace(target)
-    return customers.replace(load.apply_changes(customers.read(), changes(t), ["id"], "seq", "op"))
+    return customers.apply_changes(changes(t), ["id"], "seq", "op")
 
 
 @query("l14_lookback", "select event_id, ts from events where ts >= timestamp '2024-01-31' - interval 7 day")
@@ -248,9 +253,13 @@ def _(t):
 
 @query("l15_route_by_type", "select event_id, user_id, event_type from events")
 def _(t):
-    path = scratch_path(t.spark, "routed")
-    load.route(t.events.select("event_id", "user_id", "event_type"), path, "event_type")
-    return t.spark.read.parquet(path)
+    return load.route(t.events.select("event_id", "user_id", "event_type"), scratch_path(t.spark, "routed"), "event_type")
+
+
+@query("l15_route_keeps_text", "select event_id, '00' || user_id as code from events")
+def _(t):
+    rows = t.events.select("event_id", F.concat(F.lit("00"), c("user_id").cast("string")).alias("code"))
+    return load.route(rows, scratch_path(t.spark, "routed-text"), "code")
 
 
 @query(
@@ -294,3 +303,179 @@ def _(t):
     load.incremental_by_key(prod, catalog_summary(t), ["_pk"], F.lit(True))
     copy = prod.clone_to(scratch_path(t.spark, "catalog-clone")).read()
     return copy.groupBy("ship_date").agg(F.count("*").alias("rows"), F.sum("cost").alias("cost"))
+
+
+# --- keys that are null, columns that come and go ----------------------------------------------------------
+
+
+def last_orders(t, where: str = "true") -> DataFrame:
+    """Newest order per customer; orders of low priority have no customer."""
+    key = F.when(c("o_orderpriority") != "5-LOW", c("o_custkey")).alias("customer")
+    return t.orders.where(where).groupBy(key).agg(F.max("o_orderkey").alias("last_order"), F.count("*").alias("orders"))
+
+
+_LAST = "select case when o_orderpriority <> '5-LOW' then o_custkey end as customer, max(o_orderkey) as last_order, count(*) as orders from orders"
+
+
+@query(
+    "l3_merge_null_keys",
+    f"""with a as ({_LAST} group by 1), b as ({_LAST} where o_totalprice > 400000 group by 1)
+    select case when b.orders is not null then b.customer else a.customer end as customer, coalesce(b.last_order, a.last_order) as last_order,
+      coalesce(b.orders, a.orders) as orders from a full join b on a.customer is not distinct from b.customer""",
+)
+def _(t):
+    table = keyed(t, "null-keys", "customer")
+    table.merge(last_orders(t), order_by=["last_order"])
+    batch = last_orders(t, "o_totalprice > 400000")
+    table.merge(batch, order_by=["last_order"])
+    return table.merge(batch, order_by=["last_order"])  # a repeat changes nothing
+
+
+@query(
+    "l13_change_data_null_keys",
+    f"""with a as ({_LAST} group by 1), ch as (select case when o_orderpriority <> '5-LOW' then o_custkey end as customer, o_orderkey as seq,
+        case o_orderstatus when 'F' then 'D' else 'U' end as op, 0 as orders from orders where o_totalprice > 300000),
+      l as (select * from (select *, row_number() over (partition by customer order by seq desc) as n from ch) where n = 1)
+    select a.* from a where not exists (select 1 from l where l.customer is not distinct from a.customer)
+    union all select customer, seq, orders from l where op <> 'D'""",
+)
+def _(t):
+    table = keyed(t, "null-changes", "customer")
+    table.replace(last_orders(t))
+    op = F.when(c("o_orderstatus") == "F", "D").otherwise("U")
+    key = F.when(c("o_orderpriority") != "5-LOW", c("o_custkey"))
+    rows = t.orders.where("o_totalprice > 300000").select(
+        key.alias("customer"), c("o_orderkey").alias("seq"), op.alias("op"), c("o_orderkey").alias("last_order"), F.lit(0).cast("bigint").alias("orders")
+    )
+    return table.apply_changes(rows, ["customer"], "seq", "op")
+
+
+@query(
+    "l2_evolving_append",
+    """select o_orderkey, cast(o_custkey as double) as customer, o_orderstatus as status, cast(null as bigint) as ship_year from orders where o_orderstatus <> 'P'
+       union all select o_orderkey, o_totalprice, null, cast(year(o_orderdate) as bigint) from orders where o_orderstatus = 'P'""",
+)
+def _(t):
+    """The second batch lacks a column, brings one, and has a wider type."""
+    orders = table(t, "evolving")
+    orders.append(t.orders.where("o_orderstatus <> 'P'").select("o_orderkey", c("o_custkey").cast("int").alias("customer"), c("o_orderstatus").alias("status")))
+    late_rows = t.orders.where("o_orderstatus = 'P'")
+    return orders.append(late_rows.select("o_orderkey", c("o_totalprice").alias("CUSTOMER"), F.year("o_orderdate").cast("long").alias("ship_year")))
+
+
+@query(
+    "l6_scd2_new_column",
+    """with a as (select c_custkey as id, c_mktsegment as segment from customer), b as (select c_custkey as id, c_mktsegment as segment,
+         case when c_acctbal > 5000 then cast(c_nationkey as bigint) end as nation from customer)
+    select a.id, a.segment, cast(null as bigint) as nation, timestamp '2024-01-01' as valid_from, case when nation is not null then timestamp '2024-02-01' end as valid_to
+      from a join b using (id)
+    union all select id, segment, nation, timestamp '2024-02-01', null from b where nation is not null""",
+)
+def _(t):
+    """A checked column that the history does not have yet."""
+    history = table(t, "snapshot-grown")
+    first = t.customer.select(c("c_custkey").alias("id"), c("c_mktsegment").alias("segment"))
+    history.track(first, "id", at("2024-01-01"), check_cols=["segment"])
+    nation = F.when(c("c_acctbal") > 5000, c("c_nationkey").cast("bigint")).alias("nation")
+    then = t.customer.select(c("c_custkey").alias("id"), c("c_mktsegment").alias("segment"), nation)
+    return history.track(then, "id", at("2024-02-01"), check_cols=["segment", "nation"])
+
+
+# --- periods one by one ------------------------------------------------------------------------------------
+
+_PERIODS = """select o_orderkey, o_orderdate, cast(date_sub('quarter', timestamp '1994-12-15', o_orderdate - interval 1 microsecond) as bigint) as period_number
+    from orders where o_orderdate > timestamp '1994-12-15' and o_orderdate < timestamp '1997-01-01'"""
+
+
+def _ledger(t) -> PeriodLedger:
+    """A backfill by quarter that stops after three periods and then goes on."""
+    ledger = PeriodLedger(t.spark, scratch_path(t.spark, "ledger"))
+    rows, bounds = t.orders.select("o_orderkey", "o_orderdate"), (at("1994-12-15"), at("1997-01-01"))
+    ledger.backfill(rows, "o_orderdate", "quarter", *bounds, most=3)
+    ledger.backfill(rows, "o_orderdate", "quarter", *bounds, together=4)
+    return ledger
+
+
+@query("l8_period_ledger", f"select o_orderkey, o_orderdate from ({_PERIODS})")
+def _(t):
+    return _ledger(t).read(t.orders.select("o_orderkey", "o_orderdate").schema)
+
+
+@query(
+    "l8_period_counts",
+    f"select i as period, count(period_number) as \"rows\" from range(9) r(i) left join ({_PERIODS}) p on p.period_number = i group by 1",
+)
+def _(t):
+    return _ledger(t).entries().select("period", "rows")
+
+
+# --- aggregates kept up to date ----------------------------------------------------------------------------
+
+
+def _event_batches(t) -> list[DataFrame]:
+    """Three batches of events; the later ones also bring late rows of the first days."""
+    slot = F.when(c("event_type") == "error", 2).when(c("ts") < at("2024-01-16"), 0).when(c("event_type") == "purchase", 2).otherwise(1)
+    return [t.events.where(slot == i) for i in range(3)]
+
+
+_DAILY = "select cast(ts as date) as event_date, count(*) as events, count(distinct user_id) as users, max(event_id) as last_event from events group by 1"
+
+
+@query("m7_daily_recomputed", _DAILY)
+def _(t):
+    """Events per day with distinct users, brought up to date after each batch from the touched days alone."""
+    day = F.to_date("ts").alias("event_date")
+    facts = keyed(t, "facts", "event_date")
+    model = keyed(t, "daily", "event_date")
+    for batch in _event_batches(t):
+        rows = batch.select("event_id", "user_id", day)
+        facts.folded(rows, lambda now, new: now.unionByName(new))
+        figures = [F.count("*").alias("events"), F.count_distinct("user_id").alias("users"), F.max("event_id").alias("last_event")]
+        upkeep.recompute(model, rows, facts.read(), ["event_date"], lambda df, f=figures: df.groupBy("event_date").agg(*f))
+    return model.read()
+
+
+@query(
+    "m7_daily_folded",
+    "select cast(ts as date) as event_date, event_type, count(*) as events, cast(sum(event_id) as bigint) as total, min(user_id) as first_user from events group by 1, 2",
+)
+def _(t):
+    """Partial figures of each batch added to those of the table; no event is read twice."""
+    model = keyed(t, "folded", "event_date", "event_type")
+    for batch in _event_batches(t):
+        parts = batch.groupBy(F.to_date("ts").alias("event_date"), "event_type").agg(
+            F.count("*").alias("events"), F.sum("event_id").alias("total"), F.min("user_id").alias("first_user")
+        )
+        upkeep.fold(model, parts, {"events": F.sum, "total": F.sum, "first_user": F.min})
+    return model.read()
+
+
+# --- files ------------------------------------------------------------------------------------------------
+
+
+@query("s5_unload_by_bytes", "select l_orderkey, l_linenumber, l_comment_like, true as within_limit from (select l_orderkey, l_linenumber, l_returnflag || l_linestatus as l_comment_like from lineitem)")
+def _(t):
+    path, limit = scratch_path(t.spark, "unload-bytes"), 64 << 10
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", F.concat("l_returnflag", "l_linestatus").alias("l_comment_like"))
+    layout.unload_by_bytes(rows, path, limit)
+    largest = max(layout.file_sizes(t.spark, path).values())
+    return t.spark.read.parquet(path).withColumn("within_limit", F.lit(largest <= limit))
+
+
+@query(
+    "s4_clustered_layout",
+    """select l_orderkey, l_linenumber, l_partkey, l_shipdate, true as prunes_part, true as prunes_date from lineitem
+       where l_partkey <= (select max(l_partkey) // 16 from lineitem) or l_shipdate < timestamp '1993-01-01'""",
+)
+def _(t):
+    """Lines along a curve through part and ship date: a filter on either one needs less than half of the files."""
+    path = scratch_path(t.spark, "clustered")
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
+    whole = t.lineitem.agg(F.max("l_partkey").alias("p"), F.min("l_shipdate").alias("d"), F.count("*").alias("n")).first()
+    layout.write_clustered(rows, path, ["l_partkey", "l_shipdate"], max(4096, whole["n"]))
+    laid = t.spark.read.parquet(path)
+    files = laid.select(F.input_file_name().alias("f")).distinct().count()
+    part = layout.files_to_read(laid, "l_partkey", 0, whole["p"] // 16)
+    date = layout.files_to_read(laid, "l_shipdate", whole["d"], at("1992-12-31 23:59:59"))
+    wanted = (c("l_partkey") <= whole["p"] // 16) | (c("l_shipdate") < at("1993-01-01"))
+    return laid.where(wanted).withColumns({"prunes_part": F.lit(part * 2 < files), "prunes_date": F.lit(date * 2 < files)})

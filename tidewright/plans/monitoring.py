@@ -117,3 +117,33 @@ def _(t):
     split = F.lit("2024-01-16").cast("timestamp_ntz")
     scored = anomaly.volume_anomalies(volume.where(c("ts") < split), volume.where(c("ts") >= split), width=2.0)
     return scored.withColumns({x: F.round(x, 6) for x in ("forecast", "lower_bound", "upper_bound")})
+
+
+# Daily volumes per line: a weekly wave on a slope, with a spike on a few days of the last half year.
+_VOLUMES = """c as (select l_linenumber as series, cast(l_shipdate as date) as day, count(*) as n from lineitem group by all),
+    v as (select series, day, n + cast(dayofweek(day) * 1000 as bigint) + date_diff('day', date '1992-01-01', day)
+      + case when day >= date '1998-03-01' and day(day) = 13 then 500 else 0 end as target from c)"""
+
+
+@query(
+    "n5_seasonal_forecast",
+    f"""with {_VOLUMES}, h as (select * from v where day < date '1998-01-01'), o as (select series, min(day) as origin from h group by 1),
+    x as (select h.series, origin, isodow(day) as w, date_diff('day', origin, day)::hugeint as t, target::hugeint as y from h join o using (series)),
+    d as (select series, origin, w, count(*) as n, sum(t)::double / count(*) as mt, sum(y)::double / count(*) as my,
+        (count(*) * sum(t * t) - sum(t) * sum(t))::double / count(*) as ctt, (count(*) * sum(t * y) - sum(t) * sum(y))::double / count(*) as cty,
+        (count(*) * sum(y * y) - sum(y) * sum(y))::double / count(*) as cyy from x group by all),
+    s as (select series, origin, sum(cty) / sum(ctt) as slope, sqrt((sum(cyy) - sum(cty) / sum(ctt) * sum(cty)) / (sum(n) - count(*) - 1)) as sd from d group by all),
+    f as (select v.series, v.day, v.target, my - slope * mt + slope * date_diff('day', s.origin, v.day) as forecast, sd
+      from v join s using (series) join d on d.series = v.series and d.w = isodow(v.day) where v.day >= date '1998-01-01')
+    select series, day, target, round(forecast, 4) as forecast, round(forecast - 4 * sd, 4) as lower_bound, round(forecast + 4 * sd, 4) as upper_bound,
+      target < forecast - 4 * sd or target > forecast + 4 * sd as is_anomaly from f""",
+)
+def _(t):
+    day = F.to_date("l_shipdate")
+    wave = (F.dayofweek("day") - 1) * 1000 + F.datediff("day", F.lit("1992-01-01").cast("date"))
+    spike = F.when((c("day") >= F.lit("1998-03-01").cast("date")) & (F.dayofmonth("day") == 13), 500).otherwise(0)
+    counts = t.lineitem.groupBy(c("l_linenumber").alias("series"), day.alias("day")).agg(F.count("*").alias("n"))
+    volume = counts.select("series", "day", (c("n") + wave + spike).cast("bigint").alias("target"))
+    split = F.lit("1998-01-01").cast("date")
+    scored = anomaly.seasonal_forecast(volume.where(c("day") < split), volume.where(c("day") >= split), width=4.0)
+    return scored.withColumns({x: F.round(x, 4) for x in ("forecast", "lower_bound", "upper_bound")})

@@ -6,8 +6,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidewright.functions import dates, keys, numbers, text
-from tidewright.operators import joins, reshape, windows
+from tidewright.operators import joins, reshape, sketches, windows
 from tidewright.plans.registry import query
+from tidewright.session import scratch_path
 
 c = F.col
 cents = numbers.to_cents
@@ -752,3 +753,34 @@ def _(t):
 @query("o4_top_values", "select l_partkey, count(*) as n from lineitem group by 1 order by 2 desc, 1 limit 20")
 def _(t):
     return t.lineitem.groupBy("l_partkey").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "l_partkey").limit(20)
+
+
+@query(
+    "a6_quantile_sketches",
+    "select event_type, cast(date_trunc('month', ts) as date) as month, count(*) as n_values, true as p50_near, true as p90_near from events group by 1, 2",
+)
+def _(t):
+    """Medians and 90 % points of a month from a stored row per day; near is within the stated error of the rank."""
+    path = scratch_path(t.spark, "quantiles")
+    daily = sketches.quantile_parts(t.events.withColumn("day", F.to_date("ts")), ["event_type", "day"], "value")
+    daily.write.parquet(path)
+    stored = t.spark.read.parquet(path).withColumn("month", F.trunc("day", "month"))
+    asked = sketches.quantiles(sketches.merge_quantile_parts(stored, ["event_type", "month"]), p50=0.5, p90=0.9)
+    rows = t.events.withColumn("month", F.trunc(F.to_date("ts"), "month")).join(asked, ["event_type", "month"])
+    error = sketches.rank_error()
+
+    def near(p, share):
+        below, upto = F.count_if(c("value") < c(p)) / F.count("*"), F.count_if(c("value") <= c(p)) / F.count("*")
+        return ((below <= share + error) & (upto >= share - error)).alias(f"{p}_near")
+
+    return rows.groupBy("event_type", "month", "n_values").agg(near("p50", 0.5), near("p90", 0.9))
+
+
+@query(
+    "r24_heavy_values",
+    """select *, cast(row_number() over (order by "count" desc, value) as integer) as rank from
+       (select o_custkey % 50 * (o_custkey % 3) as value, count(*) as "count" from orders group by 1 order by 2 desc, 1 limit 20)""",
+)
+def _(t):
+    spread = t.orders.select((c("o_custkey") % 50 * (c("o_custkey") % 3)).alias("code"))
+    return sketches.heavy_values(spread, "code", 20, tracked=1000)

@@ -94,9 +94,10 @@ def _(t):
     path = scratch_path(t.spark, "export")
     rows = t.orders.where(c("o_orderstatus").isin("F", "O"))
     src.export_per_value(rows.select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus"), path, "o_orderstatus")
-    one = src.read_csv(t.spark, f"{path}/o_orderstatus=F", "o_orderkey bigint, o_custkey bigint, o_orderpriority string")
-    other = src.read_csv(t.spark, f"{path}/o_orderstatus=O", "o_orderkey bigint, o_custkey bigint, o_orderpriority string")
-    return one.unionAll(other)
+    columns = "o_orderkey bigint, o_custkey bigint, o_orderpriority string, o_orderstatus string"
+    one = src.read_csv(t.spark, f"{path}/o_orderstatus=F", columns).where("o_orderstatus = 'F'")
+    other = src.read_csv(t.spark, f"{path}/o_orderstatus=O", columns).where("o_orderstatus = 'O'")
+    return one.unionAll(other).drop("o_orderstatus")
 
 
 @query(

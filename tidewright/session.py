@@ -61,3 +61,9 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder."""
     return f"{scratch_root(spark)}/tidewright/{name}-{uuid.uuid4().hex}"
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """A path and its file system, for listing, renaming and removing files from the driver."""
+    made = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return made, made.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

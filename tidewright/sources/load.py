@@ -1,46 +1,125 @@
 """Load modes on plain parquet: replace, append, merge, history, by-period and audited publishing.
 
-A ``VersionedTable`` keeps every version in a folder of its own and a small log that names the current one, so a
-load never overwrites what it reads and readers see either the old or the new version. One writer at a time.
+A ``VersionedTable`` keeps every version in folders of its own and a small log that names the current ones with their
+schema, so a load never overwrites what it reads and readers see either the old or the new version. Of two writers that
+start from the same version one fails. A ``KeyedTable`` deals its rows to buckets by key and replaces touched buckets only.
 """
 
 from __future__ import annotations
 
+import json
+import re
 import uuid
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewright.functions.dates import dateadd, datediff
 from tidewright.operators.reshape import newest
+from tidewright.operators.windows import landed
+from tidewright.session import hadoop_path
+from tidewright.sources.schemas import infer_json, merged_frames, parse_json, shaped, union_schema, without_void
 
-_LOG = "version bigint, paths array<string>, mode string"
+_LOG = "version bigint, paths array<string>, mode string, schema string, schemas array<string>, kinds array<int>"
 
 
 class AuditFailed(Exception):
     """A staged version did not pass its checks."""
 
 
+class ConcurrentLoad(Exception):
+    """Another load published a version since this one read the table."""
+
+
+def _add_entry(spark: SparkSession, root: str, version: int, entry: dict) -> None:
+    """Write a log entry under its number, unless that number is taken.
+
+    The entry gets its name only when it is whole. Where the file system renames without overwriting (as HDFS does), no
+    two writers get the same number; on others that holds unless both rename at the same moment.
+    """
+    name = f"{version:012d}.json"
+    temporary, files = hadoop_path(spark, f"{root}/log/.{name}.{uuid.uuid4().hex}")
+    final, _ = hadoop_path(spark, f"{root}/log/{name}")
+    out = files.create(temporary, False)
+    out.write(bytearray(json.dumps({"version": version, **entry}).encode()))
+    out.close()
+    if files.exists(final) or not files.rename(temporary, final):
+        files.delete(temporary, False)
+        raise ConcurrentLoad(f"{root}: version {version} is already there")
+
+
+def _last_entry(spark: SparkSession, root: str, schema: str) -> dict | None:
+    """The newest log entry; it is one small file, so no job is needed to read it."""
+    folder, files = hadoop_path(spark, f"{root}/log")
+    if not files.exists(folder):
+        return None
+    names = [s.getPath().getName() for s in files.listStatus(folder)]
+    numbered = max((n for n in names if re.fullmatch(r"\d{12}\.json", n)), default=None)
+    if numbered is None:  # entries of an earlier form
+        last = spark.read.schema(schema).json(f"{root}/log").orderBy(F.desc("version")).first()
+        return last.asDict() if last else None
+    stream = files.open(hadoop_path(spark, f"{root}/log/{numbered}")[0])
+    try:
+        return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
 class VersionedTable:
-    """A version is a list of immutable parquet folders, so appends and clones copy nothing."""
+    """A version is a list of immutable parquet folders, so appends and clones copy nothing.
+
+    The log holds the schema of each version and the one each folder was written in. A batch may lack columns, bring new
+    ones or wider types (see ``schemas``): the version's schema then grows, and older rows read as null or in the wider
+    type. A conflict is an error before anything is written.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self._staged: dict[str, T.StructType] = {}
 
     def _last(self):
-        try:
-            log = self.spark.read.schema(_LOG).json(f"{self.root}/log")
-            return log.orderBy(F.desc("version")).first()
-        except AnalysisException as err:
-            if "PATH_NOT_FOUND" in str(err):
-                return None
-            raise
+        return _last_entry(self.spark, self.root, _LOG)
+
+    def _written_in(self, last, path: str) -> T.StructType:
+        if path in self._staged:
+            return self._staged[path]
+        if last is not None and last.get("schemas") and path in last["paths"]:
+            return T.StructType.fromJson(json.loads(last["schemas"][last["kinds"][last["paths"].index(path)]]))
+        return self.spark.read.parquet(path).schema  # published by hand
+
+    def _schema(self, last) -> T.StructType:
+        if last.get("schema"):
+            return T.StructType.fromJson(json.loads(last["schema"]))
+        return reduce(union_schema, [self._written_in(last, p) for p in last["paths"]])
+
+    def schema(self) -> T.StructType | None:
+        """Schema of the current version."""
+        last = self._last()
+        return self._schema(last) if last is not None else None
+
+    def _frame(self, last, paths: Sequence[str], schema: T.StructType | None = None) -> DataFrame:
+        """Rows of some folders; folders written in one schema are read together."""
+        schema = schema or self._schema(last)
+        alike: dict[str, list[str]] = {}
+        if last.get("schemas"):
+            kind = dict(zip(last["paths"], last["kinds"], strict=True))
+            for p in paths:
+                alike.setdefault(last["schemas"][kind[p]], []).append(p)
+        else:
+            for p in paths:
+                alike.setdefault(self._written_in(last, p).json(), []).append(p)
+        if not alike:
+            return self.spark.createDataFrame([], schema)
+        read = [self.spark.read.schema(T.StructType.fromJson(json.loads(s))).parquet(*ps) for s, ps in alike.items()]
+        return merged_frames(read, schema)
 
     def _read_or_none(self) -> DataFrame | None:
         last = self._last()
-        return self.spark.read.parquet(*last["paths"]) if last else None
+        return self._frame(last, last["paths"]) if last is not None else None
 
     def exists(self) -> bool:
         return self._last() is not None
@@ -52,50 +131,92 @@ class VersionedTable:
         return df
 
     def stage(self, df: DataFrame, partition_by: Sequence[str] = ()) -> str:
-        """Write a candidate folder; nobody reads it until it is published."""
+        """Write a candidate folder; nobody reads it until it is published. Columns without a type are left out."""
         path = f"{self.root}/data/{uuid.uuid4().hex}"
-        df.write.partitionBy(*partition_by).parquet(path)
+        schema = without_void(df.schema) or T.StructType()
+        shaped(df, schema).write.partitionBy(*partition_by).parquet(path)
+        self._staged[path] = schema
         return path
 
-    def publish(self, paths: Sequence[str], mode: str = "replace", after: int | None = None) -> DataFrame:
-        """Make the folders the current version, and return it."""
+    def publish(self, paths: Sequence[str], mode: str = "replace", after: int | None = None, schema: T.StructType | None = None) -> DataFrame:
+        """Make the folders the current version, and return it; the schema is that of all folders together."""
+        last = self._last()
         if after is None:
-            last = self._last()
             after = last["version"] if last else 0
-        entry = self.spark.range(0, 1, 1, 1).select(
-            F.lit(after + 1).alias("version"), F.array(*[F.lit(p) for p in paths]).alias("paths"), F.lit(mode).alias("mode")
-        )
-        entry.write.mode("append").json(f"{self.root}/log")
-        return self.spark.read.parquet(*paths)
-
-    def replace(self, df: DataFrame, mode: str = "replace", partition_by: Sequence[str] = ()) -> DataFrame:
-        return self.publish([self.stage(df, partition_by)], mode)
+        own = [self._written_in(last, p) for p in paths]
+        schema = schema or reduce(union_schema, own, T.StructType())
+        named = [s.json() for s in own]
+        kinds = {s: i for i, s in enumerate(dict.fromkeys(named))}
+        entry = {"paths": list(paths), "mode": mode, "schema": schema.json(), "schemas": list(kinds), "kinds": [kinds[s] for s in named]}
+        _add_entry(self.spark, self.root, after + 1, entry)
+        return self._frame(entry, entry["paths"], schema)
+
+    def replace(self, df: DataFrame, mode: str = "replace", partition_by: Sequence[str] = (), after: int | None = None) -> DataFrame:
+        return self.publish([self.stage(df, partition_by)], mode, after)
+
+    def grown(self, last, df: DataFrame) -> T.StructType:
+        """Schema of the table with a batch's columns; raises ``SchemaConflict`` if they do not go together."""
+        batch = without_void(df.schema) or T.StructType()
+        return union_schema(self._schema(last), batch) if last is not None else batch
 
     def append(self, df: DataFrame) -> DataFrame:
         """Add a folder; what is there is neither read nor written again."""
-        path, last = self.stage(df), self._last()
+        last = self._last()
+        schema = self.grown(last, df)
+        path = self.stage(df)
         before = list(last["paths"]) if last else []
-        return self.publish([*before, path], "append", last["version"] if last else 0)
+        return self.publish([*before, path], "append", last["version"] if last else 0, schema)
+
+    def append_json(self, lines: DataFrame, column: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+        """Append JSON objects with the columns found in them (see ``infer_json``) and the ``keep`` columns of the lines.
+
+        New columns and wider types grow the schema; lines that do not parse and types that do not go together are errors,
+        and then nothing is written.
+        """
+        last = self._last()
+        found = infer_json(lines, column)
+        return self.append(parse_json(lines, found, column, self._schema(last) if last is not None else None, keep))
+
+    def _rewritten(
+        self, batch: DataFrame, change: Callable[[DataFrame, DataFrame], DataFrame], mode: str, beside: Sequence[str] = ()
+    ) -> DataFrame:
+        """Replace the table by ``change(table, batch)``, both in the table's grown schema.
+
+        The batch's columns ``beside`` are not the table's, and are there for ``change`` only.
+        """
+        last = self._last()
+        schema = self.grown(last, batch.drop(*beside))
+        now = self._frame(last, last["paths"], schema) if last is not None else self.spark.createDataFrame([], schema)
+        made = change(now, self._batch(batch, schema, beside))
+        return self.publish([self.stage(shaped(made, schema))], mode, last["version"] if last else 0, schema)
+
+    @staticmethod
+    def _batch(batch: DataFrame, schema: T.StructType, beside: Sequence[str]) -> DataFrame:
+        return shaped(batch, T.StructType([*schema.fields, *[batch.schema[c] for c in beside]]))
 
     def merge(self, batch: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-        now = self._read_or_none()
-        made = merge_by_key(now, batch, keys, order_by) if now is not None else newest(batch, keys, order_by)
-        return self.replace(made, "merge")
+        return self._rewritten(batch, lambda now, new: merge_by_key(now, new, keys, order_by), "merge")
 
     def upsert_latest(self, batch: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
         """Keep the newest row per key among the table and the batch; repeating a batch changes nothing."""
-        now = self._read_or_none()
-        rows = batch if now is None else now.unionByName(batch)
-        return self.replace(newest(rows, keys, order_by), "upsert")
+        return self._rewritten(batch, lambda now, new: newest(now.unionByName(new), keys, order_by), "upsert")
 
     def delete_insert(self, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-        now = self._read_or_none()
-        return self.replace(delete_insert(now, batch, keys) if now is not None else batch, "delete_insert")
+        return self._rewritten(batch, lambda now, new: delete_insert(now, new, keys), "delete_insert")
+
+    def apply_changes(self, changes: DataFrame, keys: Sequence[str], sequence: str, op: str, delete: str = "D") -> DataFrame:
+        """The last change per key updates, inserts or deletes; the sequence stays only if the table has that column."""
+        known = {f.name.lower() for f in (self.schema() or T.StructType()).fields}
+        gone = [op] if sequence.lower() in known else [op, sequence]
+        told = changes.withColumns({"__sequence": F.col(sequence), "__op": F.col(op)}).drop(*gone)
+        return self._rewritten(
+            told, lambda now, new: apply_changes(now, new, keys, "__sequence", "__op", delete), "changes", ["__sequence", "__op"]
+        )
 
     def audited(self, df: DataFrame, checks: dict[str, Callable[[DataFrame], DataFrame]]) -> DataFrame:
         """Write, audit, publish: the staged files are checked, and only a clean version becomes current."""
         path = self.stage(df)
-        staged = self.spark.read.parquet(path)
+        staged = self.spark.read.schema(self._staged[path]).parquet(path)
         failed = [name for name, check in checks.items() if not check(staged).isEmpty()]
         if failed:
             raise AuditFailed(f"{self.root}: {', '.join(failed)}")
@@ -111,30 +232,35 @@ class VersionedTable:
         last = self._last()
         if last is None:
             one_per_key(new, key)
-            return self.publish([self.stage(first_snapshot(new, now.cast("timestamp_ntz")))], "track")
+            return self.publish([self.stage(first_snapshot(new, now.cast("timestamp_ntz")))], "track", 0)
         *closed, current = last["paths"]
-        made = self.spark.read.parquet(self.stage(scd2(self.spark.read.parquet(current), new, key, now, check_cols, updated_at)))
+        made = landed(scd2(self._frame(last, [current]), new, key, now, check_cols, updated_at), "history")
         done, still = made.where(F.col("valid_to").isNotNull()), made.where(F.col("valid_to").isNull())
         more = [] if done.isEmpty() else [self.stage(done)]
         return self.publish([*closed, *more, self.stage(still)], "track", last["version"])
 
     def vacuum(self, keep_versions: int = 1) -> list[str]:
-        """Remove folders that none of the last ``keep_versions`` versions name, and return them.
+        """Remove folders that none of the last ``keep_versions`` versions name, and return their names.
 
         Not for tables that others are cloned from, nor while a load runs.
         """
-        log = self.spark.read.schema(_LOG).json(f"{self.root}/log")
+        log = self.spark.read.schema(_LOG).json(f"{self.root}/log").where("version is not null")
         kept = log.orderBy(F.desc("version")).limit(keep_versions).select(F.explode("paths").alias("path")).distinct()
         named = {r["path"].rstrip("/") for r in kept.toLocalIterator()}
-        jvm = self.spark.sparkContext._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(f"{self.root}/data")
-        files = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        used = {p[len(f"{self.root}/data/") :].split("/")[0] for p in named if p.startswith(f"{self.root}/data/")}
+        folder, files = hadoop_path(self.spark, f"{self.root}/data")
         gone = []
         for status in files.listStatus(folder):
             name = status.getPath().getName()
-            if f"{self.root}/data/{name}" not in named:
+            if name not in used:
                 files.delete(status.getPath(), True)
                 gone.append(name)
+                continue
+            for part in files.listStatus(status.getPath()) if f"{self.root}/data/{name}" not in named else ():
+                inner = f"{name}/{part.getPath().getName()}"
+                if part.isDirectory() and f"{self.root}/data/{inner}" not in named:
+                    files.delete(part.getPath(), True)
+                    gone.append(inner)
         return gone
 
     def clone_to(self, root: str) -> VersionedTable:
@@ -143,10 +269,98 @@ class VersionedTable:
         if last is None:
             raise FileNotFoundError(self.root)
         copy = VersionedTable(self.spark, root)
-        copy.publish(last["paths"], "clone")
+        copy._staged = {p: self._written_in(last, p) for p in last["paths"]}
+        copy.publish(last["paths"], "clone", 0, self._schema(last))
         return copy
 
 
+class KeyedTable(VersionedTable):
+    """A table dealt to buckets by a hash of its key, one folder each: a batch reads and writes its own buckets only.
+
+    Choose ``buckets`` so that one of them is a few files' worth; it cannot be changed later, nor can the key's columns
+    change their type in ways that change how they are written as text. A null key is a key like any other.
+    """
+
+    BUCKET = "__bucket"
+
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], buckets: int = 64):
+        super().__init__(spark, root)
+        self.keys, self.buckets = list(keys), buckets
+
+    def _dealt(self, df: DataFrame) -> DataFrame:
+        """Rows with their bucket. Text, so that a whole number keeps its bucket when its type grows."""
+        return df.withColumn(self.BUCKET, F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in self.keys]), F.lit(self.buckets)).cast("int"))
+
+    def _bucket_of(self, path: str) -> int:
+        return int(re.search(rf"{self.BUCKET}=(\d+)$", path)[1])
+
+    def grown(self, last, df: DataFrame) -> T.StructType:
+        schema = super().grown(last, df)
+        if last is not None:
+            before, after = ({f.name.lower(): f.dataType for f in s.fields} for s in (self._schema(last), schema))
+            for k in self.keys:
+                a, b = before[k.lower()], after[k.lower()]
+                if a != b and not (isinstance(a, T.IntegralType) and isinstance(b, T.IntegralType)):
+                    raise ValueError(f"key {k} cannot turn from {a.simpleString()} into {b.simpleString()}")
+        return schema
+
+    def _stage_buckets(self, df: DataFrame, schema: T.StructType) -> list[str]:
+        """Write rows to a folder per bucket, and return the folders."""
+        root = self.stage(_clustered(self._dealt(shaped(df, schema)), self.BUCKET), [self.BUCKET])
+        folder, files = hadoop_path(self.spark, root)
+        names = [s.getPath().getName() for s in files.listStatus(folder) if s.isDirectory()]
+        paths = sorted(f"{root}/{n}" for n in names if n.startswith(f"{self.BUCKET}="))
+        self._staged |= dict.fromkeys(paths, schema)
+        return paths
+
+    def replace(self, df: DataFrame, mode: str = "replace", partition_by: Sequence[str] = (), after: int | None = None) -> DataFrame:
+        schema = without_void(df.schema)
+        return self.publish(self._stage_buckets(df, schema), mode, after, schema)
+
+    def append(self, df: DataFrame) -> DataFrame:
+        raise NotImplementedError("rows come into a keyed table by merge, upsert_latest, delete_insert or apply_changes")
+
+    def _rewritten(
+        self, batch: DataFrame, change: Callable[[DataFrame, DataFrame], DataFrame], mode: str, beside: Sequence[str] = ()
+    ) -> DataFrame:
+        last = self._last()
+        schema = self.grown(last, batch.drop(*beside))
+        rows = landed(self._batch(batch, schema, beside), "batch")  # read twice: for its buckets and for its rows
+        touched = {r[0] for r in self._dealt(rows).select(self.BUCKET).distinct().collect()}  # at most ``buckets``
+        paths = list(last["paths"]) if last is not None else []
+        inside = {p for p in paths if self._bucket_of(p) in touched}
+        now = self._frame(last, sorted(inside), schema) if last is not None else self.spark.createDataFrame([], schema)
+        made = self._stage_buckets(change(now, rows), schema)
+        return self.publish([*[p for p in paths if p not in inside], *made], mode, last["version"] if last else 0, schema)
+
+    def merge(self, batch: DataFrame, keys: Sequence[str] = (), order_by: Sequence[str] = ()) -> DataFrame:
+        return super().merge(batch, self._same(keys), order_by)
+
+    def upsert_latest(self, batch: DataFrame, keys: Sequence[str] = (), order_by: Sequence[str] = ()) -> DataFrame:
+        return super().upsert_latest(batch, self._same(keys), order_by)
+
+    def delete_insert(self, batch: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+        return super().delete_insert(batch, self._same(keys))
+
+    def apply_changes(self, changes: DataFrame, keys: Sequence[str], sequence: str, op: str, delete: str = "D") -> DataFrame:
+        return super().apply_changes(changes, self._same(keys), sequence, op, delete)
+
+    def replace_groups(self, batch: DataFrame, keep: str) -> DataFrame:
+        """All rows of the batch's keys go; the batch's rows that ``keep`` marks come in."""
+        return self._rewritten(
+            batch, lambda now, new: without_keys(now, new.select(*self.keys).distinct(), self.keys).unionByName(new.where(keep).drop(keep)), "groups", [keep]
+        )
+
+    def folded(self, batch: DataFrame, fold: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+        """The rows of touched buckets replaced by ``fold(rows, batch)``, which leaves rows of other keys as they are."""
+        return self._rewritten(batch, fold, "fold")
+
+    def _same(self, keys: Sequence[str]) -> list[str]:
+        if keys and [k.lower() for k in keys] != [k.lower() for k in self.keys]:
+            raise ValueError(f"the table is dealt by {self.keys}, not {list(keys)}")
+        return self.keys
+
+
 class PromotedSet:
     """A set of tables whose current versions change together: one log entry names the folders of all of them."""
 
@@ -156,12 +370,7 @@ class PromotedSet:
         self.spark, self.root = spark, root.rstrip("/")
 
     def _last(self):
-        try:
-            return self.spark.read.schema(self._ENTRY).json(f"{self.root}/log").orderBy(F.desc("version")).first()
-        except AnalysisException as err:
-            if "PATH_NOT_FOUND" in str(err):
-                return None
-            raise
+        return _last_entry(self.spark, self.root, self._ENTRY)
 
     def read(self) -> dict[str, DataFrame]:
         last = self._last()
@@ -171,27 +380,30 @@ class PromotedSet:
 
     def promote(self, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
         """Stage all tables, then publish them by one entry; a run that fails before leaves the old set."""
+        last = self._last()
         made = {name: f"{self.root}/data/{uuid.uuid4().hex}" for name in tables}
         for name, df in tables.items():
             df.write.parquet(made[name])
-        last = self._last()
-        paths = F.create_map(*[F.lit(x) for pair in made.items() for x in pair])
-        entry = self.spark.range(0, 1, 1, 1).select(F.lit((last["version"] if last else 0) + 1).alias("version"), paths.alias("paths"))
-        entry.write.mode("append").json(f"{self.root}/log")
+        _add_entry(self.spark, self.root, (last["version"] if last else 0) + 1, {"paths": made})
         return self.read()
 
 
 def merge_by_key(target: DataFrame, batch: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """Newest batch row per key replaces the target's row; other target rows stay."""
+    """Newest batch row per key replaces the target's row; other target rows stay. Null is a key like any other."""
     last = newest(batch, keys, order_by)
-    kept = target.join(last.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(last)
+    return without_keys(target, last, keys).unionByName(last)
+
+
+def without_keys(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target rows whose key the batch does not have; null is a key like any other."""
+    gone = batch.select(*[F.col(k).alias(f"__gone_{i}") for i, k in enumerate(keys)])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__gone_{i}")) for i, k in enumerate(keys)])
+    return target.join(gone, same, "left_anti")
 
 
 def delete_insert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """All target rows of the batch's keys go, then the whole batch comes in."""
-    gone = batch.select(*keys).distinct()
-    return target.join(gone, list(keys), "left_anti").unionByName(batch)
+    return without_keys(target, batch.select(*keys).distinct(), keys).unionByName(batch)
 
 
 def merge_partitions(
@@ -280,8 +492,8 @@ def apply_changes(
 ) -> DataFrame:
     """Change rows applied: the last change per key updates, inserts or deletes."""
     last = newest(changes, keys, [sequence])
-    kept = target.join(last.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(last.where(F.col(op) != delete).select(*target.columns))
+    changed = last.where(~F.col(op).eqNullSafe(F.lit(delete))).select(*target.columns)
+    return without_keys(target, last, keys).unionByName(changed)
 
 
 def one_per_key(new: DataFrame, key: str) -> None:
@@ -308,11 +520,16 @@ def scd2(
     A key changes when one of ``check_cols`` differs (null counts as a value) or when its ``updated_at`` is later.
     The open version is closed and the new one opened at ``now``, or at ``updated_at``. Keys missing from ``new``
     stay open, so a second run on the same input changes nothing. A null key is a key like any other; a key that
-    occurs twice in ``new`` is an error.
+    occurs twice in ``new`` is an error. A column that one side lacks is null there, so a new checked column with a value
+    is a change.
     """
     if (check_cols is None) == (updated_at is None):
         raise ValueError("give either check_cols or updated_at")
     one_per_key(new, key)
+    period = T.StructType([T.StructField("valid_from", T.TimestampNTZType()), T.StructField("valid_to", T.TimestampNTZType())])
+    before = T.StructType([f for f in history.schema.fields if f.name.lower() not in ("valid_from", "valid_to")])
+    whole = union_schema(before, without_void(new.schema))
+    new, history = shaped(new, whole), shaped(history, T.StructType([*whole.fields, *period.fields]))
     at = F.col(f"n.{updated_at}").cast("timestamp_ntz") if updated_at else now.cast("timestamp_ntz")
     columns = new.columns
     both = (
@@ -415,9 +632,14 @@ def lookback(rows: DataFrame, column: str, now: Column, days: int | None) -> Dat
     return rows if days is None else rows.where(F.col(column) >= dateadd("day", -days, now))
 
 
-def route(rows: DataFrame, path: str, column: str) -> None:
-    """One folder per value, in one job; folders of values no longer met go."""
+def route(rows: DataFrame, path: str, column: str) -> DataFrame:
+    """One folder per value, in one job; folders of values no longer met go. Returns the routed rows.
+
+    Values are folder names, so whoever reads the folders later should pass the schema as well, or texts that look like
+    numbers are read as such.
+    """
     _clustered(rows, column).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(column).parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def materialize(df: DataFrame, kind: str, name: str, root: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
@@ -10,7 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewright.session import prepare
+from tidewright.session import hadoop_path, prepare
+from tidewright.sources.layout import unload_by_bytes
 
 
 class Tables:
@@ -59,8 +61,8 @@ def half_open(column: str, start: str, stop: str) -> Column:
 
 
 def read_csv(spark: SparkSession, path: str, schema: str, **options: str) -> DataFrame:
-    """CSV files under a path or glob, with a header row and a declared schema."""
-    return spark.read.schema(schema).options(header=True, **options).csv(path)
+    """CSV files under a path or glob, with a header row and a declared schema; a quote inside quotes is doubled (RFC 4180)."""
+    return spark.read.schema(schema).options(**{"header": True, "escape": '"', **options}).csv(path)
 
 
 def read_seed(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -155,24 +157,49 @@ def json_payload(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.try_parse_json(column))
 
 
-def unload(df: DataFrame, path: str, rows_per_file: int | None = None) -> None:
-    """Query result to a clean parquet folder, with a row bound per file."""
+def unload(df: DataFrame, path: str, rows_per_file: int | None = None, max_bytes: int | None = None) -> None:
+    """Query result to a clean parquet folder, with a bound on the rows or on the bytes of a file."""
+    if max_bytes:
+        unload_by_bytes(df, path, max_bytes)
+        return
     writer = df.write.mode("overwrite")
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     writer.parquet(path)
 
 
+_CSV = {"header": True, "escape": '"'}
+# Fixed value: a sheet holds at most this many cells.
+SHEET_CELLS = 10_000_000
+
+
 def export_csv(df: DataFrame, path: str, single: bool = False, quote_all: bool = False) -> None:
     """CSV with header, replacing what is there. ``single`` gives one file: for small exports only."""
     out = df.coalesce(1) if single else df
-    out.write.mode("overwrite").options(header=True, quoteAll=quote_all).csv(path)
+    out.write.mode("overwrite").options(**_CSV, quoteAll=quote_all).csv(path)
+
 
+def export_per_value(df: DataFrame, path: str, column: str, single: bool = False) -> None:
+    """One CSV folder ``column=value`` per value in a single job; the files have all columns, the value's included.
 
-def export_per_value(df: DataFrame, path: str, column: str) -> None:
-    """One CSV folder per value of ``column`` in a single job."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    writer.partitionBy(column).option("header", True).csv(path)
+    Rows of a value are brought together, so that it has a few files, large values some more. ``single`` gives one file per
+    value, each written by one task: for values of bounded size. The folders appear together when all are written.
+    """
+    spark, copy = df.sparkSession, "__value"
+    rows = df.withColumn(copy, F.col(column))
+    rows = rows.repartition(copy) if single else rows.hint("rebalance", copy)
+    parent, _, name = path.rstrip("/").rpartition("/")
+    made = f"{parent}/_{name}.{uuid.uuid4().hex}"
+    rows.write.partitionBy(copy).options(**_CSV).csv(made)
+    folder, files = hadoop_path(spark, made)
+    for status in files.listStatus(folder):
+        value = status.getPath().getName()
+        if value.startswith(f"{copy}="):
+            files.rename(status.getPath(), hadoop_path(spark, f"{made}/{column}={value[len(copy) + 1 :]}")[0])
+    final, _ = hadoop_path(spark, path)
+    files.delete(final, True)
+    if not files.rename(folder, final):
+        raise OSError(f"cannot rename {made} to {path}")
 
 
 def sheet_rows(df: DataFrame) -> DataFrame:
@@ -181,10 +208,16 @@ def sheet_rows(df: DataFrame) -> DataFrame:
 
 
 def push_sheet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Header and rows as CSV; each append brings its own header again."""
+    """Header and rows as one CSV file; each append brings a file with its own header.
+
+    More cells than a sheet holds are an error.
+    """
     if mode not in ("overwrite", "append"):
         raise ValueError(f"mode must be 'overwrite' or 'append', got {mode!r}")
-    sheet_rows(df).write.mode(mode).options(header=True, emptyValue="").csv(path)
+    most = SHEET_CELLS // max(len(df.columns), 1)
+    if df.limit(most + 1).count() > most:
+        raise ValueError(f"more than {SHEET_CELLS} cells")
+    sheet_rows(df).coalesce(1).write.mode(mode).options(**_CSV, emptyValue="").csv(path)
 
 
 def mirror(tables: dict[str, DataFrame], root: str) -> dict[str, str]:

@@ -7,13 +7,16 @@ micro-batches, and how late they come, does not touch what is read in the end.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewright.functions.text import check_column, check_kind, check_target
+from tidewright.operators.anomaly import SLOW_FACTOR
 from tidewright.operators.reshape import newest
+from tidewright.session import hadoop_path
 from tidewright.sources.load import apply_changes
 
 c = F.col
@@ -44,7 +47,11 @@ def read_files(spark: SparkSession, path: str, schema: str, fmt: str = "parquet"
 
 
 class BatchTable:
-    """A folder with one subfolder for each micro-batch; a batch that is written again replaces its own."""
+    """A folder with one subfolder for each micro-batch; a batch that is written again replaces its own.
+
+    Batches can be folded into a generation, which stands for all batches up to its number. The batches it replaces, and
+    the generation before, are removed by the fold after it, so that whoever reads meanwhile finds them.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -52,8 +59,43 @@ class BatchTable:
     def write(self, batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{self.root}/batch_id={batch_id}")
 
+    def _numbered(self, place: str, name: str) -> dict[int, str]:
+        """Finished folders ``name=<number>``, by number."""
+        folder, files = hadoop_path(self.spark, place)
+        found = {}
+        for status in files.listStatus(folder) if files.exists(folder) else ():
+            match = re.fullmatch(rf"{name}=(\d+)", status.getPath().getName())
+            if match and files.exists(hadoop_path(self.spark, f"{place}/{match[0]}/_SUCCESS")[0]):
+                found[int(match[1])] = f"{place}/{match[0]}"
+        return found
+
+    def _live(self) -> tuple[int, list[str]]:
+        """The newest generation's number (-1 without one), and the folders that make up the table."""
+        folded = self._numbered(f"{self.root}/_folded", "upto")
+        upto = max(folded, default=-1)
+        later = {i: p for i, p in self._numbered(self.root, "batch_id").items() if i > upto}
+        return upto, [*([folded[upto]] if folded else []), *[later[i] for i in sorted(later)]]
+
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.root)
+        """Rows of the newest generation and the batches after it."""
+        return self.spark.read.parquet(*self._live()[1])
+
+    def fold(self, change: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """Make ``change(rows)`` the generation that stands for all batches so far, and return the table.
+
+        Not while a batch is written that is older than another one already there.
+        """
+        before, _ = self._live()
+        batches = self._numbered(self.root, "batch_id")
+        upto = max(batches, default=before)
+        if upto > before:
+            change(self.read()).write.mode("overwrite").parquet(f"{self.root}/_folded/upto={upto}")
+            old = [p for i, p in batches.items() if i <= before]
+            old += [p for i, p in self._numbered(f"{self.root}/_folded", "upto").items() if i < before]
+            for path in old:
+                folder, files = hadoop_path(self.spark, path)
+                files.delete(folder, True)
+        return self.read()
 
 
 def to_files(stream: DataFrame, path: str, checkpoint: str) -> None:
@@ -68,6 +110,40 @@ def to_batches(stream: DataFrame, write: Callable[[DataFrame, int], None], check
     run.outputMode(mode).trigger(availableNow=True).start().awaitTermination()
 
 
+def overdue_runs(log: DataFrame, means: DataFrame, lateness: str, threshold: float = SLOW_FACTOR) -> DataFrame:
+    """Runs that were still open when they had taken ``threshold`` times their job's mean, each as that moment passes.
+
+    ``log`` is a stream of job, run_id, record (``started`` or ``completed``; others only tell that time passes) and at, a
+    timestamp. Records come less than ``lateness`` out of order; later ones are dropped. ``means`` has job and
+    average_duration in seconds; runs of other jobs are never overdue. A run completes after it starts, and a start that
+    is delivered twice is reported twice.
+
+    Starts wait as state until they are due, completions as long as a start before them may come. So state is bounded by
+    the records of the longest time allowed and the lateness.
+    """
+    allowed = F.floor(c("average_duration") * threshold * 1_000_000)
+    top = means.agg(F.max(allowed)).first()[0] or 0
+    longest = F.expr(f"interval {int(top) + 1} microseconds")
+    # Spark drops state by the column that carries the watermark, so that must be the moment a run is due. All records
+    # reach both watermarks, or else a side without records would hold time still; the filters behind them name the
+    # column of the watermark and so stay behind them.
+    due = F.timestamp_micros(F.unix_micros("at") + allowed + 1)  # the first microsecond at which the run is overdue
+    started = log.join(means, "job", "left").withColumn("due_at", F.when(c("record") == "started", due))
+    started = started.withColumn("due_at", F.coalesce("due_at", "at")).withWatermark("due_at", lateness)
+    opened = started.where((c("record") == "started") & (c("due_at") > c("at")))
+    opened = opened.select("job", "run_id", c("at").alias("created_at"), "average_duration", "due_at").alias("s")
+    closed = log.withWatermark("at", lateness).where(F.when(c("at").isNotNull(), c("record")) == "completed")
+    closed = closed.select("run_id", "at").alias("e")
+    in_time = (c("e.at") < c("s.due_at")) & (c("e.at") >= c("s.due_at") - longest) & (c("e.at") >= c("s.created_at"))
+    both = opened.join(closed, (c("s.run_id") == c("e.run_id")) & in_time, "left_outer")
+    return both.where(c("e.run_id").isNull()).select("s.job", "s.run_id", "s.created_at", "s.due_at", "s.average_duration")
+
+
+def still_open(alerts: DataFrame, ends: DataFrame, at: Column) -> DataFrame:
+    """Overdue runs without a completion up to a moment: what ``long_running`` finds then."""
+    return alerts.where(c("due_at") <= at).join(ends.where(c("completed_at") <= at), "run_id", "left_anti")
+
+
 def check_alerts(lines: DataFrame, value: str = "value") -> DataFrame:
     """Alert rows for failed or warned checks that name a channel; lines that do not parse are skipped."""
     parsed = lines.select(F.from_json(value, LOG_LINE).alias("log")).select("log.info", "log.data")
@@ -117,12 +193,18 @@ def keep_latest(table: BatchTable, keys: Sequence[str], order_by: Sequence[str])
 
 
 def latest(table: BatchTable, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    return newest(table.read().drop("batch_id"), keys, order_by)
+    return newest(table.read(), keys, order_by)
 
 
-def compact(table: BatchTable, keys: Sequence[str], order_by: Sequence[str], path: str) -> DataFrame:
-    """The newest rows of all batches, in a folder of their own."""
-    latest(table, keys, order_by).write.mode("overwrite").parquet(path)
+def compact(table: BatchTable, keys: Sequence[str], order_by: Sequence[str], path: str | None = None) -> DataFrame:
+    """Fold the batches into their newest rows, so that reading costs the live rows and later batches only.
+
+    With ``path`` the rows are also written to a folder of their own.
+    """
+    rows = table.fold(lambda df: newest(df, keys, order_by))
+    if path is None:
+        return rows
+    rows.write.mode("overwrite").parquet(path)
     return table.spark.read.parquet(path)
 
 
@@ -162,4 +244,4 @@ def keep_distinct(table: BatchTable, columns: Sequence[str]) -> Callable[[DataFr
 
 def changed_state(base: DataFrame, changes: BatchTable, keys: Sequence[str], sequence: str, op: str) -> DataFrame:
     """Base table with all change batches applied."""
-    return apply_changes(base, changes.read().drop("batch_id"), keys, sequence, op)
+    return apply_changes(base, changes.read(), keys, sequence, op)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewright.operators.anomaly import mean_durations
 from tidewright.plans.loads import _CDC, changes
 from tidewright.plans.registry import query
 from tidewright.session import scratch_path
@@ -165,3 +166,66 @@ def _(t):
     jobs.to_batches(stream, jobs.keep_latest(table, ["id"], ["seq"]), files.checkpoint)
     base = t.customer.select(c("c_custkey").alias("id"), c("c_mktsegment").alias("segment"))
     return jobs.changed_state(base, table, ["id"], "seq", "op")
+
+
+_RUN_RECORD = "job string, run_id bigint, record string, at timestamp"
+LATENESS = "7 days"
+
+
+def run_log(t) -> DataFrame:
+    """Start and completion records of a run per event; some views are lost and never complete."""
+    took = F.round(c("value") * 60).cast("int")
+    started = F.date_trunc("second", c("ts").cast("timestamp"))
+    lost = (c("event_type") == "view") & (c("value") > 90)
+    ended = F.when(~lost, F.timestamp_add("SECOND", took, started))
+    records = F.array(F.struct(F.lit("started").alias("record"), started.alias("at")), F.struct(F.lit("completed").alias("record"), ended.alias("at")))
+    rows = t.events.select(F.concat(F.lit("job-"), c("user_id").cast("string")).alias("job"), c("event_id").alias("run_id"), F.inline(records))
+    return rows.where("at is not null")
+
+
+def run_means(log: DataFrame) -> DataFrame:
+    """Mean seconds of the completed runs of each job."""
+    runs = log.groupBy("job", "run_id").agg(
+        F.max(F.when(c("record") == "started", c("at"))).alias("created_at"), F.max(F.when(c("record") == "completed", c("at"))).alias("completed_at")
+    )
+    return mean_durations(runs.withColumns({x: c(x).cast("timestamp_ntz") for x in ("created_at", "completed_at")}))
+
+
+def overdue(t, files: Landing, weeks: int = 5) -> DataFrame:
+    """Alerts of a stream over the log, which lands week by week and in any order within a week."""
+    log = run_log(t)
+    first = t.events.agg(F.min("ts").cast("timestamp")).first()[0]
+    means = run_means(log)
+    for week in range(weeks):
+        lower, upper = (F.lit(first).cast("timestamp") + F.expr(f"interval {7 * (week + i)} days") for i in (0, 1))
+        inside = (c("at") >= lower) & (c("at") < upper) if week < weeks - 1 else c("at") >= lower
+        files.land(log.where(inside))
+    jobs.to_files(jobs.overdue_runs(files.stream(_RUN_RECORD), means, LATENESS), files.out, files.checkpoint)
+    return t.spark.read.parquet(files.out)
+
+
+@query(
+    "n1_overdue_stream",
+    """with log as (select 'job-' || user_id as job, event_id as run_id, date_trunc('second', ts) as created_at,
+      case when not (event_type = 'view' and value > 90) then date_trunc('second', ts) + to_seconds(cast(round(value * 60) as bigint)) end as completed_at from events),
+    means as (select job, cast(sum(epoch_us(completed_at) - epoch_us(created_at)) as double) / count(*) / 1000000 as average_duration
+      from log where completed_at is not null group by 1),
+    t as (select greatest(max(created_at), max(completed_at)) - interval 7 day as passed from log),
+    due as (select *, epoch_us(created_at) + cast(floor(average_duration * 2 * 1000000) as bigint) + 1 as due_us from log join means using (job))
+    select job, run_id, created_at, round(average_duration, 6) as average_duration, completed_at is null or completed_at > passed as still_open
+    from due, t where due_us <= epoch_us(passed) and (completed_at is null or epoch_us(completed_at) >= due_us)""",
+)
+def _(t):
+    files = Landing(t, "overdue")
+    alerts = overdue(t, files)
+    ends = run_log(t).where("record = 'completed'").select("run_id", c("at").alias("completed_at"))
+    passed = run_log(t).agg((F.max("at") - F.expr("interval 7 days")).alias("at")).first()["at"]
+    still = jobs.still_open(alerts, ends, F.lit(passed)).select("run_id", F.lit(True).alias("still_open"))
+    both = alerts.join(still, "run_id", "left")
+    return both.select(
+        "job",
+        "run_id",
+        c("created_at").cast("timestamp_ntz").alias("created_at"),
+        F.round("average_duration", 6).alias("average_duration"),
+        F.coalesce("still_open", F.lit(False)).alias("still_open"),
+    )
