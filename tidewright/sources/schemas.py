@@ -220,8 +220,8 @@ def parse_json(
 ) -> DataFrame:
     """Rows of JSON objects with the columns of ``schema``, which ``infer_json`` found, and the ``keep`` columns.
 
-    Types are those of ``within`` where that has the column, so that text takes numbers as they are written. Names that
-    differ in case only become one column with the first value that is not null.
+    Types are those of ``within`` where that has the column; text takes numbers as Spark writes them. Names that differ in
+    case only become one column with the first value that is not null.
     """
     merged = union_schema(T.StructType(), schema)
     double = {f.name.lower() for f in merged.fields} & {k.lower() for k in keep}
