@@ -47,12 +47,12 @@ def _write_bounded(df: DataFrame, path: str, max_bytes: int, per_file: int) -> N
     df.write.option("maxRecordsPerFile", per_file).parquet(made)
     _, files = hadoop_path(spark, made)
     while True:
-        large = [f for f, size in file_sizes(spark, made).items() if size > max_bytes]
+        large = {f: size for f, size in file_sizes(spark, made).items() if size > max_bytes}
         if not large:
             break
         if per_file == 1:
             raise ValueError(f"a single row takes more than {max_bytes} bytes")
-        per_file = max(1, per_file // 2)
+        per_file = max(1, min(per_file // 2, int(per_file * FILL * max_bytes / max(large.values()))))
         again = spark.read.schema(df.schema).parquet(*large)
         again.write.mode("append").option("maxRecordsPerFile", per_file).parquet(made)
         for f in large:

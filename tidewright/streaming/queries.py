@@ -196,10 +196,10 @@ def overdue(t, files: Landing, weeks: int = 5) -> DataFrame:
     log = run_log(t)
     first = t.events.agg(F.min("ts").cast("timestamp")).first()[0]
     means = run_means(log)
-    for week in range(weeks):
-        lower, upper = (F.lit(first).cast("timestamp") + F.expr(f"interval {7 * (week + i)} days") for i in (0, 1))
-        inside = (c("at") >= lower) & (c("at") < upper) if week < weeks - 1 else c("at") >= lower
-        files.land(log.where(inside))
+    # Weeks by number, the first and the last one open to their side.
+    week = F.floor((F.unix_micros("at") - F.unix_micros(F.lit(first).cast("timestamp"))) / (7 * 86_400_000_000))
+    for i in range(weeks):
+        files.land(log.where(F.least(F.greatest(week, F.lit(0)), F.lit(weeks - 1)) == i))
     jobs.to_files(jobs.overdue_runs(files.stream(_RUN_RECORD), means, LATENESS), files.out, files.checkpoint)
     return t.spark.read.parquet(files.out)
 
