@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import json
+import random
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
+from tidewright.operators import anomaly
 from tidewright.streaming import jobs
 
 c = F.col
@@ -91,3 +94,58 @@ def test_one_file_per_batch_gives_the_same(spark, folder, monkeypatch, name):
     monkeypatch.setattr(queries, "FILES", 4)
     q = load_all()[name]
     assert differences(runner(q)(spark, folder), q.sql, connect(folder)) == []
+
+
+@pytest.mark.parametrize("seed, cuts", [(1, 1), (2, 3), (3, 9)])
+def test_overdue_runs_are_those_of_the_batch_for_any_cut(spark, place, seed, cuts):
+    """Whatever the cuts, and in any order within the lateness; runs that end late are reported, too."""
+    rng = random.Random(seed)
+    start = 1_700_000_000
+    means = spark.createDataFrame([("a", 60.0), ("b", 600.0)], "job string, average_duration double")
+    allowed = {"a": 120, "b": 1200}
+    runs = []
+    for i in range(120):
+        begin = start + rng.randrange(20_000)
+        job = rng.choice(["a", "b", "unknown"])
+        limit = allowed.get(job, 60)
+        runs.append((job, i, begin, rng.choice([None, begin, begin + limit, begin + limit + 1, begin + rng.randrange(3 * limit)])))
+    records = [(j, i, "started", a) for j, i, a, _ in runs] + [(j, i, "completed", b) for j, i, _, b in runs if b is not None]
+    records += [("none", 999, "heartbeat", start + 23_000)]
+    records.sort(key=lambda r: r[3] + rng.randrange(60))  # out of order by less than a minute
+    ddl = "job string, run_id long, record string, at timestamp"
+    log = spark.createDataFrame([(j, i, r, datetime.fromtimestamp(t, timezone.utc)) for j, i, r, t in records], ddl)
+    data = log.collect()
+    size = -(-len(data) // cuts)
+    for k in range(0, len(data), size):
+        spark.createDataFrame(data[k : k + size], ddl).coalesce(1).write.mode("append").parquet(place("log"))
+        stream = jobs.read_files(spark, place("log"), ddl)
+        jobs.to_files(jobs.overdue_runs(stream, means, "1 minute"), place("alerts"), place("cp"))
+    alerts = spark.read.parquet(place("alerts"))
+    now = start + 23_000 - 60
+    want = {i for j, i, a, b in runs if j in allowed and a + allowed[j] < now and (b is None or b > a + allowed[j])}
+    assert sorted(r.run_id for r in alerts.collect()) == sorted(want)
+    # What is still open is what the batch check finds at that moment.
+    at = F.timestamp_seconds(F.lit(now))
+    ends = log.where("record = 'completed'").select("run_id", c("at").alias("completed_at"))
+    table = log.where("record = 'started'").select("job", "run_id", c("at").alias("created_at")).join(ends.where(c("completed_at") <= at), "run_id", "left")
+    table = table.select("job", "run_id", F.lit("x").alias("status"), *[c(x).cast("timestamp_ntz").alias(x) for x in ("created_at", "completed_at")])
+    batch = anomaly.long_running(table, at.cast("timestamp_ntz"), means=means)
+    assert sorted(r.run_id for r in jobs.still_open(alerts, ends, at).collect()) == sorted(r.run_id for r in batch.collect())
+
+
+def test_overdue_state_is_bounded(spark, place):
+    """Completed and overdue runs leave the state as time passes."""
+    means = spark.createDataFrame([("a", 60.0)], "job string, average_duration double")
+    ddl, start = "job string, run_id long, record string, at timestamp", 1_700_000_000
+    kept = []
+    for k in range(4):
+        rows_ = spark.range(200).select(
+            F.lit("a").alias("job"), (c("id") + 200 * k).alias("run_id"), F.explode(F.array(F.lit("started"), F.lit("completed"))).alias("record"),
+            F.timestamp_seconds(c("id") * 20 + 4000 * k + start).alias("at"),
+        )
+        rows_.where("record = 'started' or run_id % 3 > 0").coalesce(1).write.mode("append").parquet(place("log"))
+        alerts = jobs.overdue_runs(jobs.read_files(spark, place("log"), ddl), means, "1 second")
+        run = alerts.writeStream.format("parquet").option("checkpointLocation", place("cp")).option("path", place("out")).trigger(availableNow=True).start()
+        run.awaitTermination()
+        kept.append(run.lastProgress["stateOperators"][0]["numRowsTotal"])
+    assert max(kept) < 60  # of 200 runs a batch

@@ -131,87 +131,66 @@ def int_orders(orders: DataFrame, payments: DataFrame) -> DataFrame:
     ).join(done, "order_id", "left")
 
 
+def _bare(orders: DataFrame) -> DataFrame:
+    """Orders as far as they tell which customers have very many of them."""
+    return orders.select("customer_id", "order_id", c("order_date").alias("order_placed_at"))
+
+
+def numbered_orders(paid: DataFrame, orders: DataFrame, hot, hot_rows: int = windows.HOT_ROWS) -> DataFrame:
+    """Orders numbered overall and per customer. ``hot`` are the customers with very many orders, or None."""
+    who = _bare(orders)
+    made = windows.with_window(paid, ["order_id"], key_source=who, transaction_seq=windows.row_number())
+    number = {"customer_sales_seq": windows.row_number()}
+    return windows.with_window(made, ["order_id"], ["customer_id"], hot=hot, hot_rows=hot_rows, key_source=who, **number)
+
+
+def _names(customers: DataFrame) -> DataFrame:
+    return customers.select(
+        "customer_id", c("first_name").alias("customer_first_name"), c("last_name").alias("customer_last_name")
+    )
+
+
 def fct_customer_orders(
-    paid: DataFrame, customers: DataFrame, orders: DataFrame, hot_rows: int = windows.HOT_ROWS
+    paid: DataFrame, customers: DataFrame, orders: DataFrame, hot_rows: int = windows.HOT_ROWS, hot="find"
 ) -> DataFrame:
     """Orders with their sequences, new or returning buyer, running customer value and first day of sale.
 
-    ``orders`` are the bare orders behind ``paid``, looked at to find customers with very many of them.
+    ``orders`` are the bare orders behind ``paid``, looked at to find customers with very many of them; ``hot`` takes
+    these customers if they are known. ``paid`` may be numbered already.
     """
-    names = customers.select(
-        "customer_id", c("first_name").alias("customer_first_name"), c("last_name").alias("customer_last_name")
-    )
-    who = orders.select("customer_id", "order_id", c("order_date").alias("order_placed_at"))
-    hot = windows.hot_keys(who, ["customer_id"], hot_rows)
-    made = windows.with_window(paid, ["order_id"], key_source=who, transaction_seq=windows.row_number())
-    made = windows.with_window(
-        made,
-        ["order_id"],
-        ["customer_id"],
-        hot=hot,
-        hot_rows=hot_rows,
-        key_source=who,
-        customer_sales_seq=windows.row_number(),
-    )
+    who = _bare(orders)
+    hot = windows.hot_keys(who, ["customer_id"], hot_rows) if hot == "find" else hot
+    made = paid if "customer_sales_seq" in paid.columns else numbered_orders(paid, orders, hot, hot_rows)
+    by_customer = {"hot": hot, "hot_rows": hot_rows, "key_source": who}
     # Sorted by day and order id here, the rows are in order for the sums by day below as well.
-    made = windows.with_window(
-        made,
-        ["order_placed_at", "order_id"],
-        ["customer_id"],
-        hot=hot,
-        hot_rows=hot_rows,
-        key_source=who,
-        place=windows.rank(),
-    )
+    made = windows.with_window(made, ["order_placed_at", "order_id"], ["customer_id"], **by_customer, place=windows.rank())
     made = windows.with_window(
         made,
         ["order_placed_at"],
         ["customer_id"],
-        hot=hot,
-        hot_rows=hot_rows,
-        key_source=who,
+        **by_customer,
         running_cents=windows.running_sum("paid_cents"),
         fdos=windows.first_value("order_placed_at"),
     )
-    return made.join(names, "customer_id", "left").select(
-        "order_id",
-        "customer_id",
-        "order_placed_at",
-        "order_status",
-        (c("paid_cents") / F.lit(100.0)).alias("total_amount_paid"),
-        "payment_finalized_date",
-        "customer_first_name",
-        "customer_last_name",
-        "transaction_seq",
-        "customer_sales_seq",
-        F.when(c("place") == 1, "new").otherwise("return").alias("nvsr"),
-        (c("running_cents") / F.lit(100.0)).alias("customer_lifetime_value"),
-        "fdos",
-    )
+    return _customer_orders(made.join(_names(customers), "customer_id", "left"), c("place") == 1)
 
 
 def legacy_customer_orders(
-    paid: DataFrame, customers: DataFrame, orders: DataFrame, hot_rows: int = windows.HOT_ROWS
+    paid: DataFrame, customers: DataFrame, orders: DataFrame, hot_rows: int = windows.HOT_ROWS, hot="find"
 ) -> DataFrame:
     """The older form: every order on the first day is new, and the running value goes by order id."""
-    names = customers.select(
-        "customer_id", c("first_name").alias("customer_first_name"), c("last_name").alias("customer_last_name")
-    )
-    who = orders.select("customer_id", "order_id", c("order_date").alias("order_placed_at"))
-    hot = windows.hot_keys(who, ["customer_id"], hot_rows)
+    who = _bare(orders)
+    hot = windows.hot_keys(who, ["customer_id"], hot_rows) if hot == "find" else hot
+    made = paid if "customer_sales_seq" in paid.columns else numbered_orders(paid, orders, hot, hot_rows)
+    running = {"running_cents": windows.running_sum("paid_cents")}
+    made = windows.with_window(made, ["order_id"], ["customer_id"], hot=hot, hot_rows=hot_rows, key_source=who, **running)
     first = who.groupBy("customer_id").agg(F.min("order_placed_at").alias("fdos"))
-    made = windows.with_window(paid, ["order_id"], key_source=who, transaction_seq=windows.row_number())
-    made = windows.with_window(
-        made,
-        ["order_id"],
-        ["customer_id"],
-        hot=hot,
-        hot_rows=hot_rows,
-        key_source=who,
-        customer_sales_seq=windows.row_number(),
-        running_cents=windows.running_sum("paid_cents"),
-    )
-    return made.join(names, "customer_id", "left").join(first, "customer_id", "left").select(
+    whole = made.join(_names(customers), "customer_id", "left").join(first, "customer_id", "left")
+    return _customer_orders(whole, c("fdos") == c("order_placed_at"))
+
+
+def _customer_orders(made: DataFrame, is_new: Column) -> DataFrame:
+    return made.select(
         "order_id",
         "customer_id",
         "order_placed_at",
@@ -222,7 +201,7 @@ def legacy_customer_orders(
         "customer_last_name",
         "transaction_seq",
         "customer_sales_seq",
-        F.when(c("fdos") == c("order_placed_at"), "new").otherwise("return").alias("nvsr"),
+        F.when(is_new, "new").otherwise("return").alias("nvsr"),
         (c("running_cents") / F.lit(100.0)).alias("customer_lifetime_value"),
         "fdos",
     )
@@ -281,18 +260,16 @@ _M3 = f"""with {_PAID} select order_id, customer_id, order_placed_at, order_stat
     cast(sum(paid_cents) over (partition by customer_id order by order_placed_at) as bigint) / 100.0::double as customer_lifetime_value,
     first_value(order_placed_at) over (partition by customer_id order by order_placed_at) as fdos
     from paid left join raw_customers k on k.id = customer_id"""
-_M4 = f"""with {_PAID},
-    firsts as (select customer_id, min(order_placed_at) as fdos from paid group by 1),
-    x as (select p.order_id, sum(t2.paid_cents) as running from paid p left join paid t2 on p.customer_id = t2.customer_id
-      and p.order_id >= t2.order_id group by 1)
-    select p.order_id, p.customer_id, p.order_placed_at, p.order_status, cast(p.paid_cents as bigint) / 100.0::double as total_amount_paid,
-      p.payment_finalized_date, k.first_name as customer_first_name, k.last_name as customer_last_name,
-      row_number() over (order by p.order_id) as transaction_seq,
-      row_number() over (partition by p.customer_id order by p.order_id) as customer_sales_seq,
-      case when firsts.fdos = p.order_placed_at then 'new' else 'return' end as nvsr,
-      cast(x.running as bigint) / 100.0::double as customer_lifetime_value, firsts.fdos
-    from paid p left join raw_customers k on k.id = p.customer_id left join firsts on firsts.customer_id = p.customer_id
-    left join x on x.order_id = p.order_id"""
+_M4 = f"""with {_PAID}, told as (select *, row_number() over (order by order_id) as nth, row_number() over mine as nth_own,
+      min(order_placed_at) over (partition by customer_id) as first_day, sum(paid_cents) over (mine rows unbounded preceding) as spent
+    from paid window mine as (partition by customer_id order by order_id))
+    select told.* exclude (nth, nth_own, first_day, spent, paid_cents), nth as transaction_seq, nth_own as customer_sales_seq, first_day as fdos,
+      first_name as customer_first_name, last_name as customer_last_name, if(order_placed_at > first_day, 'return', 'new') as nvsr,
+      cast(paid_cents as bigint) / 100.0::double as total_amount_paid, cast(spent as bigint) / 100.0::double as customer_lifetime_value
+    from told left join raw_customers on raw_customers.id = told.customer_id"""
+#: The columns of both forms, in one order, for comparing them.
+_M_COLUMNS = """order_id, customer_id, order_placed_at, order_status, total_amount_paid, payment_finalized_date, customer_first_name,
+    customer_last_name, transaction_seq, customer_sales_seq, nvsr, customer_lifetime_value, fdos"""
 
 
 def _paid_orders(t) -> DataFrame:
@@ -311,14 +288,18 @@ def _(t):
 
 @query(
     "m4_old_vs_new_audit",
-    f"""with a as ({_M4}), b as ({_M3}), r as (select true as in_a, true as in_b from (select * from a intersect select * from b)
+    f"""with a as (select {_M_COLUMNS} from ({_M4})), b as (select {_M_COLUMNS} from ({_M3})), r as (select true as in_a, true as in_b from (select * from a intersect select * from b)
       union all select true, false from (select * from a except select * from b)
       union all select false, true from (select * from b except select * from a))
     select in_a, in_b, count(*) as "count", round(100.0::double * count(*) / sum(count(*)) over (), 2) as percent_of_total from r group by 1, 2""",
 )
 def _(t):
-    args = _paid_orders(t), stg_customers(raw_customers(t)), stg_orders(raw_orders(t))
-    return audit.compare_relations(legacy_customer_orders(*args), fct_customer_orders(*args))
+    orders, customers = stg_orders(raw_orders(t)), stg_customers(raw_customers(t))
+    hot = windows.hot_keys(_bare(orders), ["customer_id"])
+    # Both forms start from the same numbered orders, which are worked out once.
+    numbered = windows.landed(numbered_orders(_paid_orders(t), orders, hot), "numbered")
+    forms = [form(numbered, customers, orders, hot=hot) for form in (legacy_customer_orders, fct_customer_orders)]
+    return audit.compare_relations(*forms)
 
 
 @query(
@@ -511,13 +492,13 @@ def _(t):
 
 @query(
     "m6_kpi_dashboard_repeated_tasks",
-    f"""with {_KPIS}, {_COUNTS}, b as (select run_date, status, count(*) as run_count from stg group by 1, 2)
-    select a.run_date, num_total as runs_total, num_success as runs_success, num_failed as runs_failed, success_rate,
-      avg_duration_seconds, p50_duration_seconds, p90_duration_seconds,
-      cast(sum(case when b.status is not null then b.run_count else 0 end) as bigint) as task_runs_total,
-      max(case when c.table_name = 'task_runs' then c.row_count end) as task_runs_rows,
-      max(case when c.table_name = 'job_runs' then c.row_count end) as job_runs_rows
-    from kpis a left join b using (run_date) left join counts c using (run_date) group by 1, 2, 3, 4, 5, 6, 7, 8""",
+    f"""with {_KPIS}, {_COUNTS}, per_day as (select run_date, count(*) as n from stg group by run_date),
+    logged as (pivot counts on table_name in ('task_runs', 'job_runs') using max(row_count) group by run_date),
+    copies as (select run_date, count(*) as times from counts group by run_date)
+    select run_date, num_total as runs_total, num_success as runs_success, num_failed as runs_failed, success_rate, avg_duration_seconds,
+      p50_duration_seconds, p90_duration_seconds, coalesce(n, 0) * coalesce(times, 1) as task_runs_total, task_runs as task_runs_rows,
+      job_runs as job_runs_rows
+    from kpis left join per_day using (run_date) left join copies using (run_date) left join logged using (run_date)""",
 )
 def _(t):
     runs = stg_runs(raw_runs(t))

@@ -213,15 +213,18 @@ def _(t):
     return reshape.newest(rows, ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey", "l_suppkey"])
 
 
-@query("r18_except", "select o_custkey as k from orders except select c_custkey from customer where c_nationkey < 10")
+@query("r18_except", "select l_partkey as k, l_suppkey as s from lineitem except select l_suppkey, l_partkey from lineitem")
 def _(t):
-    return t.orders.select(c("o_custkey").alias("k")).subtract(t.customer.where("c_nationkey < 10").select("c_custkey"))
+    """Pairs of part and supplier that never occur the other way round."""
+    pairs = t.lineitem.select(c("l_partkey").alias("k"), c("l_suppkey").alias("s"))
+    return pairs.subtract(t.lineitem.select("l_suppkey", "l_partkey"))
 
 
-@query("r19_intersect", "select l_partkey as k from lineitem where l_quantity > 49 intersect select p_partkey from part where p_size < 20")
+@query("r19_intersect", "select l_partkey as k, l_suppkey as s from lineitem intersect select l_suppkey, l_partkey from lineitem")
 def _(t):
-    lines = t.lineitem.where("l_quantity > 49").select(c("l_partkey").alias("k"))
-    return lines.intersect(t.part.where("p_size < 20").select("p_partkey"))
+    """Pairs of part and supplier that occur the other way round as well."""
+    pairs = t.lineitem.select(c("l_partkey").alias("k"), c("l_suppkey").alias("s"))
+    return pairs.intersect(t.lineitem.select("l_suppkey", "l_partkey"))
 
 
 @query("r20_tagged_union", "select 'c' as kind, c_nationkey as nation from customer union all select 's', s_nationkey from supplier")
@@ -340,15 +343,15 @@ def _(t):
 
 @query(
     "j5_full_join_on_key",
-    """with a as (select o_orderkey as k, o_orderstatus as v from orders where o_orderstatus <> 'F'),
-    b as (select o_orderkey as k, o_orderpriority as w from orders where o_orderstatus <> 'O')
+    """with a as (select c_custkey as k, c_mktsegment as v from customer),
+    b as (select user_id as k, count(*) as w from events group by 1)
     select coalesce(a.k, b.k) as k, a.v, b.w, a.k is null as missing_a, b.k is null as missing_b
     from a full outer join b on a.k = b.k""",
 )
 def _(t):
-    k, status = c("o_orderkey"), c("o_orderstatus")
-    a = t.orders.where(status != "F").select(k.alias("ka"), status.alias("v"))
-    b = t.orders.where(status != "O").select(k.alias("kb"), c("o_orderpriority").alias("w"))
+    """Customers and users by their number; users start at 0, customers at 1, and either may end first."""
+    a = t.customer.select(c("c_custkey").alias("ka"), c("c_mktsegment").alias("v"))
+    b = t.events.groupBy(c("user_id").alias("kb")).agg(F.count("*").alias("w"))
     return a.join(b, c("ka") == c("kb"), "full_outer").select(
         F.coalesce("ka", "kb").alias("k"), "v", "w", c("ka").isNull().alias("missing_a"), c("kb").isNull().alias("missing_b")
     )
@@ -414,13 +417,13 @@ def _(t):
 
 @query(
     "j12_lookup_left_join",
-    """select l_orderkey, l_linenumber, l_partkey, p_name from lineitem left join
-       (select * from part where p_size < 25) on p_partkey = l_partkey""",
+    """select l_orderkey, l_linenumber, l_partkey, l_suppkey, p_name from lineitem left join part on p_partkey = l_partkey + l_suppkey""",
 )
 def _(t):
-    parts = t.part.where("p_size < 25").select("p_partkey", "p_name")
-    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey")
-    return rows.join(parts, c("l_partkey") == c("p_partkey"), "left").drop("p_partkey")
+    """A lookup in all parts by a number that not all of them have."""
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    parts = t.part.select("p_partkey", "p_name")
+    return rows.join(parts, c("l_partkey") + c("l_suppkey") == c("p_partkey"), "left").drop("p_partkey")
 
 
 @query(

@@ -130,7 +130,7 @@ def overdue_runs(log: DataFrame, means: DataFrame, lateness: str, threshold: flo
     due = F.timestamp_micros(F.unix_micros("at") + allowed + 1)  # the first microsecond at which the run is overdue
     started = log.join(means, "job", "left").withColumn("due_at", F.when(c("record") == "started", due))
     started = started.withColumn("due_at", F.coalesce("due_at", "at")).withWatermark("due_at", lateness)
-    opened = started.where((c("record") == "started") & (c("due_at") > c("at")))
+    opened = started.where(F.when(c("due_at") > c("at"), c("record")) == "started")
     opened = opened.select("job", "run_id", c("at").alias("created_at"), "average_duration", "due_at").alias("s")
     closed = log.withWatermark("at", lateness).where(F.when(c("at").isNotNull(), c("record")) == "completed")
     closed = closed.select("run_id", "at").alias("e")
