@@ -47,7 +47,7 @@ def test_pipeline_and_brute_force(spark, folder):
     sure = {i for (i, _), w in zip(data, weight, strict=True) if w > model.cut and i not in near}
     assert sure <= kept <= sure | set(near)
     data = [d for d in data if d[0] in kept]
-    data = [(i, left) for i, _, gone, left in later_lines(data, 2) if not gone or left.split()]
+    data = [(i, left) for i, _, gone, left in later_lines(data, 1, keep_blank=True) if not gone or left.split()]
     data = [d for d, (i, n, group) in zip(data, groups(data, 5, 80), strict=True) if not n or i == group]
     items = [(r.item_id, r.text) for r in benchmark.collect()]
     data = [d for d, (_, _, hit, _) in zip(data, contaminated(data, items, 10), strict=True) if not hit]

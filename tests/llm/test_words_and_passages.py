@@ -140,7 +140,7 @@ def test_no_documents_and_no_benchmark(docs, no_docs):
     assert quality_rules.judge(no_docs).count() == 0
 
 
-def later_lines(data, m):
+def later_lines(data, m, keep_blank=False):
     places = {}
     key = lambda i, t: (LAST if i is None else i, hash(t))
     for i, t in data:
@@ -155,6 +155,7 @@ def later_lines(data, m):
             here = (*key(i, t), at)
             if any(p[0] < here[0] or p[:2] == here[:2] and p < here for p in places[tuple(lines[at : at + m])]):
                 gone |= set(range(at, at + m))
+        gone = {n for n in gone if plain(lines[n])} if keep_blank else gone
         out.append((i, len(lines), len(gone), None if t is None else "\n".join(x for n, x in enumerate(lines) if n not in gone)))
     return out
 
@@ -167,6 +168,15 @@ def test_repeated_lines_are_those_of_brute_force(docs, odd_texts, m):
     assert got == sorted(later_lines(odd_texts, m), key=str)
 
 
+@pytest.mark.parametrize("m", [1, 2])
+def test_blank_lines_may_stay(spark, docs, odd_texts, m):
+    cut = line_dedup.remove_repeated_lines(docs, min_lines=m, keep_blank=True).select("doc_id", "n_lines", "n_removed", "text")
+    assert sorted(map(tuple, cut.collect()), key=str) == sorted(later_lines(odd_texts, m, keep_blank=True), key=str)
+    data = [(1, "a b\n\nc\n \t\nd"), (2, "c\n\nx\n\na b"), (3, "\n\n"), (4, "d")]
+    cut = line_dedup.remove_repeated_lines(spark.createDataFrame(data, "doc_id long, text string"), m, keep_blank=True)
+    assert sorted(map(tuple, cut.select("doc_id", "n_lines", "n_removed", "text").collect())) == later_lines(data, m, keep_blank=True)
+
+
 def test_repeated_rows_do_not_multiply_places(spark):
     text = "\n".join(f"line {i}" for i in range(64))
     data = [(1, text), (1, text), *[(None, "x\ny\n" + text)] * 20, (2, "y\nline 0\nz")]

@@ -66,11 +66,14 @@ def repeated_runs(docs: DataFrame, min_lines: int = 2, id_col: str = "doc_id", t
     return islands.groupBy("id", "fp", "island").agg(F.min("pos").alias("start"), F.max("stop").alias("stop")).drop("island")
 
 
-def remove_repeated_lines(docs: DataFrame, min_lines: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeated_lines(
+    docs: DataFrame, min_lines: int = 2, id_col: str = "doc_id", text_col: str = "text", keep_blank: bool = False
+) -> DataFrame:
     """Documents without later copies of runs of ``min_lines`` equal lines or more; adds ``n_lines`` and ``n_removed``.
 
     A line goes if some run of ``min_lines`` lines around it also starts at an earlier place: in a document with a
-    smaller id (null is the largest), or further up in the same one. Lines are compared whole, by 128 bits of hash.
+    smaller id (null is the largest), or further up in the same one. Lines are compared whole, by 128 bits of hash. With
+    ``keep_blank`` lines without a word stay, wherever they are, so that paragraphs stay apart when single lines go.
     Null text stays null and has no lines, an empty one has one; rows equal in id and text are judged alike and do not
     remove each other's lines; an empty table gives an empty one; columns of the added names are replaced.
     """
@@ -83,7 +86,10 @@ def remove_repeated_lines(docs: DataFrame, min_lines: int = 2, id_col: str = "do
     joined = keyed.join(found, [id_key, fp_key], "left")
     lines, gone = c.fresh(joined, "line_list"), c.fresh(joined, "line_gone")
     covered = F.flatten(F.transform(spans, lambda s: F.sequence(s["start"], s["stop"] - 1)))
-    split = joined.withColumn(lines, F.split(text_col, "\n")).withColumn(gone, F.coalesce(covered, F.array().cast("array<int>")))
+    split = joined.withColumn(lines, F.split(text_col, "\n"))
+    if keep_blank:
+        covered = F.filter(covered, lambda i: F.get(F.col(lines), i).rlike(r"[^\x20\x09-\x0D]"))
+    split = split.withColumn(gone, F.coalesce(covered, F.array().cast("array<int>")))
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
     rest = F.array_join(
         F.element_at(F.transform(F.array(F.struct(F.col(lines).alias("a"), kept.alias("k"))), lambda x: F.transform(x["k"], lambda i: F.get(x["a"], i))), 1), "\n"

@@ -139,9 +139,9 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     "op5_line_dedup",
     r"""
     with d as (select doc_id, string_split(text, chr(10)) l from documents where text is not null),
-    w as (select doc_id, i, l[i] || chr(10) || l[i + 1] k from d, unnest(range(1, len(l))) t(i)),
+    w as (select doc_id, i, l[i] k from d, unnest(range(1, len(l) + 1)) t(i) where regexp_matches(l[i], '[^\x20\x09-\x0D]')),
     f as (select k, min((doc_id, i)) first from w group by 1),
-    g as (select distinct doc_id, unnest([i, i + 1]) p from w join f using (k) where (doc_id, i) > first),
+    g as (select doc_id, i p from w join f using (k) where (doc_id, i) > first),
     x as (select doc_id, list(p) gone from g group by 1)
     select a.doc_id, coalesce(len(l), 0)::bigint n_lines, coalesce(len(gone), 0)::bigint n_removed,
            sha256(coalesce(array_to_string(
@@ -152,7 +152,7 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 )
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").select("doc_id", "text")
-    cut = line_dedup.remove_repeated_lines(docs, min_lines=2)
+    cut = line_dedup.remove_repeated_lines(docs, min_lines=1, keep_blank=True)
     kept = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
     return cut.select("doc_id", "n_lines", "n_removed", kept.alias("kept_sha256"))
 
