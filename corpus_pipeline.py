@@ -20,11 +20,12 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without later copies of runs of two lines or more; one that loses all its words goes.
+    """Documents without later copies of lines, single ones included; one that loses all its words goes.
 
+    Lines without a word stay, so that paragraphs stay apart.
     ``n_chars`` follows the text.
     """
-    cut = line_dedup.remove_repeated_lines(docs, min_lines=2)
+    cut = line_dedup.remove_repeated_lines(docs, min_lines=1, keep_blank=True)
     left = cut.where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     length = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return left.withColumn("n_chars", length).select(*docs.columns)
