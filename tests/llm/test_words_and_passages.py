@@ -289,6 +289,64 @@ def test_one_document_of_each_group_stays(docs, odd_texts):
     assert {r.doc_id for r in kept.collect()} >= {20, 21, 22}
 
 
+def close_copies(rng, groups_, size, words=60, swaps=6):
+    """Groups of texts around the threshold: some pairs link, others just fail to."""
+    data = []
+    for g in range(groups_):
+        base = [f"g{g}w{i}" for i in range(words)]
+        for _ in range(size):
+            text = list(base)
+            for at in rng.choice(words, rng.integers(0, swaps), replace=False):
+                text[at] = f"x{rng.integers(10**9)}"
+            data.append((len(data), " ".join(text)))
+    return data
+
+
+@pytest.mark.parametrize("list_block, set_block", [(4_000, 8 << 20), (5, 3000)])
+def test_large_groups_of_near_copies(spark, monkeypatch, list_block, set_block):
+    """Small blocks deal one list, and one cluster, to many tasks; no link is lost between them."""
+    monkeypatch.setattr(jaccard, "LIST_BLOCK", list_block)
+    monkeypatch.setattr(jaccard, "SET_BLOCK", set_block)
+    data = close_copies(np.random.default_rng(6), 3, 40)
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(4)
+    linked = jaccard.link_documents(df, k=3, percent=80)
+    assert sorted(tuple(r) for r in linked.select("id", "n_shingles", "component_id").collect()) == sorted(groups(data, 3, 80))
+
+
+def test_forests_span_what_all_pairs_span():
+    rng = np.random.default_rng(7)
+    sets = []
+    for _ in range(4):
+        base = rng.integers(0, 2**63, 200).astype(np.uint64)
+        for _ in range(12):
+            new = rng.integers(0, 30)
+            sets.append(np.unique(np.concatenate([rng.permutation(base)[new:], rng.integers(0, 2**63, new).astype(np.uint64)])))
+    n, label = np.array([len(x) for x in sets]), np.arange(len(sets)) // 3  # some components are known
+    sketches = [jaccard.sketch(x, 90) for x in sets]
+
+    def parts(edges):
+        root = list(range(len(sets)))
+        for a, b in edges:
+            a, b = ([r for r in [root[x]]][0] for x in (a, b))
+            root = [b if x == a else x for x in root]
+        return [root.index(x) for x in root]
+
+    pairs = [(i, j) for i in range(len(sets)) for j in range(i) if label[i] != label[j]]
+    possible = [(i, j) for i, j in pairs if jaccard.parts_apart(sketches[i], sketches[j]) <= jaccard.most_apart(n[i] + n[j], 90)
+                and min(n[i], n[j]) * 100 >= max(n[i], n[j]) * 90]
+    one = np.zeros(len(sets), np.int64)
+    found = jaccard.open_forest(n, label, one, sketches, 90)
+    assert parts(found) == parts(possible) and len(found) < len(sets)
+    same = lambda i, j: len(np.intersect1d(sets[i], sets[j]))
+    links = [(i, j) for i, j in pairs if 100 * same(i, j) >= 90 * (n[i] + n[j] - same(i, j))]
+    known = [(i, i - 1) for i in range(1, len(sets)) if label[i] == label[i - 1]]
+    joined = jaccard.link_forest(label, one, sets, 90)
+    assert set(joined) <= {(j, i) for i, j in links} and parts(joined + known) == parts(links + known)
+    two = np.arange(len(sets)) % 2
+    across = jaccard.link_forest(np.arange(len(sets)), two, sets, 90)
+    assert all(two[i] != two[j] for i, j in across) and across
+
+
 def test_divide_skip_counts():
     rng = np.random.default_rng(3)
     for least in (1, 2, 5, 9):

@@ -4,11 +4,14 @@ Documents with equal shingle sets are one class. Of a class with ``n`` shingles
 shares one of the ``n - T + 1`` rarest: only the lists of these are merged across the cluster, and the ``T - 1`` longer
 ones are left to probing. Which shingles count as rare is an estimate and touches the cost alone.
 
-A list never gives all pairs of its classes. First each class is held against one class of each of its lists, drawn by
-hash; links found join components. Then only classes of different components in one list are held against each other.
-Before whole sets are moved to be probed, pairs are put to a sketch: the sets' hash range is cut into parts and each part
-summed to one byte. A shingle that only one set has changes one part at most, so pairs with more differing parts than a
-link may have differing shingles are out, and no link is lost.
+A list never gives all pairs of its classes. First each class is paired with one class of each of its lists, drawn by hash;
+links found join components. Then only classes of different components in one list are held against each other, and a
+list gives out a spanning forest of the pairs it cannot rule out. To rule pairs out there are sketches: a set's hash range is
+cut into parts and each part summed to one byte. A shingle that only one set has changes one part at most, so pairs with
+more differing parts than a link may have differing shingles are out, and no link is lost.
+
+Pairs that stay open join clusters, and every link lies inside one. A cluster's sets are dealt to blocks; a task gets two
+blocks, each set once, searches partners by DivideSkip and gives out only links that join two components.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from math import log
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewright.llm import common as c
@@ -34,6 +37,11 @@ HEAVY = 100_000
 LONG = 10_000
 #: Bits of the filter that tells which documents' sets are needed; a fixed size, false hits cost time only.
 FILTER_BITS = 1 << 25
+#: Classes of a list, and bytes of a cluster's sets, that form a block; a task holds two blocks.
+LIST_BLOCK = 4_000
+SET_BLOCK = 8 << 20
+#: Parts that rows of one class are dealt to when they learn their component.
+SALT = 8
 #: Weight of probing against merging in the choice of how many lists to probe.
 MU = 0.01
 
@@ -236,83 +244,150 @@ def links_of(one: np.ndarray, others: list[np.ndarray], percent: int) -> list[in
     return [i for i, same in found.items() if 100 * same >= percent * (len(one) + len(others[i]) - same)]
 
 
-def _verify(percent: int) -> Callable:
-    """Pairs that link, from pairs with both sets; rows of one query that follow each other are searched together."""
+class _Near:
+    """Which sets of a block neither sizes nor sketches rule out as partners of one; sketches of one width lie together."""
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
+    def __init__(self, n: np.ndarray, sketches: list[np.ndarray], percent: int):
+        self.n, self.sketches, self.percent = n, sketches, percent
+        width = np.array([len(x) for x in sketches])
+        self.blocks = [(at := np.flatnonzero(width == w), np.stack([sketches[i] for i in at])) for w in np.unique(width).tolist()]
+
+    def of(self, i: int, among: np.ndarray) -> np.ndarray:
+        """Indexes, of those that the mask ``among`` leaves."""
+        mine, n, out = self.sketches[i], self.n, []
+        for at, block in self.blocks:
+            keep = among[at]
+            keep &= np.minimum(n[at], n[i]) * 100 >= np.maximum(n[at], n[i]) * self.percent
+            if not keep.any():
                 continue
-            a, b = batch.column("a").to_numpy(), batch.column("b").to_numpy()
-            left, right = batch.column("left"), batch.column("right")
-            first, length = c.runs(np.append(True, a[1:] != a[:-1]))
-            keep: list[int] = []
-            for f, n in zip(first.tolist(), length.tolist(), strict=True):
-                for at in range(f, f + n, 512):
-                    stop = min(at + 512, f + n)
-                    others = [_unpack(x) for x in right.slice(at, stop - at).to_pylist()]
-                    keep += [at + i for i in links_of(_unpack(left[f].as_py()), others, percent)]
-            yield pa.RecordBatch.from_pydict({"a": pa.array(a[keep]), "b": pa.array(b[keep])})
+            at, block = at[keep], block[keep]
+            w = block.shape[1]
+            one = mine.reshape(w, -1).sum(axis=1, dtype=np.uint8) if w < len(mine) else mine
+            if w > len(mine):
+                block = block.reshape(len(at), len(mine), -1).sum(axis=2, dtype=np.uint8)
+            out.append(at[(block != one).sum(axis=1) <= most_apart(n[at] + n[i], self.percent)])
+        return np.concatenate(out) if out else np.zeros(0, np.int64)
 
-    return run
 
+def open_forest(n: np.ndarray, label: np.ndarray, block: np.ndarray, sketches: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Spanning forest of the pairs of one list, in different components, that neither sizes nor sketches rule out.
 
-def _possible(percent: int) -> Callable:
-    """Pairs that their sketches do not rule out."""
+    Where the classes come from two blocks, pairs within a block are another task's.
+    """
+    near, left, two = _Near(n, sketches, percent), np.ones(len(n), bool), bool((block != block[0]).any())
+    edges = []
+    for start in range(len(n)):
+        if not left[start]:
+            continue
+        left[start] = False
+        stack = [start]
+        while stack:
+            i = stack.pop()
+            among = left & (label != label[i])
+            if two:
+                among &= block != block[i]
+            met = near.of(i, among) if among.any() else ()
+            if len(met):
+                left[met] = False
+                edges += [(i, j) for j in met.tolist()]
+                stack += met.tolist()
+    return edges
+
+
+def link_forest(label: np.ndarray, block: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links between sets, as far as they join two components; ``label`` names those that are known."""
+    root = {x: x for x in np.unique(label).tolist()}
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    n, two = np.array([len(x) for x in sets]), bool((block != block[0]).any())
+    near, edges, names = _Near(n, [sketch(x, percent) for x in sets], percent), [], label.tolist()
+    for i in range(len(sets)):
+        among = np.zeros(len(sets), bool)
+        among[i + 1 :] = (block[i + 1 :] != block[i]) if two else True
+        met = near.of(i, among).tolist() if among.any() else []
+        for begin in range(0, len(met), 256):
+            mine = find(names[i])
+            rest = [j for j in met[begin : begin + 256] if find(names[j]) != mine]
+            for j in links_of(sets[i], [sets[j] for j in rest], percent) if rest else ():
+                a, b = find(names[i]), find(names[rest[j]])
+                if a != b:
+                    root[a] = b
+                    edges.append((i, rest[j]))
+    return edges
+
+
+def _groups(batches: Iterable[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
+    """Rows of one key after the other, from sorted rows."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy() for k in keys]
+        opens = np.append(True, np.any([x[1:] != x[:-1] for x in columns], axis=0))
+        first, length = c.runs(opens[: batch.num_rows])
+        for f, m in zip(first.tolist(), length.tolist(), strict=True):
+            key = tuple(x[f] for x in columns)
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            last = key
+            held.append(batch.slice(f, m))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _edges(node: np.ndarray, edges: list[tuple[int, int]]) -> pa.RecordBatch:
+    a, b = (node[[e[i] for e in edges]] if edges else np.zeros(0, np.int64) for i in (0, 1))
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], names=["a", "b"])
+
+
+def _open(percent: int) -> Callable:
+    """Forests of the open pairs of lists, from rows sorted by token and blocks."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = batch.column("left").to_pylist(), batch.column("right").to_pylist()
-            size = (batch.column("na").to_numpy() + batch.column("nb").to_numpy()).tolist()
-            near = [parts_apart(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)) <= most_apart(n, percent) for x, y, n in zip(left, right, size, strict=True)]
-            keep = pa.array(near, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(n).filter(keep) for n in ("a", "b")], names=["a", "b"])
+        for one in _groups(batches, ("token", "i", "j")):
+            node, n, label, block = (one.column(x).to_numpy() for x in ("node", "n", "label", "block"))
+            sketches = [np.frombuffer(x, np.uint8) for x in one.column("sketch").to_pylist()]
+            yield _edges(node, open_forest(n, label, block, sketches, percent))
 
     return run
 
 
-def apart_in_list(node: np.ndarray, n: np.ndarray, label: np.ndarray, asks: np.ndarray, sketches: list[np.ndarray], percent: int) -> set[tuple[int, int]]:
-    """Pairs of one list, in different components and one of them asking, that neither sizes nor sketches rule out."""
-    width = np.array([len(x) for x in sketches])
-    blocks = {w: (at := np.flatnonzero(width == w), np.stack([sketches[i] for i in at])) for w in np.unique(width).tolist()}
-    found = set()
-    for i in np.flatnonzero(asks).tolist():
-        mine = sketches[i]
-        for w, (at, block) in blocks.items():
-            other = (label[at] != label[i]) & (np.minimum(n[at], n[i]) * 100 >= np.maximum(n[at], n[i]) * percent)
-            at, block = at[other], block[other]
-            if not len(at):
-                continue
-            one = mine.reshape(w, -1).sum(axis=1, dtype=np.uint8) if w < len(mine) else mine
-            if w > len(mine):
-                block = block.reshape(len(at), len(mine), -1).sum(axis=2, dtype=np.uint8)
-            near = (block != one).sum(axis=1) <= most_apart(n[at] + n[i], percent)
-            found.update((min(node[i], x), max(node[i], x)) for x in node[at[near]].tolist())
-    return found
+def _links(percent: int) -> Callable:
+    """Forests of the links of clusters, from rows sorted by cluster and blocks."""
 
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for one in _groups(batches, ("cluster", "i", "j")):
+            node, label, block = (one.column(x).to_numpy() for x in ("node", "label", "block"))
+            if len(node) > 1:
+                yield _edges(node, link_forest(label, block, [_unpack(x) for x in one.column("shingles").to_pylist()], percent))
+        c.release()
 
-def _apart(percent: int) -> Callable:
-    """Pairs of each list, from rows sorted by token."""
+    return run
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
 
-        def pairs() -> pa.RecordBatch:
-            one = pa.Table.from_batches(held)
-            numbers = [one.column(x).to_numpy() for x in ("node", "n", "label", "asks")]
-            found = sorted(apart_in_list(*numbers, [np.frombuffer(x, np.uint8) for x in one.column("sketch").to_pylist()], percent))
-            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+def _in_blocks(rows: DataFrame, blocks: Column) -> DataFrame:
+    """A row for each pair of blocks ``i <= j`` that the row's own ``block`` is one of; of a single block, just one."""
+    own = rows.withColumn("__of", blocks.cast("int")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("__of")).cast("int"))
+    spread = own.withColumn("__x", F.explode(F.sequence(F.lit(0), F.col("__of") - 1)))
+    return spread.withColumns({"i": F.least("block", "__x"), "j": F.greatest("block", "__x")}).drop("__of", "__x")
+
 
+def _possible(percent: int) -> Callable:
+    """Pairs that their sketches do not rule out."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            token = batch.column("token").to_numpy()
-            first, length = c.runs(np.append(True, token[1:] != token[:-1])[: len(token)])
-            for f, m in zip(first.tolist(), length.tolist(), strict=True):
-                if held and held[-1].column("token")[-1].as_py() != token[f]:
-                    yield pairs()
-                    held = []
-                held.append(batch.slice(f, m))
-        if held:
-            yield pairs()
+            left, right = batch.column("left").to_pylist(), batch.column("right").to_pylist()
+            size = (batch.column("na").to_numpy() + batch.column("nb").to_numpy()).tolist()
+            near = [parts_apart(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)) <= most_apart(n, percent) for x, y, n in zip(left, right, size, strict=True)]
+            keep = pa.array(near, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(n).filter(keep) for n in ("a", "b")], names=["a", "b"])
 
     return run
 
@@ -324,17 +399,23 @@ def _not_ruled_out(pairs: DataFrame, known: DataFrame, percent: int) -> DataFram
     return pairs.mapInArrow(_possible(percent), "a long, b long")
 
 
-def _linked(pairs: DataFrame, rows: DataFrame, keyed: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs that link; sets are made again from the texts of one document for each class that is still in question."""
-    pairs = landed(pairs, "pairs")
-    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    chosen = rows.join(asked, "node", "left_semi").groupBy("node").agg(F.min(F.struct("id", "fp")).alias("x")).select("x.id", "x.fp")
+def _linked(pairs: DataFrame, labels: DataFrame | None, rows: DataFrame, keyed: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links that join the components ``node, label``, among all sets of each cluster that open pairs connect.
+
+    Sets are made again from the texts of one document for each class that is still in question.
+    """
+    clusters = components(pairs).withColumnRenamed("label", "cluster")
+    chosen = rows.join(clusters, "node", "left_semi").groupBy("node").agg(F.min(F.struct("id", "fp")).alias("x")).select("x.id", "x.fp")
     bits = _bits(keyed.sparkSession, chosen)
     wanted = keyed.where("text is not null").select("text", _filter_places((F.col("id"), F.col("fp"))).alias("places"))
     sets = wanted.mapInArrow(_needed_sets(k, bits), "node long, shingles binary").dropDuplicates(["node"])
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
-    return landed(pairs.join(right, "b").join(left, "a").mapInArrow(_verify(percent), "a long, b long").distinct(), "links")
+    sets = sets.join(clusters, "node")
+    known = sets.join(labels, "node", "left") if labels is not None else sets.withColumn("label", F.col("node"))
+    known = landed(known.withColumn("label", F.coalesce("label", "node")), "cluster-sets")
+    sizes = known.groupBy("cluster").agg(F.ceil(F.sum(F.length("shingles")) / SET_BLOCK).alias("blocks"))
+    dealt = _in_blocks(known.join(sizes, "cluster"), F.col("blocks")).drop("blocks")
+    key = ["cluster", "i", "j"]
+    return landed(dealt.repartition(*key).sortWithinPartitions(*key).mapInArrow(_links(percent), "a long, b long").distinct(), "links")
 
 
 def _pairs(x: DataFrame, percent: int) -> DataFrame:
@@ -362,18 +443,18 @@ def classes(docs: DataFrame, k: int = 3, percent: int = 90, id_col: str = "doc_i
     drawn = lists.groupBy("token").agg(F.min(F.struct(F.xxhash64("node", "token").alias("h"), F.col("node").alias("node2"), F.col("n").alias("n2"))).alias("d")).select("token", "d.node2", "d.n2")
     known = rows.groupBy("node").agg(F.first("n").alias("size"), F.first("sketch").alias("sketch"))
     near = _not_ruled_out(_pairs(lists.join(drawn, "token"), percent), known, percent)
-    first = _linked(near, rows, keyed, k, percent)
+    first = _linked(near, None, rows, keyed, k, percent)
     labels = components(first)
 
     marked = lists.join(labels, "node", "left").select("token", "node", "n", F.coalesce("label", "node").alias("label"))
     marked = landed(marked.distinct(), "marked")
-    sizes = marked.groupBy("token", "label").agg(F.count("*").alias("m"))
-    most = sizes.groupBy("token").agg(F.max(F.struct("m", "label")).alias("x"), F.count("*").alias("labels")).where("labels > 1")
-    split = most.select("token", F.col("x.label").alias("main"))
-    # Pairs are made inside the lists and leave them only if their sketches do not rule them out.
-    open_lists = marked.join(split, "token").join(known, "node").select("token", "node", F.col("n").cast("long").alias("n"), "label", (F.col("label") != F.col("main")).alias("asks"), "sketch")
-    apart = open_lists.repartition("token").sortWithinPartitions("token").mapInArrow(_apart(percent), "a long, b long").distinct()
-    second = _linked(apart, rows, keyed, k, percent)
+    sizes = marked.groupBy("token").agg(F.count("*").alias("m"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
+    blocks = sizes.select("token", F.ceil(F.col("m") / LIST_BLOCK).alias("blocks"))
+    open_lists = _in_blocks(marked.join(blocks, "token"), F.col("blocks")).join(known, "node")
+    open_lists = open_lists.select("token", "i", "j", "block", "node", F.col("n").cast("long").alias("n"), "label", "sketch")
+    key = ["token", "i", "j"]
+    apart = open_lists.repartition(*key).sortWithinPartitions(*key).mapInArrow(_open(percent), "a long, b long").distinct()
+    second = _linked(apart, labels, rows, keyed, k, percent)
     return rows.select("id", "fp", "n", "node"), components(first.union(second))
 
 
@@ -386,10 +467,15 @@ def link_documents(docs: DataFrame, k: int = 3, percent: int = 90, id_col: str =
     null id comes last and stays null where no other id is linked; an empty table gives an empty one.
     """
     rows, labels = classes(docs, k, percent, id_col, text_col)
-    marked = rows.join(labels, "node", "left").withColumn("group", F.coalesce("label", "node"))
-    least = marked.where("n > 0").groupBy("group").agg(F.min("id").alias("least"))
-    out = marked.join(least, "group", "left")
-    own = F.when((F.col("n") > 0), F.col("least")).otherwise(F.col("id"))
+    # Least ids of classes, then of components of classes; only then the rows learn them, rows of one class in parts.
+    least = rows.where("n > 0").groupBy("node").agg(F.min("id").alias("least"), F.count("*").alias("rows"))
+    named = least.join(labels, "node", "left")
+    group = named.where("label is not null").groupBy("label").agg(F.min("least").alias("group_least"))
+    told = named.join(group, "label", "left").where((F.col("rows") > 1) | F.col("label").isNotNull())
+    told = told.select("node", F.coalesce("group_least", "least").alias("least"), F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("id", "fp"), F.lit(SALT)).cast("int"))
+    out = salted.join(told, ["node", "salt"], "left")
+    own = F.when((F.col("n") > 0), F.coalesce("least", "id")).otherwise(F.col("id"))
     real = lambda x: F.when(x != c.LAST_ID, x)
     return out.select(real(F.col("id")).alias("id"), "fp", F.col("n").alias("n_shingles"), real(own).alias("component_id"))
 
