@@ -109,6 +109,7 @@ def test_deep_threads(spark):
 @given(st.text("<|\\im_start>end ab\n", max_size=30))
 def test_escape_is_reversible(text):
     import re
+from html import unescape
 
     escaped = re.sub(r"<(\\*)\|", r"<\\\1|", text)
     assert "<|" not in escaped and re.sub(r"<\\(\\*)\|", r"<\1|", escaped) == text
@@ -132,6 +133,50 @@ def test_main_text():
     assert html.main_text("<article><p>cut off in the <a href='") == "cut off in the"
 
 
+def plain_article(page):
+    """The one article of a page by patterns alone; enough for the plain markup of the given pages."""
+    inner = re.search("(?s)<article>(.*?)</article>", page or "")
+    if not inner:
+        return ""
+    text = re.sub(r'(?s)<!--.*?-->|<(script|style|aside|form|nav)\b.*?</\1>|<div class="ad">.*?</div>', "", inner[1])
+    blocks = re.split(r"</?(?:p|h\d|ul|ol|li|div|table|thead|tbody|tr|td|th|blockquote|pre|section)\b[^>]*>", re.sub("<br[^>]*>", " ", text))
+    blocks = [" ".join(unescape(re.sub("<[^>]+>", "", b)).split()) for b in blocks]
+    return "\n".join(b for b in blocks if b)
+
+
+def test_all_given_pages(spark, folder):
+    pages = spark.read.parquet(f"{folder}/pages.parquet")
+    got = {r.page_id: r.text for r in html.extract(pages).collect()}
+    assert got == {r.page_id: plain_article(r.html) for r in pages.collect()} and any(got.values())
+
+
+LONG = " ".join(f"word{i}" for i in range(60))
+
+
+@pytest.mark.parametrize(
+    ("around", "want"),
+    [
+        ("<div class='content has-sidebar'><article><p>{0}</p></article></div>", 1),
+        ("<div class='no-sidebar comments-open'><main><p>{0}</p></main></div>", 1),
+        ("<form id=aspnet><article><p>{0}</p></article><input name=q></form>", 1),
+        ("<div id=sidebar-layout><article><p>{0}</p></article></div>", 1),
+        ("<article><p>{0}</p></article><article class=comment><p>{0} no</p></article>", 1),
+        ("<article><p>{0}</p></article><section class=user-feedback><article><p>no {0}</p></article></section>", 1),
+        ("<article><p>{0}</p><section id=related-work><p>{0}</p></section><div class=social-sciences><p>{0}</p></div></article>", 3),
+        ("<article><p>{0}</p><div class=related-posts><p>no</p></div><div class='widget social'><p>no</p></div></article>", 1),
+        ("<section><p>short one</p></section><section><p>{0} {0} {0}</p></section><section><p>short two</p></section>", 3),
+        ("<div class=advert><p>{0} no</p></div><div class=post><p>{0}</p><p>{0}</p></div>", 2),
+        ("<form><div class=post><p>{0}</p><p>{0}</p></div></form><div class=ad>no</div>", 2),
+        ("<article><p>{0}</p></article><form class=search><p>no {0} {0} {0}</p></form>", 1),
+        ("<div class='main-content nav-open'><div><p>{0}</p></div></div>", 1),
+        ("<article class='post sidebar-right'><p>{0}</p></article><div class=sidebar-left><p>no</p></div>", 1),
+    ],
+)
+def test_names_only_add_to_what_tags_say(around, want):
+    got = html.main_text(PAGE % around.format(LONG))
+    assert "no" not in got.split() and len(got.split("\n")) == want
+
+
 def test_pages(spark):
     pages = spark.createDataFrame([(1, "u", "<p>x y", "old"), (1, "u", "<p>x y", "old"), (2, None, None, "old"), (None, "v", "", None)], "page_id long, url string, html string, TEXT string")
     assert rows(html.extract(pages).select("page_id", "url", "text")) == [(None, "v", ""), (1, "u", "x y"), (1, "u", "x y"), (2, None, "")]
