@@ -5,8 +5,10 @@ from __future__ import annotations
 import base64
 import math
 import random
+import re
 import zlib
 from collections import Counter
+from html import unescape
 from pathlib import Path
 
 import numpy as np
@@ -109,7 +111,6 @@ def test_deep_threads(spark):
 @given(st.text("<|\\im_start>end ab\n", max_size=30))
 def test_escape_is_reversible(text):
     import re
-from html import unescape
 
     escaped = re.sub(r"<(\\*)\|", r"<\\\1|", text)
     assert "<|" not in escaped and re.sub(r"<\\(\\*)\|", r"<\1|", escaped) == text
