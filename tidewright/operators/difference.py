@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewright.operators.windows import landed
+from tidewright.session import landed
 
 _NODE, _SUMS = "__node", ("__n", "__high", "__low", "__high2", "__low2")
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewright.operators.windows import landed
+from tidewright.session import landed
 
 #: Size of a quantile sketch; its error is that of ``rank_error(QUANTILE_SIZE)``, about 0.6 %.
 QUANTILE_SIZE = 800

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewright.session import scratch_path
+from tidewright.session import landed
 
 # Rows one window group may hold before it is cut.
 HOT_ROWS = 2_000_000
@@ -80,13 +80,6 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Ho
     return None if top is None else HotKeys(counts.select(*keys), int(top / share))
 
 
-def landed(df: DataFrame, name: str) -> DataFrame:
-    """The rows written once to the shared scratch folder."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def with_window(
     df: DataFrame,
     order_by: Sequence[str],

@@ -9,7 +9,7 @@ from tidewright.functions import dates
 from tidewright.plans.registry import query
 from tidewright.session import scratch_path
 from tidewright.sources import ingest
-from tidewright.sources.load import VersionedTable
+from tidewright.sources.load import KeyedTable, VersionedTable
 from tidewright.sources.schemas import SchemaConflict
 
 c = F.col
@@ -349,9 +349,9 @@ def _(t):
 
     first = t.events.select(text(c("event_id")).alias("id"), c("event_type").alias("status"), F.lit(1).alias("seq"))
     again = t.events.where("event_type in ('view', 'error')").select(text(c("event_id")).alias("id"), F.lit("DONE").alias("status"), F.lit(2).alias("seq"))
-    runs = VersionedTable(t.spark, scratch_path(t.spark, "run-metadata"))
-    runs.merge(landed(first, "runs-1"), ["id"], ["seq"])
-    return runs.merge(landed(again, "runs-2"), ["id"], ["seq"]).drop("seq")
+    runs = KeyedTable(t.spark, scratch_path(t.spark, "run-metadata"), ["id"], buckets=16)
+    runs.merge(landed(first, "runs-1"), order_by=["seq"])
+    return runs.merge(landed(again, "runs-2"), order_by=["seq"]).drop("seq")
 
 
 _RESOURCE = "case event_type when 'click' then 'pipeline_runs' when 'view' then 'task_runs' when 'error' then 'operations' else 'assets' end"
@@ -366,9 +366,7 @@ def _(t):
     for half in (0, 1):
         rows = t.events.where(c("event_id") % 2 == half).select(F.expr(_RESOURCE).alias("resource"), text(c("user_id")).alias("key"), c("event_id").alias("seq"), c("event_type").alias("status"))
         batches = {n: rows.where(c("resource") == n).withColumnRenamed("key", k).drop("resource") for n, k in ingest.RUN_RESOURCES.items()}
-        if half:  # what is there takes part, so that late rows do not replace newer ones
-            batches = {n: df.unionByName(made[n]) for n, df in batches.items()}
-        made = ingest.merge_resources(t.spark, root, batches, ["seq"])
+        made = ingest.merge_resources(t.spark, root, batches, ["seq"], late=True, buckets=4)
     parts = [df.select(F.lit(n).alias("resource"), c(ingest.RUN_RESOURCES[n]).alias("key"), "seq", "status") for n, df in made.items()]
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 

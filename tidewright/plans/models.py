@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidewright.functions import dates, keys, numbers, text
 from tidewright.operators import audit, joins, reshape, windows
 from tidewright.plans.registry import query
+from tidewright.session import landed
 from tidewright.sources.tables import half_open, scan
 
 c = F.col
@@ -297,7 +298,7 @@ def _(t):
     orders, customers = stg_orders(raw_orders(t)), stg_customers(raw_customers(t))
     hot = windows.hot_keys(_bare(orders), ["customer_id"])
     # Both forms start from the same numbered orders, which are worked out once.
-    numbered = windows.landed(numbered_orders(_paid_orders(t), orders, hot), "numbered")
+    numbered = landed(numbered_orders(_paid_orders(t), orders, hot), "numbered")
     forms = [form(numbered, customers, orders, hot=hot) for form in (legacy_customer_orders, fct_customer_orders)]
     return audit.compare_relations(*forms)
 

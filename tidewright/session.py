@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that may be changed on a running session.
 RUNTIME = {
@@ -63,6 +63,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/tidewright/{name}-{uuid.uuid4().hex}"
 
 
+def landed(df: DataFrame, name: str) -> DataFrame:
+    """The same rows, written once under the shared scratch folder and read back: that ends their lineage, and outlives
+    lost executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def hadoop_path(spark: SparkSession, path: str):
     """A path and its file system, for listing, renaming and removing files from the driver."""
     made = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

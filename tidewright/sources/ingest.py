@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewright.functions.dates import serial_to_date, serial_to_timestamp
 from tidewright.functions.text import slugify_name
-from tidewright.sources.load import VersionedTable
+from tidewright.sources.load import KeyedTable
 
 _MAP = "map<string,string>"
 
@@ -224,9 +224,19 @@ def params_map(events: DataFrame, key: Sequence[str], params: str = "event_param
 RUN_RESOURCES = {"pipeline_runs": "id", "task_runs": "id", "operations": "id", "assets": "assetId"}
 
 
-def merge_resources(spark: SparkSession, root: str, batches: dict[str, DataFrame], order_by: Sequence[str]) -> dict[str, DataFrame]:
-    """Merge a batch of each resource into its table under ``root``; the newest row per key stays."""
+def merge_resources(
+    spark: SparkSession, root: str, batches: dict[str, DataFrame], order_by: Sequence[str], late: bool = False, buckets: int = 16
+) -> dict[str, DataFrame]:
+    """Merge a batch of each run resource into its table by the resource's key, and return the tables.
+
+    Only the folders of the batch's keys are read and written. With ``late`` the newest row of table and batch stays,
+    else the batch's row replaces the table's.
+    """
     unknown = sorted(set(batches) - set(RUN_RESOURCES))
     if unknown:
         raise ValueError(f"unknown resources {unknown}")
-    return {name: VersionedTable(spark, f"{root}/{name}").merge(df, [RUN_RESOURCES[name]], order_by) for name, df in batches.items()}
+    made = {}
+    for name, df in batches.items():
+        table = KeyedTable(spark, f"{root}/{name}", [RUN_RESOURCES[name]], buckets)
+        made[name] = table.upsert_latest(df, order_by=order_by) if late else table.merge(df, order_by=order_by)
+    return made

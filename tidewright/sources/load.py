@@ -20,8 +20,7 @@ from pyspark.sql import types as T
 
 from tidewright.functions.dates import dateadd, datediff
 from tidewright.operators.reshape import newest
-from tidewright.operators.windows import landed
-from tidewright.session import hadoop_path
+from tidewright.session import hadoop_path, landed
 from tidewright.sources.schemas import infer_json, merged_frames, parse_json, shaped, union_schema, without_void
 
 _LOG = "version bigint, paths array<string>, mode string, schema string, schemas array<string>, kinds array<int>"

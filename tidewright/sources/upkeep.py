@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.operators.windows import landed
+from tidewright.session import landed
 from tidewright.sources.load import KeyedTable
 
 
