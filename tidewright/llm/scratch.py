@@ -2,13 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from tidewright.session import landed
 
-from tidewright.session import scratch_path
-
-
-def landed(df: DataFrame, name: str) -> DataFrame:
-    """The same rows, written once under the shared scratch folder and read back."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+__all__ = ["landed"]
