@@ -42,8 +42,8 @@ def row_bytes(df: DataFrame, rows: int) -> float:
 def _write_bounded(df: DataFrame, path: str, max_bytes: int, per_file: int) -> None:
     """Write, then split what came out too large, until no file is above the limit; the folder appears when it is whole."""
     spark = df.sparkSession
-    parent, _, name = path.rstrip("/").rpartition("/")
-    made = f"{parent}/_{name}.{uuid.uuid4().hex}"
+    parent, slash, name = path.rstrip("/").rpartition("/")
+    made = f"{parent}{slash}_{name}.{uuid.uuid4().hex}"
     df.write.option("maxRecordsPerFile", per_file).parquet(made)
     _, files = hadoop_path(spark, made)
     while True:

@@ -188,8 +188,8 @@ def export_per_value(df: DataFrame, path: str, column: str, single: bool = False
     spark, copy = df.sparkSession, "__value"
     rows = df.withColumn(copy, F.col(column))
     rows = rows.repartition(copy) if single else rows.hint("rebalance", copy)
-    parent, _, name = path.rstrip("/").rpartition("/")
-    made = f"{parent}/_{name}.{uuid.uuid4().hex}"
+    parent, slash, name = path.rstrip("/").rpartition("/")
+    made = f"{parent}{slash}_{name}.{uuid.uuid4().hex}"
     rows.write.partitionBy(copy).options(**_CSV).csv(made)
     folder, files = hadoop_path(spark, made)
     for status in files.listStatus(folder):
