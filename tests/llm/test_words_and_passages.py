@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tidewright.llm import common as c
-from tidewright.llm import decontaminate, jaccard, line_dedup, quality_rules, substring
+from tidewright.llm import bpe, decontaminate, html, jaccard, line_dedup, quality_classifier, quality_rules, substring
+from tidewright.llm.queries import tokenizer
 
 LAST = 2**63
 
@@ -368,3 +369,24 @@ def test_sketches_never_rule_out_a_link():
         assert apart <= len(one) + len(other) - 2 * same
         if 100 * same >= percent * (len(one) + len(other) - same):
             assert apart <= jaccard.most_apart(len(one) + len(other), percent)
+
+
+def test_columns_are_found_in_any_case(spark, docs):
+    """Workers look columns up by their exact names, which the operators therefore resolve."""
+    renamed = docs.withColumnRenamed("text", "Text")
+    items = spark.createDataFrame([(1, "w1 w2")], "item_id long, text string")
+    labels = spark.createDataFrame([(0, 1, 0), (1, 0, 1)], "doc_id long, quality int, toxic int")
+    path, pattern = tokenizer()
+    made = [
+        substring.remove_repeats(renamed, k=8),
+        decontaminate.find_passages(renamed, items),
+        decontaminate.remove_passages(renamed, items),
+        line_dedup.remove_repeated_lines(renamed),
+        bpe.encode(renamed, path, pattern),
+        quality_classifier.judge(renamed, labels),
+        html.extract(renamed.withColumnRenamed("Text", "Html")),
+    ]
+    assert [df.count() for df in made] == [docs.count()] * len(made)
+    assert all("Text" in df.columns for df in made[:4])
+    with pytest.raises(ValueError):
+        bpe.encode(docs.drop("text"), path, pattern)

@@ -251,6 +251,7 @@ def extract(pages: DataFrame, html_col: str = "html", text_col: str = "text") ->
     Null and empty pages, and pages without an article, give an empty text; broken markup is read as far as it goes;
     repeated rows give equal texts; an empty table gives an empty one.
     """
+    html_col = c.named(pages, html_col)
     if text_col.lower() != html_col.lower():
         pages = pages.drop(text_col)
     schema = T.StructType([*pages.schema.fields, T.StructField(text_col, T.StringType())])
