@@ -37,9 +37,10 @@ HEAVY = 100_000
 LONG = 10_000
 #: Bits of the filter that tells which documents' sets are needed; a fixed size, false hits cost time only.
 FILTER_BITS = 1 << 25
-#: Classes of a list, and bytes of a cluster's sets, that form a block; a task holds two blocks.
+#: Classes of a list, and bytes and number of a cluster's sets, that form a block; a task holds two blocks.
 LIST_BLOCK = 4_000
 SET_BLOCK = 8 << 20
+SETS = 128
 #: Parts that rows of one class are dealt to when they learn their component.
 SALT = 8
 #: Weight of probing against merging in the choice of how many lists to probe.
@@ -412,7 +413,8 @@ def _linked(pairs: DataFrame, labels: DataFrame | None, rows: DataFrame, keyed:
     sets = sets.join(clusters, "node")
     known = sets.join(labels, "node", "left") if labels is not None else sets.withColumn("label", F.col("node"))
     known = landed(known.withColumn("label", F.coalesce("label", "node")), "cluster-sets")
-    sizes = known.groupBy("cluster").agg(F.ceil(F.sum(F.length("shingles")) / SET_BLOCK).alias("blocks"))
+    most = F.greatest(F.sum(F.length("shingles")) / SET_BLOCK, F.count("*") / SETS)
+    sizes = known.groupBy("cluster").agg(F.ceil(most).alias("blocks"))
     dealt = _in_blocks(known.join(sizes, "cluster"), F.col("blocks")).drop("blocks")
     key = ["cluster", "i", "j"]
     return landed(dealt.repartition(*key).sortWithinPartitions(*key).mapInArrow(_links(percent), "a long, b long").distinct(), "links")
