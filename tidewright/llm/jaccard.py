@@ -438,7 +438,9 @@ def classes(docs: DataFrame, k: int = 3, percent: int = 90, id_col: str = "doc_i
     heavy = spark.sparkContext.broadcast((token[order], count[order]))
 
     postings = keyed.where("text is not null").mapInArrow(_postings(k, percent, heavy), "token long, node long, n int, hot boolean")
-    of_token = Window.partitionBy("token")
+    # A class stays in a list if another one there has a size that a link allows.
+    reach = int(1_000_000 * log(100 / percent)) + 3  # millionths of the logarithm, rounded towards more
+    of_token = Window.partitionBy("token").orderBy(F.floor(F.log(F.col("n").cast("double")) * 1_000_000)).rangeBetween(-reach, reach)
     shared = postings.where("not hot").withColumns({"lo": F.min("node").over(of_token), "hi": F.max("node").over(of_token)}).where("lo <> hi")
     lists = landed(shared.select("token", "node", "n").union(postings.where("hot").select("token", "node", "n")), "lists")
 
