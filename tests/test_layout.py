@@ -57,6 +57,24 @@ def test_hot_values_and_nulls_spread(spark, tmp_path):
     assert spark.read.schema(df.schema).parquet(path).isEmpty()
 
 
+def test_row_size_is_sampled_where_rows_lie(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "sample")
+    monkeypatch.setattr(layout, "scratch_path", lambda *_: path)
+
+    def with_task(batches):
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"id": batch.column("id"), "task": [TaskContext.get().taskAttemptId()] * batch.num_rows})
+
+    df = spark.range(0, 120_000, 1, 6).mapInArrow(with_task, "id long, task long")
+    assert 2 < layout.row_bytes(df, 120_000) < 16
+    written = spark.read.parquet(path)
+    assert written.select("task").distinct().count() == 6  # no task read it all
+    assert len(layout.file_sizes(spark, path)) == 1 and 40_000 < written.count() < 60_000
+
+
 def test_curve_interleaves_ranks(spark):
     df = spark.range(16).select((c("id") % 4).alias("x"), F.floor(c("id") / 4).alias("y"))
     key = layout.curve_key(df, ["x", "y"], bits=2)

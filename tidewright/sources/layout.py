@@ -31,10 +31,13 @@ def file_sizes(spark, path: str) -> dict[str, int]:
 
 
 def row_bytes(df: DataFrame, rows: int) -> float:
-    """Bytes a row takes on disk, from a sample written to the scratch folder."""
+    """Bytes a row takes on disk, from a sample written to the scratch folder.
+
+    Every partition is sampled where it lies; only the sampled rows meet in the task that writes them.
+    """
     path = scratch_path(df.sparkSession, "row-size")
     share = min(1.0, SAMPLE_ROWS / max(rows, 1))
-    (df if share == 1.0 else df.sample(share, seed=11)).coalesce(1).write.parquet(path)
+    (df if share == 1.0 else df.sample(share, seed=11)).repartition(1).write.parquet(path)
     written = df.sparkSession.read.schema(df.schema).parquet(path).count()
     return sum(file_sizes(df.sparkSession, path).values()) / max(written, 1)
 
