@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import base64
+import gc
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 from html import unescape
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -252,6 +255,21 @@ def test_classifier_on_odd_rows(spark, docs, no_docs):
     assert quality_classifier.resample(no_docs, some).count() == 0
 
 
+def test_counting_grams_takes_little_memory():
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(60_000)}" for _ in range(400)) for _ in range(1500)]
+    batch = pa.RecordBatch.from_pydict({"text": texts, "target": [i % 3 == 0 for i in range(len(texts))]})
+    tracemalloc.start()
+    counted = list(quality_classifier._count([batch]))[0]
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 75e6
+    for name, chosen in (("raw", texts), ("target", texts[::3])):
+        times = [np.frombuffer(x, np.int32).sum() for x in counted.column(name).to_pylist()]
+        ngrams = [n for t in chosen for w in t.split() for n in [2 + sum(len(w) > x for x in quality_classifier.BEGINNINGS)]]
+        assert sum(times) == sum(ngrams) + 399 * len(chosen)
+
+
 def test_kth_largest(spark):
     rng = random.Random(1)
     values = [rng.gauss(0, 3) for _ in range(3000)] + [1.25] * 500
@@ -293,3 +311,18 @@ def test_model_is_normalised_and_beats_the_base(spark, folder):
     held = [r for r in QUERIES["op7_lm_scoring"](spark, folder).collect() if r.held_out]
     assert held and sum(r.score for r in held) > sum(r.base_score for r in held)
     assert all((zlib.crc32(str(r.doc_id).encode()) % 10 == 0) for r in held)
+
+
+def test_encoder_leaves_no_caches_behind(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "some words, some more")], "doc_id long, text string")
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": ["some words, some more"]})
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: run)
+    run = bpe.encode(docs, *tokenizer())
+    gc.collect()
+    gc.disable()
+    try:
+        assert list(run([batch]))[0].column("n_tokens").to_pylist()[0] > 0
+        left = [x for x in gc.get_objects() if isinstance(x, bpe.Bounded) and len(x)]
+    finally:
+        gc.enable()
+    assert not left

@@ -64,6 +64,13 @@ class Bpe:
         self.words = Bounded(lambda word: self._packed(" " + word), cached)
         self.heads = Bounded(self._packed, cached // 8)
 
+    def forget(self) -> None:
+        """Empty the caches; they refer back to the encoder, which so outlives its last use until Python looks for cycles."""
+        for cache in (self.stable, self.leaves, self.words, self.heads):
+            cache.clear()
+        self.ranks, self.tokens = {}, {}
+        c.release()
+
     def merged(self, data: bytes) -> tuple[int, ...]:
         """The merges in order of rank, leftmost first, over a run of bytes."""
         n = len(data)
@@ -181,12 +188,13 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, text_col: str = "text"
     file = _broadcast(docs, rank_path)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = Bpe(file.value, pattern)  # with its task, its caches go as well
+        bpe = Bpe(file.value, pattern)
         for batch in c.slices(batches, text_col):
             ids = [bpe.encode(t) if t else b"" for t in batch.column(text_col).to_pylist()]
             columns = {n: batch.column(n) for n in batch.schema.names}
             columns |= {"n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()), "token_ids": pa.array(ids, pa.binary())}
             yield pa.RecordBatch.from_pydict(columns)
+        bpe.forget()  # worker processes outlive their tasks
 
     return docs.mapInArrow(run, schema)
 
@@ -199,10 +207,11 @@ def decode(docs: DataFrame, rank_path: str, pattern: str, ids_col: str = "token_
     file = _broadcast(docs, rank_path)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = Bpe(file.value, pattern)  # with its task, its caches go as well
+        bpe = Bpe(file.value, pattern)
         for batch in c.slices(batches, ids_col):
             columns = {n: batch.column(n) for n in batch.schema.names}
             columns["decoded"] = pa.array([bpe.decode(x) if x else b"" for x in batch.column(ids_col).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_pydict(columns)
+        bpe.forget()  # worker processes outlive their tasks
 
     return docs.mapInArrow(run, schema)

@@ -24,6 +24,8 @@ from tidewright.llm.scratch import landed
 BUCKET_BITS = 21
 #: Counts travel in ranges of so many buckets.
 RANGE = 1 << 12
+#: Texts are looked at in slices of about this many bytes: the arrays of their n-grams take some thirty times as much.
+SLICE = 1 << 20
 #: Most labelled documents used: those with the least hash of their id. One in four of them sets the cut.
 LABELLED = 20_000
 #: Standard deviations by which a count may have to fall short to matter; the held labels choose among them, as what they
@@ -71,14 +73,14 @@ class Grams:
         pair = np.where(word[1:] == word[:-1], _SAME, word[:-1] * np.uint64(3) + word[1:])[inside]
         return Grams(np.stack(columns, axis=1), back, doc, _bucket(pair), doc[1:][inside], len(texts))
 
-    def counts(self, chosen: np.ndarray | None = None) -> np.ndarray:
-        """How often each bucket occurs, in all texts or in the chosen ones."""
+    def add_to(self, counts: np.ndarray, chosen: np.ndarray | None = None) -> None:
+        """Add how often each bucket occurs, in all texts or in the chosen ones, to ``counts``."""
         word, pair = (self.word, self.pair) if chosen is None else (self.word[chosen[self.doc]], self.pair[chosen[self.pair_doc]])
-        times = np.repeat(np.bincount(word, minlength=len(self.of_word)), self.of_word.shape[1])
+        times = np.repeat(np.bincount(word, minlength=len(self.of_word)).astype(counts.dtype), self.of_word.shape[1])
         bucket = self.of_word.ravel()
         some = bucket >= 0
-        out = np.bincount(bucket[some], times[some], minlength=1 << BUCKET_BITS)
-        return out.astype(np.int32) + np.bincount(pair, minlength=1 << BUCKET_BITS).astype(np.int32)
+        np.add.at(counts, bucket[some], times[some])
+        np.add.at(counts, pair, counts.dtype.type(1))
 
     def sums(self, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of each text: the sum of its n-grams' values, and their number."""
@@ -95,12 +97,12 @@ def _bucket(gram: np.ndarray) -> np.ndarray:
 def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of a task's documents, and of the target ones among them, as blobs of ``RANGE`` buckets."""
     raw, target = (np.zeros(1 << BUCKET_BITS, np.int32) for _ in range(2))
-    for batch in c.slices(batches, "text"):
+    for batch in c.slices(batches, "text", SLICE):
         grams = Grams.of(c.texts(batch.column("text")))
-        raw += grams.counts()
+        grams.add_to(raw)
         good = batch.column("target").to_numpy(zero_copy_only=False).astype(bool)
         if good.any():
-            target += grams.counts(good)
+            grams.add_to(target, good)
     some = np.flatnonzero(raw.reshape(-1, RANGE).any(axis=1))
     yield pa.RecordBatch.from_pydict(
         {
@@ -181,7 +183,7 @@ def log_weights(texts: list[bytes], ratio: np.ndarray) -> np.ndarray:
 
 def _weigh(ratio, text: str, weight: str, kept: list[str]) -> Callable:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in c.slices(batches, text):
+        for batch in c.slices(batches, text, SLICE):
             columns = {n: batch.column(n) for n in kept}
             columns[weight] = pa.array(log_weights(c.texts(batch.column(text)), ratio.value))
             yield pa.RecordBatch.from_pydict(columns)
@@ -194,7 +196,7 @@ def _weigh_gates(model, text: str, kept: str) -> Callable:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ratio, reached = model.value
-        for batch in c.slices(batches, text):
+        for batch in c.slices(batches, text, SLICE):
             grams = Grams.of(c.texts(batch.column(text)))
             sums = (grams.sums(gated(ratio, reached, i)) for i in range(len(GATES)))
             weights = np.stack([total / np.sqrt(n + 1.0) for total, n in sums], axis=1)
