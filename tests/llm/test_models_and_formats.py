@@ -21,6 +21,7 @@ from hypothesis import strategies as st
 
 from tests.conftest import rows
 from tidewright.llm import bpe, chat, html, lm, quality_classifier
+from tidewright.llm import common as c
 from tidewright.llm.queries import tokenizer
 
 tiktoken = pytest.importorskip("tiktoken")
@@ -301,6 +302,35 @@ def test_scores(spark, docs, no_docs, odd_texts):
     assert {r.n_known for r in unseen} == {0} and {r.train_tokens for r in unseen} == {0}
 
 
+def test_training_takes_every_triple():
+    k = lm.CLASSES
+    triple = np.array([(a * k + b) * k + c for a, b, c in ((3, 3, 3), (3, 3, 4), (3, 4, 3), (4, 3, 4), (9, 9, 10))])
+    table = 10.0 ** lm.train(triple, np.array([10**9, 10**9, 10**9, 10**9, 20]))
+    assert table[9, 9, 10] > 0.1  # one in 200 million
+    assert abs(table[3, 3, 3] - 0.5) < 0.1 and table[3, 4, 3] > 0.9 and table[4, 3, 4] > 0.9
+    again = lm.train(np.repeat(triple, 2), np.repeat(np.array([10**9, 10**9, 10**9, 10**9, 20]) // 2, 2))
+    assert np.allclose(10.0**again, table, atol=1e-3)
+
+
+def test_scores_follow_from_the_model(spark):
+    texts = ["a b a c", "A b b", "d a b", "", None]
+    docs = spark.createDataFrame([(i, t, i != 2) for i, t in enumerate(texts)], "doc_id long, text string, trained boolean")
+    model = lm.fit(docs, "trained")
+    words = [(t or "").lower().split() for t in texts]
+    count = Counter(w for i, t in enumerate(words) if i != 2 for w in t)
+    assert {r.n for r in model.counts.collect()} == set(count.values()) and model.tokens == sum(count.values()) + 4
+    flat = [w.encode() for w in sorted(count)]
+    kind = dict(zip(sorted(count), model.words.classes(flat, c.word_hashes(flat))[0].tolist(), strict=True))
+    kind["d"] = lm.CLASSES - lm.FORMS + lm.form(b"d")
+    for r in lm.score(docs, "trained").collect():
+        want, two, one = 0.0, lm.BEGIN, lm.BEGIN
+        for w in [*words[r.doc_id], None]:
+            of = lm.END if w is None else kind[w]
+            want += model.table[two, one, of] + (math.log10(count[w] + 0.1) - model.words.log_mass[of] if w and of >= lm.CLASSES - lm.FORMS else 0)
+            two, one = one, of
+        assert abs(r.score - want) < 1e-4
+
+
 def test_model_is_normalised_and_beats_the_base(spark, folder):
     rng = np.random.default_rng(0)
     triple, count = np.unique(rng.integers(0, 40, 5000) * lm.CLASSES**2 + 3 * lm.CLASSES + rng.integers(2, 9, 5000), return_counts=True)

@@ -31,8 +31,10 @@ SINGLE = CLASSES - FORMS - 2
 FREQUENT = 200_000
 #: Added to every count, and to one unseen word.
 ADDED = 0.1
-#: Size of the vectors; noise samples, batch size and steps of the training.
-WIDTH, NOISE, BATCH, STEPS = 24, 24, 4096, 1500
+#: Size of the vectors; noise classes per observed one; most passes of the training over all triples.
+WIDTH, NOISE, STEPS = 24, 24, 400
+#: Training ends when so many passes have raised the log-likelihood by less than this share of it.
+EVERY, SETTLED = 20, 1e-5
 #: Distinct words that a task counts before it sends them on.
 HELD = 1_000_000
 _STOP = frozenset(b".,;:!?")
@@ -138,8 +140,10 @@ def _triples(words) -> Callable:
 def train(triple: np.ndarray, count: np.ndarray, seed: int = 11, steps: int = STEPS) -> np.ndarray:
     """Log10 probability of each class in each context, as an array (two before, one before, class).
 
-    Noise-contrastive estimation: for each observed triple the model tells its class from ``NOISE`` classes drawn from
-    the class frequencies. Steps are Adam's. Without triples every class is as likely as any other.
+    Noise-contrastive estimation: for each observed triple the model tells its class from ``NOISE`` classes with the class
+    frequencies. Nothing is drawn: each step takes every triple as often as it occurs, and the noise by its expectation,
+    so the slopes are those of the whole training text, which the counts of triples say all about. Steps are Adam's.
+    Without triples every class is as likely as any other.
     """
     rng = np.random.default_rng(seed)
     k, d = CLASSES, WIDTH
@@ -151,30 +155,38 @@ def train(triple: np.ndarray, count: np.ndarray, seed: int = 11, steps: int = ST
     weights = [context, target, near, far, bias]
     first, second = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
     log_noise = np.log(NOISE * noise).astype(np.float32)
-    cumulative = np.cumsum(count) if len(triple) else count
+    at = np.unique(triple // k)  # the contexts that occur
+    one, two = at % k, at // k
+    observed = np.zeros((len(at), k), np.float32)
+    if len(triple):
+        np.add.at(observed, (np.searchsorted(at, triple // k), triple % k), (count / count.sum()).astype(np.float32))
+    contrast = observed.sum(1, keepdims=True) * (NOISE * noise).astype(np.float32)
+    of_one, of_two = (np.eye(k, dtype=np.float32)[x].T for x in (one, two))
+    before = -np.inf
     for step in range(steps if len(triple) else 0):
-        picked = triple[np.searchsorted(cumulative, rng.integers(0, cumulative[-1], BATCH), side="right")]
-        this, one, two = picked % k, picked // k % k, picked // (k * k)
-        drawn = rng.choice(k, NOISE, p=noise)
         query = near * context[one] + far * context[two]
-        good = (query * target[this]).sum(1) + bias[this] - log_noise[this]
-        bad = query @ target[drawn].T + bias[drawn] - log_noise[drawn]
-        up = (1 / (1 + np.exp(good)) / BATCH).astype(np.float32)  # slopes of the log-likelihood
-        down = (-1 / (1 + np.exp(-bad)) / BATCH).astype(np.float32)
-        slope = up[:, None] * target[this] + down @ target[drawn]
-        of_this, of_one, of_two, of_drawn = (np.eye(k, dtype=np.float32)[x] for x in (this, one, two, drawn))
+        margin = query @ target.T + (bias - log_noise)
+        chance = 1 / (1 + np.exp(-margin))  # that a class is an observed one
+        if step % EVERY == 0:
+            gain = float((observed * np.log(chance + 1e-30) + contrast * np.log(1 - chance + 1e-30)).sum(dtype=np.float64))
+            if gain - before < SETTLED * abs(gain) and step:
+                break
+            before = gain
+        slope_of = observed * (1 - chance) - contrast * chance  # of the log-likelihood
+        slope = slope_of @ target
+        to_one, to_two = of_one @ slope, of_two @ slope
         slopes = [
-            of_one.T @ (slope * near) + of_two.T @ (slope * far),
-            of_this.T @ (up[:, None] * query) + of_drawn.T @ (down.T @ query),
-            (slope * context[one]).sum(0),
-            (slope * context[two]).sum(0),
-            of_this.T @ up + of_drawn.T @ down.sum(0),
+            to_one * near + to_two * far,
+            slope_of.T @ query,
+            (to_one * context).sum(0),
+            (to_two * context).sum(0),
+            slope_of.sum(0),
         ]
-        rate = 0.02 * (1 - step / steps) + 0.0005
+        rate = 0.05 * (1 - step / steps) + 0.0005
         for w, g, m, v in zip(weights, slopes, first, second, strict=True):
             m += 0.1 * (g - m)
             v += 0.001 * (g * g - v)
-            w += rate * (m / (1 - 0.9 ** (step + 1))) / (np.sqrt(v / (1 - 0.999 ** (step + 1))) + 1e-8)
+            w += rate * (m / (1 - 0.9 ** (step + 1))) / (np.sqrt(v / (1 - 0.999 ** (step + 1))) + 1e-12)
     table = np.empty((k, k, k), np.float32)
     for two in range(k):
         score = (near * context + far * context[two]) @ target.T + bias
