@@ -166,7 +166,7 @@ def train(triple: np.ndarray, count: np.ndarray, seed: int = 11, steps: int = ST
     for step in range(steps if len(triple) else 0):
         query = near * context[one] + far * context[two]
         margin = query @ target.T + (bias - log_noise)
-        chance = 1 / (1 + np.exp(-margin))  # that a class is an observed one
+        chance = 1 / (1 + np.exp(np.minimum(-margin, 80)))  # that a class is an observed one
         if step % EVERY == 0:
             gain = float((observed * np.log(chance + 1e-30) + contrast * np.log(1 - chance + 1e-30)).sum(dtype=np.float64))
             if gain - before < SETTLED * abs(gain) and step:
