@@ -9,13 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import bpe, decontaminate, jaccard, line_dedup, quality_classifier
+from tidewright.llm import bpe, common, decontaminate, jaccard, line_dedup, quality_classifier
 from tidewright.llm.queries import read, tokenizer
 from tidewright.llm.scratch import landed
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the importance-resampling classifier keeps."""
+    common.small_batches(spark)
     return quality_classifier.keep_good(docs, read(spark, sf_dir, "labels"))
 
 
@@ -33,11 +34,13 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
+    common.small_batches(spark)
     return jaccard.keep_one(docs, k=5, percent=80)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a word inside a ten-word window of the benchmark."""
+    common.small_batches(spark)
     return decontaminate.remove_contaminated(docs, read(spark, sf_dir, "benchmark"), n=10)
 
 

@@ -7,6 +7,8 @@ import gc
 import math
 import random
 import re
+import subprocess
+import sys
 import tracemalloc
 import zlib
 from collections import Counter
@@ -18,6 +20,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tidewright.llm import bpe, chat, html, lm, quality_classifier
@@ -356,3 +359,55 @@ def test_encoder_leaves_no_caches_behind(spark, monkeypatch):
     finally:
         gc.enable()
     assert not left
+
+
+def test_encoder_gives_memory_back_and_gets_small_batches(spark):
+    script = """
+import random, re, sys
+import pyarrow as pa
+from tidewright.llm import bpe, common
+from tidewright.llm.queries import tokenizer
+
+path, pattern = tokenizer()
+with open(path, "rb") as f:
+    data = f.read()
+draw = random.Random(0).choices
+
+def held():  # MB
+    with open("/proc/self/smaps_rollup") as f:
+        return int(re.search(r"Anonymous:\\s+(\\d+)", f.read())[1]) / 1024
+
+def task(texts):
+    coder = bpe.Bpe(data, pattern)
+    for _ in range(texts):
+        coder.encode("".join("".join(draw("abcdefghij", k=8 + i % 30)) + draw([" ", "  ", "\\n\\n"], [8, 1, 1])[0] for i in range(300)))
+    full = held()
+    coder.forget()
+    return full
+
+task(3)
+common.release()
+before = held()
+full = task(700)
+print(before, full, held())
+"""
+    root = Path(__file__).parents[2]
+    said = subprocess.run([sys.executable, "-c", script], cwd=root, capture_output=True, text=True, timeout=120, check=True).stdout
+    before, full, after = map(float, said.split())
+    assert full > before + 40 and after < before + 8, said
+
+    try:
+        spark.conf.unset(c.BATCH_LIMIT)
+        docs = spark.range(0, 4000, 1, 1).select(F.col("id").alias("doc_id"), F.expr("repeat('x', 6000)").alias("text"))
+        bpe.encode(docs, *tokenizer())
+
+        def sizes(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_pydict({"mb": [batch.nbytes >> 20]})
+
+        assert max(r.mb for r in docs.mapInArrow(sizes, "mb long").collect()) <= c.BATCH_BYTES >> 20
+        spark.conf.set(c.BATCH_LIMIT, "1m")
+        bpe.decode(bpe.encode(docs, *tokenizer()), *tokenizer())
+        assert spark.conf.get(c.BATCH_LIMIT) == "1m"
+    finally:
+        spark.conf.unset(c.BATCH_LIMIT)

@@ -9,6 +9,7 @@ fold, with concatenation as the join.
 from __future__ import annotations
 
 import base64
+import gc
 import heapq
 import re
 import struct
@@ -30,7 +31,10 @@ CACHED_RUNS = 200_000
 #: Bytes of a run that is not halved any more.
 LEAF = 8
 _FOLD = 1 << 14
-_RUN_OF_SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{2,}")
+# Formats of other lengths, which Python keeps, and iterators over matches leave objects between the words of a cache; so few of
+# them hold all its memory after the task. Hence one format for one id, and texts are split instead.
+_ID = struct.Struct("<I").pack
+_RUN_OF_SPACE = re.compile("([\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{2,})")
 
 
 class Bounded(dict):
@@ -65,10 +69,14 @@ class Bpe:
         self.heads = Bounded(self._packed, cached // 8)
 
     def forget(self) -> None:
-        """Empty the caches; they refer back to the encoder, which so outlives its last use until Python looks for cycles."""
+        """Empty the caches; they refer back to the encoder, which so outlives its last use until Python looks for cycles.
+
+        That search also drops the spare tuples that Python keeps, which lie between the words.
+        """
         for cache in (self.stable, self.leaves, self.words, self.heads):
             cache.clear()
         self.ranks, self.tokens = {}, {}
+        gc.collect()
         c.release()
 
     def merged(self, data: bytes) -> tuple[int, ...]:
@@ -138,18 +146,19 @@ class Bpe:
         return (whole,) if whole is not None else self.tree(data)
 
     def _packed(self, text: str) -> bytes:
-        ids = [i for match in self.pattern.findall(text) for i in self.word(match.encode())]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return b"".join([_ID(i) for match in self.pattern.findall(text) for i in self.word(match.encode())])
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
-        out, begin = [], 0
-        for run in _RUN_OF_SPACE.finditer(text):  # all of a run but its last character is one match, unless it ends the text
-            stop = run.end() - (run.end() < len(text))
-            self._spaced(text[begin : run.start()], out)
-            out.append(self.heads[text[run.start() : stop]])
-            begin = stop
-        self._spaced(text[begin:], out)
+        first, *others = _RUN_OF_SPACE.split(text)
+        out: list[bytes] = []
+        self._spaced(first, out)
+        for run, after in zip(others[::2], others[1::2], strict=True):
+            if after:  # all of a run but its last character is one match, unless it ends the text
+                out.append(self.heads[run[:-1]])
+                self._spaced(run[-1] + after, out)
+            else:
+                out.append(self.heads[run])
         return b"".join(out)
 
     def _spaced(self, text: str, out: list[bytes]) -> None:
@@ -184,6 +193,7 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, text_col: str = "text"
     """
     text_col = c.named(docs, text_col)
     docs = docs.drop("n_tokens", "token_ids")
+    c.small_batches(docs.sparkSession)
     schema = T.StructType([*docs.schema.fields, T.StructField("n_tokens", T.LongType()), T.StructField("token_ids", T.BinaryType())])
     file = _broadcast(docs, rank_path)
 
@@ -203,6 +213,7 @@ def decode(docs: DataFrame, rank_path: str, pattern: str, ids_col: str = "token_
     """Adds ``decoded``: the bytes of the tokens, whether or not they are valid UTF-8. Null ids decode to nothing."""
     ids_col = c.named(docs, ids_col)
     docs = docs.drop("decoded")
+    c.small_batches(docs.sparkSession)
     schema = T.StructType([*docs.schema.fields, T.StructField("decoded", T.BinaryType())])
     file = _broadcast(docs, rank_path)
 
