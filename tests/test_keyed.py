@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import random
+import time
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
+from tidewright.plans import models
 from tidewright.sources import load, upkeep
 from tidewright.sources.load import KeyedTable, VersionedTable
 
@@ -153,3 +156,54 @@ def test_scd2_with_columns_of_one_side(spark):
     made = load.scd2(history, new, "id", at("2024-02-01"), check_cols=["v", "more"])
     got = {(r.id, r.v, r.gone, r.more, r.valid_from.month, r.valid_to and r.valid_to.month) for r in made.collect()}
     assert got == {(1, "x", "only", None, 1, None), (2, "y", "old", None, 1, 2), (2, "y", None, 5, 2, None)}
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_a_load_goes_through_the_buckets_in_waves(spark, table, monkeypatch):
+    """One bucket at a time where a bucket fills a wave; before, all buckets were shuffled together."""
+    monkeypatch.setattr(KeyedTable, "WAVE", 1, raising=False)
+    staged, stage = [], KeyedTable._stage_buckets
+    monkeypatch.setattr(KeyedTable, "_stage_buckets", lambda self, df, schema: staged.append(stage(self, df, schema)) or staged[-1])
+    table.replace(kv(spark, *[(i, "a", 1) for i in range(200)], (None, "a", 1), (7, "twice", 1)))
+    assert [len(x) for x in staged] == [1] * 8
+    got = table.merge(kv(spark, *[(i, "b", 2) for i in range(0, 300, 2)], (None, "b", 2), (0, "old", 1)), order_by=["seq"])
+    assert [len(x) for x in staged[8:]] == [1] * 8 and len(paths(table)) == 8
+    kept = [(7, "twice", 1), *[(i, "a", 1) for i in range(1, 200, 2)]]
+    assert sorted(map(str, rows(got))) == sorted(map(str, [*kept, *[(i, "b", 2) for i in range(0, 300, 2)], (None, "b", 2)]))
+    monkeypatch.setattr(KeyedTable, "WAVE", 1 << 30)
+    assert rows(table.delete_insert(got)) == rows(got) and len(staged) == 17
+
+
+def test_a_load_leaves_no_shuffle_files(spark, table):
+    before = shuffle_files(spark)
+    table.replace(kv(spark, *[(i, "a", 1) for i in range(200)]).repartition(3, "v"))
+    table.merge(kv(spark, *[(i, "b", 2) for i in range(0, 200, 2)]).repartition(3, "v"), order_by=["seq"])
+    # What is left are a few bytes of counts per bucket. Blocks are removed beside the driver's work.
+    end = time.monotonic() + 3
+    while len(left := {f.split("_")[1] for f in shuffle_files(spark) - before}) > 2 and time.monotonic() < end:
+        time.sleep(0.2)
+    assert len(left) <= 2
+    assert table.read().count() == 200
+
+
+def test_catalog_summary_is_grouped_where_the_customers_are_joined(spark):
+    ddl = "bill_customer_sk_id {0}, ship_customer_sk_id {0}, ship_date date, order_number int, quantity bigint, cost bigint"
+    data = [(1, 2, date(2024, 1, 1), 7, 1, 10), (1, 2, date(2024, 1, 1), 7, 1, 10), (None, 2, date(2024, 1, 1), 8, 2, 20)]
+    customers = spark.createDataFrame([(1, "A", "B")], "customer_sk_id bigint, first_name string, last_name string")
+    orders = spark.createDataFrame(data, ddl.format("bigint"))
+    key, limit = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(key, "-1")
+    try:
+        made = models.catalog_orders_summary(models.catalog_orders_staging(orders, customers))
+        assert "hashpartitioning(first_name" not in made._jdf.queryExecution().executedPlan().toString()
+        assert rows(made.drop("_pk", "ship_date")) == [(None, None, "None", "2", 1, 2, 20), ("A", "B", "1", "2", 1, 2, 20)]
+    finally:
+        spark.conf.set(key, limit)
+    # Texts still make the groups where null and its word are one.
+    texts = spark.createDataFrame([("None", "2", *data[0][2:]), (None, "2", *data[0][2:])], ddl.format("string"))
+    staged = texts.select("*", F.lit("A").alias("first_name"), F.lit("B").alias("last_name"))
+    assert rows(models.catalog_orders_summary(staged).select("bill_customer_sk_id", "orders", "cost")) == [("None", 1, 20)]

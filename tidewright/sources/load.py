@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from tidewright.functions.dates import dateadd, datediff
 from tidewright.operators.reshape import newest
-from tidewright.session import hadoop_path, landed
+from tidewright.session import hadoop_path, landed, scratch_path, written
 from tidewright.sources.schemas import infer_json, merged_frames, parse_json, shaped, union_schema, without_void
 
 _LOG = "version bigint, paths array<string>, mode string, schema string, schemas array<string>, kinds array<int>"
@@ -133,7 +133,7 @@ class VersionedTable:
         """Write a candidate folder; nobody reads it until it is published. Columns without a type are left out."""
         path = f"{self.root}/data/{uuid.uuid4().hex}"
         schema = without_void(df.schema) or T.StructType()
-        shaped(df, schema).write.partitionBy(*partition_by).parquet(path)
+        written(shaped(df, schema), path, partition_by)
         self._staged[path] = schema
         return path
 
@@ -278,9 +278,13 @@ class KeyedTable(VersionedTable):
 
     Choose ``buckets`` so that one of them is a few files' worth; it cannot be changed later, nor can the key's columns
     change their type in ways that change how they are written as text. A null key is a key like any other.
+
+    A load goes through the buckets in waves: what a wave shuffles leaves the disk before the next one starts.
     """
 
     BUCKET = "__bucket"
+    # Bytes of files, the batch's and the table's, that make a wave; one bucket at least.
+    WAVE = 128 << 20
 
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], buckets: int = 64):
         super().__init__(spark, root)
@@ -312,9 +316,40 @@ class KeyedTable(VersionedTable):
         self._staged |= dict.fromkeys(paths, schema)
         return paths
 
+    def _in_waves(
+        self, batch: DataFrame, schema: T.StructType, before: Sequence[str], change: Callable[[list[str], DataFrame], DataFrame]
+    ) -> list[str]:
+        """Folders of the table after a load: ``change(folders, rows)`` takes the place of those of the batch's buckets.
+
+        The batch is written once, the rows of each file in the order of their buckets, so that a wave reads little but its own.
+        """
+        dealt, path, bucket = self._dealt(batch), scratch_path(self.spark, "batch"), F.col(self.BUCKET)
+        written(dealt.sortWithinPartitions(bucket), path)
+        rows = self.spark.read.schema(dealt.schema).parquet(path)
+        counts = dict(sorted(rows.groupBy(bucket).count().collect()))  # at most ``buckets``
+        each = _bytes(self.spark, path) / max(1, sum(counts.values()))
+        inside: dict[int, list[str]] = {b: [] for b in counts}
+        for p in before:
+            inside.get(self._bucket_of(p), []).append(p)
+        waves: list[list[int]] = []
+        held = self.WAVE
+        for b, n in counts.items():
+            if held >= self.WAVE:
+                waves.append([])
+                held = 0
+            waves[-1].append(b)
+            held += n * each + sum(_bytes(self.spark, p) for p in inside[b])
+        paths = [p for p in before if self._bucket_of(p) not in counts]
+        for wave in waves:
+            new = rows.where(bucket.between(wave[0], wave[-1])).drop(self.BUCKET)
+            paths += self._stage_buckets(change(sorted(p for b in wave for p in inside[b]), new), schema)
+        folder, files = hadoop_path(self.spark, path)
+        files.delete(folder, True)
+        return paths
+
     def replace(self, df: DataFrame, mode: str = "replace", partition_by: Sequence[str] = (), after: int | None = None) -> DataFrame:
         schema = without_void(df.schema)
-        return self.publish(self._stage_buckets(df, schema), mode, after, schema)
+        return self.publish(self._in_waves(shaped(df, schema), schema, (), lambda now, rows: rows), mode, after, schema)
 
     def append(self, df: DataFrame) -> DataFrame:
         raise NotImplementedError("rows come into a keyed table by merge, upsert_latest, delete_insert or apply_changes")
@@ -324,13 +359,14 @@ class KeyedTable(VersionedTable):
     ) -> DataFrame:
         last = self._last()
         schema = self.grown(last, batch.drop(*beside))
-        rows = landed(self._batch(batch, schema, beside), "batch")  # read twice: for its buckets and for its rows
-        touched = {r[0] for r in self._dealt(rows).select(self.BUCKET).distinct().collect()}  # at most ``buckets``
         paths = list(last["paths"]) if last is not None else []
-        inside = {p for p in paths if self._bucket_of(p) in touched}
-        now = self._frame(last, sorted(inside), schema) if last is not None else self.spark.createDataFrame([], schema)
-        made = self._stage_buckets(change(now, rows), schema)
-        return self.publish([*[p for p in paths if p not in inside], *made], mode, last["version"] if last else 0, schema)
+
+        def changed(folders: list[str], rows: DataFrame) -> DataFrame:
+            now = self._frame(last, folders, schema) if last is not None else self.spark.createDataFrame([], schema)
+            return change(now, rows)
+
+        made = self._in_waves(self._batch(batch, schema, beside), schema, paths, changed)
+        return self.publish(made, mode, last["version"] if last else 0, schema)
 
     def merge(self, batch: DataFrame, keys: Sequence[str] = (), order_by: Sequence[str] = ()) -> DataFrame:
         return super().merge(batch, self._same(keys), order_by)
@@ -428,6 +464,11 @@ def merge_partitions(
     ).partitionBy(partition).parquet(path)
 
 
+def _bytes(spark: SparkSession, path: str) -> int:
+    folder, files = hadoop_path(spark, path)
+    return files.getContentSummary(folder).getLength()
+
+
 def _clustered(rows: DataFrame, column: str) -> DataFrame:
     """Rows of one value in few tasks, so that a partitioned write makes few files; AQE splits large values."""
     return rows.hint("rebalance", column)
