@@ -33,3 +33,13 @@ def docs(spark, odd_texts):
 @pytest.fixture
 def no_docs(docs):
     return docs.where("false")
+
+
+@pytest.fixture(autouse=True)
+def no_caches_of_other_tests(request):
+    """Empties the caches of the encoder that a module's tests share, so that the next test finds its own only."""
+    yield
+    if "coders" in request.fixturenames:
+        own, _ = request.getfixturevalue("coders")
+        for cache in (own.stable, own.leaves, own.words, own.heads):
+            cache.clear()
